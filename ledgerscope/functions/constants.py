@@ -115,3 +115,11 @@ LONG_NARRATIVE_NO_TYPES = "various transaction types"
 SHORT_NARRATIVE_NO_TYPES = "anomalous patterns"
 SHORT_NARRATIVE_STRUCTURING = "Structuring below $10,000 threshold observed. "
 SHORT_NARRATIVE_CROSS_BORDER = "Cross-border transactions to high-risk jurisdictions identified. "
+
+# --- fixed values: country code -> jurisdiction risk (unknown codes are "medium") ----
+JURISDICTION_COUNTRIES = {
+    "low": ["US", "UK", "DE", "JP", "AU"],
+    "medium": ["MX", "BR", "ZA", "IN", "TH"],
+    "high": ["PA", "KY", "BZ", "VU", "LB"],
+}
+JURISDICTION_ORDINAL = {"low": 0, "medium": 1, "high": 2}

@@ -32,3 +32,19 @@ def avg_usd(cents: Column) -> Column:
 def pct_4dp(part: Column, whole: Column) -> Column:
     """ROUND(100 * part / whole, 4), exact for counts."""
     return idiv(part * 2_000_000 + whole, whole * 2) / F.lit(10000.0)
+
+
+def to_grid(x: Column, scale: int = 1_000_000) -> Column:
+    """Value on a 1/scale grid as an exact integer."""
+    return F.round(x * F.lit(float(scale))).cast("long")
+
+
+def grid_avg(x: Column, scale: int = 1_000_000) -> Column:
+    """AVG(x) rounded half-up to 1/scale, computed on exact integers (x >= 0)."""
+    s, n = F.sum(to_grid(x, scale)), F.count(x)
+    return idiv(s * 2 + n, n * 2) / F.lit(float(scale))
+
+
+def grid_mid(a: Column, b: Column, scale: int = 1_000_000) -> Column:
+    """(a + b) / 2 rounded half-up to 1/scale, exact (a, b >= 0)."""
+    return idiv(to_grid(a, scale) + to_grid(b, scale) + 1, F.lit(2)) / F.lit(float(scale))

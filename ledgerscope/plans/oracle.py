@@ -10,6 +10,14 @@ from ledgerscope.plans.oracle_base import with_ledger as W
 
 # Shared SQL fragments.
 SUM_USD = "SUM(amount_cents) / 100.0::DOUBLE"
+def GRID_AVG(x: str) -> str:
+    return f"CAST((2 * SUM(CAST(round({x} * 1000000) AS BIGINT)) + COUNT({x})) // (2 * COUNT({x})) AS BIGINT) / 1000000.0::DOUBLE"
+
+
+def GRID_MID(a: str, b: str) -> str:
+    return f"CAST((CAST(round({a} * 1000000) AS BIGINT) + CAST(round({b} * 1000000) AS BIGINT) + 1) // 2 AS BIGINT) / 1000000.0::DOUBLE"
+
+
 AVG_USD = "CAST((2 * SUM(amount_cents) + COUNT(amount_cents)) // (2 * COUNT(amount_cents)) AS BIGINT) / 100.0::DOUBLE"
 
 ORACLE: dict[str, str] = {}
@@ -110,3 +118,178 @@ SELECT c.jurisdiction_risk, COUNT(*) AS txn_count,
 FROM transactions t LEFT JOIN customers c ON t.sender_id = c.customer_id
 WHERE c.jurisdiction_risk IS NOT NULL
 GROUP BY 1""")
+
+# --- features and stand-in scores ---------------------------------------------------
+ZS_CTES = """
+_st AS (
+    SELECT sender_id AS _sid, AVG(amount_cents) / 100.0::DOUBLE AS sender_mean,
+           STDDEV_SAMP(amount_usd) AS sender_sd
+    FROM transactions GROUP BY 1
+),
+tz AS (
+    SELECT t.*, sender_mean, sender_sd,
+           least(greatest(coalesce((amount_usd - sender_mean) / greatest(sender_sd, 1e-6), 0.0), -5.0), 5.0)
+               AS amount_z_score_sender
+    FROM transactions t LEFT JOIN _st ON t.sender_id = _st._sid
+)"""
+
+SCORE_CTES = ZS_CTES + f""",
+_sc AS (
+    SELECT transaction_id, sender_id, receiver_id, amount_cents, amount_usd, is_suspicious,
+           round(abs(amount_z_score_sender) / 5.0, 6) AS vae_score
+    FROM tz
+),
+_sc2 AS (
+    SELECT *, round(vae_score / ((SELECT MAX(vae_score) FROM _sc) + 1e-9), 6) AS combined_score FROM _sc
+),
+scores AS (
+    SELECT *, (SELECT round(quantile_cont(combined_score, 0.95), 9) FROM _sc2 WHERE NOT is_suspicious) AS threshold
+    FROM _sc2
+),
+scores_f AS (
+    SELECT *, CAST(combined_score >= threshold AS INTEGER) AS is_flagged FROM scores
+),
+alerts AS (
+    SELECT sender_id AS customer_id, {GRID_AVG('vae_score')} AS vae_score,
+           {GRID_AVG('combined_score')} AS combined_score, MAX(is_flagged) AS is_flagged
+    FROM scores_f GROUP BY 1
+)"""
+
+RISK_CTES = f"""
+_inb AS (
+    SELECT t.receiver_id AS _rid, {GRID_AVG('c.risk_score')} AS _nbr
+    FROM transactions t JOIN customers c ON t.sender_id = c.customer_id GROUP BY 1
+),
+risk AS (
+    SELECT c.customer_id, {GRID_MID('c.risk_score', 'COALESCE(_nbr, c.risk_score)')} AS gnn_risk_score,
+           CAST(c.is_suspicious AS BIGINT) AS is_suspicious_true
+    FROM customers c LEFT JOIN _inb ON c.customer_id = _inb._rid
+)"""
+
+NODE_CTES = """
+_sent AS (
+    SELECT sender_id AS _id, COUNT(*) AS sent_count, SUM(amount_cents) AS sent_cents,
+           COUNT(DISTINCT receiver_id) AS sent_unique
+    FROM transactions GROUP BY 1
+),
+_recv AS (
+    SELECT receiver_id AS _id, COUNT(*) AS recv_count, SUM(amount_cents) AS recv_cents,
+           COUNT(DISTINCT sender_id) AS recv_unique
+    FROM transactions GROUP BY 1
+),
+nodes AS (
+    SELECT c.customer_id,
+           CAST(COALESCE(sent_count, 0) + COALESCE(recv_count, 0) AS DOUBLE) AS degree,
+           ln(1 + (COALESCE(sent_cents, 0) + COALESCE(recv_cents, 0)) / 100.0::DOUBLE) AS total_amount,
+           CAST(COALESCE(sent_unique, 0) + COALESCE(recv_unique, 0) AS DOUBLE) AS unique_counterparties,
+           COALESCE(c.risk_score, 0.0) AS risk_score,
+           CASE c.jurisdiction_risk WHEN 'low' THEN 0.0 WHEN 'medium' THEN 1.0 WHEN 'high' THEN 2.0 ELSE 1.0 END
+               AS jurisdiction_risk,
+           ((COALESCE(sent_cents, 0) + COALESCE(recv_cents, 0)) / 100.0::DOUBLE)
+               / greatest(COALESCE(sent_count, 0) + COALESCE(recv_count, 0), 1) AS avg_txn_amount,
+           CAST(COALESCE(sent_count, 0) + COALESCE(recv_count, 0) AS DOUBLE) AS txn_count
+    FROM customers c LEFT JOIN _sent s ON c.customer_id = s._id LEFT JOIN _recv r ON c.customer_id = r._id
+)"""
+
+NODE_COLS = ["degree", "total_amount", "unique_counterparties", "risk_score", "jurisdiction_risk", "avg_txn_amount", "txn_count"]
+
+ORACLE["txn_features"] = W(
+    """
+SELECT transaction_id,
+       round(amount_usd, 6) AS amount_usd,
+       round(ln(1 + amount_usd), 6) AS log_amount,
+       round(hour("timestamp") / 23.0::DOUBLE, 6) AS hour_of_day,
+       round((isodow("timestamp") - 1) / 6.0::DOUBLE, 6) AS day_of_week,
+       CAST(COALESCE(country_origin != country_dest, TRUE) AS DOUBLE) AS is_cross_border,
+       CAST(round_amount AS DOUBLE) AS round_amount,
+       CAST(rapid_movement AS DOUBLE) AS rapid_movement,
+       CAST(structuring_flag AS DOUBLE) AS structuring_flag,
+       round(amount_z_score_sender, 6) AS amount_z_score_sender
+FROM tz""",
+    ZS_CTES,
+)
+
+ORACLE["sender_zscore"] = W(
+    """
+SELECT transaction_id, sender_id, round(sender_mean, 6) AS sender_mean,
+       round(COALESCE(sender_sd, 0.0), 6) AS sender_sd,
+       round(amount_z_score_sender, 6) AS amount_z_score_sender
+FROM tz""",
+    ZS_CTES,
+)
+
+ORACLE["node_features"] = W(
+    "SELECT customer_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in NODE_COLS) + " FROM nodes", NODE_CTES
+)
+
+ORACLE["node_features_scaled"] = W(
+    "SELECT customer_id, "
+    + ", ".join(
+        f"round(({c} - (SELECT AVG({c}) FROM nodes)) / (SELECT CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL "
+        f"THEN 1.0 ELSE STDDEV_POP({c}) END FROM nodes), 6) AS {c}"
+        for c in NODE_COLS
+    )
+    + " FROM nodes",
+    NODE_CTES,
+)
+
+ORACLE["weighted_edges"] = W("""
+SELECT transaction_id, sender_id AS src, receiver_id AS dst, round(ln(1 + amount_usd), 6) AS weight
+FROM transactions""")
+
+ORACLE["customer_risk_scores"] = W("SELECT * FROM risk", RISK_CTES)
+
+ORACLE["anomaly_scores"] = W(
+    "SELECT transaction_id, vae_score, combined_score, threshold, is_flagged FROM scores_f", SCORE_CTES
+)
+ORACLE["anomaly_threshold"] = W(
+    """
+SELECT round(quantile_cont(combined_score, 0.95), 9) AS threshold, COUNT(*) AS normal_rows
+FROM scores_f WHERE NOT is_suspicious""",
+    SCORE_CTES,
+)
+ORACLE["customer_alerts"] = W("SELECT * FROM alerts", SCORE_CTES)
+ORACLE["flagged_transactions"] = W(
+    """
+SELECT transaction_id, sender_id, receiver_id, amount_usd, combined_score, threshold
+FROM scores_f WHERE is_flagged = 1""",
+    SCORE_CTES,
+)
+ORACLE["fused_scores"] = W(
+    """
+SELECT s.transaction_id, s.vae_score,
+       round(0.6 * s.combined_score
+             + 0.4 * ((CAST(t.structuring_flag AS DOUBLE)
+                      + CAST(COALESCE(t.country_origin != t.country_dest, TRUE) AS DOUBLE)) / 2.0), 6)
+           AS combined_score
+FROM scores_f s JOIN transactions t ON s.transaction_id = t.transaction_id""",
+    SCORE_CTES,
+)
+ORACLE["batch_scores"] = W(
+    """
+SELECT transaction_id, combined_score AS anomaly_score, threshold, is_flagged = 1 AS is_flagged,
+       CASE WHEN round(combined_score / threshold, 9) >= 3.0 THEN 'CRITICAL'
+            WHEN round(combined_score / threshold, 9) >= 1.5 THEN 'HIGH'
+            WHEN round(combined_score / threshold, 9) >= 1.0 THEN 'MEDIUM'
+            ELSE 'LOW' END AS alert_level
+FROM scores_f""",
+    SCORE_CTES,
+)
+ORACLE["high_risk_network"] = W(
+    f"""
+SELECT t.sender_id AS customer_id, round(AVG(r.gnn_risk_score), 4) AS gnn_risk_score,
+       COUNT(t.transaction_id) AS txn_count, {SUM_USD} AS total_usd,
+       CAST(SUM(t.is_suspicious::BIGINT) AS BIGINT) AS suspicious_count
+FROM transactions t LEFT JOIN risk r ON t.sender_id = r.customer_id
+WHERE r.gnn_risk_score > 0.5
+GROUP BY t.sender_id ORDER BY gnn_risk_score DESC, customer_id LIMIT 50""",
+    RISK_CTES,
+)
+ORACLE["anomaly_flagged_customers"] = W(
+    """
+SELECT customer_id, round(AVG(vae_score), 6) AS avg_vae_score,
+       round(AVG(combined_score), 6) AS avg_combined_score, CAST(MAX(is_flagged) AS BIGINT) AS is_flagged
+FROM alerts WHERE is_flagged = 1
+GROUP BY customer_id ORDER BY avg_combined_score DESC, customer_id LIMIT 100""",
+    SCORE_CTES,
+)

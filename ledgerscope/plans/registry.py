@@ -51,3 +51,47 @@ register("label_counts")(lambda s, d: P.label_counts(tx(s, d)))
 register("class_distribution")(lambda s, d: P.class_distribution(tx(s, d)))
 register("hour_class_crosstab")(lambda s, d: P.hour_class_crosstab(tx(s, d)))
 register("suspicion_by_jurisdiction")(lambda s, d: P.suspicion_by_jurisdiction(tx(s, d), cu(s, d)))
+
+
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (for keys compared after rounding)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    return df.select(
+        *[
+            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+from ledgerscope.functions import scalar as SC  # noqa: E402
+from ledgerscope.operators import features as FE  # noqa: E402
+from ledgerscope.operators import scoring as SCO  # noqa: E402
+
+
+def _scores(s, d):
+    return SCO.transaction_scores(tx(s, d))
+
+
+def _risk(s, d):
+    return SCO.customer_risk_scores(tx(s, d), cu(s, d))
+
+
+register("txn_features")(lambda s, d: round_doubles(FE.transaction_features(tx(s, d))))
+register("sender_zscore")(lambda s, d: FE.sender_zscore(tx(s, d)))
+register("node_features")(lambda s, d: round_doubles(FE.node_features(tx(s, d), cu(s, d))))
+register("node_features_scaled")(lambda s, d: round_doubles(FE.node_features_scaled(tx(s, d), cu(s, d))))
+register("weighted_edges")(lambda s, d: round_doubles(FE.weighted_edges(tx(s, d))))
+register("customer_risk_scores")(_risk)
+register("anomaly_scores")(
+    lambda s, d: _scores(s, d).select("transaction_id", "vae_score", "combined_score", "threshold", "is_flagged")
+)
+register("anomaly_threshold")(lambda s, d: SCO.anomaly_threshold(_scores(s, d)))
+register("customer_alerts")(lambda s, d: SCO.customer_alerts(_scores(s, d)))
+register("flagged_transactions")(lambda s, d: SCO.flagged_transactions(_scores(s, d)))
+register("fused_scores")(lambda s, d: SCO.fused_scores(_scores(s, d), SCO.secondary_score(tx(s, d))))
+register("batch_scores")(lambda s, d: SCO.batch_scores(_scores(s, d)))
+register("high_risk_network")(lambda s, d: P.high_risk_network(tx(s, d), _risk(s, d)))
+register("anomaly_flagged_customers")(lambda s, d: P.anomaly_flagged_customers(SCO.customer_alerts(_scores(s, d))))
