@@ -293,3 +293,173 @@ FROM alerts WHERE is_flagged = 1
 GROUP BY customer_id ORDER BY avg_combined_score DESC, customer_id LIMIT 100""",
     SCORE_CTES,
 )
+
+# --- profiles, alerts and summaries -------------------------------------------------
+FLAG_CTES = SCORE_CTES + """,
+flagged AS (
+    SELECT f.*, t.transaction_type FROM scores_f f JOIN transactions t USING (transaction_id) WHERE f.is_flagged = 1
+),
+involved AS (
+    SELECT sender_id AS customer_id FROM flagged UNION SELECT receiver_id FROM flagged
+)"""
+
+ORACLE["alert_levels"] = W(
+    """
+SELECT CASE WHEN round(combined_score / threshold, 9) >= 3.0 THEN 'CRITICAL'
+            WHEN round(combined_score / threshold, 9) >= 1.5 THEN 'HIGH'
+            WHEN round(combined_score / threshold, 9) >= 1.0 THEN 'MEDIUM'
+            ELSE 'LOW' END AS alert_level, COUNT(*) AS txn_count
+FROM scores_f GROUP BY 1""",
+    SCORE_CTES,
+)
+ORACLE["customer_risk_labels"] = W(
+    """
+SELECT c.customer_id, r.gnn_risk_score,
+       CASE WHEN r.gnn_risk_score IS NULL THEN 'UNKNOWN' WHEN r.gnn_risk_score > 0.7 THEN 'HIGH'
+            WHEN r.gnn_risk_score > 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+FROM customers c LEFT JOIN risk r ON c.customer_id = r.customer_id""",
+    RISK_CTES,
+)
+ORACLE["round_amount_flag"] = W(
+    "SELECT transaction_id, amount_usd, amount_cents % 10000 = 0 AS round_amount FROM transactions"
+)
+ORACLE["jurisdiction_risk"] = W(
+    """
+SELECT t.country_dest, COALESCE(l.jurisdiction_risk, 'medium') AS jurisdiction_risk, COUNT(*) AS txn_count
+FROM transactions t LEFT JOIN lk l ON t.country_dest = l.country GROUP BY 1, 2""",
+    """
+lk AS (
+    SELECT country, MIN(jurisdiction_risk) AS jurisdiction_risk FROM (
+        SELECT * FROM (VALUES ('US','low'),('UK','low'),('DE','low'),('JP','low'),('AU','low'),
+                              ('MX','medium'),('BR','medium'),('ZA','medium'),('IN','medium'),('TH','medium'),
+                              ('PA','high'),('KY','high'),('BZ','high'),('VU','high'),('LB','high')) v(country, jurisdiction_risk)
+        UNION SELECT DISTINCT country, jurisdiction_risk FROM customers WHERE country IS NOT NULL
+    ) GROUP BY country
+)""",
+)
+ORACLE["recent_alerts"] = W("""
+SELECT transaction_id, "timestamp", sender_id, receiver_id, amount_usd,
+       '$' || format('{:,.2f}', amount_usd) AS amount_text, label
+FROM transactions WHERE is_suspicious ORDER BY amount_cents DESC, transaction_id LIMIT 15""")
+ORACLE["alerts_page"] = W(
+    """
+SELECT transaction_id, sender_id, amount_usd, combined_score,
+       (SELECT COUNT(*) FROM scores_f WHERE combined_score >= 0.3) AS total
+FROM scores_f WHERE combined_score >= 0.3
+ORDER BY combined_score DESC, transaction_id LIMIT 50 OFFSET 50""",
+    SCORE_CTES,
+)
+ORACLE["alerts_with_truth"] = W(
+    """
+SELECT a.customer_id, a.combined_score, a.is_flagged, COALESCE(t.truth, FALSE) AS is_suspicious_true
+FROM alerts a LEFT JOIN (SELECT sender_id, bool_or(is_suspicious) AS truth FROM transactions GROUP BY 1) t
+  ON a.customer_id = t.sender_id""",
+    SCORE_CTES,
+)
+ORACLE["fallback_alert_scores"] = W("""
+SELECT sender_id AS customer_id,
+       CAST((2 * SUM(amount_cents) + 10 * COUNT(*)) // (20 * COUNT(*)) AS BIGINT) / 1e6::DOUBLE AS vae_score
+FROM transactions WHERE is_suspicious GROUP BY 1""")
+ORACLE["sender_activity_profile"] = W(f"""
+SELECT sender_id AS customer_id, {SUM_USD} AS total_amount, COUNT(*) AS txn_count,
+       MIN("timestamp") AS min_date, MAX("timestamp") AS max_date,
+       bool_or(structuring_flag) AS structuring, bool_or(is_suspicious) AS cross_border,
+       COALESCE(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE label != 'normal'))), ', '), '')
+           AS typologies,
+       COUNT(*) FILTER (WHERE COALESCE(country_origin != country_dest, TRUE)) AS cross_border_count,
+       SUM(CASE WHEN is_suspicious THEN amount_cents ELSE 0 END) / 100.0::DOUBLE AS flagged_amount_usd
+FROM transactions GROUP BY 1""")
+ORACLE["score_histogram"] = W(
+    """
+SELECT is_suspicious,
+       CAST(CASE WHEN (r.hi - r.lo) / 60.0 > 0
+            THEN least(floor((combined_score - r.lo) / ((r.hi - r.lo) / 60.0)), 59) ELSE 0 END AS INTEGER) AS bin,
+       COUNT(*) AS count
+FROM scores_f, (SELECT MIN(combined_score) AS lo, MAX(combined_score) AS hi FROM scores_f) r
+GROUP BY 1, 2""",
+    SCORE_CTES,
+)
+ORACLE["winsorized_amounts"] = W(
+    """
+SELECT t.transaction_id, t.is_suspicious, p.p99_amount, least(t.amount_usd, p.p99_amount) AS amount_clipped
+FROM transactions t LEFT JOIN p ON t.is_suspicious = p.cls""",
+    """
+p AS (SELECT is_suspicious AS cls, round(quantile_cont(amount_usd, 0.99), 6) AS p99_amount FROM transactions GROUP BY 1)""",
+)
+ORACLE["score_summary"] = W(
+    f"""
+SELECT COUNT(*) AS n, {GRID_AVG('combined_score')} AS mean_score, MAX(combined_score) AS max_score,
+       round(quantile_cont(combined_score, 0.95), 9) AS p95_score
+FROM scores_f""",
+    SCORE_CTES,
+)
+ORACLE["top_risk_customers"] = W(
+    """
+SELECT r.customer_id, c.name, c.country, r.gnn_risk_score, c.risk_score, r.is_suspicious_true
+FROM risk r LEFT JOIN customers c ON r.customer_id = c.customer_id
+ORDER BY r.gnn_risk_score DESC, r.customer_id LIMIT 20""",
+    RISK_CTES,
+)
+ORACLE["rule_vs_graph"] = W(
+    f"""
+SELECT COUNT(*) AS customers, round(corr(c.risk_score, r.gnn_risk_score), 6) AS correlation,
+       {GRID_AVG('c.risk_score')} AS mean_rule_score, {GRID_AVG('r.gnn_risk_score')} AS mean_graph_score
+FROM risk r JOIN customers c ON r.customer_id = c.customer_id""",
+    RISK_CTES,
+)
+ORACLE["high_risk_by_jurisdiction"] = W(
+    """
+SELECT c.jurisdiction_risk, COUNT(*) AS count
+FROM risk r JOIN customers c ON r.customer_id = c.customer_id
+WHERE r.gnn_risk_score >= 0.7 GROUP BY 1""",
+    RISK_CTES,
+)
+ORACLE["involved_customers"] = W("SELECT customer_id FROM involved", FLAG_CTES)
+ORACLE["flagged_sender_context"] = W(
+    f"""
+SELECT sender_id, COUNT(*) AS transaction_count, {SUM_USD} AS total_amount_usd,
+       {GRID_AVG('combined_score')} AS vae_score,
+       array_to_string(list_sort(list_distinct(list(transaction_type))), ', ') AS transaction_types
+FROM flagged GROUP BY 1""",
+    FLAG_CTES,
+)
+ORACLE["investigation_summary"] = W(
+    f"""
+SELECT COUNT(*) AS customers_involved, COUNT(*) FILTER (WHERE g > 0.6) AS high_risk_count,
+       COALESCE({GRID_AVG('g')}, 0.0) AS avg_gnn_risk,
+       (SELECT COUNT(*) FROM flagged) AS flagged_txn_count,
+       (SELECT COALESCE(SUM(amount_cents), 0) FROM flagged) / 100.0::DOUBLE AS total_flagged_usd
+FROM (SELECT i.customer_id, COALESCE(r.gnn_risk_score, 0.0) AS g
+      FROM involved i LEFT JOIN risk r ON i.customer_id = r.customer_id)""",
+    FLAG_CTES + "," + RISK_CTES,
+)
+ORACLE["batch_risk_summary"] = W(
+    f"""
+SELECT n_total, n_flagged, round(n_flagged / greatest(n_total, 1)::DOUBLE, 6) AS flag_rate,
+       avg_combined_score, avg_gnn_risk, final_risk_score,
+       CASE WHEN final_risk_score >= 0.75 THEN 'CRITICAL' WHEN final_risk_score >= 0.5 THEN 'HIGH'
+            WHEN final_risk_score >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS final_risk_level,
+       CASE WHEN final_risk_score >= 0.75 THEN 'Immediate escalation to Chief Compliance Officer. Freeze implicated accounts pending investigation. File SAR with FinCEN within 30 days. Notify BSA officer.'
+            WHEN final_risk_score >= 0.5 THEN 'Priority review by senior AML analyst within 24 hours. Enhanced due diligence (EDD) required. SAR filing recommended.'
+            WHEN final_risk_score >= 0.25 THEN 'Schedule analyst review within 5 business days. Document findings. Continue enhanced monitoring.'
+            ELSE 'Standard automated monitoring. No immediate action required.' END AS action_recommendation
+FROM (
+    SELECT *, round(0.5 * least(n_flagged / greatest(n_total, 1)::DOUBLE * 10, 1.0)
+                    + 0.3 * avg_combined_score + 0.2 * avg_gnn_risk, 4) AS final_risk_score
+    FROM (
+        SELECT COUNT(*) AS n_total, COUNT(*) FILTER (WHERE is_flagged = 1) AS n_flagged,
+               COALESCE({GRID_AVG('combined_score')}, 0.0) AS avg_combined_score,
+               (SELECT COALESCE({GRID_AVG('COALESCE(r.gnn_risk_score, 0.0)')}, 0.0)
+                FROM involved i LEFT JOIN risk r ON i.customer_id = r.customer_id) AS avg_gnn_risk
+        FROM scores_f
+    )
+)""",
+    FLAG_CTES + "," + RISK_CTES,
+)
+ORACLE["node_index"] = W("SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM customers")
+ORACLE["edge_coo"] = W(
+    """
+SELECT t.transaction_id, s.idx AS src_idx, r.idx AS dst_idx
+FROM transactions t JOIN ix s ON t.sender_id = s.customer_id JOIN ix r ON t.receiver_id = r.customer_id""",
+    "ix AS (SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM customers)",
+)

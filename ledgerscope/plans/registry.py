@@ -66,6 +66,8 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ledgerscope.functions import scalar as SC  # noqa: E402
 from ledgerscope.operators import features as FE  # noqa: E402
 from ledgerscope.operators import scoring as SCO  # noqa: E402
@@ -95,3 +97,49 @@ register("fused_scores")(lambda s, d: SCO.fused_scores(_scores(s, d), SCO.second
 register("batch_scores")(lambda s, d: SCO.batch_scores(_scores(s, d)))
 register("high_risk_network")(lambda s, d: P.high_risk_network(tx(s, d), _risk(s, d)))
 register("anomaly_flagged_customers")(lambda s, d: P.anomaly_flagged_customers(SCO.customer_alerts(_scores(s, d))))
+
+from ledgerscope.operators import prefix as PX  # noqa: E402
+from ledgerscope.operators import profiles as PR  # noqa: E402
+
+
+def _scores_t(s, d):
+    return SCO.transaction_scores(tx(s, d), keep=["transaction_type"])
+
+
+def _flagged(s, d):
+    return _scores_t(s, d).filter("is_flagged = 1")
+
+
+register("alert_levels")(
+    lambda s, d: SCO.batch_scores(_scores(s, d)).groupBy("alert_level").count().withColumnRenamed("count", "txn_count")
+)
+register("customer_risk_labels")(lambda s, d: PR.customer_risk_labels(_risk(s, d), cu(s, d)))
+register("round_amount_flag")(
+    lambda s, d: tx(s, d).select(
+        "transaction_id", "amount_usd", SC.round_amount_flag(F.col("amount_cents")).alias("round_amount")
+    )
+)
+register("jurisdiction_risk")(lambda s, d: PR.country_jurisdiction(tx(s, d), PR.jurisdiction_lookup(s, cu(s, d))))
+register("recent_alerts")(lambda s, d: PR.recent_alerts(tx(s, d)))
+register("alerts_page")(lambda s, d: PR.alerts_page(_scores(s, d)))
+register("alerts_with_truth")(lambda s, d: PR.alerts_with_truth(SCO.customer_alerts(_scores(s, d)), tx(s, d)))
+register("fallback_alert_scores")(lambda s, d: PR.fallback_alert_scores(tx(s, d)))
+register("sender_activity_profile")(lambda s, d: PR.sender_activity_profile(tx(s, d)))
+register("score_histogram")(lambda s, d: PR.score_histogram(_scores(s, d)))
+register("winsorized_amounts")(lambda s, d: PR.winsorized_amounts(tx(s, d)))
+register("score_summary")(lambda s, d: PR.score_summary(_scores(s, d)))
+register("top_risk_customers")(lambda s, d: PR.top_risk_customers(_risk(s, d), cu(s, d)))
+register("rule_vs_graph")(lambda s, d: PR.rule_vs_graph(_risk(s, d), cu(s, d)))
+register("high_risk_by_jurisdiction")(lambda s, d: PR.high_risk_by_jurisdiction(_risk(s, d), cu(s, d)))
+register("involved_customers")(lambda s, d: PR.involved_customers(_flagged(s, d)))
+register("flagged_sender_context")(lambda s, d: PR.flagged_sender_context(_flagged(s, d)))
+register("investigation_summary")(lambda s, d: PR.investigation_summary(_flagged(s, d), _risk(s, d)))
+register("batch_risk_summary")(lambda s, d: PR.batch_risk_summary(_scores(s, d), _risk(s, d)))
+register("edge_coo")(
+    lambda s, d: (
+        lambda t, ix: t.join(ix.withColumnRenamed("customer_id", "sender_id").withColumnRenamed("idx", "src_idx"), "sender_id")
+        .join(ix.withColumnRenamed("customer_id", "receiver_id").withColumnRenamed("idx", "dst_idx"), "receiver_id")
+        .select("transaction_id", "src_idx", "dst_idx")
+    )(tx(s, d), PX.dense_index(cu(s, d), "customer_id"))
+)
+register("node_index")(lambda s, d: PX.dense_index(cu(s, d), "customer_id"))
