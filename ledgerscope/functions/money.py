@@ -48,3 +48,42 @@ def grid_avg(x: Column, scale: int = 1_000_000) -> Column:
 def grid_mid(a: Column, b: Column, scale: int = 1_000_000) -> Column:
     """(a + b) / 2 rounded half-up to 1/scale, exact (a, b >= 0)."""
     return idiv(to_grid(a, scale) + to_grid(b, scale) + 1, F.lit(2)) / F.lit(float(scale))
+
+
+def round_hu(x: Column, digits: int) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d: pure IEEE arithmetic, so every engine
+    gives the same double (unlike engine-specific ROUND on decimal ties)."""
+    p = float(10**digits)
+    return F.floor(x * F.lit(p) + F.lit(0.5)) / F.lit(p)
+
+
+def ratio_4dp(a: Column, b: Column) -> Column:
+    """round(a / max(b, 1), 4) for non-negative counts, exact."""
+    den = F.greatest(b, F.lit(1))
+    return idiv(a * 20000 + den, den * 2) / F.lit(10000.0)
+
+
+def fmt_fixed(x: Column, digits: int) -> Column:
+    """printf('%.{d}f') of a value first put on the 10^-d grid."""
+    return F.format_string(f"%.{digits}f", round_hu(x, digits))
+
+
+def fmt_signed_fixed(x: Column, digits: int) -> Column:
+    """'{:+.{d}f}' formatting: explicit sign, fixed decimals."""
+    r = round_hu(x, digits)
+    return F.concat(F.when(r < 0, F.lit("-")).otherwise(F.lit("+")), F.format_string(f"%.{digits}f", F.abs(r)))
+
+
+def fmt_thousands(n: Column) -> Column:
+    """'{:,}' of an integer."""
+    return F.format_number(n.cast("long"), 0)
+
+
+def fmt_signed_thousands(n: Column) -> Column:
+    return F.concat(F.when(n < 0, F.lit("-")).otherwise(F.lit("+")), F.format_number(F.abs(n).cast("long"), 0))
+
+
+def ratio_dp(a: Column, b: Column, digits: int = 6) -> Column:
+    """round(a / b, digits) half-up for non-negative integers, b > 0, exact."""
+    p = 10**digits
+    return idiv(a * (2 * p) + b, b * 2) / F.lit(float(p))

@@ -1,10 +1,15 @@
 """Global running totals and dense indexes without a single-task window.
 
 ``Window.orderBy(x)`` with no partition moves every row to one task. Here the
-ordered keys are range-partitioned, each partition computes its local running
-sum, the per-partition totals (one row per partition, so bounded by the
-partition count) are turned into offsets, broadcast, and added back. Both
-branches read the same range exchange, which the planner reuses.
+rows are cut into ordered buckets by boundaries fitted once (approximate
+quantiles of the leading order key: a one-row fit whose n-1 values become
+literals in the plan, so every branch and every retried task sees the same
+values). Each bucket computes its
+local running sum; per-bucket totals (one row per bucket, bounded by the
+bucket count) become offsets that are broadcast and added back.
+
+Bucket ids are a pure function of the key and the fixed boundaries, so a lost
+executor recomputes exactly the same assignment.
 """
 
 from __future__ import annotations
@@ -16,7 +21,21 @@ from pyspark.sql import functions as F
 def _parts(df: DataFrame, n: int | None) -> int:
     if n:
         return n
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 2)
+
+
+def bucket_of(df: DataFrame, key: str, n: int, descending: bool = False) -> Column:
+    """Ordered bucket id in [0, n) for ``key``; equal keys share a bucket."""
+    qs = [i / n for i in range(1, n)]
+    fitted = df.select(F.percentile_approx(F.col(key), qs, 10000).alias("b")).first()["b"] or []
+    dtype = dict(df.dtypes)[key]
+    bounds = F.array(*[F.lit(v).cast(dtype) for v in sorted(set(fitted))]) if fitted else F.array().cast(f"array<{dtype}>")
+    k = F.col(key)
+    if descending:
+        b = F.size(F.filter(bounds, lambda x: x > k))
+    else:
+        b = F.size(F.filter(bounds, lambda x: x < k))
+    return F.coalesce(F.when(b >= 0, b), F.lit(0))
 
 
 def prefix_sums(
@@ -26,15 +45,20 @@ def prefix_sums(
     values: list[str],
     suffix: str = "_cum",
     n_partitions: int | None = None,
+    descending: bool | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``values`` in the total order ``order``
-    (which must be unique per row, e.g. the grouped key)."""
+    (unique per row). Buckets come from the first order column;
+    ``descending`` tells its direction (inferred from the Column otherwise)."""
     n = _parts(df, n_partitions)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    if descending is None:
+        descending = " DESC" in str(order[0]).upper()
+    lead = order_names[0]
+    b = df.withColumn("_pid", bucket_of(df, lead, n, descending))
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", *[F.sum(v).over(w).alias(f"_{v}_loc") for v in values])
-    totals = ranged.groupBy("_pid").agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    local = b.select("*", *[F.sum(v).over(w).alias(f"_{v}_loc") for v in values])
+    totals = b.groupBy("_pid").agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
+    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_{v}_tot").over(wo), F.lit(0)).alias(f"_{v}_off") for v in values])
     j = local.join(F.broadcast(offsets), "_pid", "left")
     return j.select(
@@ -44,7 +68,16 @@ def prefix_sums(
 
 
 def dense_index(df: DataFrame, key: str, name: str = "idx", n_partitions: int | None = None) -> DataFrame:
-    """Map each distinct ``key`` to 0..k-1 in sorted key order."""
+    """Map each distinct ``key`` to 0..k-1 in sorted key order. For keys that
+    percentile_approx cannot order (strings), buckets come from a hash-free
+    order-preserving stand-in: the key's leading bytes as a number."""
     keys = df.select(key).distinct().withColumn("_one", F.lit(1))
-    cum = prefix_sums(keys, [F.col(key)], [key], ["_one"], n_partitions=n_partitions)
+    dt = dict(keys.dtypes)[key]
+    if dt == "string":
+        # Order-preserving numeric prefix of the string (first 7 bytes, big-endian).
+        hexp = F.rpad(F.hex(F.substring(F.encode(F.col(key), "UTF-8").cast("binary"), 1, 7)), 14, "0")
+        keys = keys.withColumn("_ord", F.conv(hexp, 16, 10).cast("long"))
+        cum = prefix_sums(keys, [F.col("_ord"), F.col(key)], ["_ord", key], ["_one"], n_partitions=n_partitions, descending=False)
+    else:
+        cum = prefix_sums(keys, [F.col(key)], [key], ["_one"], n_partitions=n_partitions, descending=False)
     return cum.select(key, (F.col("_one_cum") - 1).cast("long").alias(name))

@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from ledgerscope.functions.constants import SAR_THRESHOLD_USD, STRUCTURING_MIN_COUNT, VELOCITY_MIN_COUNT
 from ledgerscope.functions.money import avg_usd, pct_4dp, sum_usd
 
-SUSP_INT = F.col("is_suspicious").cast("long")
+def _susp():
+    return F.col("is_suspicious").cast("long")
 
 
 def transaction_summary(txns: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return txns.agg(
         n.alias("total_transactions"),
-        F.sum(SUSP_INT).alias("suspicious_count"),
-        pct_4dp(F.sum(SUSP_INT), n).alias("suspicious_pct"),
+        F.sum(_susp()).alias("suspicious_count"),
+        pct_4dp(F.sum(_susp()), n).alias("suspicious_pct"),
         sum_usd(F.col("amount_cents")).alias("total_volume_usd"),
         avg_usd(F.col("amount_cents")).alias("avg_amount_usd"),
         F.min("timestamp").alias("earliest_txn"),
@@ -58,7 +59,7 @@ def daily_alert_trend(txns: DataFrame, days: int = 90, as_of=None) -> DataFrame:
         .groupBy(F.to_date("timestamp").alias("date"))
         .agg(
             F.count(F.lit(1)).alias("total_txns"),
-            F.sum(SUSP_INT).alias("suspicious"),
+            F.sum(_susp()).alias("suspicious"),
             sum_usd(F.when(F.col("is_suspicious"), F.col("amount_cents")).otherwise(F.lit(0))).alias("flagged_usd"),
         )
         .orderBy("date")
@@ -127,7 +128,7 @@ def high_risk_network(txns: DataFrame, risk: DataFrame, min_risk: float = 0.5, n
             F.round(F.avg("gnn_risk_score"), 4).alias("gnn_risk_score"),
             F.count("transaction_id").alias("txn_count"),
             sum_usd(F.col("amount_cents")).alias("total_usd"),
-            F.sum(SUSP_INT).alias("suspicious_count"),
+            F.sum(_susp()).alias("suspicious_count"),
         )
         .orderBy(F.desc("gnn_risk_score"), "customer_id")
         .limit(n)

@@ -463,3 +463,293 @@ SELECT t.transaction_id, s.idx AS src_idx, r.idx AS dst_idx
 FROM transactions t JOIN ix s ON t.sender_id = s.customer_id JOIN ix r ON t.receiver_id = r.customer_id""",
     "ix AS (SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM customers)",
 )
+
+# --- evaluation ---------------------------------------------------------------------
+
+
+def R(a: str, b: str, d: int = 6) -> str:
+    p = 10**d
+    return f"CAST(({a} * {2 * p} + ({b})) // (2 * ({b})) AS BIGINT) / {p}.0::DOUBLE"
+
+
+def HU(x: str, d: int) -> str:
+    p = 10**d
+    return f"floor(({x}) * {p}.0 + 0.5) / {p}.0"
+
+
+EV_CTES = SCORE_CTES + """,
+ev AS (SELECT CAST(is_suspicious AS INTEGER) AS y, is_flagged AS p, combined_score AS s FROM scores_f),
+cc AS (
+    SELECT COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS tp, COUNT(*) FILTER (WHERE y <> 1 AND p = 1) AS fp,
+           COUNT(*) FILTER (WHERE y <> 1 AND p <> 1) AS tn, COUNT(*) FILTER (WHERE y = 1 AND p <> 1) AS fn
+    FROM ev
+),
+sc AS (SELECT s AS score, COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y <> 1) AS neg FROM ev GROUP BY 1),
+cum AS (
+    SELECT score, pos, neg,
+           CAST(SUM(pos) OVER (ORDER BY score DESC) AS BIGINT) AS pos_cum,
+           CAST(SUM(neg) OVER (ORDER BY score DESC) AS BIGINT) AS neg_cum
+    FROM sc
+),
+tot AS (SELECT COUNT(*) FILTER (WHERE y = 1) AS P, COUNT(*) FILTER (WHERE y <> 1) AS N FROM ev)"""
+
+_p = "(tp / greatest(tp + fp, 1))"
+_r = "(tp / greatest(tp + fn, 1))"
+ORACLE["classification_metrics"] = W(
+    f"""
+SELECT tp AS true_positives, fp AS false_positives, tn AS true_negatives, fn AS false_negatives,
+       {R('tp', 'greatest(tp + fp, 1)', 4)} AS precision, {R('tp', 'greatest(tp + fn, 1)', 4)} AS recall,
+       {R('tn', 'greatest(tn + fp, 1)', 4)} AS specificity,
+       {HU(f'2.0::DOUBLE * {_p} * {_r} / greatest({_p} + {_r}, 1e-9)', 4)} AS f1_score,
+       {HU(f'5.0::DOUBLE * {_p} * {_r} / greatest(4.0::DOUBLE * {_p} + {_r}, 1e-9)', 4)} AS f2_score,
+       {R('fp', 'greatest(fp + tn, 1)', 4)} AS false_positive_rate,
+       {R('fn', 'greatest(fn + tp, 1)', 4)} AS false_negative_rate
+FROM cc""",
+    EV_CTES,
+)
+ORACLE["roc_auc"] = W(
+    """
+SELECT CASE WHEN P > 0 AND N > 0 THEN round(num / (2.0::DOUBLE * P * N), 6) END AS roc_auc
+FROM (SELECT SUM(pos * (2 * (CAST(SUM(neg) OVER (ORDER BY score) AS BIGINT) - neg) + neg)) AS num FROM sc) x
+     , tot""".replace(
+        "SELECT SUM(pos * (2 * (CAST(SUM(neg) OVER (ORDER BY score) AS BIGINT) - neg) + neg)) AS num FROM sc",
+        "SELECT SUM(pos * (2 * (nc - neg) + neg)) AS num FROM (SELECT pos, neg, CAST(SUM(neg) OVER (ORDER BY score) AS BIGINT) AS nc FROM sc)",
+    ),
+    EV_CTES,
+)
+ORACLE["average_precision"] = W(
+    "SELECT round(SUM((pos / (SELECT P FROM tot)) * (pos_cum / (pos_cum + neg_cum))), 6) AS average_precision FROM cum",
+    EV_CTES,
+)
+ORACLE["pr_curve"] = W(
+    f"""
+SELECT score AS threshold, pos_cum AS tp, neg_cum AS fp, {R('pos_cum', 'pos_cum + neg_cum')} AS precision,
+       CASE WHEN (SELECT P FROM tot) > 0 THEN {R('pos_cum', '(SELECT P FROM tot)')} ELSE 1.0 END AS recall
+FROM cum""",
+    EV_CTES,
+)
+ORACLE["optimal_threshold"] = W(
+    f"""
+SELECT threshold, {HU('p', 4)} AS precision, {HU('r', 4)} AS recall, {HU('m', 4)} AS score
+FROM (SELECT score AS threshold, p, r, 5.0::DOUBLE * p * r / greatest(4.0::DOUBLE * p + r, 1e-9) AS m
+      FROM (SELECT score, pos_cum / (pos_cum + neg_cum) AS p, pos_cum / (SELECT P FROM tot) AS r FROM cum))
+WHERE r >= 0.9 ORDER BY m DESC, threshold ASC LIMIT 1""",
+    EV_CTES,
+)
+ORACLE["threshold_sensitivity"] = W(
+    f"""
+SELECT k, round(t, 9) AS threshold, tp, fp, {R('tp', 'greatest(tp + fp, 1)')} AS precision,
+       {R('tp', 'greatest((SELECT P FROM tot), 1)')} AS recall,
+       {HU('2.0::DOUBLE * pr * rc / greatest(pr + rc, 1e-9)', 6)} AS f1
+FROM (
+    SELECT k, t, tp, fp, tp / greatest(tp + fp, 1) AS pr, tp / greatest((SELECT P FROM tot), 1) AS rc
+    FROM (
+        SELECT g.k, g.t, COUNT(*) FILTER (WHERE ev.y = 1) AS tp, COUNT(*) FILTER (WHERE ev.y <> 1) AS fp
+        FROM (SELECT k, lo + k * ((hi - lo) / 199.0::DOUBLE) AS t
+              FROM range(200) r(k),
+                   (SELECT MIN(s) AS lo, round(quantile_cont(s, 0.99), 9) AS hi FROM ev) b) g
+        LEFT JOIN ev ON ev.s >= g.t
+        GROUP BY g.k, g.t
+    )
+)""",
+    EV_CTES,
+)
+ORACLE["detection_cost"] = W(
+    """
+SELECT tp AS true_positives, fp AS false_positives, fn AS false_negatives,
+       fn * 100000.0::DOUBLE + fp * 500.0::DOUBLE AS total_cost_usd,
+       fn * 100000.0::DOUBLE AS missed_laundering_cost_usd, fp * 500.0::DOUBLE AS false_alert_cost_usd,
+       round((fn * 100000.0::DOUBLE + fp * 500.0::DOUBLE) / greatest(tp, 1), 6) AS cost_per_true_positive_usd
+FROM cc""",
+    EV_CTES,
+)
+ORACLE["confusion_matrix"] = W(
+    f"""
+SELECT true_label, pred_label, count, {R('count', 'SUM(count) OVER (PARTITION BY true_label)')} AS share
+FROM (SELECT y AS true_label, CAST(p AS INTEGER) AS pred_label, COUNT(*) AS count FROM ev GROUP BY 1, 2)""",
+    EV_CTES,
+)
+_cls = """
+    SELECT '{lab}' AS label, {a} / greatest({a} + {b}, 1) AS precision, {a} / greatest({a} + {c}, 1) AS recall,
+           {a} + {c} AS support FROM cc"""
+ORACLE["classification_report"] = W(
+    f"""
+SELECT label, {HU('precision', 4)} AS precision, {HU('recall', 4)} AS recall, {HU('f1', 4)} AS f1,
+       CAST(support AS BIGINT) AS support
+FROM (
+    SELECT * FROM cls
+    UNION ALL SELECT 'macro avg', AVG(precision), AVG(recall), AVG(f1), SUM(support) FROM cls
+    UNION ALL SELECT 'weighted avg', SUM(precision * support) / SUM(support), SUM(recall * support) / SUM(support),
+                     SUM(f1 * support) / SUM(support), SUM(support) FROM cls
+)""",
+    EV_CTES
+    + """,
+cls0 AS ("""
+    + _cls.format(lab="0", a="tn", b="fn", c="fp")
+    + " UNION ALL "
+    + _cls.format(lab="1", a="tp", b="fp", c="fn")
+    + """),
+cls AS (SELECT label, precision, recall,
+               CASE WHEN precision + recall > 0 THEN 2.0::DOUBLE * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+               support FROM cls0)""",
+)
+ORACLE["prevalence_baseline"] = W(
+    f"SELECT COUNT(*) AS n, {R('COUNT(*) FILTER (WHERE y = 1)', 'COUNT(*)')} AS prevalence FROM ev", EV_CTES
+)
+
+# --- causal and what-if -------------------------------------------------------------
+DID_CTES = """
+cells AS (
+    SELECT CAST(structuring_flag AS INTEGER) AS treated,
+           CAST("timestamp" >= TIMESTAMP '1998-07-01' AS INTEGER) AS post,
+           COUNT(*) AS n, SUM(CAST(is_suspicious AS DOUBLE)) AS s, var_samp(CAST(is_suspicious AS DOUBLE)) AS v
+    FROM transactions GROUP BY 1, 2
+),
+one AS (
+    SELECT MAX(n) FILTER (WHERE treated = 0 AND post = 0) AS n_00, MAX(n) FILTER (WHERE treated = 0 AND post = 1) AS n_01,
+           MAX(n) FILTER (WHERE treated = 1 AND post = 0) AS n_10, MAX(n) FILTER (WHERE treated = 1 AND post = 1) AS n_11,
+           MAX(s) FILTER (WHERE treated = 0 AND post = 0) / MAX(n) FILTER (WHERE treated = 0 AND post = 0) AS m_00,
+           MAX(s) FILTER (WHERE treated = 0 AND post = 1) / MAX(n) FILTER (WHERE treated = 0 AND post = 1) AS m_01,
+           MAX(s) FILTER (WHERE treated = 1 AND post = 0) / MAX(n) FILTER (WHERE treated = 1 AND post = 0) AS m_10,
+           MAX(s) FILTER (WHERE treated = 1 AND post = 1) / MAX(n) FILTER (WHERE treated = 1 AND post = 1) AS m_11,
+           sqrt(SUM(v / n)) AS se,
+           SUM(s) FILTER (WHERE post = 0) / SUM(n) FILTER (WHERE post = 0) AS baseline_mean
+    FROM cells
+),
+did AS (
+    SELECT n_00, n_01, n_10, n_11,
+           round(m_00, 6) AS mean_00, round(m_01, 6) AS mean_01, round(m_10, 6) AS mean_10, round(m_11, 6) AS mean_11,
+           round(((m_11 - m_10) - (m_01 - m_00)), 6) AS ate, round(se, 6) AS se,
+           round(((m_11 - m_10) - (m_01 - m_00)) - 1.96::DOUBLE * se, 6) AS ate_lower,
+           round(((m_11 - m_10) - (m_01 - m_00)) + 1.96::DOUBLE * se, 6) AS ate_upper,
+           round(((m_11 - m_10) - (m_01 - m_00)) / greatest(abs(baseline_mean), 1e-9) * 100.0::DOUBLE, 6)
+               AS relative_effect_pct
+    FROM one
+)"""
+ORACLE["did_effect"] = W("SELECT * FROM did", DID_CTES)
+
+
+def FMT(x: str, d: int) -> str:
+    return f"printf('%.{d}f', {HU(x, d)})"
+
+
+ORACLE["rule_effect"] = W(
+    f"""
+SELECT 'DiD' AS estimator, 'Enhanced Structuring Rule' AS treatment, 'is_suspicious' AS outcome,
+       ate, ate_lower, ate_upper, relative_effect_pct,
+       'Implementing ''Enhanced Structuring Rule'' is estimated to have '
+       || CASE WHEN ate < 0 THEN 'reduced' ELSE 'increased' END
+       || ' suspicious activity by ' || {FMT('abs(relative_effect_pct)', 1)}
+       || '% (ATE=' || {FMT('ate', 4)} || ', 95% CI [' || {FMT('ate_lower', 4)} || ', ' || {FMT('ate_upper', 4)}
+       || ']). This effect is '
+       || CASE WHEN NOT (ate_lower <= 0 AND ate_upper >= 0) THEN 'statistically significant'
+               ELSE 'not statistically significant at 95% confidence' END || '.' AS interpretation
+FROM did""",
+    DID_CTES,
+)
+
+
+def SGN_TH(x: str) -> str:
+    return f"(CASE WHEN ({x}) < 0 THEN '-' ELSE '+' END || format('{{:,}}', CAST(abs({x}) AS BIGINT)))"
+
+
+def SGN_FX(x: str, d: int) -> str:
+    return f"(CASE WHEN {HU(x, d)} < 0 THEN '-' ELSE '+' END || printf('%.{d}f', abs({HU(x, d)})))"
+
+
+ORACLE["whatif_threshold"] = W(
+    f"""
+SELECT 'Threshold ' || CASE WHEN nt < ct THEN 'lower' ELSE 'higher' END || ': ' || {FMT('ct', 5)} || ' -> ' || {FMT('nt', 5)}
+           AS scenario,
+       b AS baseline_alerts, c AS counterfactual_alerts, c - b AS delta_alerts,
+       {HU('(c - b) / greatest(b, 1) * 100.0::DOUBLE', 2)} AS delta_pct,
+       bc / 100.0::DOUBLE AS baseline_flagged_amount, cc_ / 100.0::DOUBLE AS counterfactual_flagged_amount,
+       CASE WHEN nt < ct THEN
+           'Lowering threshold by ' || {FMT('abs(ct - nt) / ct * 100.0::DOUBLE', 1)} || '% would increase alerts by '
+           || {SGN_TH('c - b')} || ' (' || {SGN_FX('(c - b) / greatest(b, 1) * 100.0::DOUBLE', 1)} || '%), capturing USD '
+           || {SGN_TH('dd')} || ' more in flagged volume. Consider analyst capacity before implementing.'
+       ELSE
+           'Raising threshold by ' || {FMT('abs(ct - nt) / ct * 100.0::DOUBLE', 1)} || '% would reduce alerts by '
+           || format('{{:,}}', CAST(abs(c - b) AS BIGINT)) || ' (' || {FMT('(c - b) / greatest(b, 1) * 100.0::DOUBLE', 1)}
+           || '%), but risks missing USD ' || format('{{:,}}', CAST(abs(dd) AS BIGINT)) || ' in suspicious activity.'
+       END AS recommendation
+FROM (
+    SELECT *, ((abs(cc_ - bc) + 50) // 100) * CASE WHEN cc_ < bc THEN -1 ELSE 1 END AS dd
+    FROM (
+        SELECT MAX(threshold) AS ct, MAX(threshold) * 0.9::DOUBLE AS nt,
+               COUNT(*) FILTER (WHERE combined_score >= threshold) AS b,
+               COUNT(*) FILTER (WHERE combined_score >= threshold * 0.9::DOUBLE) AS c,
+               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= threshold), 0) AS bc,
+               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= threshold * 0.9::DOUBLE), 0) AS cc_
+        FROM scores_f
+    )
+)""",
+    SCORE_CTES,
+)
+ORACLE["whatif_sweep"] = W(
+    f"""
+SELECT pct_change, round(ct * (1.0::DOUBLE + pct_change / 100.0::DOUBLE), 9) AS new_threshold, alerts,
+       {HU('(alerts - (SELECT alerts FROM sw WHERE pct_change = 0)) / greatest((SELECT alerts FROM sw WHERE pct_change = 0), 1) * 100.0::DOUBLE', 2)}
+           AS delta_pct,
+       cents / 100.0::DOUBLE AS flagged_amount
+FROM sw""",
+    SCORE_CTES
+    + """,
+sw AS (
+    SELECT g.pct_change, MAX(f.threshold) AS ct0, (SELECT MAX(threshold) FROM scores_f) AS ct,
+           COUNT(f.transaction_id) AS alerts, COALESCE(SUM(f.amount_cents), 0) AS cents
+    FROM (SELECT CAST(p AS INTEGER) AS pct_change FROM range(-50, 55, 5) r(p)) g
+    LEFT JOIN scores_f f ON f.combined_score >= f.threshold * (1.0::DOUBLE + g.pct_change / 100.0::DOUBLE)
+    GROUP BY g.pct_change
+)""",
+)
+
+_RULES = [
+    ("Flag all wire transfers > $50K from PA/KY", 0.08, 25.0),
+    ("Flag all cash deposits near $10K (structuring)", 0.15, 35.0),
+    ("Flag rapid succession transfers (< 1 hr apart)", 0.12, 20.0),
+    ("Flag all TBML trade payment anomalies", 0.06, 18.0),
+]
+
+
+def _rule_sql(name: str, frac: float, pct: float) -> str:
+    q = name.replace("'", "''")
+    k = f"CAST(trunc(total * {frac!r}::DOUBLE * {pct / 100.0!r}::DOUBLE) AS BIGINT)"
+    return f"""
+SELECT '{q}' AS rule_name, {frac * 100:.0f} AS frac_pct, total, cur, bc, {k} AS k,
+       (SELECT COALESCE(SUM(amount_cents), 0) FROM ranked WHERE rn <= {k.replace("total", "(SELECT total FROM base)")})
+           AS extra
+FROM base"""
+
+
+RULE_BASE = """
+ranked AS (SELECT amount_cents, row_number() OVER (ORDER BY "timestamp", transaction_id) AS rn FROM transactions),
+base AS (
+    SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE is_suspicious) AS cur,
+           COALESCE(SUM(amount_cents) FILTER (WHERE is_suspicious), 0) AS bc
+    FROM transactions
+)"""
+
+
+def _rule_out(name: str, frac: float, pct: float) -> str:
+    q = name.replace("'", "''")
+    return f"""
+SELECT 'New rule: ''{q}''' AS scenario, cur AS baseline_alerts, cur + k AS counterfactual_alerts, k AS delta_alerts,
+       {HU('k * 100.0::DOUBLE / greatest(cur, 1)', 2)} AS delta_pct,
+       bc / 100.0::DOUBLE AS baseline_flagged_amount, (bc + extra) / 100.0::DOUBLE AS counterfactual_flagged_amount,
+       'Adding ''{q}'' targeting {frac * 100:.0f}% of transactions is estimated to uncover '
+       || format('{{:,}}', k) || ' additional alerts (+' || {FMT('k * 100.0::DOUBLE / greatest(cur, 1)', 1)}
+       || '%). Estimated incremental flagged amount: USD ' || format('{{:,}}', CAST((extra + 50) // 100 AS BIGINT)) || '.'
+           AS recommendation
+FROM ({_rule_sql(name, frac, pct)})"""
+
+
+ORACLE["whatif_rule"] = W(_rule_out(*_RULES[1]), RULE_BASE)
+ORACLE["whatif_rules_table"] = W(
+    " UNION ALL ".join(
+        f"""SELECT '{n[:45].replace("'", "''")}' AS rule, counterfactual_alerts AS new_alerts, delta_alerts AS delta, delta_pct,
+                   counterfactual_flagged_amount FROM ({_rule_out(n, f, p)})"""
+        for n, f, p in _RULES
+    ),
+    RULE_BASE,
+)

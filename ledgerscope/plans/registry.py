@@ -143,3 +143,33 @@ register("edge_coo")(
     )(tx(s, d), PX.dense_index(cu(s, d), "customer_id"))
 )
 register("node_index")(lambda s, d: PX.dense_index(cu(s, d), "customer_id"))
+
+from ledgerscope.operators import causal as CA  # noqa: E402
+from ledgerscope.operators import evaluation as EV  # noqa: E402
+
+
+def _eval(s, d):
+    return _scores(s, d).select(
+        F.col("is_suspicious").cast("int").alias("y_true"),
+        F.col("is_flagged").alias("y_pred"),
+        F.col("combined_score").alias("y_score"),
+    )
+
+
+register("classification_metrics")(lambda s, d: EV.classification_metrics(_eval(s, d)))
+register("roc_auc")(lambda s, d: EV.roc_auc(_eval(s, d)))
+register("average_precision")(lambda s, d: EV.average_precision(_eval(s, d)))
+register("pr_curve")(lambda s, d: EV.pr_curve(_eval(s, d)))
+register("optimal_threshold")(lambda s, d: EV.optimal_threshold(_eval(s, d)))
+register("threshold_sensitivity")(lambda s, d: EV.threshold_sensitivity(_eval(s, d)))
+register("detection_cost")(lambda s, d: EV.detection_cost(EV.confusion_counts(_eval(s, d))))
+register("confusion_matrix")(lambda s, d: EV.confusion_matrix(_eval(s, d)))
+register("classification_report")(lambda s, d: EV.classification_report(_eval(s, d)))
+register("prevalence_baseline")(lambda s, d: EV.prevalence(_eval(s, d)))
+register("did_effect")(lambda s, d: CA.did_effect(tx(s, d)))
+register("rule_effect")(lambda s, d: CA.rule_effect(tx(s, d)))
+register("did_bootstrap")(lambda s, d: CA.did_bootstrap(tx(s, d)))
+register("whatif_threshold")(lambda s, d: CA.whatif_threshold(_scores(s, d)))
+register("whatif_sweep")(lambda s, d: CA.whatif_sweep(_scores(s, d)))
+register("whatif_rule")(lambda s, d: CA.whatif_rule(tx(s, d), "Flag all cash deposits near $10K (structuring)", 0.15, 35.0))
+register("whatif_rules_table")(lambda s, d: CA.whatif_rules_table(tx(s, d)))
