@@ -753,3 +753,92 @@ ORACLE["whatif_rules_table"] = W(
     ),
     RULE_BASE,
 )
+
+# --- typology detectors -------------------------------------------------------------
+H_CTE = """
+h AS (
+    SELECT transaction_id, sender_id, receiver_id, amount_cents, CAST(epoch("timestamp") AS BIGINT) AS s
+    FROM transactions WHERE sender_id != receiver_id
+)"""
+
+ORACLE["smurfing_windows"] = W(
+    """
+SELECT sender_id, transaction_id, window_end, txn_count, c / 100.0::DOUBLE AS total_usd
+FROM (
+    SELECT sender_id, transaction_id, "timestamp" AS window_end,
+           COUNT(*) OVER w AS txn_count, SUM(amount_cents) OVER w AS c
+    FROM (SELECT *, CAST(epoch("timestamp") AS BIGINT) AS s FROM transactions WHERE amount_cents < 1000000)
+    WINDOW w AS (PARTITION BY sender_id ORDER BY s RANGE BETWEEN 201600 PRECEDING AND CURRENT ROW)
+) WHERE txn_count >= 5"""
+)
+ORACLE["round_trips_2"] = W(
+    """
+SELECT h1.sender_id AS origin_id, h1.receiver_id AS via_1, h1.transaction_id AS txn_1, h2.transaction_id AS txn_2,
+       h1.amount_cents / 100.0::DOUBLE AS first_amount_usd, h2.amount_cents / 100.0::DOUBLE AS last_amount_usd,
+       (h2.s - h1.s) / 3600.0::DOUBLE AS span_hours
+FROM h h1 JOIN h h2 ON h2.sender_id = h1.receiver_id AND h2.receiver_id = h1.sender_id
+                   AND h2.s > h1.s AND h2.s <= h1.s + 604800""",
+    H_CTE,
+)
+ORACLE["round_trips_3"] = W(
+    """
+SELECT h1.sender_id AS origin_id, h1.receiver_id AS via_1, h2.receiver_id AS via_2,
+       h1.transaction_id AS txn_1, h2.transaction_id AS txn_2, h3.transaction_id AS txn_3,
+       h1.amount_cents / 100.0::DOUBLE AS first_amount_usd, h3.amount_cents / 100.0::DOUBLE AS last_amount_usd,
+       (h3.s - h1.s) / 3600.0::DOUBLE AS span_hours
+FROM h h1
+JOIN h h2 ON h2.sender_id = h1.receiver_id AND h2.s > h1.s AND h2.s <= h1.s + 604800
+         AND h2.receiver_id NOT IN (h1.sender_id, h1.receiver_id)
+JOIN h h3 ON h3.sender_id = h2.receiver_id AND h3.receiver_id = h1.sender_id
+         AND h3.s > h2.s AND h3.s <= h2.s + 604800""",
+    H_CTE,
+)
+ORACLE["rapid_movement"] = W(
+    """
+SELECT c.account_id, c.in_txn, MIN(o.transaction_id) AS out_txn, (c.os - c.s) / 3600.0::DOUBLE AS delay_hours
+FROM (
+    SELECT i.receiver_id AS account_id, i.transaction_id AS in_txn, i.s, MIN(o.s) AS os
+    FROM ev i JOIN ev o ON o.sender_id = i.receiver_id AND o.s > i.s AND o.s <= i.s + 86400
+    GROUP BY 1, 2, 3
+) c JOIN ev o ON o.sender_id = c.account_id AND o.s = c.os
+GROUP BY c.account_id, c.in_txn, c.os, c.s""",
+    """
+ev AS (SELECT transaction_id, sender_id, receiver_id, CAST(epoch("timestamp") AS BIGINT) AS s FROM transactions)""",
+)
+ORACLE["tbml_pairs"] = W(
+    f"""
+SELECT sender_id, receiver_id, COUNT(*) AS payment_count, {SUM_USD} AS total_usd,
+       round(MIN(gap), 6) AS min_gap_days, round(MAX(gap), 6) AS max_gap_days,
+       bool_and(COALESCE(gap >= 1 AND gap <= 14, TRUE)) AS gaps_in_range
+FROM (
+    SELECT *, (s - lag(s) OVER (PARTITION BY sender_id, receiver_id ORDER BY s, transaction_id)) / 86400.0::DOUBLE AS gap
+    FROM (SELECT *, CAST(epoch("timestamp") AS BIGINT) AS s FROM transactions
+          WHERE transaction_type = 'TRADE_PAYMENT' AND amount_cents >= 1000000)
+) GROUP BY 1, 2 HAVING COUNT(*) >= 2"""
+)
+ORACLE["fan_out"] = W(f"""
+SELECT sender_id, CAST("timestamp" AS DATE) AS date, COUNT(DISTINCT receiver_id) AS distinct_receivers,
+       COUNT(*) AS txn_count, {SUM_USD} AS total_usd
+FROM transactions GROUP BY 1, 2 HAVING COUNT(DISTINCT receiver_id) >= 5""")
+ORACLE["fan_in"] = W(f"""
+SELECT receiver_id, CAST("timestamp" AS DATE) AS date, COUNT(DISTINCT sender_id) AS distinct_senders,
+       COUNT(*) AS txn_count, {SUM_USD} AS total_usd
+FROM transactions GROUP BY 1, 2 HAVING COUNT(DISTINCT sender_id) >= 5""")
+ORACLE["near_threshold"] = W(f"""
+SELECT sender_id, near_count, txn_count, {R('near_count', 'txn_count')} AS near_share
+FROM (SELECT sender_id, COUNT(*) FILTER (WHERE amount_cents BETWEEN 950100 AND 999000) AS near_count,
+             COUNT(*) AS txn_count FROM transactions GROUP BY 1)
+WHERE near_count > 0""")
+ORACLE["rule_risk_score"] = W(
+    f"""
+SELECT c.customer_id, c.jurisdiction_risk,
+       {HU('''least(1.0::DOUBLE, COALESCE(CASE c.jurisdiction_risk WHEN 'low' THEN 0.1 WHEN 'medium' THEN 0.4
+                                        WHEN 'high' THEN 0.7 END, 0.4)::DOUBLE * 0.5::DOUBLE
+                     + 0.5::DOUBLE * (COALESCE(b.st, 0) / greatest(COALESCE(b.n, 0), 1))
+                     + 0.5::DOUBLE * (COALESCE(b.nt, 0) / greatest(COALESCE(b.n, 0), 1)))''', 6)} AS rule_risk_score
+FROM customers c LEFT JOIN (
+    SELECT sender_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE structuring_flag) AS st,
+           COUNT(*) FILTER (WHERE amount_cents BETWEEN 950100 AND 999000) AS nt
+    FROM transactions GROUP BY 1
+) b ON c.customer_id = b.sender_id"""
+)

@@ -173,3 +173,15 @@ register("whatif_threshold")(lambda s, d: CA.whatif_threshold(_scores(s, d)))
 register("whatif_sweep")(lambda s, d: CA.whatif_sweep(_scores(s, d)))
 register("whatif_rule")(lambda s, d: CA.whatif_rule(tx(s, d), "Flag all cash deposits near $10K (structuring)", 0.15, 35.0))
 register("whatif_rules_table")(lambda s, d: CA.whatif_rules_table(tx(s, d)))
+
+from ledgerscope.operators import detectors as DT  # noqa: E402
+
+register("smurfing_windows")(lambda s, d: DT.smurfing_windows(tx(s, d)))
+register("round_trips_2")(lambda s, d: DT.round_trips(tx(s, d), depth=2))
+register("round_trips_3")(lambda s, d: DT.round_trips(tx(s, d), depth=3))
+register("rapid_movement")(lambda s, d: DT.rapid_movement(tx(s, d)))
+register("tbml_pairs")(lambda s, d: DT.tbml_pairs(tx(s, d)))
+register("fan_out")(lambda s, d: DT.fan_out(tx(s, d)))
+register("fan_in")(lambda s, d: DT.fan_in(tx(s, d)))
+register("near_threshold")(lambda s, d: DT.near_threshold(tx(s, d)))
+register("rule_risk_score")(lambda s, d: DT.rule_risk_score(tx(s, d), cu(s, d)))
