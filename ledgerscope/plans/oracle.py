@@ -842,3 +842,128 @@ FROM customers c LEFT JOIN (
     FROM transactions GROUP BY 1
 ) b ON c.customer_id = b.sender_id"""
 )
+
+# --- graph --------------------------------------------------------------------------
+G_CTES = """
+ge AS (
+    SELECT sender_id AS src, receiver_id AS dst, COUNT(*) AS weight, SUM(amount_cents) / 100.0::DOUBLE AS amount_usd,
+           first(transaction_type ORDER BY "timestamp", transaction_id) AS transaction_type
+    FROM transactions GROUP BY 1, 2
+),
+gn AS (
+    SELECT node, first(is_suspicious ORDER BY "timestamp", transaction_id) AS is_suspicious
+    FROM (SELECT sender_id AS node, "timestamp", transaction_id, is_suspicious FROM transactions
+          UNION ALL SELECT receiver_id, "timestamp", transaction_id, is_suspicious FROM transactions)
+    GROUP BY node
+),
+pairs AS (
+    SELECT least(src, dst) AS u, greatest(src, dst) AS v, SUM(weight) AS weight FROM ge WHERE src != dst GROUP BY 1, 2
+),
+adj AS (SELECT u AS a, v AS b FROM pairs UNION ALL SELECT v, u FROM pairs)"""
+
+CC_CTES = G_CTES + """,
+reach(node, lab) AS (
+    SELECT node, node FROM gn
+    UNION SELECT adj.b, reach.lab FROM reach JOIN adj ON adj.a = reach.node
+),
+cc AS (SELECT node, MIN(lab) AS component FROM reach GROUP BY node)"""
+
+ORACLE["graph_edges"] = W("SELECT * FROM ge", G_CTES)
+ORACLE["graph_nodes"] = W("SELECT * FROM gn", G_CTES)
+ORACLE["connected_components"] = W("SELECT * FROM cc", CC_CTES, recursive=True)
+ORACLE["strong_components"] = W(
+    """
+SELECT gn.node, least(gn.node, COALESCE(MIN(r1.s), gn.node)) AS component
+FROM gn LEFT JOIN dreach r1 ON r1.t = gn.node
+        AND EXISTS (SELECT 1 FROM dreach r2 WHERE r2.s = gn.node AND r2.t = r1.s)
+GROUP BY gn.node""",
+    G_CTES
+    + """,
+de AS (SELECT DISTINCT src, dst FROM ge WHERE src != dst),
+dreach(s, t) AS (SELECT src, dst FROM de UNION SELECT dreach.s, de.dst FROM dreach JOIN de ON de.src = dreach.t)""",
+    recursive=True,
+)
+TRI_CTES = G_CTES + """,
+deg AS (SELECT a AS node, COUNT(*) AS d FROM adj GROUP BY 1),
+tri AS (
+    SELECT p1.u AS a, p1.v AS b, p2.v AS c FROM pairs p1
+    JOIN pairs p2 ON p1.u = p2.u AND p1.v < p2.v
+    JOIN pairs p3 ON p3.u = p1.v AND p3.v = p2.v
+),
+per AS (SELECT node, COUNT(*) AS t FROM (SELECT a AS node FROM tri UNION ALL SELECT b FROM tri UNION ALL SELECT c FROM tri) GROUP BY 1),
+clus AS (
+    SELECT deg.node, deg.d AS degree, COALESCE(per.t, 0) AS triangles,
+           CASE WHEN deg.d >= 2 THEN round(2.0::DOUBLE * COALESCE(per.t, 0) / (deg.d * (deg.d - 1)), 6) ELSE 0.0 END
+               AS clustering
+    FROM deg LEFT JOIN per ON deg.node = per.node
+)"""
+ORACLE["graph_clustering"] = W("SELECT * FROM clus", TRI_CTES)
+ORACLE["graph_stats"] = W(
+    """
+SELECT (SELECT COUNT(*) FROM gn) AS num_nodes, (SELECT COUNT(*) FROM ge) AS num_edges,
+       round((SELECT COUNT(*) FROM ge) / ((SELECT COUNT(*) FROM gn) * ((SELECT COUNT(*) FROM gn) - 1)), 9) AS density,
+       round(COALESCE((SELECT SUM(clustering) FROM clus), 0.0) / (SELECT COUNT(*) FROM gn), 6) AS avg_clustering,
+       (SELECT COUNT(*) FILTER (WHERE gnn_risk_score > 0.5) FROM risk WHERE customer_id IN (SELECT node FROM gn))
+           AS high_risk_nodes""",
+    TRI_CTES + "," + RISK_CTES,
+)
+ORACLE["ego_subgraph"] = W(
+    """
+SELECT h.node, h.hop, COALESCE(dg.degree, 0) AS degree
+FROM (SELECT * FROM h0 UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2) h
+LEFT JOIN dg ON h.node = dg.node
+ORDER BY degree DESC, h.node LIMIT 150""",
+    G_CTES
+    + """,
+allnodes AS (SELECT src AS node FROM ge UNION SELECT dst FROM ge),
+h0 AS (SELECT node, 0 AS hop FROM allnodes WHERE node = 'CUST_000025'),
+h1 AS (SELECT DISTINCT b AS node, 1 AS hop FROM adj WHERE a IN (SELECT node FROM h0) AND b NOT IN (SELECT node FROM h0)),
+h2 AS (SELECT DISTINCT b AS node, 2 AS hop FROM adj WHERE a IN (SELECT node FROM h1)
+       AND b NOT IN (SELECT node FROM h0 UNION SELECT node FROM h1)),
+dg AS (
+    SELECT node, CAST(SUM(k) AS BIGINT) AS degree FROM (
+        SELECT src AS node, COUNT(*) AS k FROM ge GROUP BY 1 UNION ALL SELECT dst, COUNT(*) FROM ge GROUP BY 1
+    ) GROUP BY node
+)""",
+)
+
+NODE_SCALED_CTES = NODE_CTES + ",\nscaled AS (SELECT customer_id, " + ", ".join(
+    f"({c} - (SELECT AVG({c}) FROM nodes)) / (SELECT CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL "
+    f"THEN 1.0 ELSE STDDEV_POP({c}) END FROM nodes) AS {c}"
+    for c in NODE_COLS
+) + " FROM nodes)"
+
+
+def _prop_round(src: str, dst: str) -> str:
+    sums = ", ".join(f"SUM(x.{c}) AS s_{c}" for c in NODE_COLS)
+    outs = ", ".join(
+        f"(n.{c} + COALESCE(m.s_{c}, 0.0)) / (greatest(COALESCE(m.k, 0), 1) + 1) AS {c}" for c in NODE_COLS
+    )
+    return f"""
+{dst} AS (
+    SELECT n.customer_id, {outs}
+    FROM {src} n LEFT JOIN (
+        SELECT t.receiver_id AS node, COUNT(*) AS k, {sums}
+        FROM transactions t JOIN {src} x ON t.sender_id = x.customer_id GROUP BY 1
+    ) m ON n.customer_id = m.node
+)"""
+
+
+ORACLE["propagated_features"] = W(
+    "SELECT customer_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in NODE_COLS) + " FROM p2",
+    NODE_SCALED_CTES + "," + _prop_round("scaled", "p1") + "," + _prop_round("p1", "p2"),
+)
+ORACLE["modularity"] = W(
+    """
+SELECT round(SUM(q), 6) AS modularity, COUNT(*) AS communities FROM (
+    SELECT COALESCE(l.L, 0) / (SELECT SUM(weight) FROM pairs)
+           - pow(COALESCE(dd.D, 0) / (2.0::DOUBLE * (SELECT SUM(weight) FROM pairs)), 2) AS q
+    FROM (SELECT cu.component AS c, SUM(CASE WHEN cu.component = cv.component THEN p.weight ELSE 0 END) AS L
+          FROM pairs p JOIN cc cu ON p.u = cu.node JOIN cc cv ON p.v = cv.node GROUP BY 1) l
+    FULL JOIN (SELECT cc.component AS c, SUM(weight) AS D
+               FROM (SELECT u AS node, weight FROM pairs UNION ALL SELECT v, weight FROM pairs) b
+               JOIN cc ON b.node = cc.node GROUP BY 1) dd ON l.c = dd.c
+)""",
+    CC_CTES,
+    recursive=True,
+)

@@ -70,9 +70,9 @@ customers AS (
 """
 
 
-def with_ledger(body: str, ctes: str = "") -> str:
+def with_ledger(body: str, ctes: str = "", recursive: bool = False) -> str:
     """Prefix an oracle query with the ledger CTEs (and its own CTEs)."""
-    head = "WITH " + LEDGER_CTES.strip()
+    head = ("WITH RECURSIVE " if recursive else "WITH ") + LEDGER_CTES.strip()
     if ctes.strip():
         head += ",\n" + ctes.strip()
     return head + "\n" + body.strip()
