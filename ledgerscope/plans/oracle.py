@@ -967,3 +967,134 @@ SELECT round(SUM(q), 6) AS modularity, COUNT(*) AS communities FROM (
     CC_CTES,
     recursive=True,
 )
+
+# --- SAR reports ---------------------------------------------------------------------
+from ledgerscope.functions import constants as _K  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+SAR_CTES = SCORE_CTES + "," + RISK_CTES + f""",
+sus AS (
+    SELECT c.*, COALESCE(r.gnn_risk_score, c.risk_score) AS gnn_risk_score, COALESCE(a.vae_score, 0.0) AS vae_score,
+           0.5::DOUBLE * c.risk_score + 0.5::DOUBLE * COALESCE(r.gnn_risk_score, c.risk_score) AS combined_score
+    FROM customers c LEFT JOIN risk r ON c.customer_id = r.customer_id
+                     LEFT JOIN alerts a ON c.customer_id = a.customer_id
+    ORDER BY combined_score DESC, c.customer_id LIMIT 200
+),
+prof AS (
+    SELECT sender_id AS pid, {SUM_USD} AS total_amount, COUNT(*) AS txn_count,
+           MIN("timestamp") AS min_date, MAX("timestamp") AS max_date,
+           bool_or(structuring_flag) AS structuring, bool_or(is_suspicious) AS xb,
+           COALESCE(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE label != 'normal'))), ', '), '')
+               AS typologies
+    FROM transactions WHERE sender_id IN (SELECT customer_id FROM sus) GROUP BY 1
+),
+gen AS (SELECT MAX("timestamp") AS g FROM transactions),
+sb0 AS (
+    SELECT 'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 8)) AS sar_id,
+           strftime(gen.g, '%Y-%m-%dT%H:%M:%S') || 'Z' AS generated_at,
+           CASE WHEN s.combined_score > 0.85 THEN 'CRITICAL' WHEN s.combined_score > 0.65 THEN 'HIGH' ELSE 'MEDIUM' END
+               AS priority,
+           'template' AS llm_used, 'DRAFT' AS status,
+           s.customer_id, s.account_type, s.country, s.risk_score, s.gnn_risk_score, s.vae_score, s.combined_score,
+           COALESCE(p.typologies, '') AS typologies,
+           COALESCE(p.total_amount, 0.0) AS total_flagged_amount_usd,
+           COALESCE(p.txn_count, 0) AS flagged_transaction_count,
+           COALESCE(strftime(p.min_date, '%Y-%m-%d'), 'N/A') AS date_range_start,
+           COALESCE(strftime(p.max_date, '%Y-%m-%d'), 'N/A') AS date_range_end,
+           COALESCE(p.structuring, FALSE) AS structuring_detected, COALESCE(p.xb, FALSE) AS cross_border
+    FROM sus s CROSS JOIN gen LEFT JOIN prof p ON s.customer_id = p.pid
+),
+sb AS (
+    SELECT *, printf({_q(_K.LONG_NARRATIVE_TEMPLATE)}, customer_id, flagged_transaction_count,
+                     format('{{:,.2f}}', total_flagged_amount_usd),
+                     CASE WHEN typologies = '' THEN {_q(_K.LONG_NARRATIVE_NO_TYPES)} ELSE typologies END,
+                     {FMT('vae_score', 4)}, {FMT('gnn_risk_score', 4)}, 'Typologies: ' || typologies) AS narrative
+    FROM sb0
+),
+ssum AS (
+    SELECT sar_id, customer_id, priority, llm_used, total_flagged_amount_usd,
+           flagged_transaction_count AS flagged_txn_count, gnn_risk_score, vae_score, typologies, status, generated_at
+    FROM sb
+)"""
+
+ORACLE["top_suspects"] = W(
+    "SELECT customer_id, name, country, jurisdiction_risk, account_type, onboard_date, risk_score, is_suspicious, "
+    "annual_income_usd, pep, gnn_risk_score, vae_score, combined_score FROM sus",
+    SAR_CTES,
+)
+ORACLE["sar_summary"] = W("SELECT * FROM ssum", SAR_CTES)
+ORACLE["sar_narratives"] = W("SELECT sar_id, customer_id, llm_used, substr(narrative, 1, 500) AS narrative FROM sb", SAR_CTES)
+ORACLE["sar_narratives_short"] = W(
+    f"""
+SELECT sar_id,
+       'The filer reports suspicious activity by customer ' || customer_id || ' (' || account_type || ', ' || country || '). '
+       || 'During ' || date_range_start || ' to ' || date_range_end || ', the subject executed '
+       || CAST(flagged_transaction_count AS VARCHAR) || ' transactions totalling USD '
+       || format('{{:,.2f}}', total_flagged_amount_usd) || '. '
+       || 'Detected typologies: ' || CASE WHEN typologies = '' THEN {_q(_K.SHORT_NARRATIVE_NO_TYPES)} ELSE typologies END || '. '
+       || CASE WHEN structuring_detected THEN {_q(_K.SHORT_NARRATIVE_STRUCTURING)} ELSE '' END
+       || CASE WHEN cross_border THEN {_q(_K.SHORT_NARRATIVE_CROSS_BORDER)} ELSE '' END
+       || 'AI anomaly score: ' || {FMT('vae_score', 4)} || ' (VAE), '
+       || 'Graph risk score: ' || {FMT('gnn_risk_score', 4)} || ' (GNN), '
+       || 'Customer risk rating: ' || {FMT('risk_score', 4)} || '. '
+       || 'Filing made under 31 U.S.C. § 5318(g).' AS narrative
+FROM sb""",
+    SAR_CTES,
+)
+ORACLE["sar_filtered"] = W("SELECT * FROM ssum WHERE priority IN ('CRITICAL', 'HIGH')", SAR_CTES)
+ORACLE["sar_lookup"] = W(
+    """
+SELECT sar_id, priority, customer_id, printf('[%-8s] %s  —  %s', priority, sar_id, customer_id) AS label,
+       total_flagged_amount_usd
+FROM sb ORDER BY CASE priority WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 ELSE 2 END, sar_id LIMIT 1""",
+    SAR_CTES,
+)
+ORACLE["sar_kpis"] = W(
+    """
+SELECT COUNT(*) AS total_sars, COUNT(*) FILTER (WHERE priority = 'CRITICAL') AS critical,
+       COUNT(*) FILTER (WHERE priority = 'HIGH') AS high, mode(llm_used) AS llm_engine
+FROM ssum""",
+    SAR_CTES,
+)
+ORACLE["engine_usage"] = W("SELECT llm_used AS engine, COUNT(*) AS reports FROM ssum GROUP BY 1", SAR_CTES)
+ORACLE["command_center_kpis"] = W(
+    f"""
+SELECT COUNT(*) AS total_transactions, COUNT(*) FILTER (WHERE is_suspicious) AS alerts_triggered,
+       {R('COUNT(*) FILTER (WHERE is_suspicious) * 100', 'COUNT(*)', 2)} AS flag_rate_pct,
+       {SUM_USD} AS total_volume_usd,
+       SUM(CASE WHEN is_suspicious THEN amount_cents ELSE 0 END) / 100.0::DOUBLE AS flagged_volume_usd,
+       (SELECT COUNT(*) FROM ssum) AS total_sars,
+       (SELECT COUNT(*) FILTER (WHERE priority = 'CRITICAL') FROM ssum) AS critical_sars
+FROM transactions""",
+    SAR_CTES,
+)
+
+# --- sampling -------------------------------------------------------------------------
+ORACLE["sample_scatter"] = W("""
+SELECT transaction_id, sender_id, receiver_id, amount_usd FROM transactions
+ORDER BY md5(transaction_id || ':42') LIMIT 500""")
+ORACLE["balanced_sample"] = W("""
+SELECT * FROM (SELECT transaction_id, is_suspicious, amount_usd FROM transactions WHERE is_suspicious
+               ORDER BY md5(transaction_id || ':42') LIMIT 200)
+UNION ALL
+SELECT * FROM (SELECT transaction_id, is_suspicious, amount_usd FROM transactions WHERE NOT is_suspicious
+               ORDER BY md5(transaction_id || ':42') LIMIT 200)""")
+ORACLE["stratified_split"] = W("""
+SELECT transaction_id, is_suspicious,
+       CASE WHEN row_number() OVER (PARTITION BY is_suspicious ORDER BY md5(transaction_id || ':42'))
+                 <= ceil(COUNT(*) OVER (PARTITION BY is_suspicious) * 0.15::DOUBLE) THEN 'test' ELSE 'train' END AS split
+FROM transactions""")
+ORACLE["stratified_split_3way"] = W("""
+SELECT transaction_id, is_suspicious,
+       CASE WHEN rk <= nt THEN 'test' WHEN rk <= nt + ceil((n - nt) * 0.15::DOUBLE) THEN 'val' ELSE 'train' END AS split
+FROM (
+    SELECT transaction_id, is_suspicious,
+           row_number() OVER (PARTITION BY is_suspicious ORDER BY md5(transaction_id || ':42')) AS rk,
+           COUNT(*) OVER (PARTITION BY is_suspicious) AS n,
+           ceil(COUNT(*) OVER (PARTITION BY is_suspicious) * 0.2::DOUBLE) AS nt
+    FROM transactions
+)""")

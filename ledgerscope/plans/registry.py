@@ -211,3 +211,33 @@ register("modularity")(
     lambda s, d: (lambda e, n: GR.modularity(e, GR.connected_components(e, n), "component"))(*_g(s, d))
 )
 register("community_modularity")(lambda s, d: (lambda e, n: GR.modularity(e, GR.label_propagation(e, n)))(*_g(s, d)))
+
+from ledgerscope.operators import sampling as SA  # noqa: E402
+from ledgerscope.operators import sar as SR  # noqa: E402
+
+
+def _suspects(s, d):
+    return SR.top_suspects(cu(s, d), _risk(s, d), SCO.customer_alerts(_scores(s, d)))
+
+
+def _sar_base(s, d):
+    return SR.sar_base(tx(s, d), _suspects(s, d))
+
+
+register("top_suspects")(_suspects)
+register("sar_summary")(lambda s, d: SR.sar_summary(_sar_base(s, d)))
+register("sar_narratives")(lambda s, d: SR.sar_narratives(_sar_base(s, d)))
+register("sar_narratives_short")(lambda s, d: SR.sar_narratives_short(_sar_base(s, d)))
+register("sar_filtered")(lambda s, d: SR.sar_filtered(SR.sar_summary(_sar_base(s, d))))
+register("sar_lookup")(lambda s, d: SR.sar_lookup(SR.sar_reports(_sar_base(s, d))))
+register("sar_kpis")(lambda s, d: SR.sar_kpis(SR.sar_summary(_sar_base(s, d))))
+register("engine_usage")(lambda s, d: SR.engine_usage(SR.sar_summary(_sar_base(s, d))))
+register("command_center_kpis")(lambda s, d: SR.command_center_kpis(tx(s, d), SR.sar_summary(_sar_base(s, d))))
+register("sample_scatter")(lambda s, d: SA.sample_n(tx(s, d), 500).select("transaction_id", "sender_id", "receiver_id", "amount_usd"))
+register("balanced_sample")(
+    lambda s, d: SA.balanced_sample(tx(s, d), "is_suspicious", {True: 200, False: 200}).select(
+        "transaction_id", "is_suspicious", "amount_usd"
+    )
+)
+register("stratified_split")(lambda s, d: SA.stratified_split(tx(s, d)))
+register("stratified_split_3way")(lambda s, d: SA.stratified_split_3way(tx(s, d)))
