@@ -1098,3 +1098,73 @@ FROM (
            ceil(COUNT(*) OVER (PARTITION BY is_suspicious) * 0.2::DOUBLE) AS nt
     FROM transactions
 )""")
+
+# --- sources, sinks, validation, edges, correlation, graph view -----------------------
+_REQ_COLS = ("transaction_id, \"timestamp\", sender_id, receiver_id, amount_usd, transaction_type, country_origin, "
+             "country_dest, structuring_flag, round_amount, rapid_movement")
+ORACLE["roundtrip_parquet"] = W("SELECT * FROM transactions")
+ORACLE["roundtrip_csv"] = W("SELECT * FROM transactions")
+ORACLE["score_json_batch"] = W(f"SELECT {_REQ_COLS} FROM transactions")
+ORACLE["parse_records"] = W(f"SELECT {_REQ_COLS} FROM transactions")
+ORACLE["validate_valid"] = W(f"""
+SELECT {_REQ_COLS} FROM transactions
+WHERE transaction_id IS NOT NULL AND sender_id IS NOT NULL AND receiver_id IS NOT NULL
+  AND amount_usd IS NOT NULL AND amount_usd > 0""")
+ORACLE["validate_quarantine"] = W("""
+SELECT transaction_id, broken_rules FROM (
+    SELECT transaction_id, concat_ws('; ',
+        CASE WHEN transaction_id IS NULL THEN 'transaction_id is required' END,
+        CASE WHEN sender_id IS NULL THEN 'sender_id is required' END,
+        CASE WHEN receiver_id IS NULL THEN 'receiver_id is required' END,
+        CASE WHEN amount_usd IS NULL THEN 'amount_usd is required' END,
+        CASE WHEN amount_usd <= 0 THEN 'amount_usd must be > 0' END) AS broken_rules
+    FROM transactions
+) WHERE broken_rules != ''""")
+ORACLE["valid_edges"] = W(
+    """
+SELECT src, dst, weight FROM ge
+WHERE src IN (SELECT customer_id FROM customers) AND dst IN (SELECT customer_id FROM customers)""",
+    G_CTES,
+)
+ORACLE["orphan_edges"] = W(
+    """
+SELECT DISTINCT src, dst, weight FROM ge
+WHERE src NOT IN (SELECT customer_id FROM customers) OR dst NOT IN (SELECT customer_id FROM customers)""",
+    G_CTES,
+)
+_FC = ["amount_usd", "log_amount", "hour_of_day", "day_of_week", "is_cross_border", "round_amount",
+       "rapid_movement", "structuring_flag", "amount_z_score_sender", "is_suspicious"]
+ORACLE["feature_correlation"] = W(
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, "
+        f"CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE round(corr({a}, {b}), 6) END AS correlation FROM fx"
+        for i, a in enumerate(_FC)
+        for b in _FC[:i]
+    ),
+    ZS_CTES
+    + """,
+fx AS (
+    SELECT amount_usd, ln(1 + amount_usd) AS log_amount, hour("timestamp") / 23.0::DOUBLE AS hour_of_day,
+           (isodow("timestamp") - 1) / 6.0::DOUBLE AS day_of_week,
+           CAST(COALESCE(country_origin != country_dest, TRUE) AS DOUBLE) AS is_cross_border,
+           CAST(round_amount AS DOUBLE) AS round_amount, CAST(rapid_movement AS DOUBLE) AS rapid_movement,
+           CAST(structuring_flag AS DOUBLE) AS structuring_flag, amount_z_score_sender,
+           CAST(is_suspicious AS DOUBLE) AS is_suspicious
+    FROM tz
+)""",
+)
+ORACLE["graph_view_nodes"] = W(
+    """
+SELECT d.node, d.degree, round(15.0::DOUBLE + 180 * d.degree / (SELECT MAX(degree) FROM dd), 6) AS node_size,
+       COALESCE(r.gnn_risk_score, 0.15) AS colour_score
+FROM dd d LEFT JOIN risk r ON d.node = r.customer_id""",
+    RISK_CTES
+    + """,
+se AS (SELECT DISTINCT sender_id AS src, receiver_id AS dst FROM
+       (SELECT * FROM transactions ORDER BY md5(transaction_id || ':42') LIMIT 1500)),
+dd AS (
+    SELECT node, CAST(SUM(k) AS BIGINT) AS degree FROM (
+        SELECT src AS node, COUNT(*) AS k FROM se GROUP BY 1 UNION ALL SELECT dst, COUNT(*) FROM se GROUP BY 1
+    ) GROUP BY node
+)""",
+)

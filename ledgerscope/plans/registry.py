@@ -241,3 +241,89 @@ register("balanced_sample")(
 )
 register("stratified_split")(lambda s, d: SA.stratified_split(tx(s, d)))
 register("stratified_split_3way")(lambda s, d: SA.stratified_split_3way(tx(s, d)))
+
+from ledgerscope.operators import io_jobs as IO  # noqa: E402
+from ledgerscope.sources import validate as VA  # noqa: E402
+
+RAW_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+def _records(s, d):
+    return VA.parse_records(VA.to_records(tx(s, d)))
+
+
+def feature_correlation(df, cols):
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
+    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    stacked = one.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs])
+        ).alias("x")
+    ).select("x.*")
+    return stacked.select("feature_1", "feature_2", F.when(~F.isnan("r"), F.round("r", 6)).alias("correlation"))
+
+
+def graph_view_nodes(txns, risk, n_edges=1500):
+    smp = SA.sample_n(txns, n_edges)
+    e = smp.select(F.col("sender_id").alias("src"), F.col("receiver_id").alias("dst")).distinct()
+    deg = GR.degrees(e.withColumn("weight", F.lit(1)))
+    mx = deg.select(F.max("degree")).scalar()
+    r = risk.select(F.col("customer_id").alias("node"), "gnn_risk_score")
+    return deg.join(r, "node", "left").select(
+        "node", "degree",
+        F.round(F.lit(15.0) + F.lit(180) * F.col("degree") / mx, 6).alias("node_size"),
+        F.coalesce("gnn_risk_score", F.lit(0.15)).alias("colour_score"),
+    )
+
+
+def high_risk_clusters(flagged, risk, txns, min_risk=0.6):
+    inv = PR.involved_customers(flagged)
+    hr = inv.join(risk.filter(F.col("gnn_risk_score") > min_risk).select("customer_id"), "customer_id", "left_semi")
+    e = GR.graph_edges(txns)
+    sub = GR.ego_edges(e, hr.withColumnRenamed("customer_id", "node"))
+    cc = GR.connected_components(sub, hr.withColumnRenamed("customer_id", "node"))
+    sizes = cc.groupBy("component").agg(F.count(F.lit(1)).alias("cluster_size"))
+    return cc.join(sizes, "component").withColumnRenamed("component", "cluster_id")
+
+
+register("roundtrip_parquet")(lambda s, d: IO.roundtrip_parquet(tx(s, d)))
+register("roundtrip_csv")(lambda s, d: IO.roundtrip_csv(tx(s, d)))
+register("score_json_batch")(lambda s, d: IO.roundtrip_json_records(tx(s, d)))
+register("parse_records")(_records)
+register("validate_valid")(lambda s, d: VA.validate_valid(_records(s, d)))
+register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_records(s, d)))
+register("sar_reports_json")(lambda s, d: IO.sar_reports_roundtrip(SR.sar_reports(_sar_base(s, d))))
+register("dataset_manifest")(lambda s, d: IO.dataset_manifest(s, d, RAW_TABLES))
+register("evaluation_report")(
+    lambda s, d: IO.evaluation_report(EV.classification_metrics(_eval(s, d)), "zscore-standin", "2024-01-01T00:00:00Z")
+)
+register("detector_metadata")(
+    lambda s, d: IO.detector_metadata(SCO.anomaly_threshold(_scores(s, d)), EV.confusion_matrix(_eval(s, d)))
+)
+register("valid_edges")(
+    lambda s, d: GR.ego_edges(GR.graph_edges(tx(s, d)), cu(s, d).select(F.col("customer_id").alias("node"))).select(
+        "src", "dst", "weight"
+    )
+)
+register("orphan_edges")(
+    lambda s, d: GR.graph_edges(tx(s, d))
+    .join(cu(s, d).select(F.col("customer_id").alias("src")), "src", "left_anti")
+    .unionByName(GR.graph_edges(tx(s, d)).join(cu(s, d).select(F.col("customer_id").alias("dst")), "dst", "left_anti"))
+    .select("src", "dst", "weight")
+    .distinct()
+)
+register("feature_correlation")(
+    lambda s, d: feature_correlation(
+        FE.transaction_features(tx(s, d), keep=["is_suspicious"]).withColumn("is_suspicious", F.col("is_suspicious").cast("double")),
+        list(FE.TRANSACTION_FEATURES) + ["is_suspicious"],
+    )
+)
+register("graph_view_nodes")(lambda s, d: graph_view_nodes(tx(s, d), _risk(s, d)))
+register("high_risk_clusters")(lambda s, d: high_risk_clusters(_flagged(s, d), _risk(s, d), tx(s, d)))
+register("preset_manifest")(
+    lambda s, d: IO.preset_manifest(
+        s, d, {k: REGISTRY[k] for k in ["transaction_summary", "top_suspicious_customers", "daily_alert_trend",
+                                        "typology_breakdown", "cross_border_corridors", "structuring_alerts",
+                                        "hourly_velocity", "high_risk_network", "anomaly_flagged_customers"]}
+    )
+)
