@@ -327,3 +327,32 @@ register("preset_manifest")(
                                         "hourly_velocity", "high_risk_network", "anomaly_flagged_customers"]}
     )
 )
+
+from ledgerscope.operators import learning as LE  # noqa: E402
+
+
+def _scaled(s, d):
+    fr = LE.training_frame(tx(s, d))
+    return fr, LE.fit_scaler(fr)
+
+
+register("scaled_features")(lambda s, d: (lambda fr, m: round_doubles(LE.scaled_features(fr, m)))(*_scaled(s, d)))
+register("unscaled_features")(
+    lambda s, d: (lambda fr, m: round_doubles(LE.unscaled_features(LE.scaled_features(fr, m), m)))(*_scaled(s, d))
+)
+register("pca_anomaly_scores")(lambda s, d: LE.anomaly_scores(tx(s, d)))
+register("real_vs_permuted_scores")(lambda s, d: LE.real_vs_permuted_scores(tx(s, d)))
+register("anomaly_attribution")(lambda s, d: LE.anomaly_attribution(tx(s, d)))
+register("feature_importance")(lambda s, d: LE.feature_importance(LE.anomaly_attribution(tx(s, d))))
+register("minority_oversample")(lambda s, d: LE.minority_oversample(tx(s, d)))
+register("projection_2d")(lambda s, d: LE.projection_2d(tx(s, d)))
+register("background_centres")(lambda s, d: LE.background_centres(tx(s, d)))
+def _risk_model(s, d):
+    from ledgerscope.session import cut_lineage
+
+    x = cut_lineage(FE.node_features_scaled(tx(s, d), cu(s, d)))
+    return LE.customer_risk_model(x, GR.propagate_features(x, tx(s, d)), cu(s, d))
+
+
+register("customer_risk_model")(_risk_model)
+register("dr_effect")(lambda s, d: LE.dr_effect(tx(s, d)))
