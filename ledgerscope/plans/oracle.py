@@ -1168,3 +1168,40 @@ dd AS (
     ) GROUP BY node
 )""",
 )
+
+# --- streaming (closed windows: end <= max event time - 1 hour) ---------------------
+ORACLE["stream_velocity"] = """
+SELECT user_id, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       COUNT(*) AS event_count, SUM(CAST(round(value * 100) AS BIGINT)) / 100.0::DOUBLE AS total_value
+FROM events GROUP BY user_id, date_trunc('hour', ts)
+HAVING COUNT(*) >= 2 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
+ORACLE["stream_structuring"] = """
+SELECT user_id, ws AS window_start, ws + INTERVAL 24 HOUR AS window_end, COUNT(*) AS event_count
+FROM (SELECT user_id, date_trunc('hour', ts) - k * INTERVAL 1 HOUR AS ws FROM events, range(24) r(k))
+GROUP BY user_id, ws
+HAVING COUNT(*) >= 3 AND ws + INTERVAL 24 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
+ORACLE["stream_sessions"] = """
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end,
+       COUNT(*) AS event_count, SUM(CAST(round(value * 100) AS BIGINT)) / 100.0::DOUBLE AS total_value
+FROM (
+    SELECT *, SUM(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
+    FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
+)
+GROUP BY user_id, sid
+HAVING MAX(ts) + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR"""
+ORACLE["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value, ts FROM events"
+ORACLE["stream_scores"] = """
+SELECT e.event_id, e.user_id, round(z, 6) AS z_score, round(abs(z) / 5.0, 6) AS anomaly_score
+FROM (
+    SELECT e.*, least(greatest(COALESCE((e.value - s.m) / greatest(s.sd, 1e-6), 0.0), -5.0), 5.0) AS z
+    FROM events e LEFT JOIN (SELECT user_id, AVG(value) AS m, STDDEV_SAMP(value) AS sd FROM events GROUP BY 1) s
+      ON e.user_id = s.user_id
+) e"""
+ORACLE["stream_sender_state"] = """
+SELECT user_id, n, CAST((s * 20000 + n) // (2 * n) AS BIGINT) / 1e6::DOUBLE AS mean_value,
+       round(sqrt(greatest((q - n * (s / n) * (s / n)) / (n - 1), 0.0)) / 100.0, 6) AS sd_value
+FROM (SELECT user_id, COUNT(*) AS n, SUM(c) AS s, SUM(CAST(c AS DOUBLE) * c) AS q
+      FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE value IS NOT NULL)
+      GROUP BY user_id)"""
+ORACLE["stream_alert_sink"] = "SELECT event_id, user_id, event_type, value, ts FROM events WHERE value > 0"

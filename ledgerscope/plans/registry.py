@@ -356,3 +356,14 @@ def _risk_model(s, d):
 
 register("customer_risk_model")(_risk_model)
 register("dr_effect")(lambda s, d: LE.dr_effect(tx(s, d)))
+
+from ledgerscope.streaming import jobs as ST  # noqa: E402
+
+register("stream_velocity")(ST.stream_velocity)
+register("stream_structuring")(ST.stream_structuring)
+register("stream_sessions")(ST.stream_sessions)
+register("stream_dedup")(ST.stream_dedup)
+register("stream_scores")(ST.stream_scores)
+register("stream_sender_state")(ST.stream_sender_state)
+register("stream_alert_sink")(ST.stream_alert_sink)
+register("stream_counters")(ST.stream_counters)
