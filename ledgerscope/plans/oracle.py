@@ -1205,3 +1205,67 @@ FROM (SELECT user_id, COUNT(*) AS n, SUM(c) AS s, SUM(CAST(c AS DOUBLE) * c) AS
       FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE value IS NOT NULL)
       GROUP BY user_id)"""
 ORACLE["stream_alert_sink"] = "SELECT event_id, user_id, event_type, value, ts FROM events WHERE value > 0"
+
+# --- remaining surfaces -------------------------------------------------------------
+ORACLE["adhoc_sql"] = W("""
+SELECT c.jurisdiction_risk, t.transaction_type, COUNT(*) AS txn_count, SUM(t.amount_cents) / 100.0::DOUBLE AS total_usd
+FROM transactions t JOIN customers c ON t.sender_id = c.customer_id
+WHERE t.is_suspicious GROUP BY 1, 2""")
+ORACLE["batch_counters"] = W(
+    "SELECT COUNT(*) AS requests, COUNT(*) FILTER (WHERE is_suspicious) AS alerts FROM transactions"
+)
+_TYP = [("smurfing", "smurfing_windows"), ("round_trip_2", "round_trips_2"), ("round_trip_3", "round_trips_3"),
+        ("rapid_movement", "rapid_movement"), ("tbml", "tbml_pairs"), ("fan_out", "fan_out"),
+        ("near_threshold", "near_threshold")]
+ORACLE["typology_alerts"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS typology, (SELECT COUNT(*) FROM ({ORACLE[k]})) AS alerts" for n, k in _TYP
+)
+_EGO = ORACLE["ego_subgraph"]
+ORACLE["ego_edges"] = (
+    _EGO[: _EGO.index("\nSELECT h.node, h.hop")].rstrip()
+    + """,
+ego AS (
+    SELECT h.node FROM (SELECT * FROM h0 UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2) h
+    LEFT JOIN dg ON h.node = dg.node ORDER BY COALESCE(dg.degree, 0) DESC, h.node LIMIT 150
+)
+SELECT src, dst, weight FROM ge WHERE src IN (SELECT node FROM ego) AND dst IN (SELECT node FROM ego)"""
+)
+ORACLE["shuffle_rows"] = W("SELECT transaction_id, amount_usd FROM transactions")
+ORACLE["did_confidence"] = W("SELECT ate, se, ate_lower, ate_upper FROM did", DID_CTES)
+ORACLE["cost_comparison"] = W(
+    """
+SELECT operating_point, tp AS true_positives, fp AS false_positives, fn AS false_negatives,
+       fn * 100000.0::DOUBLE + fp * 500.0::DOUBLE AS total_cost_usd,
+       fn * 100000.0::DOUBLE AS missed_laundering_cost_usd, fp * 500.0::DOUBLE AS false_alert_cost_usd,
+       round((fn * 100000.0::DOUBLE + fp * 500.0::DOUBLE) / greatest(tp, 1), 6) AS cost_per_true_positive_usd
+FROM (
+    SELECT op AS operating_point,
+           COUNT(*) FILTER (WHERE is_suspicious AND combined_score >= t) AS tp,
+           COUNT(*) FILTER (WHERE NOT is_suspicious AND combined_score >= t) AS fp,
+           COUNT(*) FILTER (WHERE is_suspicious AND NOT combined_score >= t) AS fn
+    FROM (SELECT *, 'current' AS op, threshold AS t FROM scores_f
+          UNION ALL SELECT *, 'lowered', threshold * 0.9::DOUBLE FROM scores_f)
+    GROUP BY op
+)""",
+    SCORE_CTES,
+)
+ORACLE["metrics_from_matrix"] = ORACLE["classification_metrics"]
+FX_CTES = ZS_CTES + """,
+fx AS (
+    SELECT transaction_id, amount_usd, ln(1 + amount_usd) AS log_amount, hour("timestamp") / 23.0::DOUBLE AS hour_of_day,
+           (isodow("timestamp") - 1) / 6.0::DOUBLE AS day_of_week,
+           CAST(COALESCE(country_origin != country_dest, TRUE) AS DOUBLE) AS is_cross_border,
+           CAST(round_amount AS DOUBLE) AS round_amount, CAST(rapid_movement AS DOUBLE) AS rapid_movement,
+           CAST(structuring_flag AS DOUBLE) AS structuring_flag, amount_z_score_sender
+    FROM tz
+)"""
+ORACLE["feature_pipeline"] = W(
+    "SELECT transaction_id, "
+    + ", ".join(
+        f"round(({c} - (SELECT AVG({c}) FROM fx)) / (SELECT CASE WHEN STDDEV_POP({c}) = 0 THEN 1.0 "
+        f"ELSE STDDEV_POP({c}) END FROM fx), 6) AS {c}"
+        for c in _FC[:-1]
+    )
+    + " FROM fx",
+    FX_CTES,
+)

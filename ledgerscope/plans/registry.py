@@ -367,3 +367,106 @@ register("stream_scores")(ST.stream_scores)
 register("stream_sender_state")(ST.stream_sender_state)
 register("stream_alert_sink")(ST.stream_alert_sink)
 register("stream_counters")(ST.stream_counters)
+
+from ledgerscope.operators import ml_stages as MS  # noqa: E402
+
+
+def adhoc_sql(s, d, query=None):
+    """Register the ledger views and run a Spark SQL query over them."""
+    from ledgerscope.sources.tables import register_views
+
+    register_views(s, {"transactions": tx(s, d), "customers": cu(s, d)})
+    return s.sql(
+        query
+        or """
+        SELECT c.jurisdiction_risk, t.transaction_type, COUNT(*) AS txn_count,
+               SUM(t.amount_cents) / 100.0D AS total_usd
+        FROM transactions t JOIN customers c ON t.sender_id = c.customer_id
+        WHERE t.is_suspicious
+        GROUP BY c.jurisdiction_risk, t.transaction_type"""
+    )
+
+
+def batch_counters(s, d):
+    """Running counters over a batch via Observation (metrics collected with
+    the action, no second pass)."""
+    from pyspark.sql import Observation
+
+    obs = Observation("counters")
+    t = tx(s, d).observe(obs, F.count(F.lit(1)).alias("requests"), F.count_if("is_suspicious").alias("alerts"))
+    t.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return s.createDataFrame([(int(m["requests"]), int(m["alerts"]))], "requests long, alerts long")
+
+
+def typology_alerts(s, d):
+    t = tx(s, d)
+    parts = [
+        ("smurfing", DT.smurfing_windows(t)),
+        ("round_trip_2", DT.round_trips(t, 2)),
+        ("round_trip_3", DT.round_trips(t, 3)),
+        ("rapid_movement", DT.rapid_movement(t)),
+        ("tbml", DT.tbml_pairs(t)),
+        ("fan_out", DT.fan_out(t)),
+        ("near_threshold", DT.near_threshold(t)),
+    ]
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("alerts")).select(F.lit(name).alias("typology"), "alerts")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def cost_comparison(s, d, ratio=0.9):
+    sc = _scores(s, d)
+    out = None
+    for name, thr in (("current", F.col("threshold")), ("lowered", F.col("threshold") * F.lit(ratio))):
+        ev = sc.select(
+            F.col("is_suspicious").cast("int").alias("y_true"),
+            (F.col("combined_score") >= thr).cast("int").alias("y_pred"),
+        )
+        one = EV.detection_cost(EV.confusion_counts(ev)).select(F.lit(name).alias("operating_point"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def metrics_from_matrix(s, d):
+    """Metrics re-derived from a stored confusion matrix (long form)."""
+    cm = EV.confusion_matrix(_eval(s, d))
+    c = cm.agg(
+        F.sum(F.when((F.col("true_label") == 1) & (F.col("pred_label") == 1), F.col("count")).otherwise(0)).alias("true_positives"),
+        F.sum(F.when((F.col("true_label") == 0) & (F.col("pred_label") == 1), F.col("count")).otherwise(0)).alias("false_positives"),
+        F.sum(F.when((F.col("true_label") == 0) & (F.col("pred_label") == 0), F.col("count")).otherwise(0)).alias("true_negatives"),
+        F.sum(F.when((F.col("true_label") == 1) & (F.col("pred_label") == 0), F.col("count")).otherwise(0)).alias("false_negatives"),
+    )
+    return EV.metrics_from_counts(c)
+
+
+def udf_scores(s, d):
+    """The reconstruction score through the Arrow batch scorer, beside the
+    column-arithmetic score; the two agree."""
+    frame = LE.training_frame(tx(s, d))
+    sc = LE.scaled_features(frame)
+    load = LE.fit_pca_loadings(sc, 4)
+    scorer = MS.batch_scorer(MS.reconstruction_error_model(load), len(FE.TRANSACTION_FEATURES))
+    rec = LE.reconstruction(sc, load)
+    col_score = sum(F.col(f"r_{f}") for f in FE.TRANSACTION_FEATURES)
+    return sc.select("transaction_id", scorer(*[F.col(c) for c in FE.TRANSACTION_FEATURES]).alias("udf_score")).join(
+        rec.select("transaction_id", col_score.alias("column_score")), "transaction_id"
+    )
+
+
+register("adhoc_sql")(adhoc_sql)
+register("batch_counters")(batch_counters)
+register("typology_alerts")(typology_alerts)
+register("ego_edges")(
+    lambda s, d: (lambda e: GR.ego_edges(e, GR.ego_subgraph(e, EGO_CENTER)).select("src", "dst", "weight"))(GR.graph_edges(tx(s, d)))
+)
+register("did_confidence")(lambda s, d: CA.did_effect(tx(s, d)).select("ate", "se", "ate_lower", "ate_upper"))
+register("cost_comparison")(cost_comparison)
+register("metrics_from_matrix")(metrics_from_matrix)
+register("feature_pipeline")(
+    lambda s, d: round_doubles(MS.build_transaction_pipeline().fit(tx(s, d)).transform(tx(s, d)))
+)
+register("udf_scores")(udf_scores)
+register("shuffle_rows")(lambda s, d: SA.sample_n(tx(s, d), 2**31 - 1).select("transaction_id", "amount_usd"))

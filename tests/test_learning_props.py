@@ -33,3 +33,24 @@ def test_permutation_keeps_marginals(spark, sf):
         a = sorted(r[0] for r in real.select(c).collect())
         b = sorted(r[0] for r in fake.select(c).collect())
         assert a == b
+
+
+def test_batch_udf_scorer_equals_column_score(spark, sf):
+    import __spark_entry__ as E
+
+    d = E.queries()["udf_scores"](spark, sf)
+    worst = d.select(F.max(F.abs(F.col("udf_score") - F.col("column_score")))).first()[0]
+    assert worst < 1e-9
+
+
+def test_feature_pipeline_is_an_estimator(spark, sf):
+    from pyspark.ml import PipelineModel
+
+    from ledgerscope.operators.ml_stages import build_transaction_pipeline
+
+    tx = L.transactions(spark, sf)
+    model = build_transaction_pipeline(["amount_usd", "log_amount"]).fit(tx)
+    assert isinstance(model, PipelineModel)
+    out = model.transform(tx)
+    m = out.agg(F.avg("amount_usd"), F.stddev_pop("log_amount")).first()
+    assert abs(m[0]) < 1e-9 and abs(m[1] - 1.0) < 1e-9

@@ -42,3 +42,14 @@ def test_day_of_week_monday_zero(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23),), (dt.datetime(2024, 1, 7, 0),)], "ts timestamp_ntz")
     got = df.select(S.day_of_week(F.col("ts")), S.hour_of_day(F.col("ts"))).collect()
     assert got[0][0] == 0.0 and got[1][0] == 1.0 and got[0][1] == 1.0
+
+
+def test_required_columns_assertion(spark):
+    import pytest
+
+    from ledgerscope.sources.tables import assert_required_columns
+
+    df = spark.createDataFrame([(1,)], "a int")
+    assert_required_columns(df, ["a"])
+    with pytest.raises(ValueError):
+        assert_required_columns(df, ["a", "b"], "t")
