@@ -28,17 +28,17 @@ def _sec(ts: str = "timestamp"):
 
 def chunked(df: DataFrame, sec_col: str, chunk: int, lookback: int = 0, lookahead: int = 0) -> DataFrame:
     """Add ``_chunk`` and ``_own``: each row once as its own chunk's member and,
-    when within reach of a neighbouring chunk, once more as context there."""
+    for every later (earlier) chunk whose start (end) lies within ``lookback``
+    (``lookahead``) seconds of it, once more as read-only context there."""
     c = F.floor(F.col(sec_col) / chunk).cast("long")
+    x = F.col(sec_col)
     parts = [F.struct(c.alias("ch"), F.lit(True).alias("own"))]
-    if lookback:
-        # Context for the next chunk: rows in the last `lookback` seconds of this one.
-        parts.append(
-            F.when(F.col(sec_col) >= (c + 1) * chunk - lookback, F.struct((c + 1).alias("ch"), F.lit(False).alias("own")))
-        )
-    if lookahead:
-        # Context for the previous chunk: rows in the first `lookahead` seconds of this one.
-        parts.append(F.when(F.col(sec_col) < c * chunk + lookahead, F.struct((c - 1).alias("ch"), F.lit(False).alias("own"))))
+    for k in range(1, -(-lookback // chunk) + 1 if lookback else 1):
+        # chunk c + k starts at (c + k) * chunk; its windows reach back `lookback` seconds
+        parts.append(F.when(x >= (c + k) * chunk - lookback, F.struct((c + k).alias("ch"), F.lit(False).alias("own"))))
+    for k in range(1, -(-lookahead // chunk) + 1 if lookahead else 1):
+        # chunk c - k ends at (c - k + 1) * chunk; its windows reach forward `lookahead` seconds
+        parts.append(F.when(x < (c - k + 1) * chunk + lookahead, F.struct((c - k).alias("ch"), F.lit(False).alias("own"))))
     e = df.select("*", F.explode(F.array_compact(F.array(*parts))).alias("_x"))
     return e.select(*df.columns, F.col("_x.ch").alias("_chunk"), F.col("_x.own").alias("_own"))
 

@@ -92,7 +92,10 @@ def anomaly_attribution(txns: DataFrame, k: int = 4) -> DataFrame:
     attributions sum to the reconstruction score."""
     frame = training_frame(txns)
     sc = scaled_features(frame)
-    rec = reconstruction(sc, fit_pca_loadings(sc, k))
+    return attribution_long(reconstruction(sc, fit_pca_loadings(sc, k)))
+
+
+def attribution_long(rec: DataFrame) -> DataFrame:
     stack = ", ".join(f"'{f}', r_{f}" for f in FEATS)
     return rec.select("transaction_id", F.expr(f"stack({len(FEATS)}, {stack}) as (feature, attribution)"))
 

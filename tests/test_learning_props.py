@@ -13,13 +13,14 @@ def test_attribution_sums_to_score_and_scaler_inverts(spark, sf):
     model = LE.fit_scaler(fr)
     sc = LE.scaled_features(fr, model)
     back = LE.unscaled_features(sc, model)
-    diff = back.join(fr, "transaction_id").select(
-        F.max(F.greatest(*[F.abs(back[c] - fr[c]) for c in FEATS])).alias("d")
+    b = back.select("transaction_id", *[F.col(c).alias(f"b_{c}") for c in FEATS])
+    diff = b.join(fr, "transaction_id").select(
+        F.max(F.greatest(*[F.abs(F.col(f"b_{c}") - F.col(c)) for c in FEATS])).alias("d")
     ).first().d
     assert diff < 1e-6
     rec = LE.reconstruction(sc, LE.fit_pca_loadings(sc, 3))
     tot = rec.select("transaction_id", sum(F.col(f"r_{f}") for f in FEATS).alias("s"))
-    att = LE.anomaly_attribution(tx, k=3).groupBy("transaction_id").agg(F.sum("attribution").alias("a"))
+    att = LE.attribution_long(rec).groupBy("transaction_id").agg(F.sum("attribution").alias("a"))
     worst = tot.join(att, "transaction_id").select(F.max(F.abs(F.col("s") - F.col("a")))).first()[0]
     assert worst < 1e-9
 
