@@ -74,7 +74,12 @@ from ledgerscope.operators import scoring as SCO  # noqa: E402
 
 
 def _scores(s, d):
-    return SCO.transaction_scores(tx(s, d))
+    """The scored ledger, written once (reliable checkpoint): downstream keys
+    read it several times (fitted max, p95 threshold, sweeps, curves), and a
+    lost executor resumes from the written table instead of re-deriving it."""
+    from ledgerscope.session import cut_lineage
+
+    return cut_lineage(SCO.transaction_scores(tx(s, d), keep=["transaction_type"]))
 
 
 def _risk(s, d):
@@ -103,7 +108,7 @@ from ledgerscope.operators import profiles as PR  # noqa: E402
 
 
 def _scores_t(s, d):
-    return SCO.transaction_scores(tx(s, d), keep=["transaction_type"])
+    return _scores(s, d)
 
 
 def _flagged(s, d):
