@@ -52,9 +52,18 @@ def main() -> None:
     from ledgerscope.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
-    # warm-up (JVM, parquet footers), not timed
-    REGISTRY["label_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    from ledgerscope.plans.registry import _risk, _scores, cu, tx
+
+    # warm-up (JVM start, class loading) on another directory, not timed
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm) and warm.rstrip("/") != sf_dir.rstrip("/"):
+        REGISTRY["label_counts"](spark, warm).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
+    # ingest: derive and write the ledger, customers, scores and graph risk once (timed, counted)
+    t0 = time.perf_counter()
+    for build in (tx, cu, _scores, _risk):
+        build(spark, sf_dir)
+    times["ingest_derived_tables"] = round(time.perf_counter() - t0, 3)
     errors: dict[str, str] = {}
     for k in keys:
         t0 = time.perf_counter()

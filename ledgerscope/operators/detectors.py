@@ -132,16 +132,19 @@ def rapid_movement(txns: DataFrame, within_hours: int = 24, chunk_days: int = 7)
         _sec().alias("_s"), F.lit(1).alias("_is_out"), F.col("transaction_id").alias("_out_txn"),
     )
     ev = chunked(ins.unionByName(outs), "_s", chunk_days * DAY, lookahead=reach + 1)
-    # Order by time with outgoing rows first at equal seconds, so the first
-    # outgoing row after an incoming one is strictly later in time.
+    # Walk each (account, chunk) backwards in time: the nearest later outgoing
+    # row is the last non-null value of a growing frame (evaluated
+    # incrementally; an "unbounded following" frame would be recomputed for
+    # every row). At equal seconds, outgoing rows sort before incoming ones in
+    # forward time, so here they come after them and never count as "later".
     w = (
         Window.partitionBy("account_id", "_chunk")
-        .orderBy(F.col("_s"), F.col("_is_out").desc(), F.col("_out_txn"), F.col("in_txn"))
-        .rowsBetween(1, Window.unboundedFollowing)
+        .orderBy(F.col("_s").desc(), F.col("_is_out").asc(), F.col("_out_txn").desc(), F.col("in_txn").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     r = ev.select(
         "*",
-        F.first(F.when(F.col("_is_out") == 1, F.struct(F.col("_s").alias("os"), F.col("_out_txn").alias("ot"))), ignorenulls=True)
+        F.last(F.when(F.col("_is_out") == 1, F.struct(F.col("_s").alias("os"), F.col("_out_txn").alias("ot"))), ignorenulls=True)
         .over(w)
         .alias("_n"),
     )

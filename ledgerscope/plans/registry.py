@@ -25,12 +25,39 @@ def register(name: str):
     return deco
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A derived table written once per Spark application into the shared
+    checkpoint folder and read back by every later query (the pipeline's
+    materialised tables: ledger, customers, scores, graph risk). The key
+    includes the application id and the source directory, so a new
+    application or another scale directory derives it afresh."""
+    from ledgerscope.session import ensure_checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    path = _WRITTEN.get(key)
+    if path is None:
+        import uuid
+
+        df = build()
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+        _SCHEMAS[key] = df.schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def tx(spark: SparkSession, sf: str) -> DataFrame:
-    return L.transactions(spark, sf)
+    return written(spark, sf, "transactions", lambda: L.transactions(spark, sf))
 
 
 def cu(spark: SparkSession, sf: str) -> DataFrame:
-    return L.customers(spark, sf)
+    return written(spark, sf, "customers", lambda: L.customers(spark, sf))
 
 
 # --- scans / projections ---------------------------------------------------------------
@@ -74,16 +101,14 @@ from ledgerscope.operators import scoring as SCO  # noqa: E402
 
 
 def _scores(s, d):
-    """The scored ledger, written once (reliable checkpoint): downstream keys
-    read it several times (fitted max, p95 threshold, sweeps, curves), and a
-    lost executor resumes from the written table instead of re-deriving it."""
-    from ledgerscope.session import cut_lineage
-
-    return cut_lineage(SCO.transaction_scores(tx(s, d), keep=["transaction_type"]))
+    """The scored ledger, written once: downstream keys read it several times
+    (fitted max, p95 threshold, sweeps, curves), and a lost executor resumes
+    from the written table instead of re-deriving it."""
+    return written(s, d, "scores", lambda: SCO.transaction_scores(tx(s, d), keep=["transaction_type"]))
 
 
 def _risk(s, d):
-    return SCO.customer_risk_scores(tx(s, d), cu(s, d))
+    return written(s, d, "risk", lambda: SCO.customer_risk_scores(tx(s, d), cu(s, d)))
 
 
 register("txn_features")(lambda s, d: round_doubles(FE.transaction_features(tx(s, d))))
