@@ -24,18 +24,41 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 2)
 
 
+MAX_BUCKETS = 1024
+
+
+def _count_le_tree(bounds: list, key: Column, dtype: str, strict: bool) -> Column:
+    """Number of sorted ``bounds`` below ``key`` (``<`` when strict, else
+    ``<=``) as a balanced CASE tree: O(log m) comparisons per row."""
+
+    def lit(v):
+        return F.lit(v).cast(dtype)
+
+    def build(lo: int, hi: int) -> Column:
+        # answer lies in [lo, hi]; bounds[lo:hi] undecided
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        cond = (lit(bounds[mid]) < key) if strict else (lit(bounds[mid]) <= key)
+        return F.when(cond, build(mid + 1, hi)).otherwise(build(lo, mid))
+
+    return build(0, len(bounds))
+
+
 def bucket_of(df: DataFrame, key: str, n: int, descending: bool = False) -> Column:
     """Ordered bucket id in [0, n) for ``key``; equal keys share a bucket."""
+    n = max(2, min(n, MAX_BUCKETS))
     qs = [i / n for i in range(1, n)]
     fitted = df.select(F.percentile_approx(F.col(key), qs, 10000).alias("b")).first()["b"] or []
+    bounds = sorted(set(fitted))
+    if not bounds:
+        return F.lit(0)
     dtype = dict(df.dtypes)[key]
-    bounds = F.array(*[F.lit(v).cast(dtype) for v in sorted(set(fitted))]) if fitted else F.array().cast(f"array<{dtype}>")
     k = F.col(key)
     if descending:
-        b = F.size(F.filter(bounds, lambda x: x > k))
-    else:
-        b = F.size(F.filter(bounds, lambda x: x < k))
-    return F.coalesce(F.when(b >= 0, b), F.lit(0))
+        # buckets in descending key order: number of bounds strictly above the key
+        return F.lit(len(bounds)) - _count_le_tree(bounds, k, dtype, strict=False)
+    return _count_le_tree(bounds, k, dtype, strict=True)
 
 
 def prefix_sums(
