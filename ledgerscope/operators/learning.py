@@ -17,7 +17,6 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +51,15 @@ def unscaled_features(scaled: DataFrame, model: DataFrame) -> DataFrame:
     return invert_standardizer(scaled, model, FEATS, ["transaction_id", "is_suspicious", "split"])
 
 
+def logistic_probability(model, cols: list[str]):
+    """P(class 1) of a fitted binary logistic model as a column expression
+    (coefficients as literals: no model object is shipped to the tasks)."""
+    w = model.coefficients.toArray()
+    b = float(model.intercept)
+    margin = sum((F.col(c) * float(wi) for c, wi in zip(cols, w)), F.lit(b))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
+
 def _assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
 
@@ -139,9 +147,8 @@ def real_vs_permuted_scores(txns: DataFrame) -> DataFrame:
     fake = permuted_rows(real.select(*FEATS)).withColumn("label", F.lit(0.0))
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50, regParam=1e-3)
     model = lr.fit(_assemble(real.unionByName(fake), FEATS))
-    scored = model.transform(_assemble(sc, FEATS))
-    return scored.select(
-        "transaction_id", "is_suspicious", (F.lit(1.0) - vector_to_array("probability")[1]).alias("gan_score")
+    return sc.select(
+        "transaction_id", "is_suspicious", (F.lit(1.0) - logistic_probability(model, FEATS)).alias("gan_score")
     )
 
 
@@ -203,10 +210,9 @@ def customer_risk_model(node_x: DataFrame, propagated: DataFrame, custs: DataFra
     cols = list(NODE_FEATURES) + [f"p_{c}" for c in NODE_FEATURES]
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w", maxIter=100, regParam=1e-2)
     model = lr.fit(_assemble(d.filter(F.col("_fold") != 0), cols))
-    out = model.transform(_assemble(d, cols))
-    return out.select(
+    return d.select(
         "customer_id",
-        F.round(vector_to_array("probability")[1], 6).alias("gnn_risk_score"),
+        F.round(logistic_probability(model, cols), 6).alias("gnn_risk_score"),
         F.col("label").cast("long").alias("is_suspicious_true"),
         F.when(F.col("_fold") == 0, F.lit("val")).otherwise(F.lit("train")).alias("split"),
     )
@@ -232,12 +238,11 @@ def dr_effect(txns: DataFrame, treated: str = "structuring_flag", outcome: str =
         ps = LogisticRegression(labelCol="t", maxIter=50).fit(tr)
         m1 = LogisticRegression(labelCol="y", maxIter=50).fit(tr.filter("t = 1"))
         m0 = LogisticRegression(labelCol="y", maxIter=50).fit(tr.filter("t = 0"))
-        e = ps.transform(te).select("transaction_id", "t", "y", "features", vector_to_array("probability")[1].alias("e"))
-        e = m1.setProbabilityCol("p1").setPredictionCol("h1").setRawPredictionCol("r1").transform(e)
-        e = m0.setProbabilityCol("p0").setPredictionCol("h0").setRawPredictionCol("r0").transform(e)
-        e = e.select(
-            "t", "y", F.least(F.greatest("e", F.lit(0.01)), F.lit(0.99)).alias("e"),
-            vector_to_array("p1")[1].alias("mu1"), vector_to_array("p0")[1].alias("mu0"),
+        e = te.select(
+            "t", "y",
+            F.least(F.greatest(logistic_probability(ps, covariates), F.lit(0.01)), F.lit(0.99)).alias("e"),
+            logistic_probability(m1, covariates).alias("mu1"),
+            logistic_probability(m0, covariates).alias("mu0"),
         )
         parts = e if parts is None else parts.unionByName(e)
     psi = (F.col("mu1") - F.col("mu0") + F.col("t") * (F.col("y") - F.col("mu1")) / F.col("e")

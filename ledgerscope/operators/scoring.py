@@ -44,21 +44,22 @@ def customer_risk_scores(txns: DataFrame, custs: DataFrame) -> DataFrame:
     )
 
 
-def transaction_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Stand-in score = |sender z-score| / 5 on a 1e-6 grid, normalised by its
-    fitted max; threshold = p95 of the normal rows; flagged = score >= threshold."""
+def raw_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Stand-in raw score = |sender z-score| / 5 on a 1e-6 grid."""
     keep = keep or []
+    base = ["transaction_id", "sender_id", "receiver_id", "amount_cents", "amount_usd", "is_suspicious"]
     z = with_sender_zscore(txns)
-    scored = z.select(
-        "transaction_id",
-        "sender_id",
-        "receiver_id",
-        "amount_cents",
-        "amount_usd",
-        "is_suspicious",
-        *[c for c in keep if c not in ("transaction_id", "sender_id", "receiver_id", "amount_cents", "amount_usd", "is_suspicious")],
+    return z.select(
+        *base,
+        *[c for c in keep if c not in base],
         F.round(F.abs("amount_z_score_sender") / 5.0, 6).alias("vae_score"),
     )
+
+
+def finish_scores(scored: DataFrame) -> DataFrame:
+    """Normalise by the fitted max, threshold at the p95 of the normal rows,
+    flag score >= threshold. Both fits are scalar subqueries over ``scored``
+    (write it first when it is expensive to recompute)."""
     vmax = scored.select(F.max("vae_score")).scalar()
     scored = scored.withColumn("combined_score", F.round(S.normalise(F.col("vae_score"), vmax, NORMALISE_EPS), 6))
     thr = (
@@ -71,6 +72,12 @@ def transaction_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFr
     )
 
 
+def transaction_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Stand-in score = |sender z-score| / 5 on a 1e-6 grid, normalised by its
+    fitted max; threshold = p95 of the normal rows; flagged = score >= threshold."""
+    return finish_scores(raw_scores(txns, keep))
+
+
 def anomaly_threshold(scores: DataFrame, score_col: str = "combined_score", q: float = ANOMALY_PERCENTILE) -> DataFrame:
     return scores.filter(~F.col("is_suspicious")).agg(
         F.round(F.percentile(score_col, q), 9).alias("threshold"), F.count(F.lit(1)).alias("normal_rows")

@@ -104,7 +104,8 @@ def _scores(s, d):
     """The scored ledger, written once: downstream keys read it several times
     (fitted max, p95 threshold, sweeps, curves), and a lost executor resumes
     from the written table instead of re-deriving it."""
-    return written(s, d, "scores", lambda: SCO.transaction_scores(tx(s, d), keep=["transaction_type"]))
+    raw = written(s, d, "raw_scores", lambda: SCO.raw_scores(tx(s, d), keep=["transaction_type"]))
+    return written(s, d, "scores", lambda: SCO.finish_scores(raw))
 
 
 def _risk(s, d):
