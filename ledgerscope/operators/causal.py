@@ -126,12 +126,43 @@ def did_bootstrap(
     policy_date: str = "1998-07-01",
     replicates: int = 500,
     seed: int = 42,
+    method: str = "cells",
 ) -> DataFrame:
-    """Bootstrap CI for the DiD estimate with Poisson(1) weights per (row,
-    replicate): each row is expanded into ``replicates`` weights drawn from a
-    hash of (row id, replicate, seed), and the four cell means per replicate
-    are weighted sums. One shuffle on (replicate, cell); the expansion is per
-    row, so no group or task holds more than its share of rows."""
+    """Bootstrap CI for the DiD estimate.
+
+    ``cells`` (binary outcome): a row bootstrap of the whole table only moves
+    the four cells' sizes (multinomial) and successes (binomial given the
+    size), so replicates are drawn from the cells' sufficient statistics -- one
+    grouped aggregate over the data, 8 numbers fitted, the same bootstrap
+    distribution as resampling rows.
+
+    ``poisson`` (any outcome): each row gets a Poisson(1) weight per replicate
+    from a hash of (row id, replicate, seed); per-replicate cell means are
+    weighted sums, partially aggregated before the shuffle.
+    """
+    if method == "cells":
+        import numpy as np
+
+        cells = did_cells(df, outcome, treated, policy_date).collect()  # at most 4 rows
+        key = {(r["treated"], r["post"]): (int(r["n"]), float(r["s"])) for r in cells}
+        order = [(1, 1), (1, 0), (0, 1), (0, 0)]
+        n = np.array([key.get(c, (0, 0.0))[0] for c in order])
+        s = np.array([key.get(c, (0, 0.0))[1] for c in order])
+        p = np.divide(s, n, out=np.zeros(4), where=n > 0)
+        rng = np.random.default_rng(seed)
+        sizes = rng.multinomial(int(n.sum()), n / max(n.sum(), 1), size=replicates)
+        succ = rng.binomial(sizes, p)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            m = succ / sizes
+        att = (m[:, 0] - m[:, 1]) - (m[:, 2] - m[:, 3])
+        att = att[np.isfinite(att)]
+        point = float((p[0] - p[1]) - (p[2] - p[3]))
+        se = float(np.std(att)) if att.size else float("nan")
+        spark = df.sparkSession
+        return spark.createDataFrame(
+            [(int(att.size), round(point, 6), round(se, 6), round(point - 1.96 * se, 6), round(point + 1.96 * se, 6))],
+            "replicates long, ate double, se double, ate_lower double, ate_upper double",
+        )
     base = df.select(
         F.col(treated).cast("int").alias("treated"),
         (F.col("timestamp") >= F.lit(policy_date).cast("timestamp_ntz")).cast("int").alias("post"),

@@ -155,26 +155,38 @@ def rapid_movement(txns: DataFrame, within_hours: int = 24, chunk_days: int = 7)
     )
 
 
-def tbml_pairs(txns: DataFrame, min_amount_usd: float = SAR_THRESHOLD_USD, min_count: int = 2, gap_days=(1, 14)) -> DataFrame:
+def tbml_pairs(txns: DataFrame, min_amount_usd: float = SAR_THRESHOLD_USD, min_count: int = 2, gap_days=(1, 14),
+               chunk_days: int = 30) -> DataFrame:
     """(sender, receiver) pairs with >= min_count trade payments of at least
-    ``min_amount_usd``; consecutive gaps (days) and whether all fall in range."""
+    ``min_amount_usd``; consecutive gaps (days) and whether all fall in range.
+    Gaps are found per (pair, time chunk) with ``lag``, plus one gap per chunk
+    border from a per-pair window over chunk summaries (one row per chunk),
+    so a hot pair is split across tasks."""
     lim = int(round(min_amount_usd * 100))
     t = txns.filter((F.col("transaction_type") == "TRADE_PAYMENT") & (F.col("amount_cents") >= lim)).select(
-        "sender_id", "receiver_id", "amount_cents", "transaction_id", _sec().alias("_s")
-    )
-    w = Window.partitionBy("sender_id", "receiver_id").orderBy("_s", "transaction_id")
-    g = t.select("*", ((F.col("_s") - F.lag("_s").over(w)) / F.lit(float(DAY))).alias("_gap"))
-    lo, hi = gap_days
-    return (
-        g.groupBy("sender_id", "receiver_id")
-        .agg(
-            F.count(F.lit(1)).alias("payment_count"),
-            sum_usd(F.col("amount_cents")).alias("total_usd"),
-            F.round(F.min("_gap"), 6).alias("min_gap_days"),
-            F.round(F.max("_gap"), 6).alias("max_gap_days"),
-            F.bool_and(F.coalesce((F.col("_gap") >= lo) & (F.col("_gap") <= hi), F.lit(True))).alias("gaps_in_range"),
-        )
-        .filter(F.col("payment_count") >= min_count)
+        "sender_id", "receiver_id", "amount_cents", "transaction_id", _sec().alias("_s"),
+    ).withColumn("_c", F.floor(F.col("_s") / (chunk_days * DAY)))
+    w = Window.partitionBy("sender_id", "receiver_id", "_c").orderBy("_s", "transaction_id")
+    inner = t.select("sender_id", "receiver_id", ((F.col("_s") - F.lag("_s").over(w)) / F.lit(float(DAY))).alias("_gap"))
+    chunks = t.groupBy("sender_id", "receiver_id", "_c").agg(
+        F.min("_s").alias("_lo"), F.max("_s").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        F.sum("amount_cents").alias("_cents"),
+    )
+    wc = Window.partitionBy("sender_id", "receiver_id").orderBy("_c")
+    border = chunks.select(
+        "sender_id", "receiver_id", ((F.col("_lo") - F.lag("_hi").over(wc)) / F.lit(float(DAY))).alias("_gap")
+    )
+    gaps = inner.unionByName(border).filter(F.col("_gap").isNotNull()).groupBy("sender_id", "receiver_id").agg(
+        F.min("_gap").alias("_gmin"), F.max("_gap").alias("_gmax"),
+        F.bool_and((F.col("_gap") >= gap_days[0]) & (F.col("_gap") <= gap_days[1])).alias("_ok"),
+    )
+    tot = chunks.groupBy("sender_id", "receiver_id").agg(
+        F.sum("_n").alias("payment_count"), (F.sum("_cents") / F.lit(100.0)).alias("total_usd")
+    )
+    return tot.filter(F.col("payment_count") >= min_count).join(gaps, ["sender_id", "receiver_id"], "left").select(
+        "sender_id", "receiver_id", "payment_count", "total_usd",
+        F.round("_gmin", 6).alias("min_gap_days"), F.round("_gmax", 6).alias("max_gap_days"),
+        F.coalesce("_ok", F.lit(True)).alias("gaps_in_range"),
     )
 
 

@@ -152,21 +152,29 @@ def real_vs_permuted_scores(txns: DataFrame) -> DataFrame:
     )
 
 
-def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11) -> DataFrame:
+def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, buckets: int | None = None) -> DataFrame:
     """Synthetic suspicious rows: each suspicious row is interpolated towards
-    its successor (in hash order) among rows of the same typology, with a
-    hash-derived weight in [0, 1). Successors come from a window over the
-    suspicious rows of one label, ordered by hash."""
+    its successor in hash order inside its (typology, hash bucket), wrapping
+    around at the end of the bucket, with a hash-derived weight in [0, 1).
+    The buckets keep any one typology from sitting in a single task, and the
+    wrap-around gives every row a partner (a singleton bucket pairs a row with
+    itself)."""
     from pyspark.sql import Window
 
+    nb_ = buckets or max(int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
     f = transaction_features(txns, keep=["is_suspicious", "label"]).filter(F.col("is_suspicious"))
     h = F.md5(F.concat(F.col("transaction_id"), F.lit(f":{seed}")))
-    w = Window.partitionBy("label").orderBy(h)
-    nb = f.select("*", *[F.lead(c).over(w).alias(f"_n_{c}") for c in FEATS], F.first("transaction_id").over(w).alias("_first"))
+    f = f.withColumn("_h", h).withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(nb_)))
+    w = Window.partitionBy("label", "_b").orderBy("_h")
+    wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nb = f.select(
+        "*",
+        *[F.coalesce(F.lead(c).over(w), F.first(c).over(wf)).alias(f"_n_{c}") for c in FEATS],
+    )
     out = None
     for r in range(per_row):
-        wt = (F.pmod(F.xxhash64("transaction_id", F.lit(seed + r)), F.lit(10**6)) / F.lit(1e6))
-        one = nb.filter(F.col(f"_n_{FEATS[0]}").isNotNull()).select(
+        wt = F.pmod(F.xxhash64("transaction_id", F.lit(seed + r)), F.lit(10**6)) / F.lit(1e6)
+        one = nb.select(
             F.concat(F.lit("SYN_"), F.col("transaction_id"), F.lit(f"_{r}")).alias("transaction_id"),
             *[(F.col(c) + wt * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in FEATS],
             F.lit(True).alias("is_suspicious"),

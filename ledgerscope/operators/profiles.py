@@ -65,6 +65,21 @@ def alerts_page(scores: DataFrame, page: int = 2, page_size: int = 50, min_score
     )
 
 
+def alerts_after(scores: DataFrame, after_score: float | None, after_id: str | None, page_size: int = 50,
+                 min_score: float = 0.3) -> DataFrame:
+    """Keyset page for deep pagination: the next ``page_size`` alerts after the
+    last (score, id) seen -- a filter plus a top-k, no offset scan."""
+    f = scores.filter(F.col("combined_score") >= min_score)
+    if after_score is not None:
+        f = f.filter(
+            (F.col("combined_score") < after_score)
+            | ((F.col("combined_score") == after_score) & (F.col("transaction_id") > after_id))
+        )
+    return f.orderBy(F.desc("combined_score"), "transaction_id").limit(page_size).select(
+        "transaction_id", "sender_id", "amount_usd", "combined_score"
+    )
+
+
 def sender_truth(txns: DataFrame) -> DataFrame:
     return txns.groupBy(F.col("sender_id").alias("_tid")).agg(F.bool_or("is_suspicious").alias("_truth"))
 

@@ -501,3 +501,4 @@ register("feature_pipeline")(
 )
 register("udf_scores")(udf_scores)
 register("shuffle_rows")(lambda s, d: SA.sample_n(tx(s, d), 2**31 - 1).select("transaction_id", "amount_usd"))
+register("did_bootstrap_poisson")(lambda s, d: CA.did_bootstrap(tx(s, d), replicates=100, method="poisson"))

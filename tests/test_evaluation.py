@@ -63,3 +63,16 @@ def test_cost_model(spark):
     r = EV.detection_cost(c).first()
     assert r.total_cost_usd == 1 * 100000 + 50 * 500
     assert r.cost_per_true_positive_usd == pytest.approx(r.total_cost_usd / 10)
+
+
+def test_bootstrap_se_agrees_with_analytic(spark, sf):
+    from ledgerscope.operators import causal as CA
+    from ledgerscope.sources import ledger as L
+
+    tx = L.transactions(spark, "/root/testdata/sf0.01")
+    a = CA.did_effect(tx).first()
+    b = CA.did_bootstrap(tx, replicates=400).first()
+    p = CA.did_bootstrap(tx, replicates=60, method="poisson").first()
+    assert (a.n_00, a.n_01, a.n_10, a.n_11) == (28833, 25766, 2878, 2523)
+    assert abs(b.se - a.se) / a.se < 0.2 and abs(p.se - a.se) / a.se < 0.35
+    assert b.ate == a.ate and b.ate_lower < b.ate < b.ate_upper
