@@ -183,8 +183,8 @@ nodes AS (
            ln(1 + (COALESCE(sent_cents, 0) + COALESCE(recv_cents, 0)) / 100.0::DOUBLE) AS total_amount,
            CAST(COALESCE(sent_unique, 0) + COALESCE(recv_unique, 0) AS DOUBLE) AS unique_counterparties,
            COALESCE(c.risk_score, 0.0) AS risk_score,
-           CASE c.jurisdiction_risk WHEN 'low' THEN 0.0 WHEN 'medium' THEN 1.0 WHEN 'high' THEN 2.0 ELSE 1.0 END
-               AS jurisdiction_risk,
+           CAST(CASE c.jurisdiction_risk WHEN 'low' THEN 0.0 WHEN 'medium' THEN 1.0 WHEN 'high' THEN 2.0 ELSE 1.0 END
+                AS DOUBLE) AS jurisdiction_risk,
            ((COALESCE(sent_cents, 0) + COALESCE(recv_cents, 0)) / 100.0::DOUBLE)
                / greatest(COALESCE(sent_count, 0) + COALESCE(recv_count, 0), 1) AS avg_txn_amount,
            CAST(COALESCE(sent_count, 0) + COALESCE(recv_count, 0) AS DOUBLE) AS txn_count
