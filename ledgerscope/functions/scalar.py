@@ -15,6 +15,17 @@ from ledgerscope.functions.constants import (
 )
 
 
+def trunc_hour_ntz(ts: Column) -> Column:
+    """Start of the hour of a TIMESTAMP_NTZ, as TIMESTAMP_NTZ (no session zone
+    involved; ``date_trunc`` would return a zoned TIMESTAMP)."""
+    return F.to_timestamp_ntz(F.date_format(ts, "yyyy-MM-dd HH:00:00"))
+
+
+def week_start_date(ts: Column) -> Column:
+    """Monday of the week of a TIMESTAMP_NTZ (pure date arithmetic)."""
+    return F.date_sub(F.to_date(ts), F.weekday(ts))
+
+
 def hour_of_day(ts: Column) -> Column:
     return F.hour(ts) / F.lit(23.0)
 

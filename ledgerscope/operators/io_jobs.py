@@ -92,14 +92,17 @@ def evaluation_report(metrics: DataFrame, model: str, evaluated_at: str) -> Data
 def detector_metadata(threshold: DataFrame, confusion: DataFrame) -> DataFrame:
     """One nested row: threshold, fusion weights, feature names and the
     confusion matrix; written as JSON and read back with its schema."""
-    cm = confusion.agg(F.sort_array(F.collect_list(F.struct("true_label", "pred_label", "count"))).alias("confusion_matrix"))
-    meta = threshold.select("threshold").join(cm, how="left").select(
+    # at most 4 cells: collected into one array and read as a scalar subquery
+    cm = confusion.select(
+        F.sort_array(F.collect_list(F.struct("true_label", "pred_label", "count"))).alias("confusion_matrix")
+    ).scalar()
+    meta = threshold.select(
         "threshold",
         F.struct(F.lit(FUSION_PRIMARY_WEIGHT).alias("primary"), F.lit(FUSION_SECONDARY_WEIGHT).alias("secondary")).alias(
             "weights"
         ),
         F.array(*[F.lit(f) for f in TRANSACTION_FEATURES]).alias("feature_names"),
-        "confusion_matrix",
+        cm.alias("confusion_matrix"),
     )
     spark = threshold.sparkSession
     p = scratch(spark, "meta")

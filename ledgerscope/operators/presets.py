@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.functions.constants import SAR_THRESHOLD_USD, STRUCTURING_MIN_COUNT, VELOCITY_MIN_COUNT
 from ledgerscope.functions.money import avg_usd, pct_4dp, sum_usd
+from ledgerscope.functions.scalar import trunc_hour_ntz, week_start_date
 
 def _susp():
     return F.col("is_suspicious").cast("long")
@@ -109,7 +110,7 @@ def structuring_alerts(
 
 def hourly_velocity(txns: DataFrame, min_count: int = VELOCITY_MIN_COUNT, n: int = 100) -> DataFrame:
     return (
-        txns.groupBy("sender_id", F.date_trunc("hour", "timestamp").alias("hour_bucket"))
+        txns.groupBy("sender_id", trunc_hour_ntz(F.col("timestamp")).alias("hour_bucket"))
         .agg(F.count(F.lit(1)).alias("txn_per_hour"), sum_usd(F.col("amount_cents")).alias("hourly_usd"))
         .filter(F.col("txn_per_hour") >= min_count)
         .orderBy(F.desc("txn_per_hour"), "sender_id", "hour_bucket")
@@ -154,7 +155,7 @@ def weekly_alert_timeline(txns: DataFrame) -> DataFrame:
     weeks without rows appear with zeros via a calendar spine. The spine is
     one row per week of the covered range, so its size is bounded by the
     calendar, not by the data."""
-    wk = txns.select(F.to_date(F.date_trunc("week", "timestamp")).alias("week_start"), "is_suspicious")
+    wk = txns.select(week_start_date(F.col("timestamp")).alias("week_start"), "is_suspicious")
     counts = wk.groupBy("week_start").agg(
         F.count(F.lit(1)).alias("total"), F.sum(F.col("is_suspicious").cast("long")).alias("suspicious")
     )

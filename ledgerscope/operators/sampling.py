@@ -44,7 +44,12 @@ def _class_ranks(df: DataFrame, class_col: str, classes: list, id_col: str, seed
     for i, c in enumerate(classes):
         e = F.when(F.col(class_col) == F.lit(c), F.col(f"_c{i}_cum"))
         rank = e if rank is None else F.coalesce(rank, e)
-    sizes = df.groupBy(F.col(class_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per declared class: a bounded broadcast
+    sizes = (
+        df.filter(F.col(class_col).isin(*classes))
+        .groupBy(F.col(class_col).alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     return cum.select(id_col, class_col, rank.alias("_rank")).join(F.broadcast(sizes), F.col(class_col) == F.col("_k")).drop("_k")
 
 

@@ -15,7 +15,6 @@ the delay); the SQL oracles filter to the same closed windows.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,6 @@ from pyspark.sql import types as T
 from ledgerscope.session import ensure_checkpoint_dir
 from ledgerscope.sources.schemas import RAW
 
-EPOCH_NTZ = dt.datetime(1970, 1, 1)
 
 
 def _dir(spark: SparkSession, name: str) -> str:
@@ -34,7 +32,7 @@ def _dir(spark: SparkSession, name: str) -> str:
 
 def ntz(col):
     """TIMESTAMP instant -> its UTC wall clock as TIMESTAMP_NTZ (microsecond exact)."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def ntz_micros(ts):

@@ -67,3 +67,19 @@ def test_empty_batch_flows_through(spark):
     risk = spark.createDataFrame([], "customer_id string, gnn_risk_score double")
     r = PR.batch_risk_summary(scores, risk).first()
     assert r.n_total == 0 and r.final_risk_level == "LOW"
+
+
+@pytest.mark.parametrize("key", ["hourly_velocity", "weekly_alert_timeline", "stream_sessions", "smurfing_windows"])
+def test_results_do_not_depend_on_session_zone(spark, sf, con, key):
+    import __spark_entry__ as E
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = E.queries()[key](spark, sf)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = con.execute(E.oracle_sql()[key])
+    dcols = [d[0] for d in cur.description]
+    assert Counter(rows_of(df.columns, srows)) == Counter(rows_of(dcols, cur.fetchall()))
