@@ -18,7 +18,7 @@ from ledgerscope.functions.constants import (
 def trunc_hour_ntz(ts: Column) -> Column:
     """Start of the hour of a TIMESTAMP_NTZ, as TIMESTAMP_NTZ (no session zone
     involved; ``date_trunc`` would return a zoned TIMESTAMP)."""
-    return F.to_timestamp_ntz(F.date_format(ts, "yyyy-MM-dd HH:00:00"))
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
 
 
 def week_start_date(ts: Column) -> Column:

@@ -65,20 +65,30 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Weakly connected components labelled by their smallest node id:
-    min-label propagation plus pointer jumping (label <- label of label)."""
-    adj = cut_lineage(_both_ways(undirected_pairs(edges)))
-    lab = cut_lineage(nodes.select("node", F.col("node").alias("label")))
+    min-label propagation plus pointer jumping (label <- label of label).
+    Convergence is read off the propagation aggregate itself (did any node's
+    minimum drop below its current label?), so a round is one job."""
+    adj = _both_ways(undirected_pairs(edges)).cache()  # short lineage: cached, recomputable
+    lab = nodes.select("node", F.col("node").alias("label")).cache()
     for i in range(max_rounds):
-        cand = adj.join(lab, adj.a == lab.node).select(F.col("b").alias("node"), "label")
-        new = lab.unionByName(cand).groupBy("node").agg(F.min("label").alias("label"))
-        p = new.select(F.col("node").alias("_p"), F.col("label").alias("_pl"))
-        new = new.join(p, new.label == p._p, "left").select("node", F.least("label", F.coalesce("_pl", "label")).alias("label"))
-        new = _round_result(new, i)
-        changed = new.join(lab.withColumnRenamed("label", "_old"), "node").filter(F.col("label") != F.col("_old")).limit(1).count()
-        lab.unpersist()
-        lab = new
+        cand = adj.join(lab, adj.a == lab.node).select(F.col("b").alias("node"), "label", F.lit(False).alias("_self"))
+        prop = (
+            lab.select("node", "label", F.lit(True).alias("_self"))
+            .unionByName(cand)
+            .groupBy("node")
+            .agg(F.min("label").alias("label"), F.min(F.when(F.col("_self"), F.col("label"))).alias("_old"))
+        )
+        prop = _round_result(prop, i)
+        changed = prop.filter(F.col("label") < F.col("_old")).limit(1).count()
         if changed == 0:
-            return lab.select("node", F.col("label").alias("component"))
+            out = prop.select("node", F.col("label").alias("component"))
+            adj.unpersist()
+            return out
+        p = prop.select(F.col("node").alias("_p"), F.col("label").alias("_pl"))
+        new = prop.join(p, prop.label == p._p, "left").select(
+            "node", F.least("label", F.coalesce("_pl", "label")).alias("label")
+        )
+        lab = new
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
@@ -88,8 +98,8 @@ def strong_components(edges: DataFrame, nodes: DataFrame, max_outer: int = 50, m
     id forward to a fixpoint (colour), take the nodes whose colour is their own
     id as roots, walk edges backwards inside each colour from its root; the
     reached nodes form the root's component and leave the graph."""
-    e_all = cut_lineage(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct())
-    active = cut_lineage(nodes.select("node"))
+    e_all = edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct().cache()
+    active = nodes.select("node").cache()
     done = None
     for _ in range(max_outer):
         if active.limit(1).count() == 0:
@@ -264,8 +274,8 @@ def label_propagation(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10)
     adj = pairs.select(F.col("u").alias("a"), F.col("v").alias("b"), "weight").unionByName(
         pairs.select(F.col("v").alias("a"), F.col("u").alias("b"), "weight")
     )
-    adj = cut_lineage(adj)
-    lab = cut_lineage(nodes.select("node", F.col("node").alias("label")))
+    adj = adj.cache()
+    lab = nodes.select("node", F.col("node").alias("label")).cache()
     for i in range(max_rounds):
         votes = adj.join(lab.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"), "label").agg(
             F.sum("weight").alias("w")
