@@ -249,7 +249,10 @@ def whatif_threshold(scores: DataFrame, current: float | None = None, new: float
 def whatif_sweep(scores: DataFrame, current: float | None = None) -> DataFrame:
     """21 thresholds (-50% .. +50% of the current one) in one pass: each row
     counts the sweep points at or below its score (21 comparisons, no join),
-    then a suffix sum over the 21 points."""
+    rows are counted per point, and windows over the 21 points give the
+    suffix sums and the baseline."""
+    from pyspark.sql import Window
+
     cur = F.lit(current) if current is not None else F.col("threshold")
     pts = [(i, p) for i, p in enumerate(SWEEP_PCT)]
 
@@ -257,23 +260,23 @@ def whatif_sweep(scores: DataFrame, current: float | None = None) -> DataFrame:
         return cur * (F.lit(1.0) + F.lit(p) / F.lit(100.0))
 
     k = sum(F.when(F.col("combined_score") >= t(p), 1).otherwise(0) for _, p in pts) - 1
-    per = scores.select(k.alias("k"), "amount_cents").filter(F.col("k") >= 0).groupBy("k").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("c")
+    per = scores.select(k.alias("k"), "amount_cents", cur.alias("_t")).groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("c"), F.max("_t").alias("_t")
     )
     spark = scores.sparkSession
     grid = spark.createDataFrame(pts, "k int, pct_change int")
-    cur_v = scores.select(cur).limit(1).scalar() if current is None else F.lit(current)
-    from pyspark.sql import Window
-
-    g = F.broadcast(grid).join(per, "k", "left").na.fill(0, ["n", "c"])
+    everything = Window.partitionBy()  # over at most 22 rows
+    per = per.select("*", F.max("_t").over(everything).alias("cur"))
+    g = F.broadcast(grid).join(per.filter(F.col("k") >= 0), "k", "left").na.fill(0, ["n", "c"])
+    g = g.select("k", "pct_change", "n", "c", F.max("cur").over(everything).alias("cur"))
     w = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # 21 rows
-    g = g.select("k", "pct_change", F.sum("n").over(w).alias("alerts"), F.sum("c").over(w).alias("cents"))
-    base = g.filter(F.col("pct_change") == 0).select(F.col("alerts").alias("b")).scalar()
+    g = g.select("k", "pct_change", "cur", F.sum("n").over(w).alias("alerts"), F.sum("c").over(w).alias("cents"))
+    g = g.select("*", F.max(F.when(F.col("pct_change") == 0, F.col("alerts"))).over(everything).alias("_base"))
     return g.select(
         "pct_change",
-        F.round(cur_v * (F.lit(1.0) + F.col("pct_change") / F.lit(100.0)), 9).alias("new_threshold"),
+        F.round(F.col("cur") * (F.lit(1.0) + F.col("pct_change") / F.lit(100.0)), 9).alias("new_threshold"),
         "alerts",
-        round_hu((F.col("alerts") - base) / F.greatest(base, F.lit(1)) * 100.0, 2).alias("delta_pct"),
+        round_hu((F.col("alerts") - F.col("_base")) / F.greatest(F.col("_base"), F.lit(1)) * 100.0, 2).alias("delta_pct"),
         (F.col("cents") / F.lit(100.0)).alias("flagged_amount"),
     )
 
