@@ -61,27 +61,38 @@ def sender_zscore(txns: DataFrame) -> DataFrame:
     )
 
 
-def directional_stats(txns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    sent = txns.groupBy(F.col("sender_id").alias("_sid")).agg(
-        F.count(F.lit(1)).alias("sent_count"),
-        F.sum("amount_cents").alias("sent_cents"),
-        F.countDistinct("receiver_id").alias("sent_unique"),
+def role_stats(txns: DataFrame) -> DataFrame:
+    """Sent and received count / cents / distinct partners per account in two
+    shuffles: each transfer is emitted once per role, reduced per
+    (account, role, partner) -- which also spreads a hot account over its
+    partners -- and then per account."""
+    both = txns.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("sender_id").alias("id"), F.lit("s").alias("role"), F.col("receiver_id").alias("other"), "amount_cents"),
+                F.struct(F.col("receiver_id").alias("id"), F.lit("r").alias("role"), F.col("sender_id").alias("other"), "amount_cents"),
+            )
+        ).alias("e")
+    ).select("e.*")
+    pairs = both.groupBy("id", "role", "other").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("c"))
+    s_, r_ = F.col("role") == "s", F.col("role") == "r"
+    return pairs.groupBy(F.col("id").alias("_nid")).agg(
+        F.sum(F.when(s_, F.col("n"))).alias("sent_count"),
+        F.sum(F.when(s_, F.col("c"))).alias("sent_cents"),
+        F.count_if(s_).alias("sent_unique"),
+        F.sum(F.when(r_, F.col("n"))).alias("recv_count"),
+        F.sum(F.when(r_, F.col("c"))).alias("recv_cents"),
+        F.count_if(r_).alias("recv_unique"),
     )
-    recv = txns.groupBy(F.col("receiver_id").alias("_rid")).agg(
-        F.count(F.lit(1)).alias("recv_count"),
-        F.sum("amount_cents").alias("recv_cents"),
-        F.countDistinct("sender_id").alias("recv_unique"),
-    )
-    return sent, recv
 
 
 def node_features(txns: DataFrame, custs: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
     """Per-customer graph features: degree, log total, counterparties, risk,
     jurisdiction ordinal, mean amount, txn_count (customers with no transfers
     get zeros)."""
-    sent, recv = directional_stats(txns)
+    st = role_stats(txns)
     c = custs.select("customer_id", "risk_score", "jurisdiction_risk")
-    j = c.join(sent, c.customer_id == sent._sid, "left").join(recv, c.customer_id == recv._rid, "left")
+    j = c.join(st, c.customer_id == st._nid, "left")
     sc = F.coalesce("sent_count", F.lit(0))
     rc = F.coalesce("recv_count", F.lit(0))
     total_cents = F.coalesce("sent_cents", F.lit(0)) + F.coalesce("recv_cents", F.lit(0))
