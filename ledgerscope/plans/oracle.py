@@ -993,8 +993,9 @@ prof AS (
     FROM transactions WHERE sender_id IN (SELECT customer_id FROM sus) GROUP BY 1
 ),
 gen AS (SELECT MAX("timestamp") AS g FROM transactions),
-sb0 AS (
-    SELECT 'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 8)) AS sar_id,
+sb00 AS (
+    SELECT 'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 8)) AS sar_id8,
+           'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 16)) AS sar_id16,
            strftime(gen.g, '%Y-%m-%dT%H:%M:%S') || 'Z' AS generated_at,
            CASE WHEN s.combined_score > 0.85 THEN 'CRITICAL' WHEN s.combined_score > 0.65 THEN 'HIGH' ELSE 'MEDIUM' END
                AS priority,
@@ -1008,6 +1009,11 @@ sb0 AS (
            COALESCE(p.structuring, FALSE) AS structuring_detected, COALESCE(p.xb, FALSE) AS cross_border
     FROM sus s CROSS JOIN gen LEFT JOIN prof p ON s.customer_id = p.pid
 ),
+sb0 AS (
+    SELECT CASE WHEN COUNT(*) OVER (PARTITION BY sar_id8) > 1 THEN sar_id16 ELSE sar_id8 END AS sar_id,
+           * EXCLUDE (sar_id8, sar_id16)
+    FROM sb00
+),
 sb AS (
     SELECT *, printf({_q(_K.LONG_NARRATIVE_TEMPLATE)}, customer_id, flagged_transaction_count,
                      format('{{:,.2f}}', total_flagged_amount_usd),

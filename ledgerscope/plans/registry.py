@@ -502,3 +502,10 @@ register("feature_pipeline")(
 register("udf_scores")(udf_scores)
 register("shuffle_rows")(lambda s, d: SA.sample_n(tx(s, d), 2**31 - 1).select("transaction_id", "amount_usd"))
 register("did_bootstrap_poisson")(lambda s, d: CA.did_bootstrap(tx(s, d), replicates=100, method="poisson"))
+
+from ledgerscope.sources import tables as TB  # noqa: E402
+
+register("table_fingerprint")(lambda s, d: TB.table_fingerprint(tx(s, d)))
+register("whatif_threshold_fallback")(
+    lambda s, d: CA.whatif_threshold(CA.fallback_scores(tx(s, d), current=0.01), current=0.01, new=0.008)
+)

@@ -76,3 +76,25 @@ def test_bootstrap_se_agrees_with_analytic(spark, sf):
     assert (a.n_00, a.n_01, a.n_10, a.n_11) == (28833, 25766, 2878, 2523)
     assert abs(b.se - a.se) / a.se < 0.2 and abs(p.se - a.se) / a.se < 0.35
     assert b.ate == a.ate and b.ate_lower < b.ate < b.ate_upper
+
+
+def test_fingerprint_invariant_under_repartitioning(spark, sf):
+    from ledgerscope.sources import ledger as L
+    from ledgerscope.sources.tables import table_fingerprint
+
+    tx = L.transactions(spark, sf)
+    a = table_fingerprint(tx).first()
+    b = table_fingerprint(tx.repartition(7, "sender_id")).first()
+    assert (a.rows, a.fingerprint) == (b.rows, b.fingerprint)
+
+
+def test_whatif_threshold_monotone(spark, sf):
+    from ledgerscope.operators import causal as CA
+    from ledgerscope.sources import ledger as L
+
+    sc = CA.fallback_scores(L.transactions(spark, sf), current=0.01)
+    lower = CA.whatif_threshold(sc, current=0.01, new=0.005).first()
+    higher = CA.whatif_threshold(sc, current=0.01, new=0.02).first()
+    assert lower.counterfactual_alerts >= lower.baseline_alerts
+    assert higher.counterfactual_alerts <= higher.baseline_alerts
+    assert lower.recommendation.startswith("Lowering") and higher.recommendation.startswith("Raising")
