@@ -1275,3 +1275,53 @@ ORACLE["feature_pipeline"] = W(
     + " FROM fx",
     FX_CTES,
 )
+
+# --- fitted scaler (normal training rows) and high-risk clusters ----------------------
+_F9 = _FC[:-1]
+SCALER_CTES = FX_CTES + """,
+sp AS (
+    SELECT transaction_id, is_suspicious,
+           CASE WHEN row_number() OVER (PARTITION BY is_suspicious ORDER BY md5(transaction_id || ':42'))
+                     <= ceil(COUNT(*) OVER (PARTITION BY is_suspicious) * 0.15::DOUBLE) THEN 'test' ELSE 'train' END AS split
+    FROM transactions
+),
+fr AS (SELECT fx.*, sp.is_suspicious, sp.split FROM fx JOIN sp ON fx.transaction_id = sp.transaction_id),
+st AS (
+    SELECT """ + ", ".join(
+    f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL THEN 1.0 ELSE STDDEV_POP({c}) END AS s_{c}"
+    for c in _F9
+) + """
+    FROM fr WHERE split = 'train' AND NOT is_suspicious
+)"""
+ORACLE["scaled_features"] = W(
+    "SELECT fr.transaction_id, fr.is_suspicious, fr.split, "
+    + ", ".join(f"round((fr.{c} - st.m_{c}) / st.s_{c}, 6) AS {c}" for c in _F9)
+    + " FROM fr CROSS JOIN st",
+    SCALER_CTES,
+)
+ORACLE["unscaled_features"] = W(
+    "SELECT transaction_id, is_suspicious, split, " + ", ".join(f"round({c}, 6) AS {c}" for c in _F9) + " FROM fr",
+    SCALER_CTES,
+)
+ORACLE["high_risk_clusters"] = W(
+    "SELECT component AS cluster_id, node, COUNT(*) OVER (PARTITION BY component) AS cluster_size FROM hcc",
+    FLAG_CTES
+    + ","
+    + RISK_CTES
+    + ","
+    + G_CTES
+    + """,
+hr AS (SELECT customer_id AS node FROM involved
+       WHERE customer_id IN (SELECT customer_id FROM risk WHERE gnn_risk_score > 0.6)),
+hp AS (
+    SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM ge
+    WHERE src != dst AND src IN (SELECT node FROM hr) AND dst IN (SELECT node FROM hr)
+),
+hadj AS (SELECT u AS a, v AS b FROM hp UNION ALL SELECT v, u FROM hp),
+hreach(node, lab) AS (
+    SELECT node, node FROM hr
+    UNION SELECT hadj.b, hreach.lab FROM hreach JOIN hadj ON hadj.a = hreach.node
+),
+hcc AS (SELECT node, MIN(lab) AS component FROM hreach GROUP BY node)""",
+    recursive=True,
+)
