@@ -53,7 +53,9 @@ def main() -> None:
     from ledgerscope.plans.registry import REGISTRY
     from ledgerscope.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    # one shuffle partition per core locally (AQE coalesces further); on a
+    # cluster the session's own setting is used by the library
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     from ledgerscope.plans.registry import _risk, _scores, cu, tx
 
     # Warm-up, not timed: every headline query once on the smallest fixture
