@@ -42,7 +42,9 @@ def written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
         import uuid
 
         df = build()
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+        # one folder per application, so a whole run's tables expire together
+        app = spark.sparkContext.applicationId
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{app}/{name}-{uuid.uuid4().hex[:12]}"
         df.write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
         _SCHEMAS[key] = df.schema
