@@ -98,3 +98,17 @@ def test_whatif_threshold_monotone(spark, sf):
     assert lower.counterfactual_alerts >= lower.baseline_alerts
     assert higher.counterfactual_alerts <= higher.baseline_alerts
     assert lower.recommendation.startswith("Lowering") and higher.recommendation.startswith("Raising")
+
+
+def test_keyset_page_equals_offset_page(spark, sf):
+    import __spark_entry__ as E
+    from ledgerscope.operators import profiles as PR
+    from ledgerscope.plans.registry import _scores
+
+    sc = _scores(spark, sf)
+    page1 = PR.alerts_after(sc, None, None, page_size=20, min_score=0.1).collect()
+    last = page1[-1]
+    page2 = PR.alerts_after(sc, last.combined_score, last.transaction_id, page_size=20, min_score=0.1).collect()
+    off = PR.alerts_page(sc, page=2, page_size=20, min_score=0.1).collect()
+    assert [r.transaction_id for r in page2] == [r.transaction_id for r in off]
+    assert E.queries()["alerts_page"](spark, sf).count() <= 50
