@@ -90,6 +90,12 @@ def round_trips(txns: DataFrame, depth: int = 2, max_hop_days: int = 7) -> DataF
     later than the previous by at most ``max_hop_days``."""
     gap = max_hop_days * DAY
     h = _hops(txns).filter(F.col("sender_id") != F.col("receiver_id"))
+    # Exact pruning: every hop of a closed chain starts at an account that also
+    # receives and ends at one that also sends, so transfers out of pure
+    # senders or into pure receivers (one-directional hubs) never join paths.
+    receivers = h.select(F.col("receiver_id").alias("sender_id")).distinct()
+    senders = h.select(F.col("sender_id").alias("receiver_id")).distinct()
+    h = h.join(receivers, "sender_id", "left_semi").join(senders, "receiver_id", "left_semi")
     path = h.select(
         F.col("sender_id").alias("a0"), F.col("receiver_id").alias("a1"),
         F.col("transaction_id").alias("t1"), F.col("s").alias("s1"), F.col("amount_cents").alias("c1"),

@@ -45,3 +45,11 @@ def test_round_trip_depth_two(spark):
     rows = [(T0, "A", "B", 100), (T0 + 5 * h, "B", "A", 100), (T0 + 300 * h, "B", "A", 100)]
     got = DT.round_trips(ledger(spark, rows), depth=2, max_hop_days=7).collect()
     assert [(r.txn_1, r.txn_2) for r in got] == [("T0", "T1")]
+
+
+def test_round_trips_ignore_one_directional_hub(spark):
+    h = dt.timedelta(hours=1)
+    rows = [(T0, "A", "B", 100), (T0 + 2 * h, "B", "C", 100), (T0 + 4 * h, "C", "A", 100)]
+    rows += [(T0 + i * h, "HUB", f"X{i}", 100) for i in range(30)]  # never receives: pruned
+    got = DT.round_trips(ledger(spark, rows), depth=3, max_hop_days=7).collect()
+    assert sorted((r.txn_1, r.txn_2, r.txn_3) for r in got) == [("T0", "T1", "T2")]
