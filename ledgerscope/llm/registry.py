@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerscope.llm.mixing import OP8_SQL, op8_source_mixing
+from ledgerscope.llm.packing import op7_best_fit_packing
 from ledgerscope.llm.pii import op4_pii
 from ledgerscope.llm.quality_classifier import op10_quality_mil
 from ledgerscope.llm.quality_rules import op5_quality_rules
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash": op6_simhash,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
     "op10_quality_mil": op10_quality_mil,
 }
