@@ -12,6 +12,7 @@ from ledgerscope.llm.pii import op4_pii
 from ledgerscope.llm.quality_classifier import op10_quality_mil
 from ledgerscope.llm.quality_rules import op5_quality_rules
 from ledgerscope.llm.simhash import op6_simhash
+from ledgerscope.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
+    "op9_token_files": op9_token_files,
     "op10_quality_mil": op10_quality_mil,
 }
 
