@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerscope.llm.language_id import op2_language_id
 from ledgerscope.llm.mixing import OP8_SQL, op8_source_mixing
 from ledgerscope.llm.packing import op7_best_fit_packing
 from ledgerscope.llm.pii import op4_pii
@@ -15,6 +16,7 @@ from ledgerscope.llm.simhash import op6_simhash
 from ledgerscope.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op4_pii": op4_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash": op6_simhash,
