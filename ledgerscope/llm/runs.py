@@ -18,21 +18,24 @@ from pyspark.sql import functions as F
 BLOCK = 2048
 
 
-def into_runs(rows: DataFrame, keys: list[str], ident: str, block: int = BLOCK) -> DataFrame:
+def into_runs(rows: DataFrame, keys: list[str], ident: str, block: int = BLOCK, carry: DataFrame | None = None) -> DataFrame:
     """``rows`` with the columns run (long), side (0 or 1) and whole (boolean).
 
     Buckets of one row are left out: they hold no pair. In a run that isn't
-    ``whole``, only pairs of unequal ``side`` belong to it.
+    ``whole``, only pairs of unequal ``side`` belong to it. ``carry`` has further
+    columns by ``ident``, joined once the single rows are gone.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     j = rows.join(counts, keys)
+    if carry is not None:
+        j = j.join(carry, ident)
     blocks = F.ceil(F.col("_n") / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), F.col(ident)), blocks).cast("int")
     j = j.withColumn("_b", own).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
     lo, hi = F.least("_b", "_o"), F.greatest("_b", "_o")
     j = j.withColumn("run", F.xxhash64(*keys, lo, hi)).withColumn("side", (F.col("_b") == hi).cast("int")).withColumn("whole", lo == hi)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return j.drop("_n", "_b", "_o", *keys).repartition(n, "run").sortWithinPartitions("run")
+    return j.drop("_n", "_b", "_o").repartition(n, "run").sortWithinPartitions("run")
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], least: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
