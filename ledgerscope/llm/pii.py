@@ -280,5 +280,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["base"])
     names = F.array(*[F.lit(k) for k in KINDS])
     as_text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("found", lambda s, i=i: s["base"] & (s["kind"] == i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return p.select("doc_id", *counts, F.sha2(F.encode(as_text(base), "UTF-8"), 256).alias("base_sha256"), as_text(F.col("found")).alias("spans"))
