@@ -8,6 +8,7 @@ Arrow works; a null text counts as an empty one.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -41,9 +42,17 @@ def ship(spark: SparkSession) -> None:
     sc._ledgerscope_shipped = True
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, tokenizes: bool = False) -> DataFrame:
+    """mapInArrow; a task that doesn't tokenize lets go of what its (reused) worker
+    remembers of earlier tokenizing tasks, so stages don't add up their memory."""
+
+    def task(batches):
+        if not tokenizes and (tokens := sys.modules.get("ledgerscope.llm.tokens")):
+            tokens.forget()
+        yield from run(batches)
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

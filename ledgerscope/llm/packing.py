@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         from pyspark import TaskContext
 
         tok, seen, pid = tokenizer(vocabulary), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, 6 << 20):
             rows = np.array(list(cut(*with_end(*tok.encode(b.column(1)), end_id))), np.int64).reshape(-1, 5)
             length = rows[:, 3]
             order = np.argsort(length, kind="stable")
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
             )
 
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(d, run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, pid int, place long")
+    return map_arrow(d, run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, pid int, place long", tokenizes=True)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 0.0, 0.0)) -> tuple[list[tuple[int, int, int, int, int]], int]:

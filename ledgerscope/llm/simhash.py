@@ -21,6 +21,7 @@ there; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from itertools import accumulate
 
 import numpy as np
@@ -38,7 +39,7 @@ SHINGLE, MAX_BITS, SEGMENTS, SEED = 4, 4, 6, 42
 
 def fingerprints(texts: list[str], shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
     """uint64 fingerprints; bytes.split and bytes.lower work on ASCII alone."""
-    hashes: list[int] = []
+    hashes = array("Q")
     off = [0]
     hash64 = xxhash.xxh64_intdigest
     for t in texts:
@@ -47,16 +48,16 @@ def fingerprints(texts: list[str], shingle: int = SHINGLE, seed: int = SEED) ->
             joined = b" ".join(words)
             ends = list(accumulate(len(w) + 1 for w in words))
             starts = [0, *ends]
-            hashes += [hash64(joined[s : e - 1], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=False)]
+            hashes.extend([hash64(joined[s : e - 1], seed) for s, e in zip(starts, ends[shingle - 1 :], strict=False)])
         elif words:
             hashes.append(hash64(b" ".join(words), seed))
         off.append(len(hashes))
     offs = np.array(off)
-    h = np.array(hashes, dtype=">u8")
+    h = np.frombuffer(hashes, np.uint64).astype(">u8")
     out = np.zeros(len(texts), np.uint64)
     n = np.diff(offs)
-    row, step = 0, 1 << 19
-    while row < len(texts):  # bits of at most half a million shingles at a time, or of one text
+    row, step = 0, 1 << 18
+    while row < len(texts):  # bits of at most a quarter million shingles at a time, or of one text
         to = max(row + 1, int(np.searchsorted(offs, offs[row] + step, side="right")) - 1)
         to = min(to, len(texts))
         counts = np.zeros((to - row, 64), np.int64)
@@ -76,7 +77,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int
     """(doc_id, fp long)."""
 
     def run(batches):
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, 4 << 20):
             fp = fingerprints(as_text(b.column(1)).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 

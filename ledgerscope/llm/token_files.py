@@ -48,7 +48,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
             held, rows, first = [], rows + 1, first + len(ids)
             return b
 
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, 6 << 20):
             ids, off = with_end(*tok.encode(b.column(1)), end_id)
             held.append((b.column(0), ids, np.diff(off)))
             if sum(len(h[1]) for h in held) >= RUN:
@@ -61,7 +61,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     h = F.xxhash64("text")
     d = d.repartitionByRange(n, F.col("doc_id"), h).sortWithinPartitions(F.col("doc_id"), h, F.col("text"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    files = map_arrow(d, run, f"pid int, run int, first long, n_tokens long, doc_ids array<{kind}>, data binary")
+    files = map_arrow(d, run, f"pid int, run int, first long, n_tokens long, doc_ids array<{kind}>, data binary", tokenizes=True)
     files.write.option("compression", "none").parquet(path)
 
 

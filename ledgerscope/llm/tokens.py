@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 from ledgerscope.llm.common import as_text, sums
 
-KEEP = 600_000
+KEEP = 300_000
 #: White space of any kind (Unicode and the ASCII separators), then a space.
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
@@ -51,6 +51,10 @@ def tokenizer(path: str | None = None) -> ChunkTokenizer:
     return _LOADED[path]
 
 
+def forget() -> None:
+    _LOADED.clear()
+
+
 class ChunkTokenizer:
     def __init__(self, path: str):
         import os
