@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 
 def idiv(a: Column, b: Column) -> Column:
-    """Integer division (SQL ``div``), exact for BIGINT operands."""
-    return F.call_function("div", a.cast("long"), b.cast("long"))
+    """Integer division (SQL ``div``), exact for BIGINT operands; null over zero,
+    so that aggregates of empty tables don't fail."""
+    return F.call_function("div", a.cast("long"), F.nullif(b.cast("long"), F.lit(0).cast("long")))
 
 
 def cents_to_usd(cents: Column) -> Column:

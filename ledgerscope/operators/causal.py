@@ -306,7 +306,6 @@ def _rule_parts(txns: DataFrame, scenarios: list[tuple[str, float, float]]):
     ranked = prefix_sums(
         txns.select("timestamp", "transaction_id", "amount_cents", F.lit(1).alias("_one")),
         [F.col("timestamp"), F.col("transaction_id")],
-        ["timestamp", "transaction_id"],
         ["_one"],
     )
     extras = ranked.select(

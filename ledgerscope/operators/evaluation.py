@@ -63,7 +63,7 @@ def _descending_cumulative(df: DataFrame, y: str, s: str) -> DataFrame:
     """tp/fp at threshold = each distinct score (score >= t), via prefix sums
     in descending score order."""
     sc = score_counts(df, y, s)
-    return prefix_sums(sc, [F.col("score").desc()], ["score"], ["pos", "neg"])
+    return prefix_sums(sc, [F.col("score").desc()], ["pos", "neg"])
 
 
 def pr_curve(df: DataFrame, y: str = "y_true", s: str = "y_score") -> DataFrame:
@@ -92,12 +92,13 @@ def roc_auc(df: DataFrame, y: str = "y_true", s: str = "y_score") -> DataFrame:
     sum over scores of pos x (negatives below + negatives tied / 2), over P x N.
     Null when only one class is present."""
     sc = score_counts(df, y, s)
-    cum = prefix_sums(sc, [F.col("score").asc()], ["score"], ["neg"])
+    cum = prefix_sums(sc, [F.col("score").asc()], ["neg"])
     below = F.col("neg_cum") - F.col("neg")
     tot = df.select(
         F.struct(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) != 1).alias("n")).alias("t")
     ).scalar()
-    num = F.sum(F.col("pos") * (below * 2 + F.col("neg")))
+    # the products outgrow BIGINT at some 1e9 positives times 1e10 negatives
+    num = F.sum(F.col("pos").cast("decimal(17,0)") * (below * 2 + F.col("neg")).cast("decimal(20,0)")).cast("double")
     return cum.agg(
         F.when((tot["p"] > 0) & (tot["n"] > 0), F.round(num / (F.lit(2.0) * tot["p"] * tot["n"]), 6)).alias("roc_auc")
     )

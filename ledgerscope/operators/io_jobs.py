@@ -41,7 +41,7 @@ def roundtrip_json_records(txns: DataFrame) -> DataFrame:
     p = scratch(spark, "json")
     recs.write.mode("overwrite").json(p)
     back = spark.read.schema(TRANSACTION_REQUEST).json(p)
-    return back.withColumn("timestamp", F.to_timestamp_ntz("timestamp"))
+    return back.withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
 
 
 def sar_reports_roundtrip(reports: DataFrame) -> DataFrame:
@@ -51,17 +51,19 @@ def sar_reports_roundtrip(reports: DataFrame) -> DataFrame:
     return spark.read.schema(reports.schema).json(p)
 
 
-def dataset_manifest(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
-    """SHA-256 and bytes per Parquet file (hashed by executors) with the
-    table's row count read from the Parquet footers via count()."""
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every Parquet file of every table below ``sf_dir`` (single files and
+    folders of part files): SHA-256 and bytes, hashed by executors, and its rows."""
     files = T.file_manifest(spark, sf_dir)
+    tables = sorted(r["table"] for r in files.select("table").distinct().collect())  # names of tables
     counts = None
     for t in tables:
-        c = T.read_raw(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(f"{t}.parquet").alias("file"), "rows"
-        )
+        rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}").groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count(F.lit(1)).alias("rows"))
+        c = rows.select(T.file_below(F.col("p"), t).alias("file"), "rows")
         counts = c if counts is None else counts.unionByName(c)
-    return files.join(counts, "file", "inner")
+    if counts is None:
+        return files.select("file", "bytes", "sha256", F.lit(0).cast("long").alias("rows"))
+    return files.join(counts, "file", "left").select("file", "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def preset_manifest(spark: SparkSession, sf_dir: str, presets: dict, out_dir: str | None = None) -> DataFrame:
@@ -77,7 +79,7 @@ def preset_manifest(spark: SparkSession, sf_dir: str, presets: dict, out_dir: st
             n = spark.read.option("header", True).csv(path).count()
             rows.append((name, n, path, None))
         except Exception as e:  # noqa: BLE001 - recorded, not raised
-            rows.append((name, None, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((name, None, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, "name string, rows long, file string, error string")
 
 

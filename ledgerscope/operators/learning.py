@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.functions.constants import NODE_FEATURES, TRANSACTION_FEATURES
 from ledgerscope.operators.features import apply_standardizer, fit_standardizer, invert_standardizer, transaction_features
+from ledgerscope.operators.prefix import prefix_sums
 from ledgerscope.operators.sampling import stratified_split
 from ledgerscope.session import cut_lineage
 
@@ -116,55 +117,54 @@ def feature_importance(attribution: DataFrame) -> DataFrame:
     )
 
 
-def permuted_rows(scaled: DataFrame, seed: int = 7, n_partitions: int | None = None) -> DataFrame:
-    """Rows whose feature columns are permuted independently: rows are spread
-    by hash over partitions, then inside each partition every column is
-    shuffled on its own (numpy, seeded by partition). Marginals are kept
-    exactly; the dependence between columns is broken."""
-    n = n_partitions or max(int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
-    base = scaled.select(*FEATS).repartition(n, F.xxhash64(*[F.col(c) for c in FEATS], F.lit(seed)))
-    schema = ", ".join(f"{c} double" for c in FEATS)
+def permuted_rows(scaled: DataFrame, seed: int = 7) -> DataFrame:
+    """Rows whose feature columns are permuted against each other: every row gets
+    a place in a hash order, and column i of the row at place p goes to the new
+    row at place p + i n / k (k columns, n rows, around the end). Marginals are
+    kept exactly, the dependence between columns is broken, and the result does
+    not depend on partitions or batches. One shuffle of narrow rows."""
+    n_cols = len(FEATS)
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in FEATS])
+    base = scaled.select(*FEATS, h.alias("_h"), F.lit(1).cast("long").alias("_one"))
+    placed = prefix_sums(base, [F.col("_h"), *[F.col(c) for c in FEATS]], ["_one"])
+    n = scaled.select(F.count(F.lit(1))).scalar()
+    shift = lambda i: F.call_function("div", n * i, F.lit(n_cols))
+    parts = F.array(*[F.struct(F.lit(i).alias("c"), F.pmod(F.col("_one_cum") - 1 + shift(i), n).alias("p"), F.col(c).alias("v")) for i, c in enumerate(FEATS)])
+    long = placed.select(F.explode(parts).alias("x")).select("x.*")
+    return long.groupBy("p").agg(*[F.max(F.when(F.col("c") == i, F.col("v"))).alias(c) for i, c in enumerate(FEATS)]).select(*FEATS)
+
+
+def real_vs_permuted_scores(txns: DataFrame, seed: int = 7) -> DataFrame:
+    """Second detector: a classifier of real normal rows against rows with
+    permuted columns; the score is 1 - P(real). Permuting keeps each column's
+    distribution, so only the dependence between columns tells the two apart:
+    boosted trees, which a linear model can't replace here."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
 
-    def shuffle(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId() if TaskContext.get() else 0
-        rng = np.random.default_rng(seed * 100003 + pid)
-        for pdf in batches:
-            out = {c: rng.permutation(pdf[c].to_numpy()) for c in FEATS}
-            yield pd.DataFrame(out)
-
-    return base.mapInPandas(shuffle, schema)
-
-
-def real_vs_permuted_scores(txns: DataFrame) -> DataFrame:
-    """Second detector: a classifier of real normal rows against
-    column-permuted rows; the score is 1 - P(real)."""
     frame = training_frame(txns)
     sc = scaled_features(frame)
     real = sc.filter((F.col("split") == "train") & ~F.col("is_suspicious")).select(*FEATS).withColumn("label", F.lit(1.0))
-    fake = permuted_rows(real.select(*FEATS)).withColumn("label", F.lit(0.0))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50, regParam=1e-3)
-    model = lr.fit(_assemble(real.unionByName(fake), FEATS))
-    return sc.select(
-        "transaction_id", "is_suspicious", (F.lit(1.0) - logistic_probability(model, FEATS)).alias("gan_score")
-    )
+    fake = permuted_rows(real.select(*FEATS), seed).withColumn("label", F.lit(0.0))
+    rows = cut_lineage(_assemble(real.unionByName(fake), FEATS))  # each boosting round reads it again
+    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=15, maxDepth=5, seed=seed).fit(rows)
+    scored = model.transform(_assemble(sc, FEATS))
+    return scored.select("transaction_id", "is_suspicious", (F.lit(1.0) - vector_to_array("probability")[1]).alias("gan_score"))
 
 
-def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, buckets: int | None = None) -> DataFrame:
+def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, buckets: int = 64) -> DataFrame:
     """Synthetic suspicious rows: each suspicious row is interpolated towards
     its successor in hash order inside its (typology, hash bucket), wrapping
     around at the end of the bucket, with a hash-derived weight in [0, 1).
     The buckets keep any one typology from sitting in a single task, and the
     wrap-around gives every row a partner (a singleton bucket pairs a row with
-    itself)."""
+    itself). Their number is a parameter, so the result doesn't depend on the
+    session's partitions."""
     from pyspark.sql import Window
 
-    nb_ = buckets or max(int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
     f = transaction_features(txns, keep=["is_suspicious", "label"]).filter(F.col("is_suspicious"))
     h = F.md5(F.concat(F.col("transaction_id"), F.lit(f":{seed}")))
-    f = f.withColumn("_h", h).withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(nb_)))
+    f = f.withColumn("_h", h).withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(buckets)))
     w = Window.partitionBy("label", "_b").orderBy("_h")
     wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     nb = f.select(

@@ -1,15 +1,12 @@
 """Global running totals and dense indexes without a single-task window.
 
 ``Window.orderBy(x)`` with no partition moves every row to one task. Here the
-rows are cut into ordered buckets by boundaries fitted once (approximate
-quantiles of the leading order key: a one-row fit whose n-1 values become
-literals in the plan, so every branch and every retried task sees the same
-values). Each bucket computes its
-local running sum; per-bucket totals (one row per bucket, bounded by the
-bucket count) become offsets that are broadcast and added back.
-
-Bucket ids are a pure function of the key and the fixed boundaries, so a lost
-executor recomputes exactly the same assignment.
+rows are range-partitioned by the whole order key, so neither a common prefix of
+the keys nor many rows with one leading value fill a task; each partition
+computes its local running sum, and the totals of the partitions (one row each)
+become offsets that are added back. The range-partitioned rows are checkpointed,
+because range bounds are sampled anew by every execution, and a retried task
+must see the same partitions.
 """
 
 from __future__ import annotations
@@ -17,90 +14,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerscope.session import cut_lineage
 
-def _parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 2)
-
-
-MAX_BUCKETS = 1024
-
-
-def _count_le_tree(bounds: list, key: Column, dtype: str, strict: bool) -> Column:
-    """Number of sorted ``bounds`` below ``key`` (``<`` when strict, else
-    ``<=``) as a balanced CASE tree: O(log m) comparisons per row."""
 
-    def lit(v):
-        return F.lit(v).cast(dtype)
-
-    def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; bounds[lo:hi] undecided
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        cond = (lit(bounds[mid]) < key) if strict else (lit(bounds[mid]) <= key)
-        return F.when(cond, build(mid + 1, hi)).otherwise(build(lo, mid))
-
-    return build(0, len(bounds))
-
-
-def bucket_of(df: DataFrame, key: str, n: int, descending: bool = False) -> Column:
-    """Ordered bucket id in [0, n) for ``key``; equal keys share a bucket."""
-    n = max(2, min(n, MAX_BUCKETS))
-    qs = [i / n for i in range(1, n)]
-    fitted = df.select(F.percentile_approx(F.col(key), qs, 10000).alias("b")).first()["b"] or []
-    bounds = sorted(set(fitted))
-    if not bounds:
-        return F.lit(0)
-    dtype = dict(df.dtypes)[key]
-    k = F.col(key)
-    if descending:
-        # buckets in descending key order: number of bounds strictly above the key
-        return F.lit(len(bounds)) - _count_le_tree(bounds, k, dtype, strict=False)
-    return _count_le_tree(bounds, k, dtype, strict=True)
+def _parts(df: DataFrame, n: int | None) -> int:
+    return n or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 2)
 
 
 def prefix_sums(
     df: DataFrame,
     order: list[Column],
-    order_names: list[str],
     values: list[str],
     suffix: str = "_cum",
     n_partitions: int | None = None,
-    descending: bool | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``values`` in the total order ``order``
-    (unique per row). Buckets come from the first order column;
-    ``descending`` tells its direction (inferred from the Column otherwise)."""
-    n = _parts(df, n_partitions)
-    if descending is None:
-        descending = " DESC" in str(order[0]).upper()
-    lead = order_names[0]
-    b = df.withColumn("_pid", bucket_of(df, lead, n, descending))
+    (unique per row; columns may be descending)."""
+    ranged = df.repartitionByRange(_parts(df, n_partitions), *order).withColumn("_pid", F.spark_partition_id())
+    b = cut_lineage(ranged)
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select("*", *[F.sum(v).over(w).alias(f"_{v}_loc") for v in values])
     totals = b.groupBy("_pid").agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_{v}_tot").over(wo), F.lit(0)).alias(f"_{v}_off") for v in values])
-    j = local.join(F.broadcast(offsets), "_pid", "left")
+    j = local.join(F.broadcast(offsets), "_pid", "left")  # one row per partition
     return j.select(
-        *[c for c in df.columns],
+        *df.columns,
         *[(F.col(f"_{v}_loc") + F.coalesce(F.col(f"_{v}_off"), F.lit(0))).alias(f"{v}{suffix}") for v in values],
     )
 
 
 def dense_index(df: DataFrame, key: str, name: str = "idx", n_partitions: int | None = None) -> DataFrame:
-    """Map each distinct ``key`` to 0..k-1 in sorted key order. For keys that
-    percentile_approx cannot order (strings), buckets come from a hash-free
-    order-preserving stand-in: the key's leading bytes as a number."""
+    """Map each distinct ``key`` to 0..k-1 in sorted key order."""
     keys = df.select(key).distinct().withColumn("_one", F.lit(1))
-    dt = dict(keys.dtypes)[key]
-    if dt == "string":
-        # Order-preserving numeric prefix of the string (first 7 bytes, big-endian).
-        hexp = F.rpad(F.hex(F.substring(F.encode(F.col(key), "UTF-8").cast("binary"), 1, 7)), 14, "0")
-        keys = keys.withColumn("_ord", F.conv(hexp, 16, 10).cast("long"))
-        cum = prefix_sums(keys, [F.col("_ord"), F.col(key)], ["_ord", key], ["_one"], n_partitions=n_partitions, descending=False)
-    else:
-        cum = prefix_sums(keys, [F.col(key)], [key], ["_one"], n_partitions=n_partitions, descending=False)
+    cum = prefix_sums(keys, [F.col(key)], ["_one"], n_partitions=n_partitions)
     return cum.select(key, (F.col("_one_cum") - 1).cast("long").alias(name))

@@ -23,6 +23,11 @@ def sample_n(df: DataFrame, n: int, id_col: str = "transaction_id", seed: int =
     return df.withColumn("_h", hash_key(id_col, seed)).orderBy("_h").limit(n).drop("_h")
 
 
+def shuffle_rows(df: DataFrame, id_col: str = "transaction_id", seed: int = 42) -> DataFrame:
+    """All rows in hash order: a distributed range sort, no limit."""
+    return df.withColumn("_h", hash_key(id_col, seed)).orderBy("_h").drop("_h")
+
+
 def balanced_sample(df: DataFrame, class_col: str, per_class: dict, id_col: str = "transaction_id", seed: int = 42) -> DataFrame:
     """Fixed counts per class (classes and counts are given, so bounded)."""
     out = None
@@ -39,7 +44,7 @@ def _class_ranks(df: DataFrame, class_col: str, classes: list, id_col: str, seed
         F.conv(F.substring(h, 1, 15), 16, 10).cast("long").alias("_hn"),
         *[(F.col(class_col) == F.lit(c)).cast("long").alias(f"_c{i}") for i, c in enumerate(classes)],
     )
-    cum = prefix_sums(base, [F.col("_hn"), F.col("_h")], ["_hn", "_h"], [f"_c{i}" for i in range(len(classes))], descending=False)
+    cum = prefix_sums(base, [F.col("_hn"), F.col("_h"), F.col(id_col)], [f"_c{i}" for i in range(len(classes))])
     rank = None
     for i, c in enumerate(classes):
         e = F.when(F.col(class_col) == F.lit(c), F.col(f"_c{i}_cum"))

@@ -4,7 +4,7 @@ driver loop over suspects."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerscope.functions import constants as K
@@ -80,8 +80,7 @@ def sar_base(txns: DataFrame, suspects: DataFrame, generated_at=None) -> DataFra
     )
     ts_text = F.concat(F.date_format(gen, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     return j.select(
-        S.deterministic_id("SAR-", F.col("customer_id"), F.date_format(gen, "yyyy-MM-dd")).alias("sar_id"),
-        S.deterministic_id("SAR-", F.col("customer_id"), F.date_format(gen, "yyyy-MM-dd"), width=16).alias("_sar_id_wide"),
+        S.deterministic_id("SAR-", F.col("customer_id"), F.date_format(gen, "yyyy-MM-dd"), width=16).alias("sar_id"),
         ts_text.alias("generated_at"),
         F.date_format(gen, "yyyy-MM-dd").alias("report_date"),
         S.sar_priority(F.col("combined_score")).alias("priority"),
@@ -99,11 +98,6 @@ def sar_base(txns: DataFrame, suspects: DataFrame, generated_at=None) -> DataFra
         F.coalesce("cross_border_count", F.lit(0)).alias("cross_border_count"),
         F.coalesce("flagged_amount_usd", F.lit(0.0)).alias("flagged_amount_usd"),
     ).withColumn(
-        # widen the id where two suspects of one batch share the short form
-        # (the window groups rows by short id: groups of one or two rows)
-        "sar_id",
-        F.when(F.count(F.lit(1)).over(Window.partitionBy("sar_id")) > 1, F.col("_sar_id_wide")).otherwise(F.col("sar_id")),
-    ).drop("_sar_id_wide").withColumn(
         "narrative",
         long_narrative(
             F.col("customer_id"), F.col("flagged_transaction_count"), F.col("total_flagged_amount_usd"),

@@ -16,7 +16,7 @@ by the grid, not by the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerscope.functions import scalar as S
@@ -45,10 +45,13 @@ def customer_risk_scores(txns: DataFrame, custs: DataFrame) -> DataFrame:
 
 
 def raw_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Stand-in raw score = |sender z-score| / 5 on a 1e-6 grid."""
+    """Stand-in raw score = |sender z-score| / 5 on a 1e-6 grid; the second
+    detector's stand-in (``gan_score``) is another column of the same row."""
     keep = keep or []
     base = ["transaction_id", "sender_id", "receiver_id", "amount_cents", "amount_usd", "is_suspicious"]
     z = with_sender_zscore(txns)
+    if "gan_score" in keep:
+        z = z.withColumn("gan_score", secondary_score())
     return z.select(
         *base,
         *[c for c in keep if c not in base],
@@ -72,12 +75,6 @@ def finish_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def transaction_scores(txns: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Stand-in score = |sender z-score| / 5 on a 1e-6 grid, normalised by its
-    fitted max; threshold = p95 of the normal rows; flagged = score >= threshold."""
-    return finish_scores(raw_scores(txns, keep))
-
-
 def anomaly_threshold(scores: DataFrame, score_col: str = "combined_score", q: float = ANOMALY_PERCENTILE) -> DataFrame:
     return scores.filter(~F.col("is_suspicious")).agg(
         F.round(F.percentile(score_col, q), 9).alias("threshold"), F.count(F.lit(1)).alias("normal_rows")
@@ -99,29 +96,19 @@ def flagged_transactions(scores: DataFrame) -> DataFrame:
     )
 
 
-def secondary_score(txns: DataFrame) -> DataFrame:
+def secondary_score() -> Column:
     """Stand-in for the second detector in [0, 1]: mean of the structuring and
     cross-border flags."""
-    return txns.select(
-        "transaction_id",
-        (
-            (F.col("structuring_flag").cast("double") + S.is_cross_border(F.col("country_origin"), F.col("country_dest")))
-            / 2.0
-        ).alias("gan_score"),
-    )
+    return (F.col("structuring_flag").cast("double") + S.is_cross_border(F.col("country_origin"), F.col("country_dest"))) / 2.0
 
 
-def fused_scores(scores: DataFrame, secondary: DataFrame | None) -> DataFrame:
-    """0.6 x normalised primary + 0.4 x secondary; primary alone without one."""
-    base = scores.select("transaction_id", "vae_score", F.col("combined_score").alias("vae_norm"))
-    if secondary is None:
-        return base.select("transaction_id", "vae_score", F.col("vae_norm").alias("combined_score"))
-    j = base.join(secondary, "transaction_id", "inner")
-    return j.select(
-        "transaction_id",
-        "vae_score",
-        F.round(S.fuse(F.col("vae_norm"), F.col("gan_score")), 6).alias("combined_score"),
-    )
+def fused_scores(scores: DataFrame, secondary: str | None = "gan_score") -> DataFrame:
+    """0.6 x normalised primary + 0.4 x secondary; primary alone without one.
+    Both are columns of the same row, so no row can be lost; a row without a
+    second score keeps its primary one."""
+    alone = F.col("combined_score")
+    both = alone if secondary is None else F.coalesce(F.round(S.fuse(alone, F.col(secondary)), 6), alone)
+    return scores.select("transaction_id", "vae_score", both.alias("combined_score"))
 
 
 def batch_scores(scores: DataFrame) -> DataFrame:

@@ -994,8 +994,7 @@ prof AS (
 ),
 gen AS (SELECT MAX("timestamp") AS g FROM transactions),
 sb00 AS (
-    SELECT 'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 8)) AS sar_id8,
-           'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 16)) AS sar_id16,
+    SELECT 'SAR-' || upper(substr(sha256(s.customer_id || chr(1) || strftime(gen.g, '%Y-%m-%d')), 1, 16)) AS sar_id16,
            strftime(gen.g, '%Y-%m-%dT%H:%M:%S') || 'Z' AS generated_at,
            CASE WHEN s.combined_score > 0.85 THEN 'CRITICAL' WHEN s.combined_score > 0.65 THEN 'HIGH' ELSE 'MEDIUM' END
                AS priority,
@@ -1010,8 +1009,8 @@ sb00 AS (
     FROM sus s CROSS JOIN gen LEFT JOIN prof p ON s.customer_id = p.pid
 ),
 sb0 AS (
-    SELECT CASE WHEN COUNT(*) OVER (PARTITION BY sar_id8) > 1 THEN sar_id16 ELSE sar_id8 END AS sar_id,
-           * EXCLUDE (sar_id8, sar_id16)
+    SELECT sar_id16 AS sar_id,
+           * EXCLUDE (sar_id16)
     FROM sb00
 ),
 sb AS (
@@ -1082,7 +1081,7 @@ FROM transactions""",
 # --- sampling -------------------------------------------------------------------------
 ORACLE["sample_scatter"] = W("""
 SELECT transaction_id, sender_id, receiver_id, amount_usd FROM transactions
-ORDER BY md5(transaction_id || ':42') LIMIT 500""")
+ORDER BY md5(transaction_id || ':42') LIMIT 5000""")
 ORACLE["balanced_sample"] = W("""
 SELECT * FROM (SELECT transaction_id, is_suspicious, amount_usd FROM transactions WHERE is_suspicious
                ORDER BY md5(transaction_id || ':42') LIMIT 200)

@@ -106,7 +106,7 @@ def _scores(s, d):
     """The scored ledger, written once: downstream keys read it several times
     (fitted max, p95 threshold, sweeps, curves), and a lost executor resumes
     from the written table instead of re-deriving it."""
-    raw = written(s, d, "raw_scores", lambda: SCO.raw_scores(tx(s, d), keep=["transaction_type"]))
+    raw = written(s, d, "raw_scores", lambda: SCO.raw_scores(tx(s, d), keep=["transaction_type", "gan_score"]))
     return written(s, d, "scores", lambda: SCO.finish_scores(raw))
 
 
@@ -126,7 +126,7 @@ register("anomaly_scores")(
 register("anomaly_threshold")(lambda s, d: SCO.anomaly_threshold(_scores(s, d)))
 register("customer_alerts")(lambda s, d: SCO.customer_alerts(_scores(s, d)))
 register("flagged_transactions")(lambda s, d: SCO.flagged_transactions(_scores(s, d)))
-register("fused_scores")(lambda s, d: SCO.fused_scores(_scores(s, d), SCO.secondary_score(tx(s, d))))
+register("fused_scores")(lambda s, d: SCO.fused_scores(_scores(s, d)))
 register("batch_scores")(lambda s, d: SCO.batch_scores(_scores(s, d)))
 register("high_risk_network")(lambda s, d: P.high_risk_network(tx(s, d), _risk(s, d)))
 register("anomaly_flagged_customers")(lambda s, d: P.anomaly_flagged_customers(SCO.customer_alerts(_scores(s, d))))
@@ -266,7 +266,7 @@ register("sar_lookup")(lambda s, d: SR.sar_lookup(SR.sar_reports(_sar_base(s, d)
 register("sar_kpis")(lambda s, d: SR.sar_kpis(SR.sar_summary(_sar_base(s, d))))
 register("engine_usage")(lambda s, d: SR.engine_usage(SR.sar_summary(_sar_base(s, d))))
 register("command_center_kpis")(lambda s, d: SR.command_center_kpis(tx(s, d), SR.sar_summary(_sar_base(s, d))))
-register("sample_scatter")(lambda s, d: SA.sample_n(tx(s, d), 500).select("transaction_id", "sender_id", "receiver_id", "amount_usd"))
+register("sample_scatter")(lambda s, d: SA.sample_n(tx(s, d), 5000).select("transaction_id", "sender_id", "receiver_id", "amount_usd"))
 register("balanced_sample")(
     lambda s, d: SA.balanced_sample(tx(s, d), "is_suspicious", {True: 200, False: 200}).select(
         "transaction_id", "is_suspicious", "amount_usd"
@@ -278,8 +278,6 @@ register("stratified_split_3way")(lambda s, d: SA.stratified_split_3way(tx(s, d)
 from ledgerscope.operators import io_jobs as IO  # noqa: E402
 from ledgerscope.sources import validate as VA  # noqa: E402
 
-RAW_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
 
 def _records(s, d):
     return VA.parse_records(VA.to_records(tx(s, d)))
@@ -326,7 +324,7 @@ register("parse_records")(_records)
 register("validate_valid")(lambda s, d: VA.validate_valid(_records(s, d)))
 register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_records(s, d)))
 register("sar_reports_json")(lambda s, d: IO.sar_reports_roundtrip(SR.sar_reports(_sar_base(s, d))))
-register("dataset_manifest")(lambda s, d: IO.dataset_manifest(s, d, RAW_TABLES))
+register("dataset_manifest")(lambda s, d: IO.dataset_manifest(s, d))
 register("evaluation_report")(
     lambda s, d: IO.evaluation_report(EV.classification_metrics(_eval(s, d)), "zscore-standin", "2024-01-01T00:00:00Z")
 )
@@ -502,8 +500,8 @@ register("feature_pipeline")(
     lambda s, d: round_doubles(MS.build_transaction_pipeline().fit(tx(s, d)).transform(tx(s, d)))
 )
 register("udf_scores")(udf_scores)
-register("shuffle_rows")(lambda s, d: SA.sample_n(tx(s, d), 2**31 - 1).select("transaction_id", "amount_usd"))
-register("did_bootstrap_poisson")(lambda s, d: CA.did_bootstrap(tx(s, d), replicates=100, method="poisson"))
+register("shuffle_rows")(lambda s, d: SA.shuffle_rows(tx(s, d)).select("transaction_id", "amount_usd"))
+register("did_bootstrap_poisson")(lambda s, d: CA.did_bootstrap(tx(s, d), replicates=500, method="poisson"))
 
 from ledgerscope.sources import tables as TB  # noqa: E402
 

@@ -41,8 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when it is unset (local tests) do we make a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
     if not path:
         path = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    if not path and not master.startswith("local"):
+        # executors would each write to a disk of their own, and later reads miss those rows
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

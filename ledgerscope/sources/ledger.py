@@ -24,7 +24,10 @@ from ledgerscope.sources.tables import read_raw
 
 
 def customer_key_to_id(col: Column) -> Column:
-    return F.concat(F.lit("CUST_"), F.lpad(col.cast("string"), 6, "0"))
+    """``CUST_`` and the key, padded to six digits; longer keys stay whole (a bare
+    lpad would also cut them and merge accounts)."""
+    key = col.cast("string")
+    return F.concat(F.lit("CUST_"), F.when(F.length(key) < 6, F.lpad(key, 6, "0")).otherwise(key))
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:

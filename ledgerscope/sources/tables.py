@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jpath) and fs.getFileStatus(jpath).isDirectory()
+
+
 def safe_read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan with an explicit schema; a missing path gives an empty table
     that keeps the schema (so downstream plans still resolve)."""
@@ -74,21 +81,32 @@ def assert_required_columns(df: DataFrame, required: list[str], name: str = "dat
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a table: row count and XOR of row hashes.
+    """Order-free fingerprint of a table: row count and sum of row hashes (a sum,
+    since equal rows would cancel out in an XOR).
 
     Computed with one partial aggregate per partition; independent of file
     order and of the partitioning."""
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])).alias("fingerprint"),
+        F.coalesce(F.sum(F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"),
     )
 
 
+def file_below(path: Column, table: str) -> Column:
+    """``table`` itself, or table/part-file, from a full path."""
+    at = re.escape(table)
+    return F.regexp_extract(path, rf"/({at}(?:/[^/]+)*)$", 1)
+
+
 def file_manifest(spark: SparkSession, directory: str, glob: str = "*.parquet") -> DataFrame:
-    """SHA-256 and size per file, hashed on the executors (binaryFile source)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+    """SHA-256 and size per file, hashed on the executors (binaryFile source),
+    also of part files in table folders."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(directory)
+    root = rf"/{re.escape(directory.rstrip('/').rpartition('/')[2])}/([^/]+\.parquet(?:/[^/]+)*)$"
+    name = F.regexp_extract("path", root, 1)
     return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+        name.alias("file"),
+        F.split_part(name, F.lit("/"), F.lit(1)).alias("table"),
         F.col("length").alias("bytes"),
         F.sha2(F.col("content"), 256).alias("sha256"),
     )

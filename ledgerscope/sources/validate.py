@@ -33,7 +33,7 @@ def parse_records(records: DataFrame, col: str = "record") -> DataFrame:
     """JSON text -> typed rows; a missing or unparsable timestamp becomes the
     fixed default; missing flags become False."""
     r = records.select(F.from_json(F.col(col), TRANSACTION_REQUEST).alias("r")).select("r.*")
-    ts = F.coalesce(F.to_timestamp_ntz(F.col("timestamp")), F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
+    ts = F.coalesce(F.col("timestamp").try_cast("timestamp_ntz"), F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
     return r.select(
         "transaction_id", ts.alias("timestamp"), "sender_id", "receiver_id", "amount_usd", "transaction_type",
         "country_origin", "country_dest", *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in FLAGS],

@@ -42,12 +42,12 @@ def ntz_micros(ts):
 
 
 def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    s = (
-        spark.readStream.schema(RAW["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(sf_dir)
-    )
+    from ledgerscope.sources.tables import is_folder
+
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    reader = spark.readStream.schema(RAW["events"]).option("maxFilesPerTrigger", files_per_trigger)
+    # a folder of part files is the stream's folder; a single file is picked out of its own
+    s = reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return s.withColumn("event_time", F.timestamp_micros(ntz_micros(F.col("ts")))).withColumn(
         "value_cents", F.round(F.col("value") * 100).cast("long")
     )
@@ -71,10 +71,6 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return safe_read_parquet(spark, path, schema)
 
 
-def _sink_schema(df: DataFrame) -> T.StructType:
-    return df.schema
-
-
 def stream_velocity(spark: SparkSession, sf_dir: str, min_count: int = 2, delay: str = "1 hour") -> DataFrame:
     ev = event_stream(spark, sf_dir).withWatermark("event_time", delay)
     agg = (
@@ -129,11 +125,14 @@ def user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-static join: each event is scored against stored per-user
-    statistics (the static side is re-read per micro-batch)."""
+    statistics, aggregated and written once; micro-batches read the small table."""
     from ledgerscope.functions.scalar import zscore
 
     ev = event_stream(spark, sf_dir)
-    st = user_stats(spark, sf_dir)
+    fitted = user_stats(spark, sf_dir)
+    path = _dir(spark, "user-stats")
+    fitted.write.parquet(path)
+    st = spark.read.schema(fitted.schema).parquet(path)
     z = zscore(F.col("value"), F.col("mean_value"), F.col("sd_value"))
     out = ev.join(st, "user_id", "left").select(
         "event_id", "user_id", F.round(z, 6).alias("z_score"), F.round(F.abs(z) / 5.0, 6).alias("anomaly_score")
@@ -143,44 +142,34 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sender_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-user running count / sum / sum of squares kept in the state store
-    (applyInPandasWithState, update mode); the latest state per user is read
-    back. Its mean and sd equal the batch aggregates."""
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    ev = event_stream(spark, sf_dir).filter(F.col("value_cents").isNotNull()).select("user_id", "value_cents")
-    out_schema = "user_id long, n long, total long, total_sq double"
-    state_schema = "n long, total long, total_sq double"
-
-    def update(key, batches, state):
-        n, s, q = state.get if state.exists else (0, 0, 0.0)
-        for pdf in batches:
-            v = pdf["value_cents"].astype("int64")
-            n += int(v.count())
-            s += int(v.sum())
-            q += float((v.astype(float) ** 2).sum())
-        state.update((n, s, q))
-        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "total": [s], "total_sq": [q]})
-
-    st = ev.groupBy("user_id").applyInPandasWithState(update, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+    """Per-user running count, sum and sum of squares kept in the state store by
+    a built-in aggregate in update mode; the latest state per user is read back.
+    Sums of cents are exact, so mean and sd equal the batch aggregates."""
+    from ledgerscope.functions.money import idiv
+
+    cents = F.col("value_cents")
+    ev = event_stream(spark, sf_dir).filter(cents.isNotNull())
+    st = ev.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(cents).alias("total"),
+        F.sum(cents.cast("decimal(18,0)") * cents.cast("decimal(18,0)")).cast("decimal(38,0)").alias("total_sq"),
+    )
 
     def sink(batch, batch_id, base):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/out/part={batch_id}")
 
     base, _ = run_to_sink(st, "state", mode="update", foreach=sink)
-    schema = T.StructType(T._parse_datatype_string(out_schema).fields + [T.StructField("batch_id", T.IntegerType())])
+    schema = T.StructType([*st.schema.fields, T.StructField("batch_id", T.IntegerType())])
     got = spark.read.schema(schema).parquet(f"{base}/out") if _has(spark, f"{base}/out") else spark.createDataFrame([], schema)
     latest = got.groupBy("user_id").agg(F.max_by(F.struct("n", "total", "total_sq"), "batch_id").alias("s")).select("user_id", "s.*")
-    from ledgerscope.functions.money import idiv
-
-    n, s = F.col("n"), F.col("total")
-    mean_c = s / n
-    var_c = (F.col("total_sq") - n * mean_c * mean_c) / (n - 1)
+    n, total = F.col("n"), F.col("total")
+    wide = total.cast("decimal(19,0)")
+    spread = (n.cast("decimal(10,0)") * F.col("total_sq").cast("decimal(28,0)") - (wide * wide).cast("decimal(38,0)")).cast("double")
+    var = F.greatest(spread, F.lit(0.0)) / n / F.nullif(n - 1, F.lit(0))
     return latest.select(
         "user_id", "n",
-        (idiv(s * 20000 + n, n * 2) / F.lit(1e6)).alias("mean_value"),
-        F.round(F.sqrt(F.greatest(var_c, F.lit(0.0))) / F.lit(100.0), 6).alias("sd_value"),
+        (idiv(total * 20000 + n, n * 2) / F.lit(1e6)).alias("mean_value"),
+        F.round(F.sqrt(var) / F.lit(100.0), 6).alias("sd_value"),
     )
 
 
@@ -206,16 +195,16 @@ def stream_alert_sink(spark: SparkSession, sf_dir: str, min_value: float = 0.0)
 
 
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live counters via ``observe``: per micro-batch event count and the
-    count of high-value events, read from the query progress."""
-    ev = event_stream(spark, sf_dir).observe(
-        "counters", F.count(F.lit(1)).alias("events"), F.count_if(F.col("value") > 100).alias("high_value")
-    )
-    out = ev.select("event_id")
-    base, q = run_to_sink(out, "counters")
-    rows = []
-    for p in q.recentProgress:
-        m = (p.observedMetrics or {}).get("counters")
-        if m is not None:
-            rows.append((int(p.batchId), int(m["events"]), int(m["high_value"])))
-    return spark.createDataFrame(rows, "batch_id long, events long, high_value long")
+    """Live counters: per micro-batch the event count and the count of
+    high-value events, written batch by batch (query progress keeps only the
+    last hundred)."""
+    schema = "batch_id long, events long, high_value long"
+    ev = event_stream(spark, sf_dir).select("value")
+
+    def sink(batch, batch_id, base):
+        counted = batch.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("value") > 100).alias("high_value"))
+        one = counted.select(F.lit(batch_id).cast("long").alias("batch_id"), "events", "high_value")
+        one.write.mode("overwrite").parquet(f"{base}/out/part={batch_id}")
+
+    base, _ = run_to_sink(ev, "counters", foreach=sink)
+    return spark.read.schema(schema).parquet(f"{base}/out") if _has(spark, f"{base}/out") else spark.createDataFrame([], schema)

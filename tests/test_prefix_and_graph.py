@@ -13,7 +13,7 @@ def test_prefix_sums_match_cumsum(spark):
     df = spark.createDataFrame([(i, int(v)) for i, v in enumerate(vals)], "k long, v long").repartition(7)
     for desc in (False, True):
         order = [F.col("k").desc()] if desc else [F.col("k")]
-        got = {r.k: r.v_cum for r in prefix_sums(df, order, ["k"], ["v"], n_partitions=5).collect()}
+        got = {r.k: r.v_cum for r in prefix_sums(df, order, ["v"], n_partitions=5).collect()}
         seq = list(range(len(vals)))[::-1] if desc else list(range(len(vals)))
         acc = 0
         for k in seq:
