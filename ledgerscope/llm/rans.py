@@ -29,7 +29,12 @@ _W = np.uint64(32)
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Symbols, their frequencies (each 1 or more, together 2^bits) and bits."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    if ids.max(initial=0) < 1 << 22:
+        every = np.bincount(ids)
+        symbols = np.flatnonzero(every)
+        counts = every[symbols]
+    else:
+        symbols, counts = np.unique(ids, return_counts=True)
     bits = max(16, int(len(symbols)).bit_length() + 2)
     total = 1 << bits
     f = np.maximum(1, counts * total // max(1, counts.sum())).astype(np.int64)
@@ -59,7 +64,12 @@ def encode(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     top = f64 << shift
     steps = -(-min(n, BLOCK) // LANES)
     code = np.zeros(blocks * BLOCK, np.int32)
-    code[:n] = np.searchsorted(symbols, ids)
+    if symbols[-1] < 1 << 22:
+        place = np.zeros(int(symbols[-1]) + 1, np.int32)
+        place[symbols] = np.arange(len(symbols))
+        code[:n] = place[ids]
+    else:
+        code[:n] = np.searchsorted(symbols, ids)
     # [step, block * lane]; the last block's missing ids come last and are skipped
     code = code.reshape(blocks, BLOCK // LANES, LANES).transpose(1, 0, 2)[:steps].reshape(steps, blocks * LANES)
     tail = n - (blocks - 1) * BLOCK  # ids of the last block

@@ -4,7 +4,7 @@ The byte-level pattern of the vocabulary never joins a space to the characters
 before it unless white space stands there. So a text without a space after white
 space is cut before each space, and the ids of the chunks, laid end to end, are
 the ids of the text. Chunks repeat, and a worker keeps the ids of those it has
-met (at most KEEP of them; then it starts anew). Texts of any other kind are
+met (some KEEP of them, 45 bytes each; then it starts anew). Texts of any other kind are
 encoded as they are.
 """
 
@@ -17,10 +17,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 from ledgerscope.llm.common import as_text, sums
 
-KEEP = 300_000
+KEEP, PIECES = 2_000_000, 350_000
 #: White space of any kind (Unicode and the ASCII separators), then a space.
 _UNSAFE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 
@@ -75,56 +76,79 @@ class ChunkTokenizer:
         self._reset()
 
     def _reset(self) -> None:
-        self.slot: dict[str, int] = {}
         self.piece: dict[str, tuple[int, ...]] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
         self.used = 0
-
-    def _pieces(self, chunk: str) -> list[int]:
-        """Ids of a chunk of plain characters: the vocabulary's own pattern, then the
-        library's model on each piece not met before."""
-        out: list[int] = []
-        for piece in self.pattern(chunk):
-            ids = self.piece.get(piece)
-            if ids is None:
-                mapped = piece.encode().decode("latin-1").translate(_BYTES)
-                ids = self.piece[piece] = tuple(t.id for t in self.model.tokenize(mapped))
-            out += ids
-        return out
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encodes chunks not met before."""
-        if not chunks:
-            return
-        simple = self.simple
-        new = [self._pieces(c) if simple(c) else None for c in chunks]
-        rest = [i for i, x in enumerate(new) if x is None]
-        for i, e in zip(rest, self.lib.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False), strict=True):
-            new[i] = e.ids
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))
-        at, n = len(self.slot), len(chunks)
+        self.check = np.zeros(0, np.uint64)  # by place: second half of the chunk's hash
+        self.start = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
+        # first halves, sorted, with their places: the bulk, and what came lately
+        self.bulk = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        self.late = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+
+    def _by_pieces(self, chunks: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of chunks of plain characters, end to end, and how many each has: the
+        vocabulary's own pattern, then the library's model on each piece not met before."""
+        ids: list[int] = []
+        sizes: list[int] = []
+        if len(self.piece) > PIECES:
+            self.piece.clear()
+        split, known, kept, tokens = self.pattern, self.piece.get, self.piece, self.model.tokenize
+        for chunk in chunks:
+            before = len(ids)
+            for piece in split(chunk):
+                got = known(piece)
+                if got is None:
+                    got = kept[piece] = tuple([t.id for t in tokens(piece.encode().decode("latin-1").translate(_BYTES))])
+                ids += got
+            sizes.append(len(ids) - before)
+        return ids, sizes
+
+    def _learn(self, keys: np.ndarray, chunks: list[str]) -> np.ndarray:
+        """Encodes and keeps chunks not met before; their places."""
+        if self.simple("".join(chunks)):
+            ids, counts = self._by_pieces(chunks)
+        else:
+            new = [e.ids for e in self.lib.encode_batch_fast(chunks, add_special_tokens=False)]
+            ids, counts = list(chain.from_iterable(new)), list(map(len, new))
+        sizes, flat = np.array(counts, np.int32), np.array(ids, np.uint32)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while at + n > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
         self.ids[self.used : self.used + len(flat)] = flat
-        self.start[at : at + n] = self.used + np.cumsum(sizes) - sizes
-        self.size[at : at + n] = sizes
+        places = np.arange(len(self.start), len(self.start) + len(sizes), dtype=np.int32)
+        self.start = np.concatenate([self.start, self.used + np.cumsum(sizes, dtype=np.int64) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.check = np.concatenate([self.check, keys[:, 1]])
         self.used += len(flat)
-        self.slot.update(zip(chunks, range(at, at + n), strict=True))
-
-    def _slots(self, chunks: list[str]) -> np.ndarray:
-        """Places of different chunks; learns the new ones."""
-        get = self.slot.get
-        out = np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
+        first = np.concatenate([self.late[0], keys[:, 0]])
+        order = np.argsort(first, kind="stable")
+        self.late = (first[order], np.concatenate([self.late[1], places])[order])
+        if len(self.late[0]) > 10_000 + len(self.bulk[0]) // 4:
+            first = np.concatenate([self.bulk[0], self.late[0]])
+            order = np.argsort(first, kind="stable")
+            self.bulk = (first[order], np.concatenate([self.bulk[1], self.late[1]])[order])
+            self.late = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+        return places
+
+    def _places(self, words: list[bytes], head: bool) -> np.ndarray:
+        """Places of different chunks (``head``: without a space before them);
+        learns the new ones. Chunks are told apart by a 128-bit hash."""
+        hash128 = xxhash.xxh3_128_digest
+        keys = np.frombuffer(b"".join([hash128(w, head) for w in words]), ">u8").astype(np.uint64).reshape(-1, 2)
+        out = np.full(len(words), -1, np.int64)
+        for known, place in (self.bulk, self.late):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys[:, 0]), len(known) - 1)
+                hit = (known[at] == keys[:, 0]) & (self.check[place[at]] == keys[:, 1])
+                out[hit] = place[at[hit]]
         missing = np.flatnonzero(out < 0)
         if len(missing):
-            at = len(self.slot)
-            self._learn([chunks[i] for i in missing])
-            out[missing] = np.arange(at, at + len(missing))
+            space = "" if head else " "
+            chunks = [space + words[i].decode() for i in missing]
+            plain = np.array([self.simple(c) is not None for c in chunks]) if not self.simple("".join(chunks)) else np.ones(len(chunks), bool)
+            for some in (plain, ~plain):
+                if some.any():
+                    out[missing[some]] = self._learn(keys[missing[some]], [c for c, x in zip(chunks, some.tolist(), strict=True) if x])
         return out
 
     def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +162,7 @@ class ChunkTokenizer:
         if not plain.any():
             ids, sizes = self._whole(arr.to_pylist())
         else:
-            if len(self.slot) > KEEP:
+            if len(self.start) > KEEP:
                 self._reset()
             kept = arr if plain.all() else arr.filter(pa.array(plain))
             lists = pc.split_pattern(kept, " ")
@@ -146,21 +170,19 @@ class ChunkTokenizer:
             values = lists.values.slice(off[0], off[-1] - off[0])
             off = off - off[0]
             coded = values.dictionary_encode()
-            codes = np.asarray(coded.indices, dtype=np.int64)
-            words = coded.dictionary.to_pylist()
-            first = np.zeros(len(codes), bool)
-            first[off[:-1]] = True
-            later = np.zeros(len(words), bool)
-            later[codes[~first]] = True
-            need = np.flatnonzero(later)
+            codes = np.asarray(coded.indices)
+            words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+            later = np.ones(len(codes), bool)
+            later[off[:-1]] = False
+            need = np.zeros(len(words), bool)
+            need[codes[later]] = True
             place = np.full(len(words), -1, np.int64)
-            place[need] = self._slots([" " + words[i] for i in need])
+            place[need] = self._places([words[i] for i in np.flatnonzero(need)], False)
             slots = place[codes]
-            heads = [words[i] for i in codes[off[:-1]]]
-            kinds = list(dict.fromkeys(heads))
-            at = dict(zip(kinds, self._slots(kinds).tolist(), strict=True))
-            slots[off[:-1]] = [at[h] for h in heads]
-            per = self.size[slots]
+            heads = np.unique(codes[off[:-1]])
+            place[heads] = self._places([words[i] for i in heads], True)
+            slots[off[:-1]] = place[codes[off[:-1]]]
+            per = self.size[slots].astype(np.int64)
             ends = np.cumsum(per)
             ids = self.ids[np.repeat(self.start[slots] - ends + per, per) + np.arange(int(ends[-1]))]
             sizes = sums(per, off)
