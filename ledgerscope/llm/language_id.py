@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ledgerscope.llm.common import as_text, fold, map_arrow, slices, table
 
 TOP, UNKNOWN = 300, "und"
+SLICE = 3 << 19  # bytes of text worked on at a time; some hundred bytes of arrays for each
 _BITS = 21
 _PAD = (1 << _BITS) - 1  # after an n-gram of fewer than three letters; 0 is a word's border
 
@@ -47,7 +48,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     packed n-gram of each code, ascending: codes are in n-gram order."""
     n_chars = np.array([len(t) for t in texts], np.int64)
     cp = np.frombuffer(" ".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    row = np.repeat(np.arange(len(texts)), n_chars + 1)[: len(cp)]
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), n_chars + 1)[: len(cp)]
     x = _letters()[cp]
     keep = x != 0
     border = ~keep
@@ -86,7 +87,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         have[key] = True
         kinds = np.flatnonzero(have)
         place = np.cumsum(have, dtype=np.int32) - 1
-        code = place[key].astype(np.int64)
+        code = place[key]
     else:
         kinds, code = np.unique(key, return_inverse=True)
     points = np.append(alphabet, _PAD)
@@ -104,7 +105,7 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def ranks(code: np.ndarray, who: np.ndarray, kinds: int, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, code, rank) of each row's ``top`` most frequent n-grams."""
-    both, count = _counted(who * max(1, kinds) + code)
+    both, count = _counted(who.astype(np.int64) * max(1, kinds) + code)
     row, gram = both // max(1, kinds), both % max(1, kinds)
     order = np.lexsort((gram, -count, row))
     row, gram = row[order], gram[order]
@@ -121,7 +122,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top:
     is ``top`` n-grams for each of 16 hash classes and language."""
 
     def run(batches):
-        for b in slices(batches, 0, 6 << 20):
+        for b in slices(batches, 0, SLICE):
             names = b.column(1).dictionary_encode()
             _, code, who, packed = ngrams(as_text(b.column(0)).to_pylist())
             lang = np.asarray(names.indices)[who].astype(np.int64)
@@ -168,7 +169,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "do
     """(doc_id, lang_pred, score) of every row."""
 
     def run(batches):
-        for b in slices(batches, 1, 6 << 20):
+        for b in slices(batches, 1, SLICE):
             lang, score = predict(as_text(b.column(1)).to_pylist(), profiles, top)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
