@@ -31,8 +31,8 @@ transactions AS (
         'TXN_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || price_cents
             AS transaction_id,
         o_orderdate + to_seconds((o_orderkey % 24) * 3600 + (l_linenumber * 521 + l_partkey) % 3600) AS "timestamp",
-        'CUST_' || lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR))), '0') AS sender_id,
-        'CUST_' || lpad(CAST(r_key AS VARCHAR), greatest(6, length(CAST(r_key AS VARCHAR))), '0') AS receiver_id,
+        'CUST_' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS sender_id,
+        'CUST_' || lpad(CAST(r_key AS VARCHAR), CAST(greatest(6, length(CAST(r_key AS VARCHAR))) AS INTEGER), '0') AS receiver_id,
         amount_cents,
         amount_cents / 100.0::DOUBLE AS amount_usd,
         transaction_type,
@@ -51,7 +51,7 @@ transactions AS (
 ),
 customers AS (
     SELECT
-        'CUST_' || lpad(CAST(c.c_custkey AS VARCHAR), greatest(6, length(CAST(c.c_custkey AS VARCHAR))), '0') AS customer_id,
+        'CUST_' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS customer_id,
         c.c_name AS name,
         n.n_name AS country,
         CASE WHEN n.n_regionkey IN (0, 1, 2) THEN 'low'
