@@ -85,10 +85,15 @@ def _bucketed_next(left: DataFrame, right: DataFrame, lkey: list[str], rkey: lis
     return j.filter((F.col(rsec) > F.col(lsec)) & (F.col(rsec) <= F.col(lsec) + max_gap)).drop("_b", "_rb")
 
 
-def round_trips(txns: DataFrame, depth: int = 2, max_hop_days: int = 7) -> DataFrame:
+def round_trips(
+    txns: DataFrame, depth: int = 2, max_hop_days: float = 7, min_hop_hours: float = 0, kept: tuple[float, float] | None = None
+) -> DataFrame:
     """Chains A -> ... -> A of ``depth`` hops through distinct accounts, each hop
-    later than the previous by at most ``max_hop_days``."""
-    gap = max_hop_days * DAY
+    later than the previous by more than ``min_hop_hours`` less a second and at
+    most ``max_hop_days``. With ``kept`` each hop passes on that share of the hop
+    before it (0.90 to 0.99 for laundered money less fees). The conditions are
+    part of each hop's join, so a path that breaks one never reaches the next."""
+    gap, least = int(max_hop_days * DAY), int(min_hop_hours * 3600)
     h = _hops(txns).filter(F.col("sender_id") != F.col("receiver_id"))
     # Exact pruning: every hop of a closed chain starts at an account that also
     # receives and ends at one that also sends, so transfers out of pure
@@ -112,6 +117,11 @@ def round_trips(txns: DataFrame, depth: int = 2, max_hop_days: int = 7) -> DataF
             path = _bucketed_next(path, nxt, [f"a{i - 1}"], [f"_src{i}"], gap, f"s{i - 1}", f"s{i}")
             seen = [F.col(f"a{j}") for j in range(i)]
             path = path.filter(~F.col(f"a{i}").isin(*seen))
+        if least:
+            path = path.filter(F.col(f"s{i}") - F.col(f"s{i - 1}") >= least)
+        if kept:
+            share = F.col(f"c{i}") / F.col(f"c{i - 1}")
+            path = path.filter(share.between(*kept))
         path = path.drop(f"_src{i}")
     return path.select(
         F.col("a0").alias("origin_id"),

@@ -10,6 +10,8 @@ is hit without convergence.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,16 +94,40 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
-def strong_components(edges: DataFrame, nodes: DataFrame, max_outer: int = 50, max_inner: int = 200) -> DataFrame:
+def _peeled(e: DataFrame, active: DataFrame, rounds: int = 4) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes without an edge in or out are components of their own: takes them
+    off, a few layers at a time. (those left, those taken)"""
+    gone = None
+    for _ in range(rounds):
+        both = active.join(e.select(F.col("src").alias("node")).distinct(), "node", "left_semi").join(
+            e.select(F.col("dst").alias("node")).distinct(), "node", "left_semi"
+        )
+        left = cut_lineage(both)
+        ends = active.join(left, "node", "left_anti")
+        if not ends.limit(1).count():
+            break
+        gone = ends if gone is None else gone.unionByName(ends)
+        active = left
+        keep = left.select("node")
+        e = e.join(keep.withColumnRenamed("node", "src"), "src", "left_semi").join(keep.withColumnRenamed("node", "dst"), "dst", "left_semi")
+    return active, gone
+
+
+def strong_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Strongly connected components (forward colouring + backward closure),
     labelled by their smallest node id. Each outer round: propagate the max
     id forward to a fixpoint (colour), take the nodes whose colour is their own
     id as roots, walk edges backwards inside each colour from its root; the
-    reached nodes form the root's component and leave the graph."""
+    reached nodes form the root's component and leave the graph, after the nodes
+    without an edge in or out. Loops until all have left."""
     e_all = edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct().cache()
     active = nodes.select("node").cache()
     done = None
-    for _ in range(max_outer):
+    while True:
+        active, single = _peeled(e_all, active)
+        if single is not None:
+            single = single.select("node", F.col("node").alias("root"))
+            done = cut_lineage(single if done is None else done.unionByName(single))
         if active.limit(1).count() == 0:
             break
         e = e_all.join(active.withColumnRenamed("node", "src"), "src", "left_semi").join(
@@ -109,7 +135,7 @@ def strong_components(edges: DataFrame, nodes: DataFrame, max_outer: int = 50, m
         )
         e = cut_lineage(e)
         col = active.select("node", F.col("node").alias("c")).cache()
-        for j in range(max_inner):
+        for j in count():
             cand = e.join(col.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "c")
             new = col.unionByName(cand).groupBy("node").agg(F.max("c").alias("c"))
             new = _round_result(new, j)
@@ -117,15 +143,13 @@ def strong_components(edges: DataFrame, nodes: DataFrame, max_outer: int = 50, m
             col = new
             if ch == 0:
                 break
-        else:
-            raise RuntimeError("colouring did not converge")
         col = cut_lineage(col)
         mem = col.filter(F.col("node") == F.col("c")).select("node", F.col("c").alias("root"))
         ec = e.join(col.withColumnRenamed("node", "src").withColumnRenamed("c", "cs"), "src").join(
             col.withColumnRenamed("node", "dst").withColumnRenamed("c", "cd"), "dst"
         ).filter(F.col("cs") == F.col("cd"))
         ec = cut_lineage(ec.select("src", "dst", F.col("cs").alias("c")))
-        for j in range(max_inner):
+        for j in count():
             cand = ec.join(mem.withColumnRenamed("node", "dst"), "dst").filter(
                 F.col("c") == F.col("root")
             ).select(F.col("src").alias("node"), "root")
@@ -134,13 +158,11 @@ def strong_components(edges: DataFrame, nodes: DataFrame, max_outer: int = 50, m
             mem = new
             if not grew:
                 break
-        else:
-            raise RuntimeError("backward closure did not converge")
         mem = cut_lineage(mem)
         done = mem if done is None else cut_lineage(done.unionByName(mem))
-        active = active.join(mem, "node", "left_anti")
-    else:
-        raise RuntimeError(f"strong components did not converge in {max_outer} rounds")
+        active = cut_lineage(active.join(mem, "node", "left_anti"))
+    if done is None:
+        return nodes.select("node", F.col("node").alias("component")).limit(0)
     return done.groupBy("root").agg(F.min("node").alias("_lab")).join(done, "root").select(
         "node", F.col("_lab").alias("component")
     )
@@ -205,8 +227,8 @@ def graph_stats(edges: DataFrame, nodes: DataFrame, risk: DataFrame | None = Non
     out = nodes.sparkSession.range(1).select(
         n.alias("num_nodes"),
         m.alias("num_edges"),
-        F.round(m / (n * (n - 1)), 9).alias("density"),
-        F.round(F.coalesce(clust, F.lit(0.0)) / n, 6).alias("avg_clustering"),
+        F.round(m / F.nullif(n * (n - 1), F.lit(0).cast("long")), 9).alias("density"),
+        F.round(F.coalesce(clust, F.lit(0.0)) / F.nullif(n, F.lit(0).cast("long")), 6).alias("avg_clustering"),
     )
     if risk is not None:
         hr = risk.join(nodes.select(F.col("node").alias("customer_id")), "customer_id", "left_semi").select(
@@ -254,11 +276,11 @@ def propagate_features(x: DataFrame, txns: DataFrame, cols: list[str] | None = N
     """Weight-free mean-neighbour message passing over transfers (multi-edges
     count): x <- (x + sum of in-neighbour x) / (1 + max(in-degree, 1))."""
     cols = cols or NODE_FEATURES
-    e = txns.select(F.col("sender_id").alias("src"), F.col("receiver_id").alias("dst"))
+    e = txns.groupBy(F.col("sender_id").alias("src"), F.col("receiver_id").alias("dst")).agg(F.count(F.lit(1)).alias("_m")).cache()
     cur = x.select(F.col("customer_id").alias("node"), *cols)
     for _ in range(rounds):
         msg = e.join(cur.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
-            F.count(F.lit(1)).alias("_k"), *[F.sum(c).alias(f"_s_{c}") for c in cols]
+            F.sum("_m").alias("_k"), *[F.sum(F.col(c) * F.col("_m")).alias(f"_s_{c}") for c in cols]
         )
         j = cur.join(msg, "node", "left")
         k = F.greatest(F.coalesce("_k", F.lit(0)), F.lit(1))
@@ -266,30 +288,44 @@ def propagate_features(x: DataFrame, txns: DataFrame, cols: list[str] | None = N
     return cur.withColumnRenamed("node", "customer_id")
 
 
-def label_propagation(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10) -> DataFrame:
-    """Weighted label propagation on the undirected graph: each node takes the
-    neighbour label with the largest total weight (ties: smallest label);
-    synchronous rounds until stable or ``max_rounds``."""
+def label_propagation(edges: DataFrame, nodes: DataFrame, max_rounds: int = 500) -> DataFrame:
+    """Weighted label propagation on the undirected graph. A node is settled if no
+    neighbouring label outweighs its own; each round, half of the unsettled nodes
+    (a hash of node and round picks them, so two neighbours don't keep swapping)
+    take the label of largest weight (ties: smallest). Ends when all are settled;
+    raises if ``max_rounds`` don't suffice."""
     pairs = undirected_pairs(edges)
     adj = pairs.select(F.col("u").alias("a"), F.col("v").alias("b"), "weight").unionByName(
         pairs.select(F.col("v").alias("a"), F.col("u").alias("b"), "weight")
     )
     adj = adj.cache()
-    lab = nodes.select("node", F.col("node").alias("label")).cache()
+    lab = nodes.select("node", F.col("node").alias("label"))
     for i in range(max_rounds):
-        votes = adj.join(lab.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"), "label").agg(
-            F.sum("weight").alias("w")
+        votes = adj.join(lab.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"), "label").agg(F.sum("weight").alias("w"))
+        mine = lab.withColumnRenamed("label", "own")
+        best = votes.join(mine, "node").groupBy("node").agg(
+            F.min_by("label", F.struct((-F.col("w")).alias("nw"), F.col("label").alias("l"))).alias("best"),
+            F.max("w").alias("top"),
+            F.coalesce(F.max(F.when(F.col("label") == F.col("own"), F.col("w"))), F.lit(0)).alias("held"),
         )
-        # largest weight wins; among equal weights the smallest label
-        best = votes.groupBy("node").agg(
-            F.min_by("label", F.struct((-F.col("w")).alias("nw"), F.col("label").alias("l"))).alias("_best")
+        turn = F.pmod(F.xxhash64("node", F.lit(i)), F.lit(2)) == 0
+        unsettled = F.coalesce(F.col("top") > F.col("held"), F.lit(False))
+        new = lab.join(best, "node", "left").select(
+            "node", F.when(unsettled & turn, F.col("best")).otherwise(F.col("label")).alias("label"), unsettled.alias("unsettled")
         )
-        new = _round_result(lab.join(best, "node", "left").select("node", F.coalesce("_best", "label").alias("label")), i)
-        ch = new.join(lab.withColumnRenamed("label", "_o"), "node").filter(F.col("label") != F.col("_o")).limit(1).count()
-        lab = new
-        if ch == 0:
-            break
-    return lab.select("node", F.col("label").alias("community"))
+        new = _round_result(new, i)
+        if not new.filter("unsettled").limit(1).count():
+            adj.unpersist()
+            return new.select("node", F.col("label").alias("community"))
+        lab = new.select("node", "label")
+    raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+
+
+def component_counts(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Numbers of weak and strong components, for the graph statistics."""
+    weak = connected_components(edges, nodes).select(F.count_distinct("component")).scalar()
+    strong = strong_components(edges, nodes).select(F.count_distinct("component")).scalar()
+    return nodes.sparkSession.range(1).select(weak.alias("weak_components"), strong.alias("strong_components"))
 
 
 def modularity(edges: DataFrame, partition: DataFrame, label_col: str = "community") -> DataFrame:

@@ -5,6 +5,7 @@ Scratch output goes under the session's shared checkpoint folder
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,21 +67,28 @@ def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.join(counts, "file", "left").select("file", "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
-def preset_manifest(spark: SparkSession, sf_dir: str, presets: dict, out_dir: str | None = None) -> DataFrame:
-    """Run every named preset, write each as CSV, record rows or the error.
-    A failing preset is recorded and the rest go on."""
+def preset_manifest(spark: SparkSession, sf_dir: str, presets: dict, out_dir: str | None = None, needs: dict[str, list[str]] | None = None) -> DataFrame:
+    """Run report: every named preset is run and written as CSV; status (ok,
+    failed, skipped), rows, file, error, start, end and seconds are recorded. A
+    preset whose table (``needs``: preset -> tables) is absent is skipped; one
+    that fails is recorded with its whole message, and the rest go on."""
     out_dir = out_dir or scratch(spark, "presets")
     rows = []
     for name, fn in presets.items():
-        path = f"{out_dir}/{name}"
-        try:
-            df = fn(spark, sf_dir)
-            T.write_csv(df, path)
-            n = spark.read.option("header", True).csv(path).count()
-            rows.append((name, n, path, None))
-        except Exception as e:  # noqa: BLE001 - recorded, not raised
-            rows.append((name, None, None, f"{type(e).__name__}: {e}"))
-    return spark.createDataFrame(rows, "name string, rows long, file string, error string")
+        began = dt.datetime.now(dt.timezone.utc)
+        path, n, error, status = f"{out_dir}/{name}", None, None, "ok"
+        absent = [t for t in (needs or {}).get(name, []) if not T._exists(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")]
+        if absent:
+            path, status, error = None, "skipped", f"absent: {', '.join(absent)}"
+        else:
+            try:
+                T.write_csv(fn(spark, sf_dir), path)
+                n = spark.read.option("header", True).csv(path).count()
+            except Exception as e:  # noqa: BLE001 - recorded, not raised
+                path, status, error = None, "failed", f"{type(e).__name__}: {e}"
+        ended = dt.datetime.now(dt.timezone.utc)
+        rows.append((name, status, n, path, error, began, ended, (ended - began).total_seconds()))
+    return spark.createDataFrame(rows, "name string, status string, rows long, file string, error string, started_at timestamp, ended_at timestamp, seconds double")
 
 
 def evaluation_report(metrics: DataFrame, model: str, evaluated_at: str) -> DataFrame:

@@ -134,22 +134,52 @@ def permuted_rows(scaled: DataFrame, seed: int = 7) -> DataFrame:
     return long.groupBy("p").agg(*[F.max(F.when(F.col("c") == i, F.col("v"))).alias(c) for i, c in enumerate(FEATS)]).select(*FEATS)
 
 
-def real_vs_permuted_scores(txns: DataFrame, seed: int = 7) -> DataFrame:
-    """Second detector: a classifier of real normal rows against rows with
-    permuted columns; the score is 1 - P(real). Permuting keeps each column's
-    distribution, so only the dependence between columns tells the two apart:
-    boosted trees, which a linear model can't replace here."""
+def fit_second_detector(scaled: DataFrame, seed: int = 7):
+    """A classifier of real normal training rows against rows with permuted
+    columns. Permuting keeps each column's distribution, so only the dependence
+    between columns tells the two apart: boosted trees, which a linear model
+    can't replace here."""
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.functions import vector_to_array
 
-    frame = training_frame(txns)
-    sc = scaled_features(frame)
-    real = sc.filter((F.col("split") == "train") & ~F.col("is_suspicious")).select(*FEATS).withColumn("label", F.lit(1.0))
+    real = scaled.filter((F.col("split") == "train") & ~F.col("is_suspicious")).select(*FEATS).withColumn("label", F.lit(1.0))
     fake = permuted_rows(real.select(*FEATS), seed).withColumn("label", F.lit(0.0))
     rows = cut_lineage(_assemble(real.unionByName(fake), FEATS))  # each boosting round reads it again
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=15, maxDepth=5, seed=seed).fit(rows)
-    scored = model.transform(_assemble(sc, FEATS))
-    return scored.select("transaction_id", "is_suspicious", (F.lit(1.0) - vector_to_array("probability")[1]).alias("gan_score"))
+    return GBTClassifier(featuresCol="features", labelCol="label", maxIter=15, maxDepth=5, seed=seed).fit(rows)
+
+
+def _unreal(model, scaled: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    return model.transform(_assemble(scaled, FEATS)).withColumn("gan_score", F.lit(1.0) - vector_to_array("probability")[1])
+
+
+def real_vs_permuted_scores(txns: DataFrame, seed: int = 7) -> DataFrame:
+    """Second detector: 1 - P(real) of every row."""
+    sc = scaled_features(training_frame(txns))
+    return _unreal(fit_second_detector(sc, seed), sc).select("transaction_id", "is_suspicious", "gan_score")
+
+
+def fitted_scores(txns: DataFrame, k: int = 4) -> DataFrame:
+    """Both fitted detectors on the same row, fused, thresholded and flagged: the
+    columns that alerts, reports and what-if jobs read, in place of the stand-ins.
+
+    combined = 0.6 x reconstruction score over its training maximum + 0.4 x
+    second score; the threshold is the p95 of the normal training rows."""
+    from ledgerscope.functions import scalar as S
+
+    sc = scaled_features(training_frame(txns))
+    load = fit_pca_loadings(sc, k)
+    d = len(FEATS)
+    z = [sum(F.col(FEATS[i]) * float(load[i, j]) for i in range(d)) for j in range(k)]
+    error = sum(F.pow(F.col(FEATS[i]) - sum(z[j] * float(load[i, j]) for j in range(k)), 2) for i in range(d)) / float(d)
+    both = _unreal(fit_second_detector(sc), sc).select("transaction_id", "split", F.round(error, 9).alias("vae_score"), F.round("gan_score", 9).alias("gan_score"))
+    ids = txns.select("transaction_id", "sender_id", "receiver_id", "amount_cents", "amount_usd", "is_suspicious")
+    rows = cut_lineage(ids.join(both, "transaction_id"))
+    vmax = rows.filter("split = 'train'").select(F.max("vae_score")).scalar()
+    norm = F.least(F.col("vae_score") / (vmax + F.lit(1e-9)), F.lit(1.0))
+    rows = rows.withColumn("combined_score", F.round(S.fuse(norm, F.col("gan_score")), 6))
+    thr = rows.filter((F.col("split") == "train") & ~F.col("is_suspicious")).select(F.percentile("combined_score", 0.95)).scalar()
+    return rows.withColumn("threshold", thr).withColumn("is_flagged", (F.col("combined_score") >= F.col("threshold")).cast("int")).drop("split")
 
 
 def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, buckets: int = 64) -> DataFrame:

@@ -28,6 +28,14 @@ def register(name: str):
 _WRITTEN: dict[tuple, str] = {}
 
 
+def _version(spark: SparkSession, sf: str) -> str:
+    """Names, sizes and times of what lies in the source folder: refreshed input
+    is derived anew."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return "|".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(path)))
+
+
 def written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """A derived table written once per Spark application into the shared
     checkpoint folder and read back by every later query (the pipeline's
@@ -36,7 +44,7 @@ def written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     application or another scale directory derives it afresh."""
     from ledgerscope.session import ensure_checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name, _version(spark, sf))
     path = _WRITTEN.get(key)
     if path is None:
         import uuid
@@ -212,6 +220,9 @@ from ledgerscope.operators import detectors as DT  # noqa: E402
 register("smurfing_windows")(lambda s, d: DT.smurfing_windows(tx(s, d)))
 register("round_trips_2")(lambda s, d: DT.round_trips(tx(s, d), depth=2))
 register("round_trips_3")(lambda s, d: DT.round_trips(tx(s, d), depth=3))
+# deeper chains need a wider hop here: the derived ledger's amounts and times are unrelated from hop to hop
+register("round_trips_4")(lambda s, d: DT.round_trips(tx(s, d), depth=4, max_hop_days=20))
+register("round_trips_5")(lambda s, d: DT.round_trips(tx(s, d), depth=5, max_hop_days=20))
 register("rapid_movement")(lambda s, d: DT.rapid_movement(tx(s, d)))
 register("tbml_pairs")(lambda s, d: DT.tbml_pairs(tx(s, d)))
 register("fan_out")(lambda s, d: DT.fan_out(tx(s, d)))
@@ -233,6 +244,7 @@ register("graph_edges")(lambda s, d: GR.graph_edges(tx(s, d)))
 register("graph_nodes")(lambda s, d: GR.graph_nodes(tx(s, d)))
 register("connected_components")(lambda s, d: GR.connected_components(*_g(s, d)))
 register("strong_components")(lambda s, d: GR.strong_components(*_g(s, d)))
+register("graph_component_counts")(lambda s, d: GR.component_counts(*_g(s, d)))
 register("graph_clustering")(lambda s, d: GR.triangles(GR.graph_edges(tx(s, d))))
 register("graph_stats")(lambda s, d: GR.graph_stats(*_g(s, d), risk=_risk(s, d)))
 register("ego_subgraph")(lambda s, d: GR.ego_subgraph(GR.graph_edges(tx(s, d)), EGO_CENTER))
@@ -367,12 +379,21 @@ def _scaled(s, d):
     return fr, LE.fit_scaler(fr)
 
 
+def _fitted(s, d):
+    return written(s, d, "fitted_scores", lambda: LE.fitted_scores(tx(s, d)))
+
+
 register("scaled_features")(lambda s, d: (lambda fr, m: round_doubles(LE.scaled_features(fr, m)))(*_scaled(s, d)))
 register("unscaled_features")(
     lambda s, d: (lambda fr, m: round_doubles(LE.unscaled_features(LE.scaled_features(fr, m), m)))(*_scaled(s, d))
 )
 register("pca_anomaly_scores")(lambda s, d: LE.anomaly_scores(tx(s, d)))
 register("real_vs_permuted_scores")(lambda s, d: LE.real_vs_permuted_scores(tx(s, d)))
+register("fitted_scores")(
+    lambda s, d: _fitted(s, d).select("transaction_id", "vae_score", "gan_score", "combined_score", "threshold", "is_flagged")
+)
+register("fitted_customer_alerts")(lambda s, d: SCO.customer_alerts(_fitted(s, d)))
+register("fitted_top_suspects")(lambda s, d: SR.top_suspects(cu(s, d), _risk(s, d), SCO.customer_alerts(_fitted(s, d))))
 register("anomaly_attribution")(lambda s, d: LE.anomaly_attribution(tx(s, d)))
 register("feature_importance")(lambda s, d: LE.feature_importance(LE.anomaly_attribution(tx(s, d))))
 register("minority_oversample")(lambda s, d: LE.minority_oversample(tx(s, d)))
