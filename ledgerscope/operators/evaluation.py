@@ -133,6 +133,13 @@ def optimal_threshold(df: DataFrame, y: str = "y_true", s: str = "y_score", metr
     )
 
 
+def optimal_metrics(df: DataFrame, y: str = "y_true", s: str = "y_score", metric: str = "f2", min_recall: float = MIN_RECALL) -> DataFrame:
+    """The full metrics at the best threshold (none where no threshold qualifies)."""
+    best = optimal_threshold(df, y, s, metric, min_recall).select(F.max("threshold")).scalar()
+    at = df.select(F.col(y).alias("y"), (F.col(s) >= best).cast("int").alias("p"))
+    return classification_metrics(at, "y", "p").select(best.alias("threshold"), "*").filter("threshold is not null")
+
+
 def threshold_sensitivity(df: DataFrame, y: str = "y_true", s: str = "y_score", points: int = 200, hi_q: float = 0.99) -> DataFrame:
     """Recall, precision and F1 on a grid of ``points`` thresholds from the
     minimum score to its p99, in one pass: each row finds the last grid point

@@ -536,6 +536,20 @@ FROM (SELECT score AS threshold, p, r, 5.0::DOUBLE * p * r / greatest(4.0::DOUBL
 WHERE r >= 0.9 ORDER BY m DESC, threshold ASC LIMIT 1""",
     EV_CTES,
 )
+_BEST = """,
+best AS (
+    SELECT score AS threshold
+    FROM (SELECT score, pos_cum / (pos_cum + neg_cum) AS p, pos_cum / (SELECT P FROM tot) AS r FROM cum)
+    WHERE r >= 0.9 ORDER BY 5.0::DOUBLE * p * r / greatest(4.0::DOUBLE * p + r, 1e-9) DESC, score ASC LIMIT 1
+),
+cc_best AS (
+    SELECT threshold, COUNT(*) FILTER (WHERE y = 1 AND s >= threshold) AS tp, COUNT(*) FILTER (WHERE y <> 1 AND s >= threshold) AS fp,
+           COUNT(*) FILTER (WHERE y <> 1 AND s < threshold) AS tn, COUNT(*) FILTER (WHERE y = 1 AND s < threshold) AS fn
+    FROM ev, best GROUP BY threshold
+)"""
+ORACLE["optimal_threshold_metrics"] = (
+    ORACLE["classification_metrics"].replace(EV_CTES, EV_CTES + _BEST).replace("SELECT tp AS true_positives", "SELECT threshold, tp AS true_positives").replace("FROM cc", "FROM cc_best")
+)
 ORACLE["threshold_sensitivity"] = W(
     f"""
 SELECT k, round(t, 9) AS threshold, tp, fp, {R('tp', 'greatest(tp + fp, 1)')} AS precision,

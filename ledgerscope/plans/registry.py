@@ -202,6 +202,7 @@ register("roc_auc")(lambda s, d: EV.roc_auc(_eval(s, d)))
 register("average_precision")(lambda s, d: EV.average_precision(_eval(s, d)))
 register("pr_curve")(lambda s, d: EV.pr_curve(_eval(s, d)))
 register("optimal_threshold")(lambda s, d: EV.optimal_threshold(_eval(s, d)))
+register("optimal_threshold_metrics")(lambda s, d: EV.optimal_metrics(_eval(s, d)))
 register("threshold_sensitivity")(lambda s, d: EV.threshold_sensitivity(_eval(s, d)))
 register("detection_cost")(lambda s, d: EV.detection_cost(EV.confusion_counts(_eval(s, d))))
 register("confusion_matrix")(lambda s, d: EV.confusion_matrix(_eval(s, d)))
