@@ -27,7 +27,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscope.llm.common import as_text, fresh, map_arrow, slices, sums, table, written
@@ -73,16 +73,17 @@ def fingerprints(texts: list[str], shingle: int = SHINGLE, seed: int = SEED) ->
     return out
 
 
-def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long)."""
+def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, marks: list[Column] | None = None) -> DataFrame:
+    """(doc_id, fp long), and m0, m1... for the longs ``marks``."""
+    names = [f"m{i}" for i in range(len(marks or []))]
 
     def run(batches):
         for b in slices(batches, 1, 4 << 20):
             fp = fingerprints(as_text(b.column(1)).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *names])
 
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(d, run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[m.alias(n) for m, n in zip(marks or [], names, strict=True)])
+    return map_arrow(d, run, ", ".join([f"doc_id {d.schema['doc_id'].dataType.simpleString()}", "fp long", *[f"{n} long" for n in names]]))
 
 
 def ring(segments: int) -> list[tuple[int, int]]:
@@ -145,27 +146,34 @@ def linked(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -
     return map_arrow(into_runs(rows, ["key"], "fp"), link_runs(max_bits, segments), "a long, b long")
 
 
+def in_components(rows: DataFrame, low: Column, max_bits: int) -> DataFrame:
+    """(fp, low, comp) of each different fingerprint; ``comp`` is the smallest one it is linked with."""
+    classes = written(rows.groupBy("fp").agg(low.alias("low")), "classes")
+    comp = components(linked(classes.select("fp"), max_bits))
+    return classes.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("comp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row."""
     rows = written(with_fingerprints(docs, id_col, text_col, shingle), "simhash")
-    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    comp = components(linked(classes.select("fp"), max_bits))
-    c = classes.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("comp"))
+    c = in_components(rows, F.min("doc_id"), max_bits)
     lowest = c.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = c.join(lowest, "comp").select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(named, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: of its smallest id, and of rows
-    that share that id the first by text."""
-    near = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    keep = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kid")).distinct()
-    d = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
-    rest = [c for c in docs.columns if c != id_col]
-    mark = F.xxhash64(*[F.col(c) for c, t in docs.dtypes if not t.startswith("map")])
-    (row,) = fresh(docs.columns, "simhash_row")
-    return d.groupBy(id_col).agg(F.min_by(F.struct(*rest), mark).alias(row)).select(*[F.col(c) if c == id_col else F.col(f"{row}.{c}") for c in docs.columns])
+    """``docs`` with one row of each component: of its smallest id (null last),
+    and of its rows that share that id the first by a hash of the row."""
+    # 128 bits of a row's columns, and of which are null (a null leaves a hash as it is)
+    whole = [x for c, t in docs.dtypes if "map<" not in t for x in (F.col(c).isNull(), F.col(c))]
+    marks = [F.xxhash64(F.lit(i), *whole) for i in (1, 2)]
+    rows = written(with_fingerprints(docs, id_col, text_col, shingle, marks), "simhash")
+    c = in_components(rows, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "m0", "m1")), max_bits)
+    keep = c.groupBy("comp").agg(F.min("low").alias("low")).select(F.col("low.m0").alias("_k0"), F.col("low.m1").alias("_k1"))
+    row, *m = fresh(docs.columns, "simhash_row", "simhash_m0", "simhash_m1")
+    d = docs.withColumns(dict(zip(m, marks, strict=True))).join(keep, (F.col(m[0]) == F.col("_k0")) & (F.col(m[1]) == F.col("_k1")), "left_semi")
+    return d.groupBy(*m).agg(F.first(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,19 @@ def test_simhash_edges(spark, odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
 
 
+def test_one_of_each_component_whatever_its_ids(spark):
+    """Null ids and an id with two texts: components are told apart by texts, not by names."""
+    r = random.Random(6)
+    texts = [" ".join(r.choice("abcdefghijklmnopqrstuvwxyz") * 5 + str(r.randrange(999)) for _ in range(80)) for _ in range(12)]
+    rows = [(None, t, "s") for t in texts[:6]] * 2  # six components of null ids alone, two rows each
+    rows += [(5, texts[6], "s"), (5, texts[7], "s"), (5, texts[8], "s"), (3, texts[8], "s")]  # id 5 in three components, one of them 3's
+    rows += [(None, texts[9], "s"), (7, texts[9], "s"), (8, texts[10], None), (8, texts[10], "s"), (9, None, "x"), (9, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(x.doc_id, x.text) for x in simhash.one_of_each(df).collect()]
+    want = [(None, t) for t in texts[:6]] + [(5, texts[6]), (5, texts[7]), (3, texts[8]), (7, texts[9]), (8, texts[10]), (9, None), (9, "x")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_simhash_query_on_a_whole_table(spark, sf):
     got = simhash.op6_simhash(spark, sf).toPandas().sort_values("doc_id")
     f = np.array([int(x, 16) for x in got.fingerprint], np.uint64)
