@@ -6,8 +6,9 @@ one path (but for query, fragment, ``index``, ``.html`` and a last slash) are
 one page and never a pair. The lines (text blocks) of the two are aligned by
 longest common subsequence, and the shared lines, being the site's template, are
 deleted. What an article or main element marks as content is protected, since
-copies and quoted passages are shared lines, too: there, only a shared line that
-reads like a notice goes. Of what is left, the page's content element is the
+copies and quoted passages are shared lines, too: there, a shared line goes only if
+the whole line is a notice and at least half of the article's other lines differ
+from the neighbour's. Of what is left, the page's content element is the
 text where it has one, else all that is no page furniture by its element, role
 or class.
 
@@ -34,8 +35,17 @@ from ledgerscope.llm.common import map_arrow, slices, table, written
 from ledgerscope.llm.html_blocks import Block, blocks
 from ledgerscope.llm.prefix import running_sums
 
-NOTICE = re.compile(r"\b(cookies?|newsletter|subscribe|sign (?:up|in)|log in|share this|follow us|all rights reserved|advertisement|sponsored|read more|related (?:articles|posts|stories))\b", re.I)
-_LEVEL = 400  # longest line that can be a notice
+#: A whole line that calls on the reader or names what follows, as templates place it inside articles.
+NOTICE = re.compile(
+    r"(?:please )?(?:"
+    r"(?:subscribe|sign up)(?: now| today| here)?(?: (?:to|for) (?:our |the |this |a )?(?:free |daily |weekly )?(?:newsletters?|mailing list|updates|channel|site))?"
+    r"|(?:sign|log) in(?: or (?:register|sign up))?(?: to (?:comment|reply|continue))?"
+    r"|share this(?: (?:article|page|post|story))?(?: on \w+)?|follow us(?: on \w+)?"
+    r"|read more|related (?:articles|posts|stories)|advertisement|sponsored(?: (?:content|post|links?))?"
+    r"|(?:we use|this (?:site|website|page) uses) cookies"
+    r")(?: now| today| here)?[.!:\u2026]*",
+    re.I,
+)
 
 
 def page_key(url: str | None) -> tuple[str, str]:
@@ -85,7 +95,11 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 def main_text(page: list[Block], shared: set[int]) -> str:
     """What is left of a page's blocks, ``shared`` being the aligned ones."""
-    left = [b for i, b in enumerate(page) if i not in shared or (b.content and not b.furniture and not (len(b.text) <= _LEVEL and NOTICE.search(b.text)))]
+    own = [i for i, b in enumerate(page) if b.content and not b.furniture]
+    notices = {i for i in own if NOTICE.fullmatch(page[i].text)}
+    rest = [i in shared for i in own if i not in notices]
+    gone = notices if rest and 2 * sum(rest) <= len(rest) else set()  # copies of an article keep theirs
+    left = [b for i, b in enumerate(page) if i not in shared or (b.content and not b.furniture and i not in gone)]
     left = [b for b in left if not b.furniture]
     content = [b for b in left if b.content]
     return "\n\n".join(b.text for b in (content or left))

@@ -59,6 +59,14 @@ def test_template_lines_go_and_articles_stay(spark):
     assert page_diff.extract(df.limit(0)).count() == 0
 
 
+def test_articles_keep_shared_lines_that_hold_a_notice_word():
+    lines = ["Bake the cookies for ten minutes.", "All rights reserved.", "Read more books, he said.", "Sign up"]
+    copy = blocks("<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>")
+    assert page_diff.main_text(copy, set(range(4))) == "\n\n".join(lines)  # a copy keeps even a notice
+    other = blocks("<article>" + "".join(f"<p>{x}</p>" for x in [*lines, "a", "b", "c"]) + "</article>")
+    assert page_diff.main_text(other, set(range(4))) == "\n\n".join([*lines[:3], "a", "b", "c"])  # the notice alone goes
+
+
 def test_pages_of_the_table_give_their_article(spark, sf):
     import html
     import re
