@@ -20,6 +20,10 @@ DROPPED = frozenset("head script style noscript template iframe object svg canva
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist status".split())
 #: Words of class and id names that mark page furniture.
 FURNITURE = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar sidenav aside ad ads advert advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments disqus replies reply respond search login pagination pager widget toolbar masthead skip copyright".split())
+#: Those that mark lists of other articles; the others can also name a layout around the page's own.
+LISTS = frozenset("related recommended recommendations comment comments disqus replies reply respond".split())
+_STATE = re.compile(r"(?<![^\s])comments?-(?:open|closed|enabled|disabled)(?![^\s])", re.I)
+_COMMENT = re.compile(r"(?<![^\s])(?:comment|reply)(?:-body|-item)?(?![^\s])", re.I)
 NEGATED = frozenset("with has no without".split())
 CONTENT = frozenset("article main".split())
 #: Elements that a new one of the key's kind closes.
@@ -37,35 +41,46 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
-def _marks(tag: str, raw: str) -> tuple[bool, bool]:
-    """(content, furniture) by an element's name and attributes."""
-    content, furniture = tag in CONTENT, tag in DROPPED
+def _marks(tag: str, raw: str) -> tuple[bool, bool, bool]:
+    """(content, furniture, kept) by an element's name and attributes. An article,
+    main or articleBody element within resets furniture that isn't ``kept``: what
+    only a class or id marks, but for lists of comments and related articles."""
+    content, kept = tag in CONTENT, tag in DROPPED
     if not raw.strip():
-        return content, furniture
+        return content, kept, kept
     a = _attributes(raw)
     role = a.get("role", "").lower()
     content |= role in ("main", "article") or a.get("itemprop", "").lower() == "articlebody"
+    named = False
     if tag not in ("html", "body", "main"):
-        words = [w.lower() for w in _TOKEN.findall(a.get("class", "") + " " + a.get("id", ""))]
-        furniture |= bool(FURNITURE.intersection(words)) and not NEGATED.intersection(words)
-        furniture |= role in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
-        furniture |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I))
-    return content, furniture
+        names = _STATE.sub(" ", a.get("class", "") + " " + a.get("id", ""))
+        words = [w.lower() for w in _TOKEN.findall(names)]
+        if content:
+            kept |= bool(_COMMENT.search(names))
+        elif not NEGATED.intersection(words):
+            named = bool(FURNITURE.intersection(words))
+            kept |= bool(LISTS.intersection(words))
+        kept |= role in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+        kept |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I))
+    return content, named or kept, kept
 
 
 def blocks(html: str) -> list[Block]:
     """The page's non-empty blocks in order, white space in each as one space."""
     out: list[Block] = []
     parts: list[str] = []
-    # open elements: (tag, content, furniture, a page header) with the parents' marks in them
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # open elements: (tag, content, furniture, a page header, kept furniture) with the parents' marks in them
+    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    named: list[int] = []  # furniture by class or id alone
 
     def close() -> None:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            _, content, furniture, header = stack[-1]
+            _, content, furniture, header, kept = stack[-1]
             heading = header and content and any(s[0] in HEADINGS for s in stack)
+            if furniture and not kept and not header:
+                named.append(len(out))
             out.append(Block(text, content, furniture or (header and not heading)))
 
     at, n = 0, len(html)
@@ -111,11 +126,13 @@ def blocks(html: str) -> list[Block]:
                     break
         if tag in VOID or raw.endswith("/") and tag in ("svg", "path", "iframe"):
             continue
-        content, furniture = _marks(tag, raw)
+        content, furniture, kept = _marks(tag, raw)
         above = stack[-1]
-        if (furniture, content) != (above[2], above[1]) and (furniture and not above[2] or content and not above[1]):
+        kept |= above[4]
+        furniture |= kept or (above[2] and not content)
+        if (furniture, content or above[1]) != (above[2], above[1]):
             close()
-        stack.append((tag, above[1] or content, above[2] or furniture, above[3] or tag == "header"))
+        stack.append((tag, above[1] or content, furniture, above[3] or tag == "header", kept))
         if tag in RAW:  # nothing inside is markup
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             inner, at = html[at : end.start() if end else n], end.end() if end else n
@@ -125,4 +142,7 @@ def blocks(html: str) -> list[Block]:
             stack.pop()
             parts.clear()
     close()
+    if named and all(b.furniture for b in out):  # a page within such an element, with no article marked
+        for i in named:
+            out[i] = out[i]._replace(furniture=False)
     return out

@@ -33,6 +33,19 @@ def test_blocks_of_a_messy_page():
     assert [b.text for b in blocks("<p>a" * 300)] == ["a"] * 300
 
 
+def test_wrappers_named_like_furniture_keep_their_article():
+    def text(page):
+        return page_diff.main_text(blocks(page), set())
+
+    for wrap in ("<div id='page' class='right-sidebar'>{}</div>", "<div class='layout-sidebar-left'><main>{}</main></div>", "<div class='elementor-widget elementor-widget-text'>{}</div>", "<div class='comments-open'>{}</div>"):
+        for inner in ("<article class='post comments-open social'><p>a</p><div class='ad'>AD</div><p>b</p></article>", "<div itemprop='articleBody' class='share'><p>a</p><p>b</p></div>", "<span role='main'>a<p>b</span>"):
+            assert text("<body><div class='menu'>m</div>" + wrap.format(inner) + "<footer>f</footer></body>") == "a\n\nb"
+    assert text("<body><title>t</title><div class='right-sidebar'><p>a</p><nav>n</nav><p>b</p></div>") == "a\n\nb"
+    article = "<article><p>a</p></article>"
+    for other in ("<ol class='comment-list'><li><article class='x'>c</article></ol>", "<article class='comment'>c</article>", "<div class='related'><article>c</article></div>", "<aside><article>c</article></aside>", "<div hidden><article>c</article></div>"):
+        assert text(f"<div class='right-sidebar'>{article}{other}</div>") == "a"
+
+
 def _page(body):
     return f"<html><body><div>Site name</div>{body}<div>All our boxes</div></body></html>"
 
