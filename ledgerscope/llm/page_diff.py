@@ -3,7 +3,9 @@
 Pages of a host are sorted by URL path; each is paired with the neighbour whose
 path starts more like its own (the earlier one if both do), where pages with
 one path (but for query, fragment, ``index``, ``.html`` and a last slash) are
-one page and never a pair. The lines (text blocks) of the two are aligned by
+one page and never a pair: addresses that differ in the query alone are mostly
+copies, and pairing copies would delete their text. So a host that tells all its
+pages apart by the query has no pairs. The lines (text blocks) of the two are aligned by
 longest common subsequence, and the shared lines, being the site's template, are
 deleted. What an article or main element marks as content is protected, since
 copies and quoted passages are shared lines, too: there, a shared line goes only if
@@ -130,9 +132,10 @@ def line_hashes(pages: DataFrame) -> DataFrame:
 
 def shared_places(lines: DataFrame) -> DataFrame:
     """(host, path, other): for each path with a neighbour, the lines of the page
-    it is paired with. One page stands for a path: the one with the least lines
-    by array order, so that reruns agree."""
-    one = written(lines.groupBy("host", "path").agg(F.min("lines").alias("lines")), "paths")
+    it is paired with. One page stands for a path: the one with the most lines, of
+    these the last by array order, so that reruns agree."""
+    most = F.max(F.struct(F.size("lines").alias("n"), "lines"))
+    one = written(lines.groupBy("host", "path").agg(most.alias("most")).select("host", "path", F.col("most.lines").alias("lines")), "paths")
     order = running_sums(one.select("host", "path", F.lit(1).cast("long").alias("one")), "host", ["path"], "one", "place")
     at = order.select("host", "path", "place")
     sides = []
@@ -163,9 +166,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string())], names=["u", "host", "path"])
 
     # an address's pair is looked up by the address: the wide rows shuffle once
-    urls = map_arrow(p.filter("url is not null").select("url").distinct(), keyed, "u string, host string, path string")
+    urls = map_arrow(p.select("url").distinct(), keyed, "u string, host string, path string")
     near = urls.join(pairs, ["host", "path"]).select("u", "other")
-    wide = p.join(near, F.col("url") == F.col("u"), "left").select("page_id", "url", "html", "other")
+    wide = p.join(near, F.col("url").eqNullSafe(F.col("u")), "left").select("page_id", "url", "html", "other")
 
     def run(batches):
         for b in slices(batches, 2):

@@ -80,6 +80,16 @@ def test_articles_keep_shared_lines_that_hold_a_notice_word():
     assert page_diff.main_text(other, set(range(4))) == "\n\n".join([*lines[:3], "a", "b", "c"])  # the notice alone goes
 
 
+def test_empty_rows_and_null_addresses_are_paired_as_well(spark):
+    rows = [
+        (1, "http://h.org/a/1", _page("<p>first</p>")), (2, "http://h.org/a/1", None), (3, "http://h.org/a/1?x", ""),
+        (4, "http://h.org/a/2", _page("<p>second</p>")), (5, "http://h.org/a/2", ""),
+        (6, None, _page("<p>no address</p>")), (7, "/b", _page("<p>no host</p>")),
+    ]
+    text = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert text == {1: "first", 2: "", 3: "", 4: "second", 5: "", 6: "no address", 7: "no host"}
+
+
 def test_pages_of_the_table_give_their_article(spark, sf):
     import html
     import re
