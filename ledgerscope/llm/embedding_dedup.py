@@ -19,7 +19,9 @@ of other links does; recall against brute force is measured in tests/llm.
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components, or have no label or id, link with nothing (n_links 0, their own
 component, kept); vectors of unequal length never link; rows that share an id are
-one node; an empty table gives no rows; other columns are ignored.
+alike where vector and label are equal, else told apart (a component goes by its
+smallest id, which another may share); an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -153,10 +155,11 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     hashes = [F.when(valid, F.xxhash64(F.lit(i), "label", "vec")).alias(f"h{i}") for i in (1, 2)]
     rows = v.select("vec_id", *hashes)
     found = v.filter(valid).select("vec_id", "vec", "label", *[h for h in hashes])
-    classes = found.groupBy("h1", "h2").agg(F.min("vec_id").cast("long").alias("rep"), F.min_by("label", "vec_id").alias("label"), F.min_by("vec", "vec_id").alias("vec"), F.count(F.lit(1)).alias("n"))
-    classes = written(classes.withColumn("length", F.size("vec")), "vectors")
+    classes = found.groupBy("h1", "h2").agg(F.min("vec_id").cast("long").alias("low"), F.min_by("label", "vec_id").alias("label"), F.min_by("vec", "vec_id").alias("vec"), F.count(F.lit(1)).alias("n"))
+    # a class is told apart by a number of its own: an id can occur with several vectors or labels
+    classes = written(classes.withColumn("length", F.size("vec")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
 
-    picked = classes.orderBy(F.xxhash64(F.lit(5), "rep"), "rep").limit(sample).select("vec", "length").toArrow()  # `sample` rows at most
+    picked = classes.orderBy(F.xxhash64(F.lit(5), "low"), "low", "h1", "h2").limit(sample).select("vec", "length").toArrow()  # `sample` rows at most
     sizes = np.asarray(picked["length"])
     models = {int(d): learn_rotation(unit_rows(matrix(picked["vec"], np.flatnonzero(sizes == d), int(d)))) for d in np.unique(sizes)}
 
@@ -180,11 +183,13 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     guests = keys.filter("not home").drop("home").join(homes.select(*on).distinct(), on, "left_semi")
     met = into_runs(homes.unionByName(guests), on, "rep", block, classes.select("rep", "vec"))
     comp = written(components(map_arrow(met.select("run", "rep", "side", "whole", "label", "length", "vec"), _linking(least), "a long, b long")), "near")
-    members = classes.select("rep", "label", "length", "vec", "n").join(comp, F.col("rep") == F.col("node"))
-    blocks = into_runs(members.select("component", "rep"), ["component"], "rep", block, members.drop("component", "node"))
+    members = classes.select("rep", "low", "label", "length", "vec", "n").join(comp, F.col("rep") == F.col("node"))
+    blocks = into_runs(members.select("component", "rep"), ["component"], "rep", block, members.drop("component", "node", "low"))
     counted = map_arrow(blocks.select("run", "rep", "side", "whole", "label", "length", "vec", "n"), _counting(least), "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
-    per = classes.select("h1", "h2", "rep", "n").join(counted, "rep", "left").join(comp, F.col("rep") == F.col("node"), "left")
-    per = per.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    lowest = members.groupBy(F.col("component").alias("named")).agg(F.min("low").alias("lowest"))
+    per = classes.select("h1", "h2", "rep", "low", "n").join(counted, "rep", "left").join(comp, F.col("rep") == F.col("node"), "left")
+    per = per.join(lowest, F.col("component") == F.col("named"), "left")
+    per = per.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("lowest", "low").alias("component_id"))
     out = rows.join(per, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left")
     own = F.col("vec_id").cast("long")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", own).alias("component_id"))

@@ -127,3 +127,11 @@ def test_embedding_edges(spark):
     assert [got[i].component_id for i in (7, 8, 9)] == [7, 7, 7] and got[7].n_links == 2
     assert got[11].component_id == 11 and got[None].n_links == 0
     assert embedding_dedup.near_embeddings(df.limit(0)).count() == 0
+
+
+def test_one_id_with_vectors_of_other_label_and_length(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0, 0.0], 2), (2, [1.0, 0.01], 1), (3, [0.0, 1.0, 0.01], 2), (3, [1.0, 0.0, 0.0], 1)]
+    rows += [(4, [1.0, 1.0], 1), (4, [1.0, -1.0], 2), (5, [1.0, -1.01], 1)]  # 5 is near 4's vector of the other label
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(x) for x in embedding_dedup.near_embeddings(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (3, 1, 1, False), (4, 0, 4, True), (4, 0, 4, True), (5, 0, 5, True)]
