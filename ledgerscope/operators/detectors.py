@@ -120,7 +120,7 @@ def round_trips(
         if least:
             path = path.filter(F.col(f"s{i}") - F.col(f"s{i - 1}") >= least)
         if kept:
-            share = F.col(f"c{i}") / F.col(f"c{i - 1}")
+            share = F.try_divide(F.col(f"c{i}"), F.col(f"c{i - 1}"))
             path = path.filter(share.between(*kept))
         path = path.drop(f"_src{i}")
     return path.select(

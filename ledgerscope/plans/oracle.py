@@ -807,15 +807,16 @@ JOIN h h3 ON h3.sender_id = h2.receiver_id AND h3.receiver_id = h1.sender_id
          AND h3.s > h2.s AND h3.s <= h2.s + 604800""",
     H_CTE,
 )
-def _chain_sql(depth: int, gap: int) -> str:
-    """Chains of ``depth`` hops back to their origin, ``gap`` seconds a hop at most."""
+def _chain_sql(depth: int, gap: int, rules: str = "") -> str:
+    """Chains of ``depth`` hops back to their origin, ``gap`` seconds a hop at most;
+    ``rules`` holds for each hop {b} after hop {a}."""
     hops = range(1, depth + 1)
     joins = []
     for i in hops[1:]:
         on = f"h{i}.sender_id = h{i - 1}.receiver_id AND h{i}.s > h{i - 1}.s AND h{i}.s <= h{i - 1}.s + {gap}"
         seen = ", ".join(["h1.sender_id", *[f"h{j}.receiver_id" for j in range(1, i)]])
         on += f" AND h{i}.receiver_id = h1.sender_id" if i == depth else f" AND h{i}.receiver_id NOT IN ({seen})"
-        joins.append(f"JOIN h h{i} ON {on}")
+        joins.append(f"JOIN h h{i} ON {on}" + rules.format(a=f"h{i - 1}", b=f"h{i}"))
     return f"""
 SELECT h1.sender_id AS origin_id, {", ".join(f"h{i}.receiver_id AS via_{i}" for i in hops[:-1])},
        {", ".join(f"h{i}.transaction_id AS txn_{i}" for i in hops)},
@@ -826,6 +827,15 @@ FROM h h1 {" ".join(joins)}"""
 
 ORACLE["round_trips_4"] = W(_chain_sql(4, 20 * 86400), H_CTE)
 ORACLE["round_trips_5"] = W(_chain_sql(5, 20 * 86400), H_CTE)
+for _depth in range(2, 6):
+    ORACLE[f"round_trips_rules_{_depth}"] = W(
+        _chain_sql(
+            _depth, 86400,
+            " AND {b}.s >= {a}.s + 3600"
+            " AND CAST({b}.amount_cents AS DOUBLE) / nullif(CAST({a}.amount_cents AS DOUBLE), 0) BETWEEN 0.90::DOUBLE AND 0.99::DOUBLE",
+        ),
+        H_CTE,
+    )
 ORACLE["rapid_movement"] = W(
     """
 SELECT c.account_id, c.in_txn, MIN(o.transaction_id) AS out_txn, (c.os - c.s) / 3600.0::DOUBLE AS delay_hours

@@ -224,6 +224,11 @@ register("round_trips_3")(lambda s, d: DT.round_trips(tx(s, d), depth=3))
 # deeper chains need a wider hop here: the derived ledger's amounts and times are unrelated from hop to hop
 register("round_trips_4")(lambda s, d: DT.round_trips(tx(s, d), depth=4, max_hop_days=20))
 register("round_trips_5")(lambda s, d: DT.round_trips(tx(s, d), depth=5, max_hop_days=20))
+# the same chains under the laundering rules: hops of 1 to 24 h that pass on 0.90 to 0.99 of the amount
+for _depth in range(2, 6):
+    register(f"round_trips_rules_{_depth}")(
+        lambda s, d, n=_depth: DT.round_trips(tx(s, d), depth=n, max_hop_days=1, min_hop_hours=1, kept=(0.90, 0.99))
+    )
 register("rapid_movement")(lambda s, d: DT.rapid_movement(tx(s, d)))
 register("tbml_pairs")(lambda s, d: DT.tbml_pairs(tx(s, d)))
 register("fan_out")(lambda s, d: DT.fan_out(tx(s, d)))

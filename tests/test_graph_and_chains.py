@@ -28,6 +28,17 @@ def test_planted_chains_are_found(spark, depth):
     assert [r.origin_id for r in got] == ["A0"] and got[0][f"txn_{depth}"] == f"T{depth - 1}"
 
 
+@pytest.mark.parametrize("depth", [2, 5])
+def test_registered_chains_apply_the_rules(spark, monkeypatch, depth):
+    from ledgerscope.plans import registry
+
+    names = [f"A{i}" for i in range(depth)] + ["A0"]
+    planted = [(names[i], names[i + 1], int(1_000_000 * 0.95**i), 5 * i) for i in range(depth)]
+    other = [(a + "s", b + "s", c, h * 30) for a, b, c, h in planted] + [(a + "z", b + "z", 0, h) for a, b, c, h in planted]
+    monkeypatch.setattr(registry, "tx", lambda s, d: _ledger(s, planted + other))
+    assert [r.origin_id for r in registry.REGISTRY[f"round_trips_rules_{depth}"](spark, "").collect()] == ["A0"]
+
+
 def _graph(spark, pairs):
     nodes = sorted({x for p in pairs for x in p})
     return spark.createDataFrame([(*p, 1) for p in pairs], "src string, dst string, weight long"), spark.createDataFrame([(n,) for n in nodes], "node string")
