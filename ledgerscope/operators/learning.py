@@ -237,8 +237,8 @@ def background_centres(txns: DataFrame, k: int = 200, seed: int = 42) -> DataFra
 
 def customer_risk_model(node_x: DataFrame, propagated: DataFrame, custs: DataFrame) -> DataFrame:
     """Class-weighted logistic classifier on node features and their
-    propagated versions; probability of the suspicious class as graph risk.
-    Reports validation recall per customer split."""
+    propagated versions; probability of the suspicious class as graph risk,
+    with the label and the split of each customer."""
     node_x = cut_lineage(node_x)
     p = propagated.select("customer_id", *[F.col(c).alias(f"p_{c}") for c in NODE_FEATURES])
     y = custs.select("customer_id", F.col("is_suspicious").cast("double").alias("label"))
