@@ -14,6 +14,7 @@ from ledgerscope.llm.page_diff import op3_page_differencing
 from ledgerscope.llm.pii import op4_pii
 from ledgerscope.llm.quality_classifier import op10_quality_mil
 from ledgerscope.llm.quality_rules import op5_quality_rules
+from ledgerscope.llm.sentence_pieces import op11_sentence_pieces
 from ledgerscope.llm.simhash import op6_simhash
 from ledgerscope.llm.token_files import op9_token_files
 
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_files": op9_token_files,
     "op10_quality_mil": op10_quality_mil,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
 
 ORACLE: dict[str, str] = {"op8_source_mixing": OP8_SQL}
