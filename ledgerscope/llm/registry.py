@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerscope.llm.conversation_trie import op13_conversation_trie
 from ledgerscope.llm.embedding_dedup import op1_embedding_itq
 from ledgerscope.llm.language_id import op2_language_id
 from ledgerscope.llm.mixing import OP8_SQL, op8_source_mixing
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_quality_mil": op10_quality_mil,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE: dict[str, str] = {"op8_source_mixing": OP8_SQL}
