@@ -17,6 +17,7 @@ from ledgerscope.llm.quality_classifier import op10_quality_mil
 from ledgerscope.llm.quality_rules import op5_quality_rules
 from ledgerscope.llm.sentence_pieces import op11_sentence_pieces
 from ledgerscope.llm.simhash import op6_simhash
+from ledgerscope.llm.spelling import op12_spelling_variants
 from ledgerscope.llm.token_files import op9_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_quality_mil": op10_quality_mil,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
