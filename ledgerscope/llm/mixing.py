@@ -78,22 +78,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 8) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document once for each
-    full time it is taken; the one at a source's cut ends after its taken words."""
-    t, h, n, size, k = fresh(docs.columns, "mix_taken", "mix_hash", "mix_id", "mix_size", "mix_copy")
+    full time it is taken; the one at a source's cut ends after its taken words.
+    Rows equal in id, text and source have places that follow one another: each
+    is dealt the words of a place, so together they give just what the plan takes."""
+    n, h, src, size, deal, rows = fresh(docs.columns, "mix_id", "mix_hash", "mix_source", "mix_size", "mix_deal", "mix_rows")
     plan = mix(docs, id_col, text_col, source_col, seed).filter("taken > 0")
-    # equal rows: their words together, dealt out evenly by the join's one row for each (id, text)
-    plan = plan.groupBy(F.col("doc_id").alias(n), F.col("text_hash").alias(h), F.col("source").alias("_src")).agg(
-        F.floor(F.sum("taken") / F.count(F.lit(1))).cast("long").alias(t), F.max("size").alias(size)
-    )
-    j = docs.withColumn("_h", F.xxhash64(F.col(text_col))).join(
-        plan, F.col(id_col).eqNullSafe(F.col(n)) & (F.col("_h") == F.col(h)) & F.col(source_col).cast("string").eqNullSafe(F.col("_src"))
-    )
-    j = j.withColumn(k, F.explode(F.sequence(F.lit(1), F.ceil(F.col(t) / F.greatest(F.col(size), F.lit(1))).cast("int"))))
-    words = F.col(t) - (F.col(k) - 1) * F.col(size)
-    text = F.when(words >= F.col(size), F.col(text_col)).otherwise(
-        F.expr(f"array_join(slice(regexp_extract_all(`{text_col}`, '[ \\\\t-\\\\r]*[^ \\\\t-\\\\r]+', 0), 1, cast(`{t}` - (`{k}` - 1) * `{size}` as int)), '')")
-    )
-    return j.withColumn(text_col, text).select(*docs.columns)
+    keys = [F.col("doc_id").alias(n), F.col("text_hash").alias(h), F.col("source").alias(src), F.col("size").alias(size)]
+    # a group of equal rows takes all, part and none of a copy: three different values at most
+    plan = plan.groupBy(*keys, "taken").agg(F.count(F.lit(1)).alias("rows"))
+    plan = plan.groupBy(n, h, src, size).agg(F.sort_array(F.collect_list(F.struct("taken", "rows")), False).alias(deal))
+    plan = written(plan, "mix-plan")
+    alone = (F.size(deal) == 1) & (F.element_at(deal, 1)["rows"] == 1)
+    mine = docs.withColumn(rows, F.xxhash64(F.col(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col(n)) & (F.col(rows) == F.col(h)) & F.col(source_col).cast("string").eqNullSafe(F.col(src))
+    row = F.struct(*docs.columns).alias("row")
+    both = mine.join(plan.filter(alone), same).select(row, F.col(size).alias("size"), F.element_at(deal, 1)["taken"].alias("taken"))
+    groups = plan.filter(~alone)
+    if groups.limit(1).count():
+        # rows are numbered within their group; a group of any size spreads over tasks
+        whole = [F.col(f"row.`{c}`") for c, t in docs.dtypes if "map<" not in t]
+        group = F.md5(F.to_json(F.array(F.col(n).cast("string"), F.col(h).cast("string"), F.col(src))))
+        many = mine.join(groups, same).select(row, F.col(size).alias("size"), F.col(deal).alias("deal"), group.alias("group"), F.lit(1).alias("one"))
+        many = running_sums(many.withColumn("order", F.xxhash64(*whole)), "group", ["order"], "one", "place")
+        first, second = (F.coalesce(F.try_element_at("deal", F.lit(i))["rows"], F.lit(0)) for i in (1, 2))
+        which = F.when(F.col("place") < first, 1).when(F.col("place") < first + second, 2).otherwise(3)
+        both = both.unionByName(many.select("row", "size", F.coalesce(F.try_element_at("deal", which)["taken"], F.lit(0)).alias("taken")))
+    both = both.filter("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int"))))
+    words = (F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
+    old = F.col(f"row.`{text_col}`")
+    text = F.when(words >= F.col("size"), old).otherwise(F.array_join(F.slice(F.regexp_extract_all(old, F.lit("[ \\t-\\r]*[^ \\t-\\r]+"), F.lit(0)), F.lit(1), words), ""))
+    return both.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,17 @@ attention, softmax over w.(tanh(Vh) * sigmoid(Uh)), weighs the document's
 passages; a logistic unit scores the weighted sum. Only document labels train
 it: they say nothing on single passages, the attention learns that.
 
-Fitted on a bounded sample: the ``max_train`` labelled documents first by a hash
-of their id (all of them where there are fewer). Scoring reads all passages of
-all documents.
+Fitted on a bounded sample: the ``max_train`` labelled ids first by a hash of the
+id (all of them where there are fewer), one row of each (the least hash of its
+text), and of those, in that order, the whole texts that together have at most
+``max_passages`` passages; a text too long for what is left teaches nothing, it is
+never cut. At most ``max_train`` rows and 538 bytes a passage reach the driver,
+54 MB. Scoring reads all passages of all documents.
 
 Defined cases: a null or empty text is one passage of zeros and gets that
 passage's score; repeated rows get equal scores; unlabelled, null-id and
-null-label rows teach nothing; several labels of a document count by their mean
+null-label rows teach nothing; an id on several rows teaches by one of them;
+several labels of a document count by their mean
 (good from 0.5 on); with no labels every score is 0.5, with labels of one kind
 that kind's share; an empty table gives no rows; other columns are kept.
 """
@@ -28,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerscope.llm.common import fold, fresh, map_arrow, owners, slices, split_words, sums, table, utf8
+from ledgerscope.llm.common import WORD, fold, fresh, map_arrow, owners, slices, split_words, sums, table, utf8, written
 from ledgerscope.llm.text_stats import repeated_words
 
-PASSAGE, BUCKETS, MAX_TRAIN, THRESHOLD = 64, 256, 4000, 0.7
+PASSAGE, BUCKETS, MAX_TRAIN, MAX_PASSAGES, THRESHOLD = 64, 256, 4000, 100_000, 0.7
 SHAPES = 13
 
 
@@ -129,8 +133,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int
     return p | {"mean": mean, "sd": sd}
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> dict:
-    """Fits on documents whose fold of 4 isn't 2. ``labels``: (doc_id, quality)."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, max_passages: int = MAX_PASSAGES) -> DataFrame:
+    """(id, label, text) of the rows that teach: see the module's bounds."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     known = known.select(F.col("doc_id").alias("_lid"), "label")
@@ -138,18 +142,39 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # labels may name documents that an earlier stage dropped, so the sample is taken from those present
     ids = mine.select("id").join(known, F.col("id") == F.col("_lid")).select("_lid", "label").distinct()
     sample = F.broadcast(ids.orderBy(F.xxhash64(F.lit(10), "_lid"), "_lid").limit(max_train))  # max_train rows at most
+    # an id may be on any number of rows: hashes find one of its texts, partial sums keep a row a task
+    theirs = mine.join(sample, F.col("id") == F.col("_lid")).select("id", "label", "text", F.xxhash64("text").alias("h"))
+    least = theirs.groupBy("id").agg(F.min("h").alias("h"))
+    one = theirs.join(F.broadcast(least), ["id", "h"]).groupBy("id").agg(F.first("label").alias("label"), F.first("text").alias("text"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
+    one = written(one.withColumn("passages", F.greatest(F.lit(1), F.ceil(words / PASSAGE)).cast("long")), "training")
+    chosen, left = [], max_passages
+    for r in one.orderBy(F.xxhash64(F.lit(10), "id"), "id").select("id", "passages").collect():  # max_train rows at most
+        if r["passages"] <= left:
+            chosen.append((r["id"],))
+            left -= r["passages"]
+    picked = docs.sparkSession.createDataFrame(chosen, T.StructType([one.schema["id"]]))
+    return one.join(F.broadcast(picked), "id").select("id", "label", "text")
+
+
+def training_bags(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """The codes of each row's passages, and the labels, in order of the ids."""
 
     def run(batches):
-        for b in slices(batches, 1, 4 << 20):
-            x, off = encode_passages(b.column(1))
-            rows = [x[s:e].astype(np.float16).tobytes() for s, e in zip(off, off[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(rows, pa.binary())], names=["id", "label", "x"])
-
-    kind = mine.schema["id"].dataType.simpleString()
-    picked = mine.join(sample, F.col("id") == F.col("_lid")).select("id", "text", "label")
-    rows = sorted(map_arrow(picked, run, f"id {kind}, label int, x binary").collect(), key=lambda r: (r["id"], bytes(r["x"])))
-    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, SHAPES + BUCKETS) for r in rows]
-    return fit(bags, np.array([r["label"] for r in rows], np.float32))
+        for b in slices(batches, 2, 4 << 20):
+            x, off = encode_passages(b.column(2))
+            codes = [x[s:e].astype(np.float16).tobytes() for s, e in zip(off, off[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes, pa.binary())], names=["id", "label", "x"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    got = sorted(map_arrow(rows, run, f"id {kind}, label int, x binary").collect(), key=lambda r: r["id"])
+    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, SHAPES + BUCKETS) for r in got]
+    return bags, np.array([r["label"] for r in got], np.float32)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, max_passages: int = MAX_PASSAGES) -> dict:
+    """Fits on documents whose fold of 4 isn't 2. ``labels``: (doc_id, quality)."""
+    return fit(*training_bags(training_rows(docs, labels, id_col, text_col, max_train, max_passages)))
 
 
 def scored(docs: DataFrame, model: dict, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -170,9 +170,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = [F.xxhash64(F.lit(i), *whole) for i in (1, 2)]
     rows = written(with_fingerprints(docs, id_col, text_col, shingle, marks), "simhash")
     c = in_components(rows, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "m0", "m1")), max_bits)
-    keep = c.groupBy("comp").agg(F.min("low").alias("low")).select(F.col("low.m0").alias("_k0"), F.col("low.m1").alias("_k1"))
-    row, *m = fresh(docs.columns, "simhash_row", "simhash_m0", "simhash_m1")
-    d = docs.withColumns(dict(zip(m, marks, strict=True))).join(keep, (F.col(m[0]) == F.col("_k0")) & (F.col(m[1]) == F.col("_k1")), "left_semi")
+    row, m0, m1, k0, k1 = fresh(docs.columns, "simhash_row", "simhash_m0", "simhash_m1", "simhash_k0", "simhash_k1")
+    m = [m0, m1]
+    keep = c.groupBy("comp").agg(F.min("low").alias("low")).select(F.col("low.m0").alias(k0), F.col("low.m1").alias(k1))
+    d = docs.withColumns(dict(zip(m, marks, strict=True))).join(keep, (F.col(m0) == F.col(k0)) & (F.col(m1) == F.col(k1)), "left_semi")
     return d.groupBy(*m).agg(F.first(F.struct(*docs.columns)).alias(row)).select(f"{row}.*")
 
 

@@ -1,9 +1,11 @@
 """Page differencing and the attention classifier."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from ledgerscope.llm import page_diff, quality_classifier
 from ledgerscope.llm.html_blocks import blocks
@@ -133,6 +135,24 @@ def test_classifier_edges(spark, odd_docs, no_docs):
     assert quality_classifier.train(no_docs, labels) == {"share": 0.5}
 
 
+def test_training_takes_a_row_an_id_and_whole_texts_within_its_bounds(spark):
+    many = spark.range(5_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("copy number "), (F.col("id") % 50).cast("string")).alias("text"))
+    long = spark.range(1).select(F.lit(3).cast("long").alias("doc_id"), F.repeat(F.lit("word "), 5_000_000).alias("text"))
+    few = spark.range(10, 60).select(F.col("id").alias("doc_id"), F.lit("a few words of text").alias("text"))
+    docs = many.unionByName(long).unionByName(few)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    sizes = {r.id: r.n for r in quality_classifier.training_rows(docs, labels).select("id", F.length("text").alias("n")).collect()}
+    folds = {i for i in [1, 3, *range(10, 60)] if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sizes.keys() == folds and sizes[3] == 25_000_000  # whole: its 78,125 passages fit
+    below = quality_classifier.training_rows(docs, labels, max_passages=78_000)
+    assert {r.id for r in below.select("id").collect()} == folds - {3}
+    three = quality_classifier.training_rows(docs, labels, max_train=3)
+    bags, y = quality_classifier.training_bags(three)
+    assert len(bags) == len(y) == 3
+    tight = quality_classifier.training_rows(docs, labels, max_passages=7)
+    assert tight.count() == 7
+
+
 def test_classifier_held_out_accuracy(spark, sf):
     big = sf.replace("sf0.001", "sf0.01")
     got = quality_classifier.op10_quality_mil(spark, big).join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").filter("held_out").toPandas()

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from brute import ODD, WORD, rules
 from pyspark.sql import functions as F
 
@@ -151,4 +152,19 @@ def test_mixed_documents_take_the_planned_words(spark, odd_docs):
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     got = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(words).alias("n")).collect()}
     plan = {r.source: r.n for r in mixing.mix(odd_docs).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
-    assert all(abs(got.get(k, 0) - n) <= 2 for k, n in plan.items())  # repeated rows share their words evenly
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in plan.items() if n}
+
+
+@pytest.mark.parametrize("copies", [1, 7, 300])
+def test_equal_rows_are_dealt_every_word(spark, copies):
+    """Rows of one id and text, other columns unequal: together they give what the plan takes, each at most twice its size."""
+    rows = [(1, "a b c d e f g h i j k l m", "s", i) for i in range(copies)] + [(2, "x " * 9, "t", 0), (3, "y " * 11, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, url long")
+    want = {(r.doc_id, r.source): r.n for r in mixing.mix(docs).groupBy("doc_id", "source").agg(F.sum("taken").alias("n")).collect()}
+    got, per = {}, {}
+    for r in mixing.mixed_documents(docs).collect():
+        n = len(r.text.split())
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + n
+        per[r.doc_id, r.url] = per.get((r.doc_id, r.url), 0) + n
+    assert got == {k: n for k, n in want.items() if n}
+    assert all(per.get((1, i), 0) <= 26 for i in range(copies))
