@@ -86,13 +86,15 @@ def _bucketed_next(left: DataFrame, right: DataFrame, lkey: list[str], rkey: lis
 
 
 def round_trips(
-    txns: DataFrame, depth: int = 2, max_hop_days: float = 7, min_hop_hours: float = 0, kept: tuple[float, float] | None = None
+    txns: DataFrame, depth: int = 2, max_hop_days: float = 7, min_hop_hours: float = 0, kept: tuple[int, int] | None = None
 ) -> DataFrame:
     """Chains A -> ... -> A of ``depth`` hops through distinct accounts, each hop
     later than the previous by more than ``min_hop_hours`` less a second and at
-    most ``max_hop_days``. With ``kept`` each hop passes on that share of the hop
-    before it (0.90 to 0.99 for laundered money less fees). The conditions are
-    part of each hop's join, so a path that breaks one never reaches the next."""
+    most ``max_hop_days``. With ``kept`` = (low, high) in percent, hop i (from 0)
+    carries between (low %)^i and (high %)^i of the *first* hop's amount, each to
+    the nearest cent (90 and 99 for laundered money less fees that compound). The
+    conditions are part of each hop's join, so a path that breaks one never reaches
+    the next."""
     gap, least = int(max_hop_days * DAY), int(min_hop_hours * 3600)
     h = _hops(txns).filter(F.col("sender_id") != F.col("receiver_id"))
     # Exact pruning: every hop of a closed chain starts at an account that also
@@ -120,8 +122,12 @@ def round_trips(
         if least:
             path = path.filter(F.col(f"s{i}") - F.col(f"s{i - 1}") >= least)
         if kept:
-            share = F.try_divide(F.col(f"c{i}"), F.col(f"c{i - 1}"))
-            path = path.filter(share.between(*kept))
+            # exact: c_i within half a cent of c_1 * (kept / 100)^(i - 1), without division
+            exact = lambda x: x.cast("decimal(38,0)")
+            whole = 100 ** (i - 1)
+            low, high = (exact(F.col("c1")) * F.lit(2 * k ** (i - 1)).cast("decimal(18,0)") for k in kept)
+            mine = exact(F.col(f"c{i}")) * F.lit(2 * whole).cast("decimal(18,0)")
+            path = path.filter((F.col("c1") > 0) & (mine + whole >= low) & (mine - whole <= high))
         path = path.drop(f"_src{i}")
     return path.select(
         F.col("a0").alias("origin_id"),

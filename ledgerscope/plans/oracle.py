@@ -6,6 +6,7 @@ exactly as the Spark side does, so both engines produce identical doubles.
 
 from __future__ import annotations
 
+from ledgerscope.plans.oracle_base import PLANTED_CTES
 from ledgerscope.plans.oracle_base import with_ledger as W
 
 # Shared SQL fragments.
@@ -809,14 +810,14 @@ JOIN h h3 ON h3.sender_id = h2.receiver_id AND h3.receiver_id = h1.sender_id
 )
 def _chain_sql(depth: int, gap: int, rules: str = "") -> str:
     """Chains of ``depth`` hops back to their origin, ``gap`` seconds a hop at most;
-    ``rules`` holds for each hop {b} after hop {a}."""
+    ``rules`` holds for each hop {b} after hop {a}, the {i}th after the first."""
     hops = range(1, depth + 1)
     joins = []
     for i in hops[1:]:
         on = f"h{i}.sender_id = h{i - 1}.receiver_id AND h{i}.s > h{i - 1}.s AND h{i}.s <= h{i - 1}.s + {gap}"
         seen = ", ".join(["h1.sender_id", *[f"h{j}.receiver_id" for j in range(1, i)]])
         on += f" AND h{i}.receiver_id = h1.sender_id" if i == depth else f" AND h{i}.receiver_id NOT IN ({seen})"
-        joins.append(f"JOIN h h{i} ON {on}" + rules.format(a=f"h{i - 1}", b=f"h{i}"))
+        joins.append(f"JOIN h h{i} ON {on}" + rules.format(a=f"h{i - 1}", b=f"h{i}", i=i - 1, low=2 * 90 ** (i - 1), high=2 * 99 ** (i - 1), whole=100 ** (i - 1)))
     return f"""
 SELECT h1.sender_id AS origin_id, {", ".join(f"h{i}.receiver_id AS via_{i}" for i in hops[:-1])},
        {", ".join(f"h{i}.transaction_id AS txn_{i}" for i in hops)},
@@ -831,10 +832,11 @@ for _depth in range(2, 6):
     ORACLE[f"round_trips_rules_{_depth}"] = W(
         _chain_sql(
             _depth, 86400,
-            " AND {b}.s >= {a}.s + 3600"
-            " AND CAST({b}.amount_cents AS DOUBLE) / nullif(CAST({a}.amount_cents AS DOUBLE), 0) BETWEEN 0.90::DOUBLE AND 0.99::DOUBLE",
+            " AND {b}.s >= {a}.s + 3600 AND h1.amount_cents > 0"
+            " AND CAST({b}.amount_cents AS HUGEINT) * 2 * {whole} BETWEEN CAST(h1.amount_cents AS HUGEINT) * {low} - {whole}"
+            " AND CAST(h1.amount_cents AS HUGEINT) * {high} + {whole}",
         ),
-        H_CTE,
+        PLANTED_CTES + "," + H_CTE.replace("FROM transactions", "FROM planted"),
     )
 ORACLE["rapid_movement"] = W(
     """
@@ -866,7 +868,7 @@ FROM transactions GROUP BY 1, 2 HAVING COUNT(DISTINCT receiver_id) >= 5""")
 ORACLE["fan_in"] = W(f"""
 SELECT receiver_id, CAST("timestamp" AS DATE) AS date, COUNT(DISTINCT sender_id) AS distinct_senders,
        COUNT(*) AS txn_count, {SUM_USD} AS total_usd
-FROM transactions GROUP BY 1, 2 HAVING COUNT(DISTINCT sender_id) >= 5""")
+FROM planted GROUP BY 1, 2 HAVING COUNT(DISTINCT sender_id) >= 5""", PLANTED_CTES)
 ORACLE["near_threshold"] = W(f"""
 SELECT sender_id, near_count, txn_count, {R('near_count', 'txn_count')} AS near_share
 FROM (SELECT sender_id, COUNT(*) FILTER (WHERE amount_cents BETWEEN 950100 AND 999000) AS near_count,
@@ -1158,6 +1160,15 @@ ORACLE["validate_valid"] = W(f"""
 SELECT {_REQ_COLS} FROM transactions
 WHERE transaction_id IS NOT NULL AND sender_id IS NOT NULL AND receiver_id IS NOT NULL
   AND amount_usd IS NOT NULL AND amount_usd > 0""")
+FLAWED_CTES = """
+flawed AS (
+    SELECT * REPLACE (
+        CASE WHEN fault <> 0 THEN sender_id END AS sender_id,
+        CASE WHEN fault = 1 THEN -amount_usd WHEN fault NOT IN (2, 3) THEN amount_usd END AS amount_usd,
+        CASE WHEN fault NOT IN (0, 4) THEN receiver_id END AS receiver_id,
+        CASE WHEN fault <> 3 THEN transaction_id END AS transaction_id)
+    FROM (SELECT *, amount_cents % 97 AS fault FROM transactions)
+)"""
 ORACLE["validate_quarantine"] = W("""
 SELECT transaction_id, broken_rules FROM (
     SELECT transaction_id, concat_ws('; ',
@@ -1166,8 +1177,12 @@ SELECT transaction_id, broken_rules FROM (
         CASE WHEN receiver_id IS NULL THEN 'receiver_id is required' END,
         CASE WHEN amount_usd IS NULL THEN 'amount_usd is required' END,
         CASE WHEN amount_usd <= 0 THEN 'amount_usd must be > 0' END) AS broken_rules
-    FROM transactions
-) WHERE broken_rules != ''""")
+    FROM flawed
+) WHERE broken_rules != ''""", FLAWED_CTES)
+ORACLE["validate_flawed"] = W(f"""
+SELECT {_REQ_COLS} FROM flawed
+WHERE transaction_id IS NOT NULL AND sender_id IS NOT NULL AND receiver_id IS NOT NULL
+  AND amount_usd IS NOT NULL AND amount_usd > 0""", FLAWED_CTES)
 ORACLE["valid_edges"] = W(
     """
 SELECT src, dst, weight FROM ge
@@ -1176,9 +1191,10 @@ WHERE src IN (SELECT customer_id FROM customers) AND dst IN (SELECT customer_id
 )
 ORACLE["orphan_edges"] = W(
     """
-SELECT DISTINCT src, dst, weight FROM ge
-WHERE src NOT IN (SELECT customer_id FROM customers) OR dst NOT IN (SELECT customer_id FROM customers)""",
-    G_CTES,
+SELECT sender_id AS src, receiver_id AS dst, COUNT(*) AS weight FROM planted
+WHERE sender_id NOT IN (SELECT customer_id FROM customers) OR receiver_id NOT IN (SELECT customer_id FROM customers)
+GROUP BY 1, 2""",
+    PLANTED_CTES,
 )
 _FC = ["amount_usd", "log_amount", "hour_of_day", "day_of_week", "is_cross_border", "round_amount",
        "rapid_movement", "structuring_flag", "amount_z_score_sender", "is_suspicious"]
@@ -1252,7 +1268,9 @@ SELECT user_id, n, CAST((s * 20000 + n) // (2 * n) AS BIGINT) / 1e6::DOUBLE AS m
 FROM (SELECT user_id, COUNT(*) AS n, SUM(c) AS s, SUM(CAST(c AS DOUBLE) * c) AS q
       FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE value IS NOT NULL)
       GROUP BY user_id)"""
-ORACLE["stream_alert_sink"] = "SELECT event_id, user_id, event_type, value, ts FROM events WHERE value > 0"
+_REFUSED = "(SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN -value ELSE value END AS value) FROM events)"
+ORACLE["stream_alert_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value > 0"
+ORACLE["stream_quarantine_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value IS NULL OR value <= 0"
 
 # --- remaining surfaces -------------------------------------------------------------
 ORACLE["adhoc_sql"] = W("""

@@ -76,3 +76,46 @@ def with_ledger(body: str, ctes: str = "", recursive: bool = False) -> str:
     if ctes.strip():
         head += ",\n" + ctes.strip()
     return head + "\n" + body.strip()
+
+
+#: ``sources/planted.py`` in SQL: the ledger with planted transfers.
+PLANTED_CTES = r"""
+_po AS (
+    SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS day, o_orderkey // 40 AS number, 2 + (o_orderkey // 40) % 4 AS n,
+           unnest(generate_series(0, CAST(1 + (o_orderkey // 40) % 4 AS INTEGER))) AS i
+    FROM orders WHERE o_orderkey % 40 = 0
+),
+_pc AS (
+    SELECT *, CAST((2 * (10000000 + (k % 1000) * 12345) * CAST(pow(90 + (k * 17 + i * 23) % 10, i) AS BIGINT) + CAST(pow(100, i) AS BIGINT))
+                   // (2 * CAST(pow(100, i) AS BIGINT)) AS BIGINT) AS cents,
+           (k % 24) * 3600 + CASE WHEN i >= 1 THEN 3600 + (k * 31 + 7919) % 82801 ELSE 0 END
+             + CASE WHEN i >= 2 THEN 3600 + (k * 31 + 2 * 7919) % 82801 ELSE 0 END
+             + CASE WHEN i >= 3 THEN 3600 + (k * 31 + 3 * 7919) % 82801 ELSE 0 END
+             + CASE WHEN i >= 4 THEN 3600 + (k * 31 + 4 * 7919) % 82801 ELSE 0 END AS seconds,
+           (c // 50) * 50 + (c + i * 7) % 50 AS a, (c // 50) * 50 + (c + ((i + 1) % n) * 7) % 50 AS b
+    FROM _po
+),
+_fan AS (
+    SELECT c_custkey AS k, unnest(generate_series(1, CAST(3 + (c_custkey // 50) % 5 AS INTEGER))) AS j FROM customer WHERE c_custkey % 50 = 7
+),
+_planted AS (
+    SELECT 'PLT_' || k || '_' || i AS transaction_id, day + to_seconds(seconds) AS "timestamp", a, b, NULL AS outsider,
+           CASE WHEN number % 5 = 0 AND i = n - 1 THEN cents // 2 ELSE cents END AS amount_cents
+    FROM _pc
+    UNION ALL
+    SELECT 'FAN_' || k || '_' || j, TIMESTAMP '1996-01-01' + to_seconds((k % 1000) * 86400 + j * 3600),
+           (k // 50) * 50 + (7 + j) % 50, k, NULL, 100000 + j * 1000
+    FROM _fan
+    UNION ALL
+    SELECT 'EXT_' || c_custkey, TIMESTAMP '1997-01-01' + to_seconds((c_custkey % 1000) * 86400), NULL, c_custkey, 'OUT_' || (c_custkey % 400), 250000 + c_custkey
+    FROM customer WHERE c_custkey % 50 = 11
+),
+planted AS (
+    SELECT transaction_id, "timestamp", sender_id, receiver_id, amount_cents, transaction_type FROM transactions
+    UNION ALL
+    SELECT transaction_id, "timestamp",
+           COALESCE(outsider, 'CUST_' || lpad(CAST(a AS VARCHAR), CAST(greatest(6, length(CAST(a AS VARCHAR))) AS INTEGER), '0')),
+           'CUST_' || lpad(CAST(b AS VARCHAR), CAST(greatest(6, length(CAST(b AS VARCHAR))) AS INTEGER), '0'),
+           CAST(amount_cents AS BIGINT), 'WIRE_TRANSFER'
+    FROM _planted
+)"""

@@ -66,6 +66,13 @@ def tx(spark: SparkSession, sf: str) -> DataFrame:
     return written(spark, sf, "transactions", lambda: L.transactions(spark, sf))
 
 
+def planted(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger with planted patterns, for rules that the ledger alone never meets."""
+    from ledgerscope.sources import planted as PL
+
+    return written(spark, sf, "planted", lambda: PL.planted_ledger(spark, sf, tx(spark, sf)))
+
+
 def cu(spark: SparkSession, sf: str) -> DataFrame:
     return written(spark, sf, "customers", lambda: L.customers(spark, sf))
 
@@ -224,15 +231,16 @@ register("round_trips_3")(lambda s, d: DT.round_trips(tx(s, d), depth=3))
 # deeper chains need a wider hop here: the derived ledger's amounts and times are unrelated from hop to hop
 register("round_trips_4")(lambda s, d: DT.round_trips(tx(s, d), depth=4, max_hop_days=20))
 register("round_trips_5")(lambda s, d: DT.round_trips(tx(s, d), depth=5, max_hop_days=20))
-# the same chains under the laundering rules: hops of 1 to 24 h that pass on 0.90 to 0.99 of the amount
+# the same chains under the laundering rules, over the ledger with planted chains: hops of
+# 1 to 24 h, hop i with (0.90 to 0.99)^i of the first amount
 for _depth in range(2, 6):
     register(f"round_trips_rules_{_depth}")(
-        lambda s, d, n=_depth: DT.round_trips(tx(s, d), depth=n, max_hop_days=1, min_hop_hours=1, kept=(0.90, 0.99))
+        lambda s, d, n=_depth: DT.round_trips(planted(s, d), depth=n, max_hop_days=1, min_hop_hours=1, kept=(90, 99))
     )
 register("rapid_movement")(lambda s, d: DT.rapid_movement(tx(s, d)))
 register("tbml_pairs")(lambda s, d: DT.tbml_pairs(tx(s, d)))
 register("fan_out")(lambda s, d: DT.fan_out(tx(s, d)))
-register("fan_in")(lambda s, d: DT.fan_in(tx(s, d)))
+register("fan_in")(lambda s, d: DT.fan_in(planted(s, d)))
 register("near_threshold")(lambda s, d: DT.near_threshold(tx(s, d)))
 register("rule_risk_score")(lambda s, d: DT.rule_risk_score(tx(s, d), cu(s, d)))
 
@@ -325,6 +333,13 @@ def graph_view_nodes(txns, risk, n_edges=1500):
     )
 
 
+def _flawed(s, d):
+    from ledgerscope.sources.planted import flawed_records
+
+    r = _records(s, d)
+    return flawed_records(r, F.round(F.col("amount_usd") * 100).cast("long"))
+
+
 def high_risk_clusters(flagged, risk, txns, min_risk=0.6):
     inv = PR.involved_customers(flagged)
     hr = inv.join(risk.filter(F.col("gnn_risk_score") > min_risk).select("customer_id"), "customer_id", "left_semi")
@@ -340,7 +355,8 @@ register("roundtrip_csv")(lambda s, d: IO.roundtrip_csv(tx(s, d)))
 register("score_json_batch")(lambda s, d: IO.roundtrip_json_records(tx(s, d)))
 register("parse_records")(_records)
 register("validate_valid")(lambda s, d: VA.validate_valid(_records(s, d)))
-register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_records(s, d)))
+register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_flawed(s, d)))
+register("validate_flawed")(lambda s, d: VA.validate_valid(_flawed(s, d)))
 register("sar_reports_json")(lambda s, d: IO.sar_reports_roundtrip(SR.sar_reports(_sar_base(s, d))))
 register("dataset_manifest")(lambda s, d: IO.dataset_manifest(s, d))
 register("evaluation_report")(
@@ -355,9 +371,9 @@ register("valid_edges")(
     )
 )
 register("orphan_edges")(
-    lambda s, d: GR.graph_edges(tx(s, d))
+    lambda s, d: GR.graph_edges(planted(s, d))
     .join(cu(s, d).select(F.col("customer_id").alias("src")), "src", "left_anti")
-    .unionByName(GR.graph_edges(tx(s, d)).join(cu(s, d).select(F.col("customer_id").alias("dst")), "dst", "left_anti"))
+    .unionByName(GR.graph_edges(planted(s, d)).join(cu(s, d).select(F.col("customer_id").alias("dst")), "dst", "left_anti"))
     .select("src", "dst", "weight")
     .distinct()
 )
@@ -417,13 +433,28 @@ register("dr_effect")(lambda s, d: LE.dr_effect(tx(s, d)))
 
 from ledgerscope.streaming import jobs as ST  # noqa: E402
 
+
+
+def _events(s, d, name):
+    """A folder whose events table is the named derivation of the given one."""
+    import uuid
+
+    from ledgerscope.session import ensure_checkpoint_dir
+    from ledgerscope.sources import planted as PL
+
+    base = f"{ensure_checkpoint_dir(s).rstrip('/')}/tables/{s.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    getattr(PL, name)(s, d).write.parquet(f"{base}/events.parquet")
+    return base
+
+
 register("stream_velocity")(ST.stream_velocity)
 register("stream_structuring")(ST.stream_structuring)
 register("stream_sessions")(ST.stream_sessions)
-register("stream_dedup")(ST.stream_dedup)
+register("stream_dedup")(lambda s, d: ST.stream_dedup(s, _events(s, d, "resent_events")))
 register("stream_scores")(ST.stream_scores)
 register("stream_sender_state")(ST.stream_sender_state)
-register("stream_alert_sink")(ST.stream_alert_sink)
+register("stream_alert_sink")(lambda s, d: ST.stream_alert_sink(s, _events(s, d, "refused_events")))
+register("stream_quarantine_sink")(lambda s, d: ST.stream_alert_sink(s, _events(s, d, "refused_events"), part="quarantine"))
 register("stream_counters")(ST.stream_counters)
 
 from ledgerscope.operators import ml_stages as MS  # noqa: E402

@@ -179,10 +179,11 @@ def _has(spark: SparkSession, path: str) -> bool:
     return _exists(spark, path)
 
 
-def stream_alert_sink(spark: SparkSession, sf_dir: str, min_value: float = 0.0) -> DataFrame:
+def stream_alert_sink(spark: SparkSession, sf_dir: str, min_value: float = 0.0, part: str = "alerts") -> DataFrame:
     """foreachBatch sink: valid events to ``alerts``, broken ones (null or
     non-positive value) to ``quarantine``, each written to a folder named by
-    the batch id with overwrite, so a replayed batch rewrites the same output."""
+    the batch id with overwrite, so a replayed batch rewrites the same output.
+    Returns the rows of one ``part`` (``alerts`` or ``quarantine``)."""
     ev = event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "ts")
 
     def sink(batch, batch_id, base):
@@ -191,7 +192,8 @@ def stream_alert_sink(spark: SparkSession, sf_dir: str, min_value: float = 0.0)
         batch.filter(~ok | F.col("value").isNull()).write.mode("overwrite").parquet(f"{base}/quarantine/batch_id={batch_id}")
 
     base, _ = run_to_sink(ev, "alert-sink", foreach=sink)
-    return spark.read.parquet(f"{base}/alerts").drop("batch_id") if _has(spark, f"{base}/alerts") else spark.createDataFrame([], ev.schema)
+    path = f"{base}/{part}"
+    return spark.read.parquet(path).drop("batch_id") if _has(spark, path) else spark.createDataFrame([], ev.schema)
 
 
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:

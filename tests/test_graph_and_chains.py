@@ -23,7 +23,7 @@ def test_planted_chains_are_found(spark, depth):
     slow = [(a + "s", b + "s", c, h * 30) for a, b, c, h in planted]  # hops of over 24 hours
     skim = [(a + "k", b + "k", int(c * 0.5 ** (h / 5)), h) for a, b, c, h in planted]  # loses half at each hop
     quick = [(a + "q", b + "q", c, h / 50) for a, b, c, h in planted]  # hops of under an hour
-    rules = {"max_hop_days": 1, "min_hop_hours": 1, "kept": (0.90, 0.99)}
+    rules = {"max_hop_days": 1, "min_hop_hours": 1, "kept": (90, 99)}
     got = DT.round_trips(_ledger(spark, planted + slow + skim + quick), depth, **rules).collect()
     assert [r.origin_id for r in got] == ["A0"] and got[0][f"txn_{depth}"] == f"T{depth - 1}"
 
@@ -35,10 +35,25 @@ def test_registered_chains_apply_the_rules(spark, monkeypatch, depth):
     names = [f"A{i}" for i in range(depth)] + ["A0"]
     planted = [(names[i], names[i + 1], int(1_000_000 * 0.95**i), 5 * i) for i in range(depth)]
     other = [(a + "s", b + "s", c, h * 30) for a, b, c, h in planted] + [(a + "z", b + "z", 0, h) for a, b, c, h in planted]
-    monkeypatch.setattr(registry, "tx", lambda s, d: _ledger(s, planted + other))
+    monkeypatch.setattr(registry, "planted", lambda s, d: _ledger(s, planted + other))
     assert [r.origin_id for r in registry.REGISTRY[f"round_trips_rules_{depth}"](spark, "").collect()] == ["A0"]
 
 
+def test_chains_as_launderers_make_them_are_found(spark):
+    """Each hop's own share compounds from the first amount: hop i carries share_i ** i of it."""
+    r = random.Random(6)
+    rows, t0 = [], dt.datetime(2024, 1, 1)
+    for c in range(500):
+        first, at = round(r.uniform(100_000, 2_000_000), 2), t0 + dt.timedelta(days=r.uniform(0, 300))
+        names = [f"{c}:{i}" for i in range(5)] + [f"{c}:0"]
+        for i in range(5):
+            at += dt.timedelta(hours=r.uniform(1, 24))
+            rows.append((f"{c}.{i}", names[i], names[i + 1], round(round(first * r.uniform(0.90, 0.99) ** i, 2) * 100), at))
+    df = spark.createDataFrame(rows, "transaction_id string, sender_id string, receiver_id string, amount_cents long, timestamp timestamp_ntz")
+    got = DT.round_trips(df, 5, max_hop_days=1, min_hop_hours=1, kept=(90, 99)).collect()
+    assert len({x.txn_1 for x in got if x.txn_1.endswith(".0")}) >= 495
+
+
 def _graph(spark, pairs):
     nodes = sorted({x for p in pairs for x in p})
     return spark.createDataFrame([(*p, 1) for p in pairs], "src string, dst string, weight long"), spark.createDataFrame([(n,) for n in nodes], "node string")
