@@ -8,7 +8,7 @@ points, 4 rules), so they are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerscope.functions.money import (
@@ -137,12 +137,12 @@ def did_bootstrap(
     distribution as resampling rows.
 
     ``poisson`` (any outcome): each row gets a Poisson(1) weight per replicate
-    from a hash of (row id, replicate, seed); per-replicate cell means are
-    weighted sums, partially aggregated before the shuffle.
+    from a hash of (row id, replicate, seed); each task folds the replicates'
+    weighted sums into one array, so no row is copied.
     """
-    if method == "cells":
-        import numpy as np
+    import numpy as np
 
+    if method == "cells":
         cells = did_cells(df, outcome, treated, policy_date).collect()  # at most 4 rows
         key = {(r["treated"], r["post"]): (int(r["n"]), float(r["s"])) for r in cells}
         order = [(1, 1), (1, 0), (0, 1), (0, 0)]
@@ -169,34 +169,61 @@ def did_bootstrap(
         F.col(outcome).cast("double").alias("y"),
         F.xxhash64(F.col("transaction_id"), F.lit(seed)).alias("_h"),
     )
-    reps = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    # Poisson(1) by inverse CDF on a uniform from the hash.
-    u = (F.pmod(F.xxhash64(F.col("_h"), F.col("rep")), F.lit(1 << 30)) + 0.5) / F.lit(float(1 << 30))
-    cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-           0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999898508303684]
-    w = F.lit(len(cdf))
-    for k in reversed(range(len(cdf))):
-        w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    cells = reps.select("rep", "treated", "post", "y", w.alias("w")).groupBy("rep", "treated", "post").agg(
-        (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("m")
-    )
-
-    def cell(t, p):
-        return F.max(F.when((F.col("treated") == t) & (F.col("post") == p), F.col("m")))
-
-    per_rep = cells.groupBy("rep").agg(((cell(1, 1) - cell(1, 0)) - (cell(0, 1) - cell(0, 0))).alias("att"))
+    folded = base.mapInArrow(_poisson_folder(replicates), "sums array<double>")  # one row a task
+    sums = folded.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()  # 8 a replicate
+    cells = np.zeros(8 * replicates)
+    for r in sums:
+        cells[r["at"]] = r["x"]
+    weight, total = cells.reshape(2, 4, replicates)  # cell: 2 treated + post
+    with np.errstate(invalid="ignore", divide="ignore"):
+        m = total / weight
+    att = (m[3] - m[2]) - (m[1] - m[0])
+    att = att[np.isfinite(att)]
+    se = round(float(np.std(att)), 6) if att.size else float("nan")
     point = did_effect(df, outcome, treated, policy_date).select("ate").scalar()
-    return per_rep.agg(
-        F.count(F.lit(1)).alias("replicates"), F.round(F.stddev_pop("att"), 6).alias("se")
-    ).select(
-        "replicates",
+    return df.sparkSession.range(1).select(
+        F.lit(int(att.size)).cast("long").alias("replicates"),
         point.alias("ate"),
-        "se",
-        F.round(point - F.lit(1.96) * F.col("se"), 6).alias("ate_lower"),
-        F.round(point + F.lit(1.96) * F.col("se"), 6).alias("ate_upper"),
+        F.lit(se).alias("se"),
+        F.round(point - F.lit(1.96 * se), 6).alias("ate_lower"),
+        F.round(point + F.lit(1.96 * se), 6).alias("ate_upper"),
     )
 
 
+def _poisson_folder(replicates: int):
+    """Task function: rows (treated, post, y, hash) -> the task's weighted counts and sums of
+    y for the four cells and all replicates, folded batch by batch into one array. A weight
+    is Poisson(1) by the inverse of its distribution at 16 bits of splitmix64(hash, replicate)."""
+
+    def run(batches):
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        ends = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(9)])
+        table = np.searchsorted(ends, (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
+        step = np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        acc = np.zeros((8, replicates))
+        for b in batches:
+            t, p = (np.asarray(b.column(i).fill_null(0), dtype=np.int64) for i in (0, 1))
+            y = np.asarray(b.column(2).fill_null(float("nan")), dtype=np.float64)
+            h = np.asarray(b.column(3), dtype=np.int64).view(np.uint64)
+            cell = np.where(np.isnan(y), -1, 2 * t + p)
+            y = np.nan_to_num(y)
+            for at in range(0, len(h), 2048):
+                z = h[at : at + 2048, None] + step
+                z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                w = table[(z ^ (z >> np.uint64(31))) >> np.uint64(48)]
+                mine = (cell[at : at + 2048] == np.arange(4)[:, None]).astype(np.float32)
+                acc[:4] += mine @ w
+                acc[4:] += (mine * y[at : at + 2048].astype(np.float32)) @ w
+        yield pa.RecordBatch.from_arrays([pa.array([acc.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
 def fallback_scores(txns: DataFrame, current: float, seed: int = 42) -> DataFrame:
     """Scores for a what-if without a fitted detector: suspicious transfers get
     a value in [current, 5 x current), others in [0, 0.8 x current), from a
@@ -243,7 +270,7 @@ def whatif_threshold(scores: DataFrame, current: float | None = None, new: float
     )
     scen = F.concat(
         F.lit("Threshold "), F.when(lower, F.lit("lower")).otherwise(F.lit("higher")), F.lit(": "),
-        fmt_fixed(F.col("current_threshold"), 5), F.lit(" -> "), fmt_fixed(F.col("new_threshold"), 5),
+        fmt_fixed(F.col("current_threshold"), 5), F.lit(" → "), fmt_fixed(F.col("new_threshold"), 5),
     )
     return a.select(
         scen.alias("scenario"),
@@ -262,7 +289,6 @@ def whatif_sweep(scores: DataFrame, current: float | None = None) -> DataFrame:
     counts the sweep points at or below its score (21 comparisons, no join),
     rows are counted per point, and windows over the 21 points give the
     suffix sums and the baseline."""
-    from pyspark.sql import Window
 
     cur = F.lit(current) if current is not None else F.col("threshold")
     pts = [(i, p) for i, p in enumerate(SWEEP_PCT)]
@@ -292,31 +318,61 @@ def whatif_sweep(scores: DataFrame, current: float | None = None) -> DataFrame:
     )
 
 
+def first_k_sums(txns: DataFrame, ks: list[int]) -> list[int]:
+    """Cents of the first k transfers in (timestamp, transaction_id) order, for each k.
+
+    A cut search: counts a day find the day in which the k-th transfer lies, counts a
+    second that day's second, and only that second's rows are sorted. What reaches
+    the driver is one row a step."""
+    at = txns.select(F.to_date("timestamp").alias("d"), F.unix_timestamp("timestamp").alias("s"), "timestamp", "transaction_id", "amount_cents")
+
+    def cut(counts: DataFrame, key: str, over, wanted: dict) -> dict:
+        """(key of the border, rows, cents before it) of each wanted place; counts: (key, n, c) by day or second."""
+        run = counts.select("*", F.sum("n").over(over).alias("cn"), F.sum("c").over(over).alias("cc"))
+        cols = []
+        for i, (k, where) in wanted.items():
+            cols.append(F.min(F.when(where & (F.col("cn") > k), F.struct(key, (F.col("cn") - F.col("n")).alias("n"), (F.col("cc") - F.col("c")).alias("c")))).alias(f"b{i}"))
+            cols.append(F.max(F.when(where, F.struct("cn", "cc"))).alias(f"e{i}"))
+        row = run.agg(*cols).first()
+        return {i: (row[f"b{i}"], row[f"e{i}"]) for i in wanted}
+
+    per = lambda df, *keys: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("amount_cents"), F.lit(0)).alias("c"))
+    out = [0] * len(ks)
+    days = cut(per(at, "d"), "d", Window.orderBy("d"), {i: (k, F.lit(True)) for i, k in enumerate(ks)})  # one row a day
+    left = {}
+    for i, k in enumerate(ks):
+        border, whole = days[i]
+        if border is None:
+            out[i] = int(whole["cc"]) if whole else 0  # k is all there are, or more
+        else:
+            out[i], left[i] = int(border["c"]), (k - border["n"], border["d"])
+    if not left:
+        return out
+    day_rows = at.filter(F.col("d").isin(sorted({d for _, d in left.values()})))
+    seconds = cut(per(day_rows, "d", "s"), "s", Window.partitionBy("d").orderBy("s"), {i: (k, F.col("d") == F.lit(d)) for i, (k, d) in left.items()})
+    for i, (k, _) in left.items():
+        border, _whole = seconds[i]
+        out[i] += int(border["c"])
+        rest = k - border["n"]
+        if rest:
+            rows = at.filter(F.col("s") == border["s"]).select("timestamp", "transaction_id", "amount_cents", F.lit(1).alias("_one"))
+            ranked = prefix_sums(rows, [F.col("timestamp"), F.col("transaction_id")], ["_one"])
+            out[i] += int(ranked.filter(F.col("_one_cum") <= rest).agg(F.coalesce(F.sum("amount_cents"), F.lit(0))).first()[0])
+    return out
+
+
 def _rule_parts(txns: DataFrame, scenarios: list[tuple[str, float, float]]):
-    """Shared pass for rule what-ifs: totals, k per scenario, and the sum of
-    the first k amounts in (timestamp, transaction_id) order for every k at
-    once (one distributed prefix count, one conditional aggregate)."""
+    """Shared pass for rule what-ifs: totals, k per scenario, and the sum of the
+    first k amounts in (timestamp, transaction_id) order for each k."""
     agg = txns.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("is_suspicious").alias("current_flagged"),
         F.coalesce(F.sum(F.when(F.col("is_suspicious"), F.col("amount_cents"))), F.lit(0)).alias("b_c"),
     )
     ks = [(F.col("total") * F.lit(frac) * F.lit(pct / 100.0)).cast("long") for _, frac, pct in scenarios]
-    kvals = agg.select(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(ks)]).alias("k")).scalar()
-    ranked = prefix_sums(
-        txns.select("timestamp", "transaction_id", "amount_cents", F.lit(1).alias("_one")),
-        [F.col("timestamp"), F.col("transaction_id")],
-        ["_one"],
-    )
-    extras = ranked.select(
-        F.struct(
-            *[
-                F.coalesce(F.sum(F.when(F.col("_one_cum") <= kvals[f"k{i}"], F.col("amount_cents"))), F.lit(0)).alias(f"e{i}")
-                for i in range(len(scenarios))
-            ]
-        ).alias("e")
-    ).scalar()
-    return agg, ks, extras
+    k_row = agg.select(*[k.alias(f"k{i}") for i, k in enumerate(ks)]).first()
+    sums = first_k_sums(txns, [k_row[f"k{i}"] for i in range(len(ks))])
+    return agg, ks, {f"e{i}": F.lit(x).cast("long") for i, x in enumerate(sums)}
 
 
 def _rule_row(agg: DataFrame, name: str, frac: float, k, extra) -> DataFrame:

@@ -10,8 +10,6 @@ is hit without convergence.
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,80 +92,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
-def _peeled(e: DataFrame, active: DataFrame, rounds: int = 4) -> tuple[DataFrame, DataFrame | None]:
-    """Nodes without an edge in or out are components of their own: takes them
-    off, a few layers at a time. (those left, those taken)"""
-    gone = None
-    for _ in range(rounds):
-        both = active.join(e.select(F.col("src").alias("node")).distinct(), "node", "left_semi").join(
-            e.select(F.col("dst").alias("node")).distinct(), "node", "left_semi"
-        )
-        left = cut_lineage(both)
-        ends = active.join(left, "node", "left_anti")
-        if not ends.limit(1).count():
-            break
-        gone = ends if gone is None else gone.unionByName(ends)
-        active = left
-        keep = left.select("node")
-        e = e.join(keep.withColumnRenamed("node", "src"), "src", "left_semi").join(keep.withColumnRenamed("node", "dst"), "dst", "left_semi")
-    return active, gone
-
-
-def strong_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Strongly connected components (forward colouring + backward closure),
-    labelled by their smallest node id. Each outer round: propagate the max
-    id forward to a fixpoint (colour), take the nodes whose colour is their own
-    id as roots, walk edges backwards inside each colour from its root; the
-    reached nodes form the root's component and leave the graph, after the nodes
-    without an edge in or out. Loops until all have left."""
-    e_all = edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct().cache()
-    active = nodes.select("node").cache()
-    done = None
-    while True:
-        active, single = _peeled(e_all, active)
-        if single is not None:
-            single = single.select("node", F.col("node").alias("root"))
-            done = cut_lineage(single if done is None else done.unionByName(single))
-        if active.limit(1).count() == 0:
-            break
-        e = e_all.join(active.withColumnRenamed("node", "src"), "src", "left_semi").join(
-            active.withColumnRenamed("node", "dst"), "dst", "left_semi"
-        )
-        e = cut_lineage(e)
-        col = active.select("node", F.col("node").alias("c")).cache()
-        for j in count():
-            cand = e.join(col.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "c")
-            new = col.unionByName(cand).groupBy("node").agg(F.max("c").alias("c"))
-            new = _round_result(new, j)
-            ch = new.join(col.withColumnRenamed("c", "_o"), "node").filter(F.col("c") != F.col("_o")).limit(1).count()
-            col = new
-            if ch == 0:
-                break
-        col = cut_lineage(col)
-        mem = col.filter(F.col("node") == F.col("c")).select("node", F.col("c").alias("root"))
-        ec = e.join(col.withColumnRenamed("node", "src").withColumnRenamed("c", "cs"), "src").join(
-            col.withColumnRenamed("node", "dst").withColumnRenamed("c", "cd"), "dst"
-        ).filter(F.col("cs") == F.col("cd"))
-        ec = cut_lineage(ec.select("src", "dst", F.col("cs").alias("c")))
-        for j in count():
-            cand = ec.join(mem.withColumnRenamed("node", "dst"), "dst").filter(
-                F.col("c") == F.col("root")
-            ).select(F.col("src").alias("node"), "root")
-            new = _round_result(mem.unionByName(cand).distinct(), j)
-            grew = new.count() != mem.count()
-            mem = new
-            if not grew:
-                break
-        mem = cut_lineage(mem)
-        done = mem if done is None else cut_lineage(done.unionByName(mem))
-        active = cut_lineage(active.join(mem, "node", "left_anti"))
-    if done is None:
-        return nodes.select("node", F.col("node").alias("component")).limit(0)
-    return done.groupBy("root").agg(F.min("node").alias("_lab")).join(done, "root").select(
-        "node", F.col("_lab").alias("component")
-    )
-
-
 def degrees(edges: DataFrame) -> DataFrame:
     """Directed simple-graph degree (in + out distinct partners; a self-loop
     counts twice)."""
@@ -323,6 +247,8 @@ def label_propagation(edges: DataFrame, nodes: DataFrame, max_rounds: int = 500)
 
 def component_counts(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Numbers of weak and strong components, for the graph statistics."""
+    from ledgerscope.operators.strong import strong_components
+
     weak = connected_components(edges, nodes).select(F.count_distinct("component")).scalar()
     strong = strong_components(edges, nodes).select(F.count_distinct("component")).scalar()
     return nodes.sparkSession.range(1).select(weak.alias("weak_components"), strong.alias("strong_components"))

@@ -269,7 +269,7 @@ def dr_effect(txns: DataFrame, treated: str = "structuring_flag", outcome: str =
         F.col(treated).cast("double").alias("t"), F.col(outcome).cast("double").alias("y"),
         F.pmod(F.xxhash64("transaction_id", F.lit(5)), F.lit(folds)).alias("_fold"),
     )
-    d = _assemble(d, covariates)
+    d = cut_lineage(_assemble(d, covariates))  # six fits and the scores read it
     parts = None
     for k in range(folds):
         tr, te = d.filter(F.col("_fold") != k), d.filter(F.col("_fold") == k)

@@ -674,7 +674,7 @@ def SGN_FX(x: str, d: int) -> str:
 
 ORACLE["whatif_threshold"] = W(
     f"""
-SELECT 'Threshold ' || CASE WHEN nt < ct THEN 'lower' ELSE 'higher' END || ': ' || {FMT('ct', 5)} || ' -> ' || {FMT('nt', 5)}
+SELECT 'Threshold ' || CASE WHEN nt < ct THEN 'lower' ELSE 'higher' END || ': ' || {FMT('ct', 5)} || ' → ' || {FMT('nt', 5)}
            AS scenario,
        b AS baseline_alerts, c AS counterfactual_alerts, c - b AS delta_alerts,
        {HU('(c - b) / greatest(b, 1) * 100.0::DOUBLE', 2)} AS delta_pct,

@@ -244,7 +244,9 @@ register("fan_in")(lambda s, d: DT.fan_in(planted(s, d)))
 register("near_threshold")(lambda s, d: DT.near_threshold(tx(s, d)))
 register("rule_risk_score")(lambda s, d: DT.rule_risk_score(tx(s, d), cu(s, d)))
 
+from ledgerscope.operators import communities as CM  # noqa: E402
 from ledgerscope.operators import graph as GR  # noqa: E402
+from ledgerscope.operators import strong as SG  # noqa: E402
 
 EGO_CENTER = "CUST_000025"
 
@@ -257,7 +259,7 @@ def _g(s, d):
 register("graph_edges")(lambda s, d: GR.graph_edges(tx(s, d)))
 register("graph_nodes")(lambda s, d: GR.graph_nodes(tx(s, d)))
 register("connected_components")(lambda s, d: GR.connected_components(*_g(s, d)))
-register("strong_components")(lambda s, d: GR.strong_components(*_g(s, d)))
+register("strong_components")(lambda s, d: SG.strong_components(*_g(s, d)))
 register("graph_component_counts")(lambda s, d: GR.component_counts(*_g(s, d)))
 register("graph_clustering")(lambda s, d: GR.triangles(GR.graph_edges(tx(s, d))))
 register("graph_stats")(lambda s, d: GR.graph_stats(*_g(s, d), risk=_risk(s, d)))
@@ -265,11 +267,12 @@ register("ego_subgraph")(lambda s, d: GR.ego_subgraph(GR.graph_edges(tx(s, d)),
 register("propagated_features")(
     lambda s, d: round_doubles(GR.propagate_features(FE.node_features_scaled(tx(s, d), cu(s, d)), tx(s, d)))
 )
-register("communities")(lambda s, d: GR.label_propagation(*_g(s, d)))
+register("communities")(lambda s, d: CM.communities(*_g(s, d)))
+register("label_communities")(lambda s, d: GR.label_propagation(*_g(s, d)))
 register("modularity")(
     lambda s, d: (lambda e, n: GR.modularity(e, GR.connected_components(e, n), "component"))(*_g(s, d))
 )
-register("community_modularity")(lambda s, d: (lambda e, n: GR.modularity(e, GR.label_propagation(e, n)))(*_g(s, d)))
+register("community_modularity")(lambda s, d: (lambda e, n: GR.modularity(e, CM.communities(e, n)))(*_g(s, d)))
 
 from ledgerscope.operators import sampling as SA  # noqa: E402
 from ledgerscope.operators import sar as SR  # noqa: E402

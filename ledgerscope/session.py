@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,10 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder).
+    """The rows, written once to the shared checkpoint folder and read back.
 
-    Used by iterative graph jobs so that a lost executor recomputes from the
-    last written round instead of from the first scan.
+    Used by iterative jobs so that a lost executor rereads the last written round
+    instead of replaying from the first scan. Parquet rather than ``checkpoint()``:
+    what is read back has the size of its files, while a checkpoint keeps the
+    estimate of its plan, and estimates of joins multiply round by round until
+    planning, not running, takes the time.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cuts/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerscope.operators import graph as GR
+from ledgerscope.operators.strong import strong_components
 from ledgerscope.operators.prefix import dense_index, prefix_sums
 
 
@@ -42,7 +43,7 @@ def test_components_and_strong_components(spark):
     e, n = _edges(spark, pairs), _nodes(spark, pairs)
     cc = {r.node: r.component for r in GR.connected_components(e, n).collect()}
     assert cc == {"a": "a", "b": "a", "c": "a", "d": "a", "e": "e", "f": "e", "g": "g"}
-    scc = {r.node: r.component for r in GR.strong_components(e, n).collect()}
+    scc = {r.node: r.component for r in strong_components(e, n).collect()}
     assert scc == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e", "f": "e", "g": "g"}
 
 
