@@ -72,20 +72,44 @@ def blocks(html: str) -> list[Block]:
     # open elements: (tag, content, furniture, a page header, kept furniture) with the parents' marks in them
     stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     named: list[int] = []  # furniture by class or id alone
+    where: dict[str, list[int]] = {}  # places of each open element by name, so that no tag walks the stack
+    stops: list[int] = [0]  # places of open elements that an unfinished one doesn't reach beyond
+
+    def push(item: tuple[str, bool, bool, bool, bool]) -> None:
+        where.setdefault(item[0], []).append(len(stack))
+        if item[0] in _STOPS:
+            stops.append(len(stack))
+        stack.append(item)
+
+    def cut(to: int) -> None:
+        for item in stack[to:]:
+            where[item[0]].pop()
+            if item[0] in _STOPS:
+                stops.pop()
+        del stack[to:]
+
+    def last(tag: str) -> int:
+        places = where.get(tag)
+        return places[-1] if places else 0
 
     def close() -> None:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         parts.clear()
         if text:
             _, content, furniture, header, kept = stack[-1]
-            heading = header and content and any(s[0] in HEADINGS for s in stack)
+            heading = header and content and any(where.get(h) for h in HEADINGS)
             if furniture and not kept and not header:
                 named.append(len(out))
             out.append(Block(text, content, furniture or (header and not heading)))
 
     at, n = 0, len(html)
+    last_end = html.rfind(">")
     while at < n:
-        m = _TAG.search(html, at)
+        if at > last_end:  # only a comment or declaration is a tag without its end
+            start = html.find("<!", at)
+            m = _TAG.match(html, start) if start >= 0 else None
+        else:
+            m = _TAG.search(html, at)
         if not m:
             parts.append(html[at:])
             break
@@ -101,14 +125,11 @@ def blocks(html: str) -> list[Block]:
         if m[1] or m[4]:
             if tag in BLOCKS:
                 close()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    if any(s[2] != stack[i - 1][2] or s[1] != stack[i - 1][1] for s in stack[i:]):
-                        close()
-                    del stack[i:]
-                    break
-                if stack[i][0] in _STOPS and tag not in _STOPS and tag not in ("html", "body"):
-                    break
+            i = last(tag)
+            if i and (tag in _STOPS or tag in ("html", "body") or i > stops[-1]):
+                if any(s[2] != stack[i - 1][2] or s[1] != stack[i - 1][1] for s in stack[i:]):
+                    close()
+                cut(i)
             if tag in ("td", "th"):
                 parts.append(" ")
             continue
@@ -117,13 +138,9 @@ def blocks(html: str) -> list[Block]:
         if tag in BLOCKS:
             close()
         if tag in CLOSES or tag in BLOCKS:
-            ends = CLOSES.get(tag, {"p"})
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
-                    del stack[i:]
-                    break
-                if stack[i][0] in _STOPS:
-                    break
+            i = max(map(last, CLOSES.get(tag, {"p"})))
+            if i and i >= stops[-1]:
+                cut(i)
         if tag in VOID or raw.endswith("/") and tag in ("svg", "path", "iframe"):
             continue
         content, furniture, kept = _marks(tag, raw)
@@ -132,14 +149,14 @@ def blocks(html: str) -> list[Block]:
         furniture |= kept or (above[2] and not content)
         if (furniture, content or above[1]) != (above[2], above[1]):
             close()
-        stack.append((tag, above[1] or content, furniture, above[3] or tag == "header", kept))
+        push((tag, above[1] or content, furniture, above[3] or tag == "header", kept))
         if tag in RAW:  # nothing inside is markup
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             inner, at = html[at : end.start() if end else n], end.end() if end else n
             if tag == "title" and inner.strip():
                 parts.append(inner)
                 close()
-            stack.pop()
+            cut(len(stack) - 1)
             parts.clear()
     close()
     if named and all(b.furniture for b in out):  # a page within such an element, with no article marked

@@ -28,6 +28,7 @@ import re
 from bisect import bisect_left
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -66,20 +67,29 @@ def line_hash(text: str) -> int:
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence with ``b`` (Hunt and
-    Szymanski: a longest increasing chain of matches, after equal ends)."""
+    """Places in ``a`` of a longest common subsequence with ``b``. Equal ends go
+    first; then, where lines are mostly different, Hunt and Szymanski's longest
+    increasing chain of matches; where few different lines repeat, so that matches
+    are many, rows of bits."""
     lo, hi_a, hi_b = 0, len(a), len(b)
     while lo < hi_a and lo < hi_b and a[lo] == b[lo]:
         lo += 1
     while hi_a > lo and hi_b > lo and a[hi_a - 1] == b[hi_b - 1]:
         hi_a, hi_b = hi_a - 1, hi_b - 1
+    x, y = a[lo:hi_a], b[lo:hi_b]
     where: dict[int, list[int]] = {}
-    for j in range(hi_b - 1, lo - 1, -1):
-        where.setdefault(b[j], []).append(j)
+    for j in range(len(y) - 1, -1, -1):
+        where.setdefault(y[j], []).append(j)
+    matches = sum(len(where.get(v, ())) for v in x)
+    middle = _increasing_chain(x, where) if matches <= 8 * (len(x) + len(y)) else _by_bits(x, y)
+    return [*range(lo), *[lo + i for i in middle], *range(hi_a, len(a))]
+
+
+def _increasing_chain(a: list[int], where: dict[int, list[int]]) -> list[int]:
     ends: list[int] = []
     chain: list[tuple[int, tuple | None]] = []
-    for i in range(lo, hi_a):
-        for j in where.get(a[i], ()):
+    for i, v in enumerate(a):
+        for j in where.get(v, ()):
             k = bisect_left(ends, j)
             link = (i, chain[k - 1] if k else None)
             if k == len(ends):
@@ -87,12 +97,55 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
                 chain.append(link)
             else:
                 ends[k], chain[k] = j, link
-    middle = []
+    out = []
     link = chain[-1] if chain else None
     while link:
-        middle.append(link[0])
+        out.append(link[0])
         link = link[1]
-    return [*range(lo), *reversed(middle), *range(hi_a, len(a))]
+    return out[::-1]
+
+
+#: Bits kept to walk back through; longer pairs are halved first.
+_BITS = 1 << 28
+
+
+def _bit_rows(a: list[int], b: list[int], keep: bool) -> list[int]:
+    """For each line of ``a`` (or the last alone) an integer whose bit j is 0 where
+    the common subsequence with the first lines of ``b`` grows at line j."""
+    masks: dict[int, int] = {}
+    for j, v in enumerate(b):
+        masks[v] = masks.get(v, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row, rows = full, []
+    for v in a:
+        u = row & masks.get(v, 0)
+        row = ((row + u) | (row - u)) & full
+        if keep:
+            rows.append(row)
+    return rows if keep else [row]
+
+
+def _by_bits(a: list[int], b: list[int]) -> list[int]:
+    if not a or not b:
+        return []
+    if len(a) * len(b) > _BITS and len(a) > 1:  # the cut of b at which both halves' lengths add up to most
+        mid = len(a) // 2
+        grows = lambda rows: np.unpackbits(np.frombuffer(rows[-1].to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")[: len(b)] == 0
+        head = np.concatenate([[0], np.cumsum(grows(_bit_rows(a[:mid], b, False)))])
+        tail = np.concatenate([[0], np.cumsum(grows(_bit_rows(a[mid:][::-1], b[::-1], False)))])[::-1]
+        at = int(np.argmax(head + tail))
+        return _by_bits(a[:mid], b[:at]) + [mid + i for i in _by_bits(a[mid:], b[at:])]
+    rows = _bit_rows(a, b, True)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            out.append(i)
+    return out[::-1]
 
 
 def main_text(page: list[Block], shared: set[int]) -> str:

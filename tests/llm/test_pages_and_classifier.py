@@ -1,10 +1,12 @@
 """Page differencing and the attention classifier."""
 
 import random
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerscope.llm import page_diff, quality_classifier
@@ -28,6 +30,28 @@ def test_longest_common_subsequence():
         assert len(got) == _lcs(a, b) and got == sorted(set(got)) and all(a[i] in left for i in got)
 
 
+def test_many_equal_lines_are_aligned_by_bits(monkeypatch):
+    r = random.Random(2)
+    for most in (1 << 28, 40):  # whole, and halved
+        monkeypatch.setattr(page_diff, "_BITS", most)
+        for _ in range(400):
+            a, b = ([r.randrange(3) for _ in range(r.randrange(30))] for _ in range(2))
+            got = page_diff._by_bits(a, b)
+            left = iter(b)
+            assert len(got) == _lcs(a, b) and got == sorted(set(got)) and all(a[i] in left for i in got)
+    monkeypatch.undo()
+    a, b = ([r.randrange(5) for _ in range(8_000)] for _ in range(2))
+    began = time.time()
+    assert len(page_diff.common_lines(a, b)) > 4_000 and time.time() - began < 5
+
+
+@pytest.mark.parametrize("page", ["<span>" * 100_000 + "</b>" * 100_000, '<a "' * 250_000, "<header><main>" + "<div>x" * 160_000, '<a ">' * 200_001])
+def test_pages_of_a_megabyte_take_seconds(page):
+    began = time.time()
+    blocks(page)
+    assert time.time() - began < 10  # minutes, were any of these quadratic
+
+
 def test_blocks_of_a_messy_page():
     page = '<html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header><nav><a>x</a></nav><main><article><header><h1>Title &amp; b</h1><p>by me</p></header><p>One<br>two &lt;3 <b>bold<p>next</p><div class="ad">AD</div><ul><li>i1<li>i2</ul><table><tr><td>a<td>b</table><script>if(a<b){"</p>"}</script>tail<!-- no --></article></main><section id="comments"><p>c</p></section><footer>f</body>'
     assert [b.text for b in blocks(page) if b.content and not b.furniture] == ["Title & b", "One two <3 bold", "next", "i1", "i2", "a b", "tail"]
