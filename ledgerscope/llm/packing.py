@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         from pyspark import TaskContext
 
         tok, seen, pid = tokenizer(vocabulary), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        for b in slices(batches, 1, 6 << 20):
+        for b in slices(batches, 1, 3 << 20):
             rows = np.array(list(cut(*with_end(*tok.encode(b.column(1)), end_id))), np.int64).reshape(-1, 5)
             length = rows[:, 3]
             order = np.argsort(length, kind="stable")

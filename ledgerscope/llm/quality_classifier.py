@@ -182,7 +182,7 @@ def scored(docs: DataFrame, model: dict, text_col: str = "text", score_col: str
     at, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):
-        for b in slices(batches, at, 4 << 20):
+        for b in slices(batches, at, 2 << 20):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score_texts(model, b.column(at)))], names=[*names, score_col])
 
     return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
