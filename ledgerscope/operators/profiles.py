@@ -13,6 +13,7 @@ from ledgerscope.functions.constants import (
     NORMAL_LABEL,
 )
 from ledgerscope.functions.money import grid_avg, idiv, sum_usd
+from ledgerscope.functions.quantile import grid_quantiles
 
 
 def jurisdiction_lookup(spark, custs: DataFrame | None = None) -> DataFrame:
@@ -136,12 +137,12 @@ def score_histogram(scores: DataFrame, bins: int = 60, col: str = "combined_scor
 
 
 def winsorized_amounts(txns: DataFrame, q: float = 0.99) -> DataFrame:
-    """Clip amounts at the per-class p99 (exact percentile over a cents grid,
-    so its count map is bounded by distinct amounts)."""
-    p = txns.groupBy(F.col("is_suspicious").alias("_cls")).agg(
-        F.round(F.percentile("amount_usd", q), 6).alias("p99_amount")
-    )
-    j = txns.join(F.broadcast(p), txns.is_suspicious == p._cls, "left")
+    """Clip amounts at the per-class p99 (exact, by selection on the cents)."""
+    p99 = grid_quantiles(txns, F.col("amount_cents"), q, 100, F.col("is_suspicious"))
+    limit = F.lit(None).cast("double")
+    for cls, x in p99.items():  # classes of a boolean
+        limit = F.when(F.col("is_suspicious").eqNullSafe(F.lit(cls)), F.round(F.lit(float(x)), 6)).otherwise(limit)
+    j = txns.select("transaction_id", "is_suspicious", limit.alias("p99_amount"), "amount_usd")
     return j.select("transaction_id", "is_suspicious", "p99_amount", F.least("amount_usd", "p99_amount").alias("amount_clipped"))
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerscope.functions import scalar as S
 from ledgerscope.functions.constants import ANOMALY_PERCENTILE, NORMALISE_EPS
 from ledgerscope.functions.money import grid_avg, grid_mid
+from ledgerscope.functions.quantile import grid_quantiles
 from ledgerscope.operators.features import with_sender_zscore
 
 
@@ -76,9 +77,10 @@ def finish_scores(scored: DataFrame) -> DataFrame:
 
 
 def anomaly_threshold(scores: DataFrame, score_col: str = "combined_score", q: float = ANOMALY_PERCENTILE) -> DataFrame:
-    return scores.filter(~F.col("is_suspicious")).agg(
-        F.round(F.percentile(score_col, q), 9).alias("threshold"), F.count(F.lit(1)).alias("normal_rows")
-    )
+    """Quantile of the normal rows' scores, which lie on a 1e-6 grid (exact, by selection)."""
+    normal = scores.filter(~F.col("is_suspicious"))
+    at = grid_quantiles(normal, F.round(F.col(score_col) * 1_000_000), q, 1_000_000).get(0)
+    return normal.agg(F.count(F.lit(1)).alias("normal_rows")).select(F.round(F.lit(at).cast("double"), 9).alias("threshold"), "normal_rows")
 
 
 def customer_alerts(scores: DataFrame) -> DataFrame:
