@@ -1,13 +1,11 @@
 """Typology detectors: smurfing, round trips, rapid movement, trade-based
 laundering, fan-out / fan-in, near-threshold amounts, rule risk score.
 
-Skew: an account may carry a third of all rows. Rolling windows therefore run
-per (account, time chunk) rather than per account: every row belongs to one
-chunk and is copied, as read-only context, into the neighbouring chunk when it
-lies within the look-back (or look-ahead) distance of the border. A hot account
-is spread over as many tasks as it has chunks, and the copy factor is at most
-1 + reach / chunk. Interval joins use the same idea as an equi key (account,
-time bucket) plus the exact residual predicate.
+Skew: an account may carry a third of all rows, in one week as well. Rolling windows
+and as-of lookups therefore don't group by account: rows are range-sorted by
+(account, time) and scanned, and what crosses a partition border is one row a
+partition. Interval joins use an equi key (account, time bucket) plus the exact
+residual predicate.
 """
 
 from __future__ import annotations
@@ -17,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerscope.functions.constants import JURISDICTION_BASE_RISK, SAR_THRESHOLD_USD
 from ledgerscope.functions.money import ratio_dp, round_hu, sum_usd
+from ledgerscope.operators.prefix import prefix_sums
+from ledgerscope.session import cut_lineage
 
 DAY = 86400
 HOUR = 3600
@@ -26,48 +26,30 @@ def _sec(ts: str = "timestamp"):
     return F.unix_timestamp(F.col(ts))
 
 
-def chunked(df: DataFrame, sec_col: str, chunk: int, lookback: int = 0, lookahead: int = 0) -> DataFrame:
-    """Add ``_chunk`` and ``_own``: each row once as its own chunk's member and,
-    for every later (earlier) chunk whose start (end) lies within ``lookback``
-    (``lookahead``) seconds of it, once more as read-only context there."""
-    c = F.floor(F.col(sec_col) / chunk).cast("long")
-    x = F.col(sec_col)
-    parts = [F.struct(c.alias("ch"), F.lit(True).alias("own"))]
-    for k in range(1, -(-lookback // chunk) + 1 if lookback else 1):
-        # chunk c + k starts at (c + k) * chunk; its windows reach back `lookback` seconds
-        parts.append(F.when(x >= (c + k) * chunk - lookback, F.struct((c + k).alias("ch"), F.lit(False).alias("own"))))
-    for k in range(1, -(-lookahead // chunk) + 1 if lookahead else 1):
-        # chunk c - k ends at (c - k + 1) * chunk; its windows reach forward `lookahead` seconds
-        parts.append(F.when(x < (c - k + 1) * chunk + lookahead, F.struct((c - k).alias("ch"), F.lit(False).alias("own"))))
-    e = df.select("*", F.explode(F.array_compact(F.array(*parts))).alias("_x"))
-    return e.select(*df.columns, F.col("_x.ch").alias("_chunk"), F.col("_x.own").alias("_own"))
-
-
 def smurfing_windows(
     txns: DataFrame,
     threshold_usd: float = SAR_THRESHOLD_USD,
     window_hours: int = 56,
     min_count: int = 5,
-    chunk_days: int = 7,
 ) -> DataFrame:
     """Rows at which a sender has >= min_count sub-threshold transfers inside
-    the trailing ``window_hours`` (a RANGE frame, so equal timestamps count
-    together), with the window's total."""
+    the trailing ``window_hours`` (equal seconds count together), with the window's
+    total. Each second's transfers are added at their time and taken off when they
+    leave the window, so running sums in (sender, time) order are the windows: a
+    sender's own events cancel out, and no sender's rows have to meet in a task."""
     lim = int(round(threshold_usd * 100))
     w_s = window_hours * HOUR
-    base = txns.filter(F.col("amount_cents") < lim).select(
-        "sender_id", "transaction_id", "timestamp", "amount_cents", _sec().alias("_s")
-    )
-    c = chunked(base, "_s", chunk_days * DAY, lookback=w_s)
-    w = Window.partitionBy("sender_id", "_chunk").orderBy("_s").rangeBetween(-w_s, 0)
-    r = c.select(
-        "sender_id", "transaction_id", "timestamp", "_own",
-        F.count(F.lit(1)).over(w).alias("txn_count"), F.sum("amount_cents").over(w).alias("_c"),
-    )
-    return r.filter(F.col("_own") & (F.col("txn_count") >= min_count)).select(
-        "sender_id", "transaction_id", F.col("timestamp").alias("window_end"), "txn_count",
-        (F.col("_c") / F.lit(100.0)).alias("total_usd"),
+    base = txns.filter((F.col("amount_cents") < lim) & F.col("timestamp").isNotNull()).select("sender_id", "transaction_id", "timestamp", "amount_cents", _sec().alias("_s"))
+    per = base.groupBy("sender_id", "_s").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("c"))
+    comes = F.struct(F.col("_s").alias("t"), F.lit(1).alias("kind"), F.col("n").alias("n"), F.col("c").alias("c"))
+    goes = F.struct((F.col("_s") + w_s + 1).alias("t"), F.lit(0).alias("kind"), (-F.col("n")).alias("n"), (-F.col("c")).alias("c"))
+    events = per.select("sender_id", F.explode(F.array(comes, goes)).alias("e")).select("sender_id", "e.*")
+    run = prefix_sums(events, [F.col("sender_id"), F.col("t"), F.col("kind")], ["n", "c"])
+    hits = run.filter((F.col("kind") == 1) & (F.col("n_cum") >= min_count)).select(
+        F.col("sender_id").alias("_sender"), F.col("t").alias("_t"), F.col("n_cum").alias("txn_count"), (F.col("c_cum") / F.lit(100.0)).alias("total_usd")
     )
+    j = base.join(hits, F.col("sender_id").eqNullSafe(F.col("_sender")) & (F.col("_s") == F.col("_t")))
+    return j.select("sender_id", "transaction_id", F.col("timestamp").alias("window_end"), "txn_count", "total_usd")
 
 
 def _hops(txns: DataFrame) -> DataFrame:
@@ -139,44 +121,95 @@ def round_trips(
     )
 
 
-def rapid_movement(txns: DataFrame, within_hours: int = 24, chunk_days: int = 7) -> DataFrame:
+def rapid_movement(txns: DataFrame, within_hours: int = 24) -> DataFrame:
     """For each incoming transfer, the account's next outgoing transfer (an
     as-of lookup, no pair enumeration): kept when it leaves within
-    ``within_hours`` (0 < delay <= H). Runs per (account, time chunk) with
-    look-ahead context."""
+    ``within_hours`` (0 < delay <= H).
+
+    A segmented scan: events are range-sorted by (account, time from late to early), so
+    an account's rows may lie in any number of tasks; each task carries the latest
+    outgoing row it has passed, and one row a task, its last account and that
+    account's carried row, tells the next task what lies before its first rows."""
     reach = within_hours * HOUR
-    ins = txns.select(
-        F.col("receiver_id").alias("account_id"), F.col("transaction_id").alias("in_txn"),
-        _sec().alias("_s"), F.lit(0).alias("_is_out"), F.lit(None).cast("string").alias("_out_txn"),
-    )
-    outs = txns.select(
-        F.col("sender_id").alias("account_id"), F.lit(None).cast("string").alias("in_txn"),
-        _sec().alias("_s"), F.lit(1).alias("_is_out"), F.col("transaction_id").alias("_out_txn"),
-    )
-    ev = chunked(ins.unionByName(outs), "_s", chunk_days * DAY, lookahead=reach + 1)
-    # Walk each (account, chunk) backwards in time: the nearest later outgoing
-    # row is the last non-null value of a growing frame (evaluated
-    # incrementally; an "unbounded following" frame would be recomputed for
-    # every row). At equal seconds, outgoing rows sort before incoming ones in
-    # forward time, so here they come after them and never count as "later".
-    w = (
-        Window.partitionBy("account_id", "_chunk")
-        .orderBy(F.col("_s").desc(), F.col("_is_out").asc(), F.col("_out_txn").desc(), F.col("in_txn").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    r = ev.select(
-        "*",
-        F.last(F.when(F.col("_is_out") == 1, F.struct(F.col("_s").alias("os"), F.col("_out_txn").alias("ot"))), ignorenulls=True)
-        .over(w)
-        .alias("_n"),
-    )
-    r = r.filter((F.col("_is_out") == 0) & F.col("_own") & F.col("_n").isNotNull())
-    return r.filter((F.col("_n.os") > F.col("_s")) & (F.col("_n.os") <= F.col("_s") + reach)).select(
-        "account_id", "in_txn", F.col("_n.ot").alias("out_txn"),
-        ((F.col("_n.os") - F.col("_s")) / F.lit(3600.0)).alias("delay_hours"),
+    ins = txns.select(F.col("receiver_id").alias("account_id"), _sec().alias("s"), F.lit(0).alias("is_out"), F.col("transaction_id").alias("txn"))
+    outs = txns.select(F.col("sender_id").alias("account_id"), _sec().alias("s"), F.lit(1).alias("is_out"), F.col("transaction_id").alias("txn"))
+    events = ins.unionByName(outs).filter("account_id is not null and s is not null")
+    # at equal seconds outgoing rows come after incoming ones, so they never count as later; the smallest id comes last
+    order = [F.col("account_id"), F.col("s").desc(), F.col("is_out"), F.col("txn").desc()]
+    n = max(int(txns.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 2)
+    ranged = events.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = cut_lineage(ranged.mapInArrow(_next_out(), "pid int, kind string, account_id string, s long, txn string, os long, out_txn string"))
+    # one row a task, in order: what the task before hands on
+    handed, before = [], None
+    for r in sorted(rows.filter("kind = 'last'").collect(), key=lambda r: r["pid"]):
+        handed.append((r["pid"], *(before or (None, None, None))))
+        if r["os"] is not None or before is None or before[0] != r["account_id"] or r["txn"] is not None:
+            before = (r["account_id"], r["os"], r["out_txn"])
+    carried = txns.sparkSession.createDataFrame(handed, "hp int, ha string, hs long, ht string")
+    own = rows.filter("kind = 'in'").select("account_id", "s", "txn", "os", "out_txn")
+    late = rows.filter("kind = 'open'").join(F.broadcast(carried), (F.col("pid") == F.col("hp")) & (F.col("account_id") == F.col("ha")))
+    both = own.unionByName(late.select("account_id", "s", "txn", F.col("hs").alias("os"), F.col("ht").alias("out_txn")))
+    return both.filter((F.col("os") > F.col("s")) & (F.col("os") <= F.col("s") + reach)).select(
+        "account_id", F.col("txn").alias("in_txn"), "out_txn", ((F.col("os") - F.col("s")) / F.lit(3600.0)).alias("delay_hours")
     )
 
 
+def _next_out():
+    """Task function: rows (account, s, is_out, txn) in order -> incoming rows with the latest outgoing row
+    passed in this task: 'in', or 'open' where the task's first account has had none yet; and
+    a row 'last' with the task's last account (txn set if the account began in this task)."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        first = account = None
+        held = (None, None)  # the account's latest outgoing row: second, id
+        names = ["pid", "kind", "account_id", "s", "txn", "os", "out_txn"]
+
+        def batch(kind, acc, s, txn, os, out):
+            k = len(acc)
+            cols = [pa.array(np.full(k, pid, np.int32)), pa.array([kind] * k, pa.string()) if isinstance(kind, str) else kind, acc, s, txn, os, out]
+            return pa.RecordBatch.from_arrays(cols, names=names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            acc, s, is_out, txn = (b.column(i) for i in range(4))
+            k = b.num_rows
+            if first is None:
+                first = acc[0].as_py()
+            code = np.asarray(acc.dictionary_encode().indices)
+            new = np.concatenate([[acc[0].as_py() != account], code[1:] != code[:-1]])
+            start = np.maximum.accumulate(np.where(new, np.arange(k), -1))  # -1: the account goes on from the batch before
+            out = np.asarray(is_out) == 1
+            latest = np.maximum.accumulate(np.where(out, np.arange(k), -1))
+            seen = latest >= np.maximum(start, 0)
+            sec = np.asarray(s)
+            os = [None] * k if held[0] is None else [held[0] if x < 0 else None for x in start.tolist()]
+            ids = [None] * k if held[0] is None else [held[1] if x < 0 else None for x in start.tolist()]
+            texts = txn.to_pylist()
+            for i in np.flatnonzero(seen & ~out).tolist():
+                os[i], ids[i] = int(sec[latest[i]]), texts[latest[i]]
+            names_in = np.flatnonzero(~out)
+            accounts = acc.to_pylist()
+            kinds = pa.array(["open" if os[i] is None and accounts[i] == first else "in" for i in names_in.tolist()], pa.string())
+            pick = pa.array(names_in)
+            yield batch(kinds, acc.take(pick), s.take(pick), txn.take(pick), pa.array([os[i] for i in names_in.tolist()], pa.int64()), pa.array([ids[i] for i in names_in.tolist()], pa.string()))
+            account = accounts[-1]
+            if seen[-1]:
+                held = (int(sec[latest[-1]]), texts[latest[-1]])
+            elif start[-1] >= 0:
+                held = (None, None)
+        if first is not None:
+            began = None if account == first else "began"
+            yield batch("last", pa.array([account], pa.string()), pa.nulls(1, pa.int64()), pa.array([began], pa.string()), pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.string()))
+
+    return run
+
+
 def tbml_pairs(txns: DataFrame, min_amount_usd: float = SAR_THRESHOLD_USD, min_count: int = 2, gap_days=(1, 14),
                chunk_days: int = 30) -> DataFrame:
     """(sender, receiver) pairs with >= min_count trade payments of at least
