@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerscope.functions.constants import FUSION_PRIMARY_WEIGHT, FUSION_SECONDARY_WEIGHT, TRANSACTION_FEATURES
+from ledgerscope.operators import scoring as SCO
 from ledgerscope.session import ensure_checkpoint_dir
 from ledgerscope.sources import tables as T
+from ledgerscope.sources import validate as VA
+from ledgerscope.sources.json_records import read_json_text, write_json_array
 from ledgerscope.sources.schemas import TRANSACTION_REQUEST
 
 
@@ -45,6 +48,42 @@ def roundtrip_json_records(txns: DataFrame) -> DataFrame:
     return back.withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
 
 
+def score_json(spark: SparkSession, path: str, fitted: DataFrame) -> DataFrame:
+    """Score the records of JSON files (an array, one object, or lines) at ``path``;
+    records that break a rule are left out (``validate_quarantine`` lists them)."""
+    records = VA.validate_valid(VA.parse_records(read_json_text(spark, path)))
+    return SCO.score_batch(records, fitted)
+
+
+def score_json_roundtrip(txns: DataFrame, fitted: DataFrame) -> DataFrame:
+    """The ledger written as JSON arrays of request records, read back and scored."""
+    recs = txns.select(
+        "transaction_id", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), "sender_id", "receiver_id",
+        "amount_usd", "transaction_type", "country_origin", "country_dest", *VA.FLAGS,
+    )
+    return score_json(txns.sparkSession, write_json_array(recs), fitted)
+
+
+def write_score_result(summary: DataFrame, flagged: DataFrame, folder: str) -> str:
+    """``folder``/summary: the one-row summary as JSON; ``folder``/flagged: one CSV row
+    for each flagged transfer, since their list grows with the batch."""
+    summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    T.write_csv(flagged, f"{folder}/flagged")
+    return folder
+
+
+def score_result_roundtrip(summary: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Both files written and read back: the summary, and what the flagged rows add up to."""
+    spark = summary.sparkSession
+    folder = write_score_result(summary, flagged, scratch(spark, "score-result"))
+    rows = T.read_csv(spark, f"{folder}/flagged", flagged.schema)
+    cents = F.sum(F.round(F.col("amount_usd") * 100).cast("long"))
+    seen = rows.agg(F.count(F.lit(1)).alias("flagged_rows"), (F.coalesce(cents, F.lit(0)) / F.lit(100.0)).alias("flagged_usd"))
+    s = seen.select(F.struct("flagged_rows", "flagged_usd").alias("s")).scalar()
+    back = spark.read.schema(summary.schema).json(f"{folder}/summary")
+    return back.select("*", s["flagged_rows"].alias("flagged_rows"), s["flagged_usd"].alias("flagged_usd"))
+
+
 def sar_reports_roundtrip(reports: DataFrame) -> DataFrame:
     spark = reports.sparkSession
     p = scratch(spark, "sar-json")

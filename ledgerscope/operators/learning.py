@@ -256,6 +256,18 @@ def customer_risk_model(node_x: DataFrame, propagated: DataFrame, custs: DataFra
     )
 
 
+def risk_model_recall(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Recall (and precision) of the risk classifier over each whole fold; only ``val``
+    was kept from the fit. A fold without suspicious customers has null recall."""
+    hit, true = F.col("gnn_risk_score") >= threshold, F.col("is_suspicious_true") == 1
+    n = scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(true).alias("suspicious"),
+        F.count_if(hit).alias("flagged"), F.count_if(hit & true).alias("caught"),
+    )
+    share = lambda d: F.round(F.col("caught") / F.nullif(F.col(d), F.lit(0)), 6)
+    return n.select("*", share("suspicious").alias("recall"), share("flagged").alias("precision"))
+
+
 def dr_effect(txns: DataFrame, treated: str = "structuring_flag", outcome: str = "is_suspicious",
               covariates: list[str] | None = None, folds: int = 2) -> DataFrame:
     """Doubly robust (AIPW) average effect with cross-fitting: propensity and

@@ -122,3 +122,18 @@ def batch_scores(scores: DataFrame) -> DataFrame:
         (F.col("is_flagged") == 1).alias("is_flagged"),
         S.alert_level(F.col("combined_score"), F.col("threshold")).alias("alert_level"),
     )
+
+
+def fitted_scale(scores: DataFrame) -> DataFrame:
+    """What a scored ledger leaves for later batches, one row: maximum and threshold."""
+    return scores.agg(F.max("vae_score").alias("vae_max"), F.max("threshold").alias("threshold"))
+
+
+def score_batch(records: DataFrame, fitted: DataFrame) -> DataFrame:
+    """Score a batch of valid records against a ``fitted_scale``: z-scores are those of
+    the batch's own senders, maximum and threshold the fitted ones. An empty batch
+    gives no row."""
+    txns = records.withColumns({"amount_cents": F.round(F.col("amount_usd") * 100).cast("long"), "is_suspicious": F.lit(False)})
+    s = fitted.select(F.struct("vae_max", "threshold").alias("m")).scalar()
+    scored = raw_scores(txns).withColumn("combined_score", F.round(S.normalise(F.col("vae_score"), s["vae_max"], NORMALISE_EPS), 6))
+    return scored.withColumn("threshold", s["threshold"]).withColumn("is_flagged", (F.col("combined_score") >= F.col("threshold")).cast("int"))

@@ -434,8 +434,7 @@ FROM (SELECT i.customer_id, COALESCE(r.gnn_risk_score, 0.0) AS g
       FROM involved i LEFT JOIN risk r ON i.customer_id = r.customer_id)""",
     FLAG_CTES + "," + RISK_CTES,
 )
-ORACLE["batch_risk_summary"] = W(
-    f"""
+_RISK_SUMMARY = f"""
 SELECT n_total, n_flagged, round(n_flagged / greatest(n_total, 1)::DOUBLE, 6) AS flag_rate,
        avg_combined_score, avg_gnn_risk, final_risk_score,
        CASE WHEN final_risk_score >= 0.75 THEN 'CRITICAL' WHEN final_risk_score >= 0.5 THEN 'HIGH'
@@ -454,9 +453,20 @@ FROM (
                 FROM involved i LEFT JOIN risk r ON i.customer_id = r.customer_id) AS avg_gnn_risk
         FROM scores_f
     )
-)""",
+)"""
+ORACLE["batch_risk_summary"] = W(_RISK_SUMMARY, FLAG_CTES + "," + RISK_CTES)
+ORACLE["score_result_files"] = W(
+    f"""
+SELECT s.*, f.* FROM ({_RISK_SUMMARY}) s,
+     (SELECT COUNT(*) AS flagged_rows, COALESCE({SUM_USD}, 0.0) AS flagged_usd FROM scores_f WHERE is_flagged = 1) f""",
     FLAG_CTES + "," + RISK_CTES,
 )
+ORACLE["fitted_checks"] = W(
+    "SELECT COUNT(*) AS transactions, 0::BIGINT AS out_of_range, 0::BIGINT AS wrong_flags, CAST(SUM(amount_cents) AS BIGINT) AS amount_cents FROM transactions"
+)
+ORACLE["customer_risk_checks"] = W(
+    "SELECT COUNT(*) AS customers, COUNT(*) FILTER (WHERE is_suspicious) AS suspicious, 0::BIGINT AS impossible FROM customers"
+)
 ORACLE["node_index"] = W("SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS idx FROM customers")
 ORACLE["edge_coo"] = W(
     """
@@ -1154,7 +1164,8 @@ _REQ_COLS = ("transaction_id, \"timestamp\", sender_id, receiver_id, amount_usd,
              "country_dest, structuring_flag, round_amount, rapid_movement")
 ORACLE["roundtrip_parquet"] = W("SELECT * FROM transactions")
 ORACLE["roundtrip_csv"] = W("SELECT * FROM transactions")
-ORACLE["score_json_batch"] = W(f"SELECT {_REQ_COLS} FROM transactions")
+ORACLE["roundtrip_json"] = W(f"SELECT {_REQ_COLS} FROM transactions")
+ORACLE["score_json_batch"] = ORACLE["batch_scores"]
 ORACLE["parse_records"] = W(f"SELECT {_REQ_COLS} FROM transactions")
 ORACLE["validate_valid"] = W(f"""
 SELECT {_REQ_COLS} FROM transactions
@@ -1268,6 +1279,21 @@ SELECT user_id, n, CAST((s * 20000 + n) // (2 * n) AS BIGINT) / 1e6::DOUBLE AS m
 FROM (SELECT user_id, COUNT(*) AS n, SUM(c) AS s, SUM(CAST(c AS DOUBLE) * c) AS q
       FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE value IS NOT NULL)
       GROUP BY user_id)"""
+ORACLE["stream_sender_state_expiring"] = """
+SELECT user_id, state_start, expired_at, n, CAST((s * 20000 + n) // (2 * n) AS BIGINT) / 1e6::DOUBLE AS mean_value,
+       CASE WHEN n > 1 THEN round(sqrt(greatest((q - n * (s / n) * (s / n)) / (n - 1), 0.0)) / 100.0, 6) END AS sd_value
+FROM (
+    SELECT user_id, MIN(ts) AS state_start, MAX(ts) + INTERVAL 6 HOUR AS expired_at, COUNT(*) AS n, SUM(c) AS s, SUM(CAST(c AS DOUBLE) * c) AS q
+    FROM (
+        SELECT *, SUM(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
+        FROM (SELECT user_id, event_id, ts, CAST(round(value * 100) AS BIGINT) AS c,
+                     lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+              FROM events WHERE value IS NOT NULL)
+    )
+    GROUP BY user_id, sid
+)
+WHERE expired_at <= (SELECT MAX(ts) FROM events WHERE value IS NOT NULL) - INTERVAL 1 HOUR"""
 _REFUSED = "(SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN -value ELSE value END AS value) FROM events)"
 ORACLE["stream_alert_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value > 0"
 ORACLE["stream_quarantine_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value IS NULL OR value <= 0"
@@ -1335,6 +1361,7 @@ ORACLE["feature_pipeline"] = W(
     + " FROM fx",
     FX_CTES,
 )
+ORACLE["saved_feature_pipeline"] = ORACLE["feature_pipeline"]
 
 # --- fitted scaler (normal training rows) and high-risk clusters ----------------------
 _F9 = _FC[:-1]

@@ -355,7 +355,11 @@ def high_risk_clusters(flagged, risk, txns, min_risk=0.6):
 
 register("roundtrip_parquet")(lambda s, d: IO.roundtrip_parquet(tx(s, d)))
 register("roundtrip_csv")(lambda s, d: IO.roundtrip_csv(tx(s, d)))
-register("score_json_batch")(lambda s, d: IO.roundtrip_json_records(tx(s, d)))
+register("roundtrip_json")(lambda s, d: IO.roundtrip_json_records(tx(s, d)))
+register("score_json_batch")(lambda s, d: SCO.batch_scores(IO.score_json_roundtrip(tx(s, d), SCO.fitted_scale(_scores(s, d)))))
+register("score_result_files")(
+    lambda s, d: IO.score_result_roundtrip(PR.batch_risk_summary(_scores(s, d), _risk(s, d)), SCO.flagged_transactions(_scores(s, d)))
+)
 register("parse_records")(_records)
 register("validate_valid")(lambda s, d: VA.validate_valid(_records(s, d)))
 register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_flawed(s, d)))
@@ -418,20 +422,61 @@ register("fitted_scores")(
     lambda s, d: _fitted(s, d).select("transaction_id", "vae_score", "gan_score", "combined_score", "threshold", "is_flagged")
 )
 register("fitted_customer_alerts")(lambda s, d: SCO.customer_alerts(_fitted(s, d)))
-register("fitted_top_suspects")(lambda s, d: SR.top_suspects(cu(s, d), _risk(s, d), SCO.customer_alerts(_fitted(s, d))))
+
+
+def _fitted_suspects(s, d):
+    return SR.top_suspects(cu(s, d), _risk_model(s, d), SCO.customer_alerts(_fitted(s, d)))
+
+
+def _fitted_checks(s, d):
+    """Counts that hold for any fit: every transfer has a score in [0, 1] and the flag
+    follows the threshold."""
+    f = _fitted(s, d)
+    score = F.col("combined_score")
+    return f.agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.count_if(score.isNull() | (score < 0) | (score > 1)).alias("out_of_range"),
+        F.count_if((score >= F.col("threshold")).cast("int") != F.col("is_flagged")).alias("wrong_flags"),
+        F.sum("amount_cents").alias("amount_cents"),
+    )
+
+
+def _fitted_eval(s, d):
+    return _fitted(s, d).select(
+        F.col("is_suspicious").cast("int").alias("y_true"), F.col("is_flagged").alias("y_pred"), F.col("combined_score").alias("y_score")
+    )
+
+
+register("fitted_top_suspects")(_fitted_suspects)
+register("fitted_checks")(_fitted_checks)
+register("fitted_sar_summary")(lambda s, d: SR.sar_summary(SR.sar_base(tx(s, d), _fitted_suspects(s, d))))
+register("fitted_classification_metrics")(lambda s, d: EV.classification_metrics(_fitted_eval(s, d)))
+register("fitted_whatif_threshold")(lambda s, d: CA.whatif_threshold(_fitted(s, d)))
+register("fitted_batch_risk_summary")(lambda s, d: PR.batch_risk_summary(_fitted(s, d), _risk_model(s, d)))
 register("anomaly_attribution")(lambda s, d: LE.anomaly_attribution(tx(s, d)))
 register("feature_importance")(lambda s, d: LE.feature_importance(LE.anomaly_attribution(tx(s, d))))
 register("minority_oversample")(lambda s, d: LE.minority_oversample(tx(s, d)))
 register("projection_2d")(lambda s, d: LE.projection_2d(tx(s, d)))
 register("background_centres")(lambda s, d: LE.background_centres(tx(s, d)))
+
+
 def _risk_model(s, d):
     from ledgerscope.session import cut_lineage
 
-    x = cut_lineage(FE.node_features_scaled(tx(s, d), cu(s, d)))
-    return LE.customer_risk_model(x, GR.propagate_features(x, tx(s, d)), cu(s, d))
+    def build():
+        x = cut_lineage(FE.node_features_scaled(tx(s, d), cu(s, d)))
+        return LE.customer_risk_model(x, GR.propagate_features(x, tx(s, d)), cu(s, d))
+
+    return written(s, d, "risk_model", build)
 
 
 register("customer_risk_model")(_risk_model)
+register("customer_risk_recall")(lambda s, d: LE.risk_model_recall(_risk_model(s, d)))
+register("customer_risk_checks")(
+    lambda s, d: LE.risk_model_recall(_risk_model(s, d)).agg(
+        F.sum("customers").alias("customers"), F.sum("suspicious").alias("suspicious"), F.count_if(F.col("caught") > F.col("flagged")).alias("impossible")
+    )
+)
 register("dr_effect")(lambda s, d: LE.dr_effect(tx(s, d)))
 
 from ledgerscope.streaming import jobs as ST  # noqa: E402
@@ -456,6 +501,7 @@ register("stream_sessions")(ST.stream_sessions)
 register("stream_dedup")(lambda s, d: ST.stream_dedup(s, _events(s, d, "resent_events")))
 register("stream_scores")(ST.stream_scores)
 register("stream_sender_state")(ST.stream_sender_state)
+register("stream_sender_state_expiring")(ST.stream_sender_state_expiring)
 register("stream_alert_sink")(lambda s, d: ST.stream_alert_sink(s, _events(s, d, "refused_events")))
 register("stream_quarantine_sink")(lambda s, d: ST.stream_alert_sink(s, _events(s, d, "refused_events"), part="quarantine"))
 register("stream_counters")(ST.stream_counters)
@@ -560,6 +606,11 @@ register("metrics_from_matrix")(metrics_from_matrix)
 register("feature_pipeline")(
     lambda s, d: round_doubles(MS.build_transaction_pipeline().fit(tx(s, d)).transform(tx(s, d)))
 )
+register("saved_feature_pipeline")(
+    lambda s, d: round_doubles(
+        MS.saved_and_loaded(MS.build_transaction_pipeline().fit(tx(s, d)), IO.scratch(s, "pipeline")).transform(tx(s, d))
+    )
+)
 register("udf_scores")(udf_scores)
 register("shuffle_rows")(lambda s, d: SA.shuffle_rows(tx(s, d)).select("transaction_id", "amount_usd"))
 register("did_bootstrap_poisson")(lambda s, d: CA.did_bootstrap(tx(s, d), replicates=500, method="poisson"))

@@ -145,8 +145,6 @@ def stream_sender_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user running count, sum and sum of squares kept in the state store by
     a built-in aggregate in update mode; the latest state per user is read back.
     Sums of cents are exact, so mean and sd equal the batch aggregates."""
-    from ledgerscope.functions.money import idiv
-
     cents = F.col("value_cents")
     ev = event_stream(spark, sf_dir).filter(cents.isNotNull())
     st = ev.groupBy("user_id").agg(
@@ -162,15 +160,40 @@ def stream_sender_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([*st.schema.fields, T.StructField("batch_id", T.IntegerType())])
     got = spark.read.schema(schema).parquet(f"{base}/out") if _has(spark, f"{base}/out") else spark.createDataFrame([], schema)
     latest = got.groupBy("user_id").agg(F.max_by(F.struct("n", "total", "total_sq"), "batch_id").alias("s")).select("user_id", "s.*")
+    return latest.select("user_id", "n", *_moments())
+
+
+def _moments() -> list:
+    """Mean and sample deviation, as amounts, of ``n`` cents with ``total`` and ``total_sq``."""
+    from ledgerscope.functions.money import idiv
+
     n, total = F.col("n"), F.col("total")
     wide = total.cast("decimal(19,0)")
     spread = (n.cast("decimal(10,0)") * F.col("total_sq").cast("decimal(28,0)") - (wide * wide).cast("decimal(38,0)")).cast("double")
     var = F.greatest(spread, F.lit(0.0)) / n / F.nullif(n - 1, F.lit(0))
-    return latest.select(
-        "user_id", "n",
-        (idiv(total * 20000 + n, n * 2) / F.lit(1e6)).alias("mean_value"),
-        F.round(F.sqrt(var) / F.lit(100.0), 6).alias("sd_value"),
+    return [(idiv(total * 20000 + n, n * 2) / F.lit(1e6)).alias("mean_value"), F.round(F.sqrt(var) / F.lit(100.0), 6).alias("sd_value")]
+
+
+def expiring_state(ev: DataFrame, idle: str = "6 hours", delay: str = "1 hour") -> DataFrame:
+    """Per-user count, sum and sum of squares that end when a user is idle: a session
+    with gap ``idle``. The state store drops it, and the stream emits it, once the
+    watermark has passed the last event by ``idle``; a later event begins anew. So the
+    store holds the users of the last ``idle`` + ``delay``, not all there ever were."""
+    cents = F.col("value_cents")
+    ev = ev.filter(cents.isNotNull()).withWatermark("event_time", delay)
+    st = ev.groupBy("user_id", F.session_window("event_time", idle).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(cents).alias("total"),
+        F.sum(cents.cast("decimal(18,0)") * cents.cast("decimal(18,0)")).cast("decimal(38,0)").alias("total_sq"),
     )
+    return st.select("user_id", ntz(F.col("s.start")).alias("state_start"), ntz(F.col("s.end")).alias("expired_at"), "n", *_moments())
+
+
+def stream_sender_state_expiring(spark: SparkSession, sf_dir: str, idle: str = "6 hours", delay: str = "1 hour") -> DataFrame:
+    """The states that have expired by the end of the stream."""
+    st = expiring_state(event_stream(spark, sf_dir), idle, delay)
+    base, _ = run_to_sink(st, "expiring")
+    return _read(spark, f"{base}/out", st.schema)
 
 
 def _has(spark: SparkSession, path: str) -> bool:
