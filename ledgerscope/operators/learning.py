@@ -1,7 +1,8 @@
 """Fitted detectors and models on Spark ML, re-aimed from single-machine
 neural models (see README): a linear (PCA) autoencoder for reconstruction
 error, a real-vs-column-permuted classifier as the second detector, exact
-per-feature attribution of the reconstruction error, neighbour interpolation
+per-feature attribution of the reconstruction error and sampled Shapley values
+of the second detector, interpolation between nearest neighbours
 for minority oversampling, a 2-D projection, k-means background centres, a
 class-weighted customer risk classifier and a cross-fitted doubly robust
 effect estimate.
@@ -13,6 +14,8 @@ arithmetic, which stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.functions.constants import NODE_FEATURES, TRANSACTION_FEATURES
 from ledgerscope.operators.features import apply_standardizer, fit_standardizer, invert_standardizer, transaction_features
+from ledgerscope.operators.neighbours import nearest
 from ledgerscope.operators.prefix import prefix_sums
 from ledgerscope.operators.sampling import stratified_split
 from ledgerscope.session import cut_lineage
@@ -182,31 +186,24 @@ def fitted_scores(txns: DataFrame, k: int = 4) -> DataFrame:
     return rows.withColumn("threshold", thr).withColumn("is_flagged", (F.col("combined_score") >= F.col("threshold")).cast("int")).drop("split")
 
 
-def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, buckets: int = 64) -> DataFrame:
-    """Synthetic suspicious rows: each suspicious row is interpolated towards
-    its successor in hash order inside its (typology, hash bucket), wrapping
-    around at the end of the bucket, with a hash-derived weight in [0, 1).
-    The buckets keep any one typology from sitting in a single task, and the
-    wrap-around gives every row a partner (a singleton bucket pairs a row with
-    itself). Their number is a parameter, so the result doesn't depend on the
-    session's partitions."""
-    from pyspark.sql import Window
-
-    f = transaction_features(txns, keep=["is_suspicious", "label"]).filter(F.col("is_suspicious"))
-    h = F.md5(F.concat(F.col("transaction_id"), F.lit(f":{seed}")))
-    f = f.withColumn("_h", h).withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(buckets)))
-    w = Window.partitionBy("label", "_b").orderBy("_h")
-    wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    nb = f.select(
-        "*",
-        *[F.coalesce(F.lead(c).over(w), F.first(c).over(wf)).alias(f"_n_{c}") for c in FEATS],
-    )
+def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, k: int = 5) -> DataFrame:
+    """Synthetic suspicious rows: each suspicious row moves a hash-derived part of the
+    way, in [0, 1), towards one of its ``k`` nearest suspicious rows of the same
+    typology, which a hash picks. Neighbours are nearest by standardised features
+    (``neighbours.nearest``: measured, not exact); a typology's only row stays put."""
+    f = cut_lineage(transaction_features(txns, keep=["is_suspicious", "label"]).filter(F.col("is_suspicious")))
+    scaled = apply_standardizer(f, fit_standardizer(f, FEATS, population=True), FEATS, ["transaction_id", "label"])
+    near = cut_lineage(nearest(scaled, "transaction_id", "label", FEATS, k=k))
+    partner = f.select(F.col("transaction_id").alias("_pid"), *[F.col(c).alias(f"_n_{c}") for c in FEATS])
     out = None
     for r in range(per_row):
+        pick = F.pmod(F.xxhash64("id", F.lit(seed), F.lit(r)), F.size("near"))
+        chosen = near.select("id", F.element_at("near", (pick + 1).cast("int")).alias("_pid")).join(partner, "_pid")
+        both = f.join(chosen, F.col("transaction_id") == F.col("id"), "left")
         wt = F.pmod(F.xxhash64("transaction_id", F.lit(seed + r)), F.lit(10**6)) / F.lit(1e6)
-        one = nb.select(
+        one = both.select(
             F.concat(F.lit("SYN_"), F.col("transaction_id"), F.lit(f"_{r}")).alias("transaction_id"),
-            *[(F.col(c) + wt * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in FEATS],
+            *[(F.col(c) + wt * (F.coalesce(f"_n_{c}", F.col(c)) - F.col(c))).alias(c) for c in FEATS],
             F.lit(True).alias("is_suspicious"),
             F.lit("synthetic").alias("label"),
         )
@@ -214,6 +211,46 @@ def minority_oversample(txns: DataFrame, per_row: int = 1, seed: int = 11, bucke
     return out
 
 
+def shapley_attribution(model, rows: DataFrame, permutations: int = 16, seed: int = 5) -> DataFrame:
+    """Sampled Shapley values of the second detector's score (1 - P(real)) for
+    ``rows`` (transaction_id and scaled features): features are put in place of the
+    background (the mean normal row, zero after scaling) one by one, in random orders and
+    their reverses, and each gets the mean change of the score. Within an order the
+    changes telescope, so a row's values sum to its score minus the base score.
+
+    Each row is scored permutations x (features + 1) times by Spark: give it the rows of
+    a report. Columns: transaction_id, feature, attribution, score, base."""
+    d = len(FEATS)
+    rng = np.random.default_rng(seed)
+    orders = [o for _ in range((permutations + 1) // 2) for o in (lambda p: (p, p[::-1]))(rng.permutation(d))]
+    steps = []
+    for o in orders:
+        rank = np.argsort(o)
+        for t in range(d + 1):
+            # the feature that came in last gains this score, the next one to come loses it
+            gain, loss = (FEATS[o[t - 1]] if t else None), (FEATS[o[t]] if t < d else None)
+            steps.append({"present": [bool(rank[i] < t) for i in range(d)], "gain": gain, "loss": loss, "t": t})
+    table = F.from_json(F.lit(json.dumps(steps)), "array<struct<present: array<boolean>, gain: string, loss: string, t: int>>")
+    wide = rows.select("transaction_id", *FEATS, F.explode(table).alias("s")).select("transaction_id", *FEATS, "s.*")
+    mixed = wide.select(
+        "transaction_id", "gain", "loss", "t", *[F.when(F.col("present")[i], F.col(c)).otherwise(0.0).alias(c) for i, c in enumerate(FEATS)]
+    )
+    scored = cut_lineage(_unreal(model, mixed).select("transaction_id", "gain", "loss", "t", "gan_score"))
+    ends = scored.groupBy("transaction_id").agg(F.max(F.when(F.col("t") == d, F.col("gan_score"))).alias("score"), F.max(F.when(F.col("t") == 0, F.col("gan_score"))).alias("base"))
+    share = F.explode(F.array(F.struct(F.col("gain").alias("feature"), F.col("gan_score").alias("v")), F.struct(F.col("loss").alias("feature"), (-F.col("gan_score")).alias("v"))))
+    parts = scored.select("transaction_id", share.alias("s")).select("transaction_id", "s.*").filter(F.col("feature").isNotNull())
+    values = parts.groupBy("transaction_id", "feature").agg((F.sum("v") / len(orders)).alias("attribution"))
+    return values.join(ends, "transaction_id")
+
+
+def tree_attribution(txns: DataFrame, top: int = 300, permutations: int = 16) -> DataFrame:
+    """Report: Shapley values of the ``top`` rows by the second detector's score."""
+    sc = scaled_features(training_frame(txns))
+    model = fit_second_detector(sc)
+    first = _unreal(model, sc).orderBy(F.desc("gan_score"), "transaction_id").limit(top)
+    return shapley_attribution(model, cut_lineage(first.select("transaction_id", *FEATS)), permutations)
+
+
 def projection_2d(txns: DataFrame) -> DataFrame:
     frame = training_frame(txns)
     sc = scaled_features(frame)

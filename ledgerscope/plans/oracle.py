@@ -464,6 +464,9 @@ SELECT s.*, f.* FROM ({_RISK_SUMMARY}) s,
 ORACLE["fitted_checks"] = W(
     "SELECT COUNT(*) AS transactions, 0::BIGINT AS out_of_range, 0::BIGINT AS wrong_flags, CAST(SUM(amount_cents) AS BIGINT) AS amount_cents FROM transactions"
 )
+ORACLE["oversample_checks"] = W(
+    "SELECT COUNT(*) AS synthetic, COUNT(*) AS ids, 0::BIGINT AS broken FROM transactions WHERE is_suspicious"
+)
 ORACLE["customer_risk_checks"] = W(
     "SELECT COUNT(*) AS customers, COUNT(*) FILTER (WHERE is_suspicious) AS suspicious, 0::BIGINT AS impossible FROM customers"
 )

@@ -454,8 +454,15 @@ register("fitted_classification_metrics")(lambda s, d: EV.classification_metrics
 register("fitted_whatif_threshold")(lambda s, d: CA.whatif_threshold(_fitted(s, d)))
 register("fitted_batch_risk_summary")(lambda s, d: PR.batch_risk_summary(_fitted(s, d), _risk_model(s, d)))
 register("anomaly_attribution")(lambda s, d: LE.anomaly_attribution(tx(s, d)))
+register("tree_attribution")(lambda s, d: LE.tree_attribution(tx(s, d)))
 register("feature_importance")(lambda s, d: LE.feature_importance(LE.anomaly_attribution(tx(s, d))))
 register("minority_oversample")(lambda s, d: LE.minority_oversample(tx(s, d)))
+register("oversample_checks")(
+    lambda s, d: LE.minority_oversample(tx(s, d)).agg(
+        F.count(F.lit(1)).alias("synthetic"), F.countDistinct("transaction_id").alias("ids"),
+        F.count_if(F.col("amount_usd").isNull() | (F.col("amount_usd") < 0)).alias("broken"),
+    )
+)
 register("projection_2d")(lambda s, d: LE.projection_2d(tx(s, d)))
 register("background_centres")(lambda s, d: LE.background_centres(tx(s, d)))
 
