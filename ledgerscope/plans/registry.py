@@ -392,11 +392,13 @@ register("feature_correlation")(
 )
 register("graph_view_nodes")(lambda s, d: graph_view_nodes(tx(s, d), _risk(s, d)))
 register("high_risk_clusters")(lambda s, d: high_risk_clusters(_flagged(s, d), _risk(s, d), tx(s, d)))
+_PRESETS = [
+    "transaction_summary", "top_suspicious_customers", "daily_alert_trend", "typology_breakdown", "cross_border_corridors",
+    "structuring_alerts", "hourly_velocity", "high_risk_network", "anomaly_flagged_customers",
+]
 register("preset_manifest")(
     lambda s, d: IO.preset_manifest(
-        s, d, {k: REGISTRY[k] for k in ["transaction_summary", "top_suspicious_customers", "daily_alert_trend",
-                                        "typology_breakdown", "cross_border_corridors", "structuring_alerts",
-                                        "hourly_velocity", "high_risk_network", "anomaly_flagged_customers"]}
+        s, d, {k: REGISTRY[k] for k in _PRESETS}, needs={k: ["orders", "lineitem", "customer", "nation"] for k in _PRESETS}
     )
 )
 

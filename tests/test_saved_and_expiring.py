@@ -74,6 +74,17 @@ def test_recall_of_the_classifier_over_whole_folds(spark):
     assert by == {"val": (3, 2, 2, 1, 0.5, 0.5), "train": (1, 0, 1, 0, None, 0.0)}
 
 
+def test_the_classifier_finds_a_signal(spark):
+    from ledgerscope.functions.constants import NODE_FEATURES
+
+    bad = "id % 9 = 0"
+    x = spark.range(600).selectExpr("concat('C', id) AS customer_id", *[f"IF({bad}, 2.0, -0.2) + (id * 37 % 11) / 20.0 AS {c}" for c in NODE_FEATURES])
+    custs = spark.range(600).selectExpr("concat('C', id) AS customer_id", f"{bad} AS is_suspicious")
+    scored = LE.cut_lineage(LE.customer_risk_model(x, x, custs))
+    got = {r.split: r for r in LE.risk_model_recall(scored).collect()}
+    assert got["val"].recall >= 0.95 and got["val"].precision >= 0.95 and got["val"].suspicious > 5
+
+
 def test_array_lines_and_object_files_score_alike(spark, tmp_path):
     rng = [round(50 + 37.77 * i % 900, 2) for i in range(60)]
     rows = [
