@@ -86,6 +86,13 @@ def reconstruction(scaled: DataFrame, loadings: np.ndarray) -> DataFrame:
     return proj.select("transaction_id", "is_suspicious", "split", *[res[i].alias(f"r_{FEATS[i]}") for i in range(d)])
 
 
+def reconstruction_error(loadings: np.ndarray):
+    """The score alone, as one column over the scaled features."""
+    d, k = loadings.shape
+    z = [sum(F.col(FEATS[i]) * float(loadings[i, j]) for i in range(d)) for j in range(k)]
+    return sum(F.pow(F.col(FEATS[i]) - sum(z[j] * float(loadings[i, j]) for j in range(k)), 2) for i in range(d)) / float(d)
+
+
 def anomaly_scores(txns: DataFrame, k: int = 4) -> DataFrame:
     """Reconstruction-error score, normalised by its max on training rows; the
     threshold is the p95 of normal training scores (on a 1e-6 grid)."""
@@ -173,10 +180,7 @@ def fitted_scores(txns: DataFrame, k: int = 4) -> DataFrame:
 
     sc = scaled_features(training_frame(txns))
     load = fit_pca_loadings(sc, k)
-    d = len(FEATS)
-    z = [sum(F.col(FEATS[i]) * float(load[i, j]) for i in range(d)) for j in range(k)]
-    error = sum(F.pow(F.col(FEATS[i]) - sum(z[j] * float(load[i, j]) for j in range(k)), 2) for i in range(d)) / float(d)
-    both = _unreal(fit_second_detector(sc), sc).select("transaction_id", "split", F.round(error, 9).alias("vae_score"), F.round("gan_score", 9).alias("gan_score"))
+    both = _unreal(fit_second_detector(sc), sc).select("transaction_id", "split", F.round(reconstruction_error(load), 9).alias("vae_score"), F.round("gan_score", 9).alias("gan_score"))
     ids = txns.select("transaction_id", "sender_id", "receiver_id", "amount_cents", "amount_usd", "is_suspicious")
     rows = cut_lineage(ids.join(both, "transaction_id"))
     vmax = rows.filter("split = 'train'").select(F.max("vae_score")).scalar()

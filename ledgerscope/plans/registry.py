@@ -596,11 +596,8 @@ def udf_scores(s, d):
     sc = LE.scaled_features(frame)
     load = LE.fit_pca_loadings(sc, 4)
     scorer = MS.batch_scorer(MS.reconstruction_error_model(load), len(FE.TRANSACTION_FEATURES))
-    rec = LE.reconstruction(sc, load)
-    col_score = sum(F.col(f"r_{f}") for f in FE.TRANSACTION_FEATURES)
-    return sc.select("transaction_id", scorer(*[F.col(c) for c in FE.TRANSACTION_FEATURES]).alias("udf_score")).join(
-        rec.select("transaction_id", col_score.alias("column_score")), "transaction_id"
-    )
+    x = [F.col(c) for c in FE.TRANSACTION_FEATURES]
+    return sc.select("transaction_id", scorer(*x).alias("udf_score"), LE.reconstruction_error(load).alias("column_score"))
 
 
 register("adhoc_sql")(adhoc_sql)
