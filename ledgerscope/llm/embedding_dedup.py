@@ -4,13 +4,16 @@
 2. A rotation of the principal axes is learned so that signs are balanced, good
    codes (iterative quantisation), on a bounded sample: the ``sample`` classes
    first by a hash of their id. One model for each vector length in it.
-3. Every class gets a code of up to 64 bits, cut into ``tables`` substrings. It is
-   entered under each substring and looks up, in each table, also the ``probes``
-   substrings made by flipping its bits of least margin.
-4. Classes that meet in a bucket are reranked with their vectors in double
+3. Every class gets a code of up to 64 bits, cut into ``tables`` substrings. In each
+   table it is entered under its substring and under the ``probes`` substrings made by
+   flipping its bits of least margin; two classes meet where any of their entries are
+   equal, so the flips of both sides add up.
+4. Entries are range-sorted once by (bucket, class), so that a hot bucket spreads over
+   many tasks; those alone in their bucket go before a vector is moved.
+5. Classes that meet in a bucket are reranked with their vectors in double
    precision; links of ``least`` or more connect them. Buckets are processed in
    blocks, and a task emits only the links that connect its sets.
-5. Within each component all pairs of classes are compared in blocks, so counts
+6. Within each component all pairs of classes are compared in blocks, so counts
    of links are exact there; only counts leave the tasks.
 
 A pair is missed only if none of its tables brings the two together and no chain
@@ -37,7 +40,7 @@ from ledgerscope.llm.common import map_arrow, table, written
 from ledgerscope.llm.components import components
 from ledgerscope.llm.runs import Sets, into_runs, whole_runs
 
-LEAST, SAMPLE, TABLES, PROBES, BLOCK = 0.98, 10_000, 3, 48, 1024
+LEAST, SAMPLE, TABLES, PROBES, BLOCK = 0.98, 10_000, 3, 11, 1024
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -70,20 +73,36 @@ def _flips(probes: int, width: int) -> list[tuple[int, ...]]:
     return sorted(sets, key=lambda s: (sum((i + 1) ** 2 for i in s), s))[:probes]
 
 
-def codes(model: dict[str, np.ndarray], x: np.ndarray, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each row: its own (rows, tables), and looked up (rows, tables * probes)."""
+def codes(model: dict[str, np.ndarray], x: np.ndarray, tables: int, probes: int) -> np.ndarray:
+    """Entries of each row: its own substrings and the probed ones (rows, tables * (1 + probes) at most)."""
     v = (x - model["mean"]) @ model["axes"]
     on, margin = v > 0, np.abs(v)
     bits = v.shape[1]
     cuts = [i * bits // tables for i in range(tables + 1)]
-    own, looked = [], []
+    out = []
     for t, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         weight = np.int64(1) << np.arange(b - a, dtype=np.int64)
         key = (on[:, a:b] * weight).sum(1) | (np.int64(t) << 40)
         order = weight[np.argsort(margin[:, a:b], axis=1, kind="stable")]
-        own.append(key)
-        looked += [key ^ order[:, list(s)].sum(1) for s in _flips(probes, b - a)]
-    return np.stack(own, 1), np.stack(looked, 1)
+        out.append(key)
+        out += [key ^ order[:, list(s)].sum(1) for s in _flips(probes, b - a)]
+    return np.stack(out, 1)
+
+
+def shared(batches):
+    """Of entries sorted by bucket, those that aren't alone there; a partition's first and last stay, since their bucket may go on beyond it."""
+    last, left = None, True
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b] if last is None else [last, b])
+        key = np.asarray(t["bucket"])
+        same = key[1:] == key[:-1]
+        keep = np.concatenate([[left], same[:-1]]) | same if len(same) else np.zeros(0, bool)
+        yield from t.slice(0, len(keep)).filter(pa.array(keep)).to_batches()
+        last, left = b.slice(b.num_rows - 1), bool(same[-1]) if len(same) else left
+    if last is not None:
+        yield last
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
@@ -149,7 +168,9 @@ def _counting(least: float):
 
 def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", least: float = LEAST, sample: int = SAMPLE, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
-    v = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"), F.col(label_col).cast("string").alias("label"))
+    # floats travel as they are; tasks compare in double precision
+    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
+    v = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast(kind).alias("vec"), F.col(label_col).cast("string").alias("label"))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
     valid = F.coalesce(fine, F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     hashes = [F.when(valid, F.xxhash64(F.lit(i), "label", "vec")).alias(f"h{i}") for i in (1, 2)]
@@ -169,19 +190,18 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             for d in np.unique(length).tolist():
                 at = np.flatnonzero(length == d)
                 model = models.get(d) or learn_rotation(np.zeros((0, d)))  # a length the sample lacks: random axes
-                own, looked = codes(model, unit_rows(matrix(b.column(1), at, d)), tables, probes)
-                for keys, home in ((own, True), (looked, False)):
-                    where = pa.array(np.repeat(at, keys.shape[1]))
-                    size = len(where)
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(where), b.column(3).take(where), pa.array(np.full(size, d, np.int32)), pa.array(keys.ravel()), pa.array(np.full(size, home))], names=["rep", "label", "length", "key", "home"]
-                    )
-
-    keys = written(map_arrow(classes.select("rep", "vec", "length", "label"), keyed, "rep long, label string, length int, key long, home boolean"), "keys")
-    on = ["label", "length", "key"]
-    homes = keys.filter("home").drop("home")
-    guests = keys.filter("not home").drop("home").join(homes.select(*on).distinct(), on, "left_semi")
-    met = into_runs(homes.unionByName(guests), on, "rep", block, classes.select("rep", "vec"))
+                keys = codes(model, unit_rows(matrix(b.column(1), at, d)), tables, probes)
+                offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * keys.shape[1])
+                where = pa.array(at)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(where), b.column(3).take(where), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["rep", "kind", "keys"])
+
+    # labels whose hashes are equal only share buckets: runs are told apart by label and length again
+    keys = written(map_arrow(classes.select("rep", "vec", "length", F.xxhash64("label", "length").alias("kind")), keyed, "rep long, kind long, keys array<long>"), "keys")
+    entries = keys.select("rep", "kind", F.explode("keys").alias("key")).select(F.xxhash64("kind", "key").alias("bucket"), "rep")
+    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    entries = entries.repartitionByRange(n, "bucket", "rep").sortWithinPartitions("bucket")
+    met = written(map_arrow(entries, shared, "bucket long, rep long"), "met")
+    met = into_runs(met, ["bucket"], "rep", block, classes.select("rep", "label", "length", "vec"))
     comp = written(components(map_arrow(met.select("run", "rep", "side", "whole", "label", "length", "vec"), _linking(least), "a long, b long")), "near")
     members = classes.select("rep", "low", "label", "length", "vec", "n").join(comp, F.col("rep") == F.col("node"))
     blocks = into_runs(members.select("component", "rep"), ["component"], "rep", block, members.drop("component", "node", "low"))

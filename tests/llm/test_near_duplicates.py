@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import ODD, Union, fingerprint, near_vectors
 
@@ -118,6 +119,38 @@ def test_embeddings_recall_and_counts(spark):
     assert (got.kept == (got.index == got.component_id)).all()
 
 
+def test_recall_of_a_length_with_too_few_vectors_to_learn_from(spark):
+    """Random axes: as many links as brute force finds, for 60 vectors of one length beside 400 of another."""
+    r = np.random.default_rng(7)
+    rows = [x for x in r.normal(size=(400, 32))]
+    for b in r.normal(size=(20, 48)):
+        for _ in range(3):
+            n = r.normal(size=48)
+            n -= n @ b / (b @ b) * b
+            rows.append(0.995 * b + 0.0998 * n * np.linalg.norm(b) / np.linalg.norm(n))
+    df = spark.createDataFrame([(i, [float(v) for v in x], 1) for i, x in enumerate(rows)], "vec_id long, embedding array<float>, label int")
+    got = embedding_dedup.near_embeddings(df).toPandas().set_index("vec_id").sort_index()
+    few = [np.float32(x) for x in rows[400:]]
+    n, low = near_vectors(list(range(400, 460)), few, [1] * 60)
+    assert sum(n) > 60 and got.n_links[400:].sum() >= 0.95 * sum(n) and (got.n_links[400:] <= n).all()
+    assert (got.component_id[400:] == low).mean() >= 0.95 and got.n_links[:400].sum() == 0
+
+
+def test_entries_alone_in_their_bucket_go():
+    r = np.random.default_rng(8)
+    for size in (0, 1, 2, 40, 300):
+        key = np.sort(r.integers(0, max(1, size), size))
+        rep = np.arange(size)
+        batches, at = [], 0
+        while at < size:
+            to = at + int(r.integers(1, 6))
+            batches.append(pa.RecordBatch.from_arrays([pa.array(key[at:to]), pa.array(rep[at:to])], names=["bucket", "rep"]))
+            at = to
+        got = [x for b in embedding_dedup.shared(iter(batches)) for x in b.column(1).to_pylist()]
+        n = np.bincount(key, minlength=1) if size else []
+        assert got == [i for i in range(size) if n[key[i]] > 1 or i in (0, size - 1)]
+
+
 def test_embedding_edges(spark):
     odd = [(0, None, 1), (1, [0.0, 0.0], 1), (2, [float("nan"), 1.0], 1), (3, [None, 1.0], 1), (4, [1.0, 1.0], None), (5, [], 1), (6, [float("inf"), 1.0], 1)]
     fine = [(7, [1.0, 1.0], 1), (8, [2.0, 2.0], 1), (9, [1e200, 1e200], 1), (10, [1.0, 1.0, 1.0], 1), (11, [1.0, 1.0], 2), (11, [1.0, 1.0], 2)]
