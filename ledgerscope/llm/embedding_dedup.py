@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.llm.common import map_arrow, table, written
 from ledgerscope.llm.components import components
-from ledgerscope.llm.runs import Sets, into_runs, whole_runs
+from ledgerscope.llm.runs import into_runs, whole_runs
 
 LEAST, SAMPLE, TABLES, PROBES, BLOCK = 0.98, 10_000, 3, 11, 1024
 
@@ -111,43 +111,58 @@ def matrix(column: pa.ChunkedArray | pa.Array, rows: np.ndarray, length: int) ->
     return np.asarray(picked.flatten(), dtype=np.float64).reshape(len(rows), length)
 
 
-def _groups(t: pa.Table, run_no: np.ndarray):
-    """(rows, unit vectors) of each run, by length and label within it."""
-    size = np.asarray(t["length"])
+def _groups(t: pa.Table, run_no: np.ndarray, most: int = 1 << 22):
+    """(rows, unit vectors) of the groups of each run by length and label: groups of one
+    size and length come stacked, (groups, size) and (groups, size, length)."""
+    length = np.asarray(t["length"])
     label = np.asarray(t["label"].combine_chunks().dictionary_encode().indices)
-    key = np.stack([run_no, size, label], 1)
+    key = np.stack([run_no, length, label], 1)
     order = np.lexsort(key.T[::-1])
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1), [True]]))
-    for a, b in zip(new, new[1:], strict=False):
-        if b - a > 1:
-            rows = order[a:b]
-            yield rows, unit_rows(matrix(t["vec"], rows, int(key[a, 1])))
-
-
-def _pairs_allowed(side: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    ok = whole[:, None] | (side[:, None] != side[None, :])
-    np.fill_diagonal(ok, False)
-    return ok
+    first, size = new[:-1], np.diff(new)
+    for m, d in sorted({*zip(size[size > 1].tolist(), key[first[size > 1], 1].tolist(), strict=True)}):
+        at = first[(size == m) & (key[first, 1] == d)]
+        step = max(1, most // (m * (m + d)))
+        for i in range(0, len(at), step):
+            rows = order[at[i : i + step, None] + np.arange(m)]
+            yield rows, unit_rows(matrix(t["vec"], rows.ravel(), d)).reshape(*rows.shape, d)
+
+
+def _hits(t: pa.Table, run_no: np.ndarray, least: float):
+    """(rows, links) of stacked groups; ``links`` (groups, size, size) holds the pairs that belong to their run."""
+    side, whole = np.asarray(t["side"]), np.asarray(t["whole"])
+    for rows, x in _groups(t, run_no):
+        hit = x @ x.transpose(0, 2, 1) >= least
+        hit &= whole[rows][:, :, None] | (side[rows][:, :, None] != side[rows][:, None, :])
+        own = np.arange(rows.shape[1])
+        hit[:, own, own] = False
+        yield rows, hit
+
+
+def lowest_linked(hit: np.ndarray) -> np.ndarray:
+    """(groups, size): the smallest member each one's links lead to, itself included."""
+    low = np.broadcast_to(np.arange(hit.shape[1]), hit.shape[:2]).copy()
+    while True:
+        near = np.minimum(low, np.where(hit, low[:, None, :], hit.shape[1]).min(2))
+        near = np.take_along_axis(near, near, 1)
+        if (near == low).all():
+            return low
+        low = near
 
 
 def _linking(least: float):
     def run(batches):
         for t, run_no in whole_runs(batches, 1 << 13):
-            rep, side, whole = np.asarray(t["rep"]), np.asarray(t["side"]), np.asarray(t["whole"])
-            a, b = [], []
-            for rows, x in _groups(t, run_no):
-                hit = (x @ x.T >= least) & _pairs_allowed(side[rows], whole[rows])
-                i, j = np.nonzero(np.triu(hit, 1))
-                if len(i):
-                    sets = Sets(len(rows))
-                    sets.join(i, j)
-                    top = sets.flat()
-                    own = np.flatnonzero(top != np.arange(len(rows)))
-                    a.append(rep[rows[own]])
-                    b.append(rep[rows[top[own]]])
-            none = [np.zeros(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], names=["a", "b"])
+            rep = np.asarray(t["rep"])
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for rows, hit in _hits(t, run_no, least):
+                some = hit.any((1, 2))
+                rows, low = rows[some], lowest_linked(hit[some])
+                g, own = np.nonzero(low != np.arange(low.shape[1]))
+                a.append(rep[rows[g, own]])
+                b.append(rep[rows[g, low[g, own]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return run
 
@@ -156,11 +171,9 @@ def _counting(least: float):
     def run(batches):
         for t, run_no in whole_runs(batches, 1 << 13):
             rep, n = np.asarray(t["rep"]), np.asarray(t["n"])
-            side, whole = np.asarray(t["side"]), np.asarray(t["whole"])
             found = np.zeros(len(rep), np.int64)
-            for rows, x in _groups(t, run_no):
-                hit = (x @ x.T >= least) & _pairs_allowed(side[rows], whole[rows])
-                found[rows] = hit @ n[rows]
+            for rows, hit in _hits(t, run_no, least):
+                found[rows] = (hit @ n[rows][:, :, None])[:, :, 0]
             yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(found)], names=["rep", "links"])
 
     return run

@@ -151,6 +151,19 @@ def test_entries_alone_in_their_bucket_go():
         assert got == [i for i in range(size) if n[key[i]] > 1 or i in (0, size - 1)]
 
 
+def test_lowest_linked_matches_union_find():
+    r = np.random.default_rng(9)
+    for size in (1, 2, 5, 40):
+        hit = r.random((30, size, size)) < r.choice([0.02, 0.1, 0.5], 30)[:, None, None]
+        hit |= hit.transpose(0, 2, 1)
+        hit[:, np.arange(size), np.arange(size)] = False
+        for h, low in zip(hit, embedding_dedup.lowest_linked(hit), strict=True):
+            u = Union(size)
+            for i, j in zip(*np.nonzero(h), strict=True):
+                u.join(i, j)
+            assert low.tolist() == u.lowest(list(range(size)))
+
+
 def test_embedding_edges(spark):
     odd = [(0, None, 1), (1, [0.0, 0.0], 1), (2, [float("nan"), 1.0], 1), (3, [None, 1.0], 1), (4, [1.0, 1.0], None), (5, [], 1), (6, [float("inf"), 1.0], 1)]
     fine = [(7, [1.0, 1.0], 1), (8, [2.0, 2.0], 1), (9, [1e200, 1e200], 1), (10, [1.0, 1.0, 1.0], 1), (11, [1.0, 1.0], 2), (11, [1.0, 1.0], 2)]
