@@ -91,6 +91,16 @@ def sar_reports_roundtrip(reports: DataFrame) -> DataFrame:
     return spark.read.schema(reports.schema).json(p)
 
 
+def sar_reports_flat(reports: DataFrame) -> DataFrame:
+    """Nested report rows (as read back from their files) with every field in a column of its own."""
+    types = F.col("activity.typologies_detected")
+    return reports.select(
+        "sar_id", "generated_at", "priority", "llm_used", "status", "filer.*", "suspect.*",
+        F.array_join(types, ", ").alias("typologies_detected"), F.size(types).alias("n_typologies"),
+        *[f"activity.{f.name}" for f in reports.schema["activity"].dataType.fields if f.name != "typologies_detected"],
+    )
+
+
 def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every Parquet file of every table below ``sf_dir`` (single files and
     folders of part files): SHA-256 and bytes, hashed by executors, and its rows."""
@@ -106,6 +116,12 @@ def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.join(counts, "file", "left").select("file", "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
+def manifest_rows(manifest: DataFrame) -> DataFrame:
+    """Rows of each table: its single file, or its folder's part files together."""
+    name = F.split_part("file", F.lit("/"), F.lit(1))
+    return manifest.groupBy(name.alias("table_name")).agg(F.sum("rows").alias("rows"))
+
+
 def preset_manifest(spark: SparkSession, sf_dir: str, presets: dict, out_dir: str | None = None, needs: dict[str, list[str]] | None = None) -> DataFrame:
     """Run report: every named preset is run and written as CSV; status (ok,
     failed, skipped), rows, file, error, start, end and seconds are recorded. A
@@ -138,6 +154,20 @@ def evaluation_report(metrics: DataFrame, model: str, evaluated_at: str) -> Data
     )
 
 
+def report_fields(report: DataFrame, like: DataFrame) -> DataFrame:
+    """The metrics of an evaluation report, read back from its JSON with the types of ``like``."""
+    return report.select(F.from_json("metrics", like.schema).alias("m")).select("m.*")
+
+
+def detector_metadata_flat(meta: DataFrame) -> DataFrame:
+    """The nested metadata as columns: weights, names and confusion cells (at most 4) as text."""
+    cell = lambda c: F.concat_ws("", c["true_label"].cast("string"), F.lit("/"), c["pred_label"].cast("string"), F.lit(":"), c["count"].cast("string"))
+    return meta.select(
+        "threshold", F.col("weights.primary").alias("primary_weight"), F.col("weights.secondary").alias("secondary_weight"),
+        F.array_join("feature_names", ",").alias("feature_names"), F.array_join(F.transform("confusion_matrix", cell), ",").alias("confusion_cells"),
+    )
+
+
 def detector_metadata(threshold: DataFrame, confusion: DataFrame) -> DataFrame:
     """One nested row: threshold, fusion weights, feature names and the
     confusion matrix; written as JSON and read back with its schema."""

@@ -685,8 +685,9 @@ def SGN_FX(x: str, d: int) -> str:
     return f"(CASE WHEN {HU(x, d)} < 0 THEN '-' ELSE '+' END || printf('%.{d}f', abs({HU(x, d)})))"
 
 
-ORACLE["whatif_threshold"] = W(
-    f"""
+def _whatif(cur: str, new: str, scores: str) -> str:
+    return W(
+        f"""
 SELECT 'Threshold ' || CASE WHEN nt < ct THEN 'lower' ELSE 'higher' END || ': ' || {FMT('ct', 5)} || ' → ' || {FMT('nt', 5)}
            AS scenario,
        b AS baseline_alerts, c AS counterfactual_alerts, c - b AS delta_alerts,
@@ -704,15 +705,26 @@ SELECT 'Threshold ' || CASE WHEN nt < ct THEN 'lower' ELSE 'higher' END || ': '
 FROM (
     SELECT *, ((abs(cc_ - bc) + 50) // 100) * CASE WHEN cc_ < bc THEN -1 ELSE 1 END AS dd
     FROM (
-        SELECT MAX(threshold) AS ct, MAX(threshold) * 0.9::DOUBLE AS nt,
-               COUNT(*) FILTER (WHERE combined_score >= threshold) AS b,
-               COUNT(*) FILTER (WHERE combined_score >= threshold * 0.9::DOUBLE) AS c,
-               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= threshold), 0) AS bc,
-               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= threshold * 0.9::DOUBLE), 0) AS cc_
-        FROM scores_f
+        SELECT MAX({cur}) AS ct, MAX({new}) AS nt,
+               COUNT(*) FILTER (WHERE combined_score >= {cur}) AS b,
+               COUNT(*) FILTER (WHERE combined_score >= {new}) AS c,
+               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= {cur}), 0) AS bc,
+               COALESCE(SUM(amount_cents) FILTER (WHERE combined_score >= {new}), 0) AS cc_
+        FROM {scores}
     )
 )""",
-    SCORE_CTES,
+        SCORE_CTES,
+    )
+
+
+ORACLE["whatif_threshold"] = _whatif("threshold", "threshold * 0.9::DOUBLE", "scores_f")
+# seeded stand-in scores: 13 hex digits of a hash as a fraction
+_UNIT = "CAST(CAST('0x' || substr(md5(transaction_id || ':42'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE"
+ORACLE["whatif_threshold_fallback"] = _whatif(
+    "0.01::DOUBLE",
+    "0.008::DOUBLE",
+    f"""(SELECT amount_cents, CASE WHEN is_suspicious THEN 0.01::DOUBLE + {_UNIT} * 0.04::DOUBLE ELSE {_UNIT} * 0.008::DOUBLE END
+                 AS combined_score FROM transactions)""",
 )
 ORACLE["whatif_sweep"] = W(
     f"""
@@ -1301,6 +1313,42 @@ _REFUSED = "(SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_
 ORACLE["stream_alert_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value > 0"
 ORACLE["stream_quarantine_sink"] = f"SELECT event_id, user_id, event_type, value, ts FROM {_REFUSED} WHERE value IS NULL OR value <= 0"
 
+ORACLE["stream_counters"] = """
+SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) AS events, COUNT(*) FILTER (WHERE value > 100) AS high_value FROM events"""
+
+# --- reports and manifests, read back from their files ---
+ORACLE["sar_reports_flat"] = W(
+    f"""
+SELECT b.sar_id, b.generated_at, b.priority, b.llm_used, b.status, {_q(_K.FILER_INSTITUTION_NAME)} AS institution_name,
+       {_q(_K.FILER_EIN)} AS ein, {_q(_K.FILER_CONTACT)} AS contact, substr(b.generated_at, 1, 10) AS report_date,
+       {_q(_K.FILER_FILING_TYPE)} AS filing_type, b.customer_id, s.name AS customer_name, s.country, s.jurisdiction_risk,
+       s.account_type, s.annual_income_usd, s.pep, s.risk_score, s.gnn_risk_score, s.vae_score,
+       b.typologies AS typologies_detected,
+       CAST(CASE WHEN b.typologies = '' THEN 0 ELSE len(string_split(b.typologies, ', ')) END AS INTEGER) AS n_typologies,
+       b.total_flagged_amount_usd, b.flagged_transaction_count, b.date_range_start, b.date_range_end,
+       b.structuring_detected, b.cross_border, b.narrative AS activity_description
+FROM sb b JOIN sus s ON b.customer_id = s.customer_id""",
+    SAR_CTES,
+)
+ORACLE["detector_metadata_flat"] = f"""
+SELECT t.threshold, {_K.FUSION_PRIMARY_WEIGHT}::DOUBLE AS primary_weight, {_K.FUSION_SECONDARY_WEIGHT}::DOUBLE AS secondary_weight,
+       {_q(",".join(_K.TRANSACTION_FEATURES))} AS feature_names, c.cells AS confusion_cells
+FROM ({ORACLE["anomaly_threshold"]}) t,
+     (SELECT string_agg(true_label || '/' || pred_label || ':' || count, ',' ORDER BY true_label, pred_label) AS cells
+      FROM ({ORACLE["confusion_matrix"]})) c"""
+ORACLE["evaluation_report_fields"] = ORACLE["classification_metrics"]
+_PRESET_KEYS = [
+    "transaction_summary", "top_suspicious_customers", "daily_alert_trend", "typology_breakdown", "cross_border_corridors",
+    "structuring_alerts", "hourly_velocity", "high_risk_network", "anomaly_flagged_customers",
+]
+ORACLE["preset_rows"] = " UNION ALL ".join(
+    f"SELECT '{k}' AS preset, 'ok' AS status, (SELECT COUNT(*) FROM ({ORACLE[k]})) AS rows" for k in _PRESET_KEYS
+)
+ORACLE["manifest_rows"] = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}"
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+)
+
 # --- remaining surfaces -------------------------------------------------------------
 ORACLE["adhoc_sql"] = W("""
 SELECT c.jurisdiction_risk, t.transaction_type, COUNT(*) AS txn_count, SUM(t.amount_cents) / 100.0::DOUBLE AS total_usd

@@ -365,7 +365,13 @@ register("validate_valid")(lambda s, d: VA.validate_valid(_records(s, d)))
 register("validate_quarantine")(lambda s, d: VA.validate_quarantine(_flawed(s, d)))
 register("validate_flawed")(lambda s, d: VA.validate_valid(_flawed(s, d)))
 register("sar_reports_json")(lambda s, d: IO.sar_reports_roundtrip(SR.sar_reports(_sar_base(s, d))))
+register("sar_reports_flat")(lambda s, d: IO.sar_reports_flat(REGISTRY["sar_reports_json"](s, d)))
 register("dataset_manifest")(lambda s, d: IO.dataset_manifest(s, d))
+register("manifest_rows")(lambda s, d: IO.manifest_rows(REGISTRY["dataset_manifest"](s, d)))
+register("evaluation_report_fields")(
+    lambda s, d: IO.report_fields(REGISTRY["evaluation_report"](s, d), EV.classification_metrics(_eval(s, d)))
+)
+register("detector_metadata_flat")(lambda s, d: IO.detector_metadata_flat(REGISTRY["detector_metadata"](s, d)))
 register("evaluation_report")(
     lambda s, d: IO.evaluation_report(EV.classification_metrics(_eval(s, d)), "zscore-standin", "2024-01-01T00:00:00Z")
 )
@@ -401,6 +407,9 @@ register("preset_manifest")(
         s, d, {k: REGISTRY[k] for k in _PRESETS}, needs={k: ["orders", "lineitem", "customer", "nation"] for k in _PRESETS}
     )
 )
+register("preset_rows")(
+    lambda s, d: REGISTRY["preset_manifest"](s, d).select(F.col("name").alias("preset"), "status", "rows")
+)
 
 from ledgerscope.operators import learning as LE  # noqa: E402
 

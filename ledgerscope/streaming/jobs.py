@@ -232,4 +232,4 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         one.write.mode("overwrite").parquet(f"{base}/out/part={batch_id}")
 
     base, _ = run_to_sink(ev, "counters", foreach=sink)
-    return spark.read.schema(schema).parquet(f"{base}/out") if _has(spark, f"{base}/out") else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/out").drop("part") if _has(spark, f"{base}/out") else spark.createDataFrame([], schema)
