@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerscope.functions.constants import SAR_THRESHOLD_USD, STRUCTURING_MIN_COUNT, VELOCITY_MIN_COUNT
 from ledgerscope.functions.money import avg_usd, pct_4dp, sum_usd
 from ledgerscope.functions.scalar import trunc_hour_ntz, week_start_date
+from ledgerscope.sources.ledger import quarter_text
 
 def _susp():
     return F.col("is_suspicious").cast("long")
@@ -49,12 +50,17 @@ def top_suspicious_customers(txns: DataFrame, n: int = 20) -> DataFrame:
 def daily_alert_trend(txns: DataFrame, days: int = 90, as_of=None) -> DataFrame:
     """Daily totals in a trailing window ending at ``as_of`` (a date or
     timestamp literal); by default the last day present in the data, as a
-    scalar subquery (no join)."""
+    scalar subquery (no join). A ledger partitioned by ``txn_quarter`` is read
+    from the cutoff's quarter on, and its last day looked up in its last quarter."""
+    quarterly = "txn_quarter" in txns.columns
     if as_of is None:
-        as_of_col = txns.select(F.to_date(F.max("timestamp"))).scalar()
+        latest = txns.filter(F.col("txn_quarter") == txns.select(F.max("txn_quarter")).scalar()) if quarterly else txns
+        as_of_col = latest.select(F.to_date(F.max("timestamp"))).scalar()
     else:
         as_of_col = F.to_date(F.lit(as_of))
     cutoff = F.date_sub(as_of_col, days).cast("timestamp_ntz")
+    if quarterly:
+        txns = txns.filter(F.col("txn_quarter") >= quarter_text(cutoff))
     return (
         txns.filter(F.col("timestamp") >= cutoff)
         .groupBy(F.to_date("timestamp").alias("date"))
