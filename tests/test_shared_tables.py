@@ -31,3 +31,14 @@ def test_propagated_rounds_are_written_not_nested(spark):
     p = GR.propagate_features(x, txns, ["f"], rounds=2)
     assert "Join" not in p._jdf.queryExecution().optimizedPlan().toString()
     assert {r.customer_id: round(r.f, 6) for r in p.collect()} == {"a": 0.25, "b": round(((3 + 2 * 1.0) / 3 + 2 * 0.5) / 3, 6)}
+
+
+def test_hops_are_pruned_once_for_all_joins(spark):
+    from ledgerscope.operators import detectors as DT
+
+    rows = [("t1", "a", "b", 0), ("t2", "b", "c", 60), ("t3", "c", "a", 120), ("t4", "c", "z", 90)]
+    txns = spark.createDataFrame(rows, "transaction_id string, sender_id string, receiver_id string, s long")
+    txns = txns.select("*", F.lit(100).cast("long").alias("amount_cents"), F.timestamp_seconds("s").alias("timestamp"))
+    trips = DT.round_trips(txns, depth=3)
+    assert "LeftSemi" not in trips._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r)[:6] for r in trips.collect()) == [("a", "b", "c", "t1", "t2", "t3")]
