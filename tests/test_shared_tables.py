@@ -42,3 +42,13 @@ def test_hops_are_pruned_once_for_all_joins(spark):
     trips = DT.round_trips(txns, depth=3)
     assert "LeftSemi" not in trips._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(tuple(r)[:6] for r in trips.collect()) == [("a", "b", "c", "t1", "t2", "t3")]
+
+
+def test_labels_run_on_numbers_and_name_the_smallest_account(spark):
+    pairs = [("b", "a"), ("c", "b"), ("a", "c"), ("x", "y"), ("y", "x")]
+    edges = spark.createDataFrame([(u, v, 5) for u, v in pairs], "src string, dst string, weight long")
+    nodes = spark.createDataFrame([(n,) for n in ["a", "b", "c", "x", "y", "lone", None]], "node string")
+    got = GR.label_propagation(edges, nodes)
+    assert "weight" not in got._jdf.queryExecution().optimizedPlan().toString()
+    com = {r.node: r.community for r in got.collect()}
+    assert len({com[n] for n in "abc"}) == 1 and com["x"] == com["y"] and com["lone"] == "lone" and com[None] is None
